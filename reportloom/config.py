@@ -57,6 +57,7 @@ class LoadConfig:
     restricted: Mapping[str, str] = field(default_factory=dict)
     optional_tenants: frozenset[str] = frozenset()
     targets: tuple[Target, ...] = ()
+    table_grain: str = "month"
 
     def __post_init__(self) -> None:
         if self.load not in LOADS:

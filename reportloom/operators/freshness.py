@@ -85,15 +85,18 @@ def next_date_present(
     )
 
 
-def feeds_with_new_data(presence: DataFrame, date_format: str = "Past") -> DataFrame:
-    """Feeds to load; a run over an explicit range loads all of them."""
-    if date_format == "Range":
-        return presence.select("feed")
+def feeds_with_new_data(presence: DataFrame) -> DataFrame:
+    """Feeds to load. A run over an explicit month range does not ask; it loads all."""
     return presence.filter("is_new").select("feed")
 
 
+def status_note(feeds: Sequence[str]) -> str:
+    """The status note for these new feeds."""
+    return str(sorted(feeds)) if feeds else "No New Data"
+
+
 def status_text(feeds: DataFrame) -> DataFrame:
-    """One row: the status note, the list of new feeds or ``No New Data``."""
+    """One row: the status note for the feeds of a frame."""
     names = F.array_sort(F.collect_set("feed"))
     listed = F.concat(F.lit("['"), F.array_join(names, "', '"), F.lit("']"))
     return feeds.agg(

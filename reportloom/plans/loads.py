@@ -26,7 +26,7 @@ from reportloom.schemas import (
     SALES_WIDTH,
     positional,
 )
-from reportloom.sinks.tables import read_table, replace_by_month
+from reportloom.sinks.tables import Layout, read_table, replace_by_month
 from reportloom.sinks.targets import load_dimension
 from reportloom.sources.archives import archive_rows, expand_archives, scan_objects
 from reportloom.sources.reports import read_supported_devices, scan_feed, union_objects
@@ -40,11 +40,12 @@ def load_crashes(
         spark, config.tenants, "crashes", config.feeds(), config.months(),
         max(f.width for f in CRASH_FEEDS),
     )
+    layout = Layout("crash_date", grain=config.table_grain)
     staged = stage(
-        cook_feeds(raw, CRASH_FEEDS), f"{config.output_root}/staged/crashes", "crash_date"
+        cook_feeds(raw, CRASH_FEEDS), f"{config.output_root}/staged/crashes", layout
     )
     return load_new_feeds(
-        spark, staged, published, config, "crashes", "crash_date", table_path
+        spark, staged, published, config, "crashes", layout, table_path
     )
 
 
@@ -57,9 +58,10 @@ def load_installs(
     )
     kept = keep_product_mention(raw, config.restricted, positional(INSTALLS_FEED.width))
     cooked = cook_feeds(kept.withColumn("feed", F.lit(INSTALLS_FEED.name)), [INSTALLS_FEED])
-    staged = stage(cooked, f"{config.output_root}/staged/installs", "install_date")
+    layout = Layout("install_date", grain=config.table_grain)
+    staged = stage(cooked, f"{config.output_root}/staged/installs", layout)
     return load_new_feeds(
-        spark, staged, published, config, "installs", "install_date", table_path
+        spark, staged, published, config, "installs", layout, table_path
     )
 
 
@@ -87,9 +89,10 @@ def load_sales(
     """Sales rows; restricted accounts keep only rows of their product."""
     kept = keep_product(raw, config.restricted, "c6")
     cooked = cook_sales(kept).withColumn("feed", F.lit("sales"))
-    staged = stage(cooked, f"{config.output_root}/staged/sales", "order_date")
+    layout = Layout("order_date", grain=config.table_grain)
+    staged = stage(cooked, f"{config.output_root}/staged/sales", layout)
     return load_new_feeds(
-        spark, staged, published, config, "sales", "order_date", table_path
+        spark, staged, published, config, "sales", layout, table_path
     )
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +15,7 @@ from reportloom.operators.freshness import (
     feeds_with_new_data,
     file_catalog,
     next_date_present,
-    status_text,
+    status_note,
 )
 from reportloom.sinks.control import (
     build_manifest,
@@ -26,7 +25,7 @@ from reportloom.sinks.control import (
     publish_parts,
     publish_status,
 )
-from reportloom.sinks.tables import read_table, replace_partitions, write_checked
+from reportloom.sinks.tables import Layout, existing_table, read_table, replace_by_date, write_checked
 
 
 @dataclass(frozen=True)
@@ -38,25 +37,23 @@ class LoadResult:
     table: DataFrame | None
 
 
-def stage(cooked: DataFrame, path: str, date_column: str) -> DataFrame:
-    """Write cooked rows once, clustered by feed and day, and read them back.
+def stage(cooked: DataFrame, path: str, layout: Layout) -> DataFrame:
+    """Write cooked rows once, clustered as their table will be, and read them back.
 
     Everything after it (what is new, N tables) reads this copy instead of the
     reports, a lost executor does not bring the reports back, and this is the
     only shuffle of the rows in a load.
     """
-    write_checked(cooked, path, ["feed"], ["feed", date_column])
-    return read_table(cooked.sparkSession, path, cooked.schema)
+    placed = layout.place(cooked)
+    write_checked(placed, path, layout.leading, layout.partition_by)
+    return layout.rows(read_table(cooked.sparkSession, path, placed.schema))
 
 
 def read_published(spark: SparkSession, output_root: str, job: str) -> DataFrame:
     """The (feed, day, account) parts that earlier runs of a job published."""
     schema = "feed string, report_date date, tenant string"
-    try:
-        parts = spark.read.schema(schema).parquet(f"{output_root}/control/{job}/published")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
+    parts = existing_table(spark, f"{output_root}/control/{job}/published", schema)
+    if parts is None:
         return spark.createDataFrame([], schema)
     return parts.distinct()
 
@@ -67,30 +64,33 @@ def load_new_feeds(
     published: DataFrame,
     config: LoadConfig,
     job: str,
-    date_column: str,
+    layout: Layout,
     table_path: str,
 ) -> LoadResult:
     """Find the feeds with new days, publish control data, replace their dates."""
     control = f"{config.output_root}/control/{job}"
-    catalog = file_catalog(staged.withColumnRenamed(date_column, "report_date"))
+    catalog = file_catalog(staged.withColumnRenamed(layout.date_column, "report_date"))
     # One row per feed, day and account: small, used several times below.
     catalog.write.mode("overwrite").parquet(f"{control}/catalog")
     catalog = read_table(spark, f"{control}/catalog", catalog.schema)
 
     if config.date_format == "Range":
-        feeds = spark.createDataFrame([(f,) for f in config.feeds()], "feed string")
+        names = tuple(sorted(config.feeds()))
     else:
         presence = next_date_present(
             catalog, published, list(config.tenants), config.optional_tenants
         )
-        feeds = feeds_with_new_data(presence)
-    names = tuple(sorted(r.feed for r in feeds.collect()))
+        # At most one row per feed that the load asks for.
+        names = tuple(sorted(r.feed for r in feeds_with_new_data(presence).collect()))
     new_feeds = spark.createDataFrame([(f,) for f in names], "feed string")
 
-    status = status_text(new_feeds)
-    publish_status(status, f"{control}/status", job, config.run_date)
+    status = status_note(names)
+    publish_status(
+        spark.createDataFrame([(status,)], "status string"),
+        f"{control}/status", job, config.run_date,
+    )
     if not names:
-        return LoadResult("No New Data", (), None)
+        return LoadResult(status, (), None)
 
     url = output_path(
         f"{config.output_root}/", F.col("feed"), iso_date(F.col("report_date")), F.col("tenant")
@@ -103,10 +103,9 @@ def load_new_feeds(
 
     rows = staged.filter(F.col("feed").isin(list(names)))
     # Published last: a run that fails before it is simply run again.
-    replace_partitions(rows, table_path, ["feed", date_column], clustered=True)
+    replace_by_date(rows, table_path, layout, clustered=True)
     publish_parts(
         catalog.filter(F.col("feed").isin(list(names))), f"{control}/published", config.run_date
     )
-    return LoadResult(
-        status.first().status, names, read_table(spark, table_path, staged.schema)
-    )
+    table = read_table(spark, table_path, layout.place(staged).schema)
+    return LoadResult(status, names, layout.rows(table))

@@ -27,7 +27,8 @@ from reportloom.sinks import exports, tables, targets
 from reportloom.sources.reports import union_objects
 from reportloom.workspace import new_folder
 
-CRASH_TABLE = ["feed", "crash_date"]
+BY_DAY = tables.Layout("crash_date", grain="day")
+BY_MONTH = tables.Layout("crash_date")
 RUN_DATE = date(2024, 2, 1)
 REPLACED_FROM = date(2024, 1, 20)
 TARGETS = (
@@ -48,6 +49,15 @@ def _crash_batch(crashes: DataFrame) -> DataFrame:
     return crashes.filter(late).withColumn("daily_crashes", F.col("daily_crashes") + 1)
 
 
+def _replaced(spark: SparkSession, sf_dir: str, layout: tables.Layout) -> DataFrame:
+    path = new_folder(spark, "crash-table")
+    crashes = _crashes(spark, sf_dir)
+    placed = layout.place(crashes)
+    tables.write_table(placed, path, layout.partition_by)
+    tables.replace_by_date(_crash_batch(crashes), path, layout)
+    return layout.rows(tables.read_table(spark, path, placed.schema))
+
+
 _REPLACED_SQL = sql.with_frames(
     sql.CRASH_COOKED,
     """SELECT crash_date, package_name, dimension,
@@ -62,11 +72,12 @@ WHERE crash_date < DATE '2024-01-20' OR tenant = 'tenant_a' OR NOT EXISTS (
 
 @query(_REPLACED_SQL)
 def replace_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = new_folder(spark, "crash-table")
-    crashes = _crashes(spark, sf_dir)
-    tables.write_table(crashes, path, CRASH_TABLE)
-    tables.replace_partitions(_crash_batch(crashes), path, CRASH_TABLE)
-    return tables.read_table(spark, path, crashes.schema)
+    return _replaced(spark, sf_dir, BY_DAY)
+
+
+@query(_REPLACED_SQL)
+def replace_by_date_in_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _replaced(spark, sf_dir, BY_MONTH)
 
 
 @query(
@@ -173,8 +184,8 @@ SELECT endpoint, table_name, NULL, (SELECT count(*) FROM devices),
 )
 def load_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_folder(spark, "targets")
-    staged = stage(_crashes(spark, sf_dir), f"{root}/staged", "crash_date")
-    feeds = targets.load_feeds(staged, root, TARGETS, CRASH_FEED_NAMES, "crash_date")
+    staged = stage(_crashes(spark, sf_dir), f"{root}/staged", BY_MONTH)
+    feeds = targets.load_feeds(staged, root, TARGETS, CRASH_FEED_NAMES, BY_MONTH)
     devices = frames.devices_raw(spark, sf_dir)
     dimension = targets.load_dimension(
         cook_devices(devices), root, TARGETS, "supported_devices"
@@ -211,9 +222,10 @@ FROM crash_cooked GROUP BY feed, crash_date""",
 def reconcile_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "crash-table")
     crashes = _crashes(spark, sf_dir)
-    tables.write_checked(crashes, path, CRASH_TABLE)
-    written = tables.read_table(spark, path, crashes.schema)
-    return tables.reconcile_counts(crashes, written, CRASH_TABLE)
+    placed = BY_MONTH.place(crashes)
+    tables.write_checked(placed, path, BY_MONTH.partition_by)
+    written = tables.read_table(spark, path, placed.schema)
+    return tables.reconcile_counts(crashes, written, BY_MONTH.keys)
 
 
 _STATS_COLUMNS = ("order_date", "tenant", "product_id", "product_type", "financial_status")

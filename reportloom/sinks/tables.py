@@ -3,15 +3,63 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from reportloom.functions.dates import text_month
+from reportloom.workspace import new_folder, path_exists
 
 TEXT_MONTH = "transaction_month"
 
 
+@dataclass(frozen=True)
+class Layout:
+    """How a table that is replaced by date is partitioned.
+
+    ``day``: one partition per day; a replace reads no old rows. Right when a day
+    holds hundreds of megabytes. ``month``: one per month, 30 times fewer folders
+    and commits; a replace carries over the days of a touched month that the
+    batch does not have, and reads no old rows when it has them all, as reports
+    that come by the month do.
+    """
+
+    date_column: str
+    leading: tuple[str, ...] = ("feed",)
+    grain: str = "month"
+
+    def __post_init__(self) -> None:
+        if self.grain not in ("day", "month"):
+            raise ValueError(f"unknown grain {self.grain!r}, expected 'day' or 'month'")
+
+    @property
+    def month_column(self) -> str:
+        return f"{self.date_column}_month"
+
+    @property
+    def keys(self) -> list[str]:
+        """What one replaced day is known by."""
+        return [*self.leading, self.date_column]
+
+    @property
+    def partition_by(self) -> list[str]:
+        if self.grain == "day":
+            return self.keys
+        return [*self.leading, self.month_column]
+
+    def place(self, df: DataFrame) -> DataFrame:
+        """``df`` with the column that partitions it."""
+        if self.grain == "day":
+            return df
+        month = F.date_format(self.date_column, "yyyy-MM")
+        return df.withColumn(self.month_column, month)
+
+    def rows(self, df: DataFrame) -> DataFrame:
+        """``df`` without the column that only partitions it."""
+        return df.drop(self.month_column)
+
+
 class ReconciliationError(RuntimeError):
     """Rows written and rows read back differ."""
 
@@ -54,6 +102,49 @@ def replace_partitions(
     )
 
 
+def existing_table(spark: SparkSession, path: str, schema) -> DataFrame | None:
+    """The table at ``path``, None when there is none yet."""
+    return read_table(spark, path, schema) if path_exists(spark, path) else None
+
+
+def replace_by_date(
+    batch: DataFrame, path: str, layout: Layout, clustered: bool = False
+) -> None:
+    """Delete the days that ``batch`` has, of every account, then add its rows.
+
+    ``clustered`` says that the rows of a partition already lie together.
+    """
+    spark = batch.sparkSession
+    placed = layout.place(batch)
+    old = None
+    if layout.grain == "month":
+        old = existing_table(spark, path, placed.schema)
+    if old is not None:
+        old = _days_to_keep(placed, old, layout)
+    rows = placed if old is None else placed.unionByName(old)
+    replace_partitions(rows, path, layout.partition_by, clustered)
+
+
+def _days_to_keep(placed: DataFrame, old: DataFrame, layout: Layout) -> DataFrame | None:
+    """Old rows of the touched months whose days are not replaced, None without any."""
+    spark = placed.sparkSession
+    # The days of the batch, at most feeds × calendar: written so that Spark knows
+    # their size and chooses the join by it.
+    path = new_folder(spark, "days")
+    columns = [*layout.keys, layout.month_column]
+    placed.select(*columns).distinct().write.parquet(path)
+    days = spark.read.parquet(path)
+    months = [r[0] for r in days.select(layout.month_column).distinct().collect()]
+    kept = (
+        old.filter(F.col(layout.month_column).isin(months))
+        .join(days.select(*layout.leading, layout.month_column).distinct(),
+              [*layout.leading, layout.month_column], "left_semi")
+        .join(days.select(*layout.keys), layout.keys, "left_anti")
+    )
+    # Looks at the key columns only.
+    return None if kept.select(*layout.keys).isEmpty() else kept.select(*placed.columns)
+
+
 def replace_rows_by_date(
     target: DataFrame, batch: DataFrame, dates: DataFrame, date_column: str
 ) -> DataFrame:

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reportloom.config import Target
-from reportloom.sinks.tables import replace_all, replace_partitions
+from reportloom.sinks.tables import Layout, replace_all, replace_by_date
 
 
 def planned_loads(targets: Sequence[Target], feeds: Sequence[str]) -> list[tuple[str, str, str]]:
@@ -23,17 +24,18 @@ def planned_loads(targets: Sequence[Target], feeds: Sequence[str]) -> list[tuple
 
 def load_feeds(
     staged: DataFrame, root: str, targets: Sequence[Target], feeds: Sequence[str],
-    date_column: str,
+    layout: Layout,
 ) -> list[tuple[str, str, str]]:
     """Replace by date, at each endpoint, the tables of ``feeds``.
 
-    ``staged`` is read once per load and only where its feed lies. It is written
-    clustered by feed and day, so no load shuffles.
+    ``staged`` is read once per load and only where its feed lies. It was written
+    clustered as the tables are, so no load shuffles.
     """
     loads = planned_loads(targets, feeds)
+    layout = replace(layout, leading=())
     for endpoint, feed, table in loads:
         rows = staged.filter(F.col("feed") == feed).drop("feed")
-        replace_partitions(rows, f"{root}/{endpoint}/{table}", [date_column], clustered=True)
+        replace_by_date(rows, f"{root}/{endpoint}/{table}", layout, clustered=True)
     return loads
 
 

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reportloom.schemas import MANIFEST_SCHEMA
+from reportloom.workspace import path_exists
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
@@ -20,17 +20,6 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _exists(spark: SparkSession, url: str) -> bool:
-    # Spark resolves the path when it builds the frame; no job runs.
-    try:
-        spark.read.format("binaryFile").load(url)
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
-
-
 def manifest_paths(spark: SparkSession, path: str) -> list[str]:
     """Paths to load: every mandatory one, and the optional ones that exist.
 
@@ -38,7 +27,7 @@ def manifest_paths(spark: SparkSession, path: str) -> list[str]:
     given, so it is collected. A missing mandatory path fails in the reader.
     """
     entries = read_manifest(spark, path).collect()
-    return [e.url for e in entries if e.mandatory or _exists(spark, e.url)]
+    return [e.url for e in entries if e.mandatory or path_exists(spark, e.url)]
 
 
 def load_from_manifest(

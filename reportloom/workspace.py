@@ -25,3 +25,10 @@ def shared_root(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that nothing has used before."""
     return f"{shared_root(spark)}/reportloom/{name}-{uuid.uuid4().hex}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder at ``path``, on whatever file system it names."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    return hadoop_path.getFileSystem(conf).exists(hadoop_path)

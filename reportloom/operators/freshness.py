@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Collection, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 KEYS = ["feed", "report_date", "tenant"]
@@ -25,32 +25,53 @@ def published_parts(catalog: DataFrame, published: DataFrame) -> DataFrame:
     return catalog.join(published.select(*KEYS), KEYS, "left_semi")
 
 
+def _all_of(tenants: Collection[str], condition: Column) -> Column:
+    """Whether every account has a row of the group that meets the condition."""
+    everyone = F.lit(True)
+    for t in tenants:
+        hit = F.coalesce(condition & (F.col("tenant") == t), F.lit(False))
+        everyone = everyone & F.bool_or(hit)
+    return everyone
+
+
+def _local_days(
+    parts: DataFrame,
+    published: DataFrame,
+    tenants: Sequence[str],
+    required: Collection[str],
+) -> DataFrame:
+    """Per feed and local day: is it published, is it local, for all accounts.
+
+    One aggregation, of which a task sends one row per feed and day, however many
+    rows ``parts`` has for them.
+    """
+    both = parts.select(*KEYS, F.lit(True).alias("local")).unionByName(
+        published.select(*KEYS, F.lit(False).alias("local"))
+    )
+    days = both.groupBy("feed", "report_date").agg(
+        F.bool_or("local").alias("is_local"),
+        _all_of(tenants, ~F.col("local")).alias("published"),
+        _all_of(required, F.col("local")).alias("present"),
+    )
+    return days.filter("is_local")
+
+
 def latest_complete_date(
-    catalog: DataFrame, published: DataFrame, tenants: Sequence[str]
+    parts: DataFrame, published: DataFrame, tenants: Sequence[str]
 ) -> DataFrame:
     """Newest local day of each feed that is published for every account.
 
     The day counts when it is local for any account; only what is published has
     to be complete.
     """
-    days = catalog.select("feed", "report_date").distinct()
-    complete = (
-        published.filter(F.col("tenant").isin(list(tenants)))
-        .select(*KEYS)
-        .distinct()
-        .groupBy("feed", "report_date")
-        .agg(F.count("tenant").alias("n"))
-        .filter(F.col("n") == len(set(tenants)))
-    )
+    days = _local_days(parts, published, tenants, ())
     return (
-        days.join(complete, ["feed", "report_date"], "left_semi")
-        .groupBy("feed")
-        .agg(F.max("report_date").alias("latest_date"))
+        days.filter("published").groupBy("feed").agg(F.max("report_date").alias("latest_date"))
     )
 
 
 def next_date_present(
-    catalog: DataFrame,
+    parts: DataFrame,
     published: DataFrame,
     tenants: Sequence[str],
     optional: Collection[str] = (),
@@ -61,27 +82,24 @@ def next_date_present(
     oldest local day. Accounts in ``optional`` count for completeness only.
     """
     required = [t for t in tenants if t not in optional]
-    oldest = catalog.groupBy("feed").agg(F.min("report_date").alias("oldest"))
-    expected = oldest.join(
-        latest_complete_date(catalog, published, tenants), "feed", "left"
-    ).select(
+    # A feed's days are a calendar at most, so one task can walk them.
+    by_day = Window.partitionBy("feed").orderBy("report_date")
+    day = F.col("report_date")
+    follows = F.lead(day).over(by_day) == F.date_add(day, 1)
+    days = _local_days(parts, published, tenants, required).select(
         "feed",
-        "latest_date",
-        F.coalesce(F.date_add("latest_date", 1), F.col("oldest")).alias("next_date"),
+        "report_date",
+        "present",
+        F.when(F.col("published"), day).alias("complete_day"),
+        F.coalesce(follows & F.lead("present").over(by_day), F.lit(False)).alias("next_present"),
     )
-    local = (
-        catalog.filter(F.col("tenant").isin(required))
-        .select(*KEYS)
-        .distinct()
-        .groupBy("feed", "report_date")
-        .agg(F.count("tenant").alias("n"))
-        .withColumnRenamed("report_date", "next_date")
-    )
-    return expected.join(local, ["feed", "next_date"], "left").select(
-        "feed",
-        "latest_date",
-        "next_date",
-        (F.coalesce("n", F.lit(0)) == len(set(required))).alias("is_new"),
+    latest = F.max("complete_day")
+    return days.groupBy("feed").agg(
+        latest.alias("latest_date"),
+        F.coalesce(F.date_add(latest, 1), F.min(day)).alias("next_date"),
+        F.coalesce(
+            F.max_by("next_present", "complete_day"), F.min_by("present", "report_date")
+        ).alias("is_new"),
     )
 
 
@@ -125,12 +143,6 @@ def all_tenants_present(
     files: DataFrame, group: str, pattern: Column, tenants: Sequence[str]
 ) -> DataFrame:
     """Per group: whether each account has a file (column ``name``) of the pattern."""
-    hits = (
-        files.filter(F.col("tenant").isin(list(tenants)))
-        .select(group, "tenant", F.rlike("name", pattern).alias("hit"))
-        .groupBy(group, "tenant")
-        .agg(F.max("hit").alias("hit"))
-    )
-    return hits.groupBy(group).agg(
-        (F.count_if("hit") == len(set(tenants))).alias("file_found")
+    return files.groupBy(group).agg(
+        _all_of(tenants, F.rlike("name", pattern)).alias("file_found")
     )

@@ -53,14 +53,13 @@ _STORE_PRESENCE = _STORE_KEYS + ", " + _PRESENCE.format(
 )
 
 
-def _catalog(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def _parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     keys = frames.crash_keys(spark, sf_dir)
-    return ops.file_catalog(keys), frames.published(keys)
+    return keys, frames.published(keys)
 
 
 def _crash_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    catalog, published = _catalog(spark, sf_dir)
-    return ops.next_date_present(catalog, published, frames.TENANTS)
+    return ops.next_date_present(*_parts(spark, sf_dir), frames.TENANTS)
 
 
 def _store_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,9 +74,8 @@ def _store_presence(spark: SparkSession, sf_dir: str) -> DataFrame:
         frames.tenant_of(F.col("user_id")).alias("tenant"),
     )
     published = ops.file_catalog(sales).filter(F.col("report_date") <= F.lit(SALES_UNTIL))
-    catalog = ops.file_catalog(union_objects([sales, installs]))
     return ops.next_date_present(
-        catalog, published, frames.TENANTS, optional=["tenant_b"]
+        union_objects([sales, installs]), published, frames.TENANTS, optional=["tenant_b"]
     )
 
 
@@ -99,7 +97,8 @@ def feed_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 )
 def published_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.published_parts(*_catalog(spark, sf_dir))
+    keys, published = _parts(spark, sf_dir)
+    return ops.published_parts(ops.file_catalog(keys), published)
 
 
 @query(
@@ -109,7 +108,7 @@ def published_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 )
 def latest_complete_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.latest_complete_date(*_catalog(spark, sf_dir), frames.TENANTS)
+    return ops.latest_complete_date(*_parts(spark, sf_dir), frames.TENANTS)
 
 
 @query(

@@ -41,7 +41,8 @@ def read_utf16_csv(
     instead when a pass over its lines shows that each line is one record;
     otherwise it is read whole too. ``file_filter`` is a condition on
     ``_metadata`` and prunes files before they are read. Bytes that are no
-    UTF-16 are dropped.
+    UTF-16 are dropped; of a high surrogate that lacks its partner the JVM drops
+    the character after it too.
     """
     chosen = F.lit(True) if file_filter is None else file_filter
 

@@ -58,6 +58,7 @@ class LoadConfig:
     optional_tenants: frozenset[str] = frozenset()
     targets: tuple[Target, ...] = ()
     table_grain: str = "month"
+    keep_raw: bool = False
 
     def __post_init__(self) -> None:
         if self.load not in LOADS:

@@ -26,12 +26,20 @@ from reportloom.schemas import (
     SALES_WIDTH,
     positional,
 )
+from reportloom.sinks.exports import keep_raw
 from reportloom.sinks.tables import Layout, read_table, replace_by_month
 from reportloom.sinks.targets import load_dimension
 from reportloom.sources.archives import archive_rows, expand_archives, scan_objects
 from reportloom.sources.reports import read_supported_devices, scan_feed, union_objects
 
 
+def _kept(raw: DataFrame, config: LoadConfig, job: str) -> DataFrame:
+    """``raw``, from the raw zone when the run keeps one: reports are parsed once."""
+    if not config.keep_raw:
+        return raw
+    return keep_raw(raw, f"{config.output_root}/raw/{job}", config.run_date)
+
+
 def load_crashes(
     spark: SparkSession, config: LoadConfig, published: DataFrame, table_path: str
 ) -> LoadResult:
@@ -40,6 +48,7 @@ def load_crashes(
         spark, config.tenants, "crashes", config.feeds(), config.months(),
         max(f.width for f in CRASH_FEEDS),
     )
+    raw = _kept(raw, config, "crashes")
     layout = Layout("crash_date", grain=config.table_grain)
     staged = stage(
         cook_feeds(raw, CRASH_FEEDS), f"{config.output_root}/staged/crashes", layout
@@ -56,6 +65,7 @@ def load_installs(
     raw = scan_feed(
         spark, config.tenants, "installs", ["country"], config.months(), INSTALLS_FEED.width
     )
+    raw = _kept(raw, config, "installs")
     kept = keep_product_mention(raw, config.restricted, positional(INSTALLS_FEED.width))
     cooked = cook_feeds(kept.withColumn("feed", F.lit(INSTALLS_FEED.name)), [INSTALLS_FEED])
     layout = Layout("install_date", grain=config.table_grain)
@@ -87,6 +97,7 @@ def load_sales(
     table_path: str,
 ) -> LoadResult:
     """Sales rows; restricted accounts keep only rows of their product."""
+    raw = _kept(raw, config, "sales")
     kept = keep_product(raw, config.restricted, "c6")
     cooked = cook_sales(kept).withColumn("feed", F.lit("sales"))
     layout = Layout("order_date", grain=config.table_grain)

@@ -25,7 +25,14 @@ from reportloom.sinks.control import (
     publish_parts,
     publish_status,
 )
-from reportloom.sinks.tables import Layout, existing_table, read_table, replace_by_date, write_checked
+from reportloom.sinks.tables import (
+    Layout,
+    existing_table,
+    read_table,
+    replace_by_date,
+    write_checked,
+)
+from reportloom.workspace import run_together
 
 
 @dataclass(frozen=True)
@@ -82,30 +89,37 @@ def load_new_feeds(
         )
         # At most one row per feed that the load asks for.
         names = tuple(sorted(r.feed for r in feeds_with_new_data(presence).collect()))
-    new_feeds = spark.createDataFrame([(f,) for f in names], "feed string")
-
     status = status_note(names)
-    publish_status(
-        spark.createDataFrame([(status,)], "status string"),
-        f"{control}/status", job, config.run_date,
-    )
+
+    def note_status() -> None:
+        note = spark.createDataFrame([(status,)], "status string")
+        publish_status(note, f"{control}/status", job, config.run_date)
+
     if not names:
+        note_status()
         return LoadResult(status, (), None)
 
-    url = output_path(
-        f"{config.output_root}/", F.col("feed"), iso_date(F.col("report_date")), F.col("tenant")
-    )
-    publish_manifests(
-        build_manifest(catalog, url), new_feeds, f"{control}/manifests", config.run_date
-    )
-    lists = date_list(feed_dates(catalog.filter(F.col("feed").isin(list(names)))))
-    publish_date_lists(lists, f"{control}/dates", config.run_date)
+    new_feeds = spark.createDataFrame([(f,) for f in names], "feed string")
+    new_parts = catalog.filter(F.col("feed").isin(list(names)))
+
+    def note_manifests() -> None:
+        url = output_path(
+            f"{config.output_root}/", F.col("feed"), iso_date(F.col("report_date")),
+            F.col("tenant"),
+        )
+        manifests = build_manifest(new_parts, url)
+        publish_manifests(manifests, new_feeds, f"{control}/manifests", config.run_date)
+
+    def note_dates() -> None:
+        lists = date_list(feed_dates(new_parts))
+        publish_date_lists(lists, f"{control}/dates", config.run_date)
+
+    def load() -> None:
+        rows = staged.filter(F.col("feed").isin(list(names)))
+        replace_by_date(rows, table_path, layout, clustered=True)
 
-    rows = staged.filter(F.col("feed").isin(list(names)))
+    run_together(spark, [load, note_status, note_manifests, note_dates])
     # Published last: a run that fails before it is simply run again.
-    replace_by_date(rows, table_path, layout, clustered=True)
-    publish_parts(
-        catalog.filter(F.col("feed").isin(list(names))), f"{control}/published", config.run_date
-    )
+    publish_parts(new_parts, f"{control}/published", config.run_date)
     table = read_table(spark, table_path, layout.place(staged).schema)
     return LoadResult(status, names, layout.rows(table))

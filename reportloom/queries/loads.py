@@ -256,10 +256,8 @@ def column_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "raw-zone")
     raw = frames.crash_raw(spark, sf_dir).drop("event_id", "event_type")
-    exports.append_raw(raw, path, RUN_DATE)
-    return tables.read_table(
-        spark, path, raw.withColumn("run_date", F.lit(RUN_DATE)).schema
-    )
+    kept = exports.keep_raw(raw, path, RUN_DATE)
+    return kept.withColumn("run_date", F.lit(RUN_DATE))
 
 
 # The feeds of the crash load that have new days, as in the freshness queries:

@@ -171,7 +171,7 @@ def scan_device_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scan_cooked_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "cooked")
     exports.export_cooked(_cooked_text(spark, sf_dir), path, CRASH_FIELDS)
-    return read_cooked_csv(spark, path, CRASH_FIELDS)
+    return read_cooked_csv(spark, path, CRASH_FIELDS).drop("source_file")
 
 
 @query(
@@ -183,14 +183,12 @@ def scan_cooked_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 def export_cooked(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "cooked")
     exports.export_cooked(_cooked_text(spark, sf_dir), path, CRASH_FIELDS)
-    rows = read_cooked_csv(spark, path, CRASH_FIELDS).select(
-        "*", F.col("_metadata.file_path").alias("f")
-    )
+    rows = read_cooked_csv(spark, path, CRASH_FIELDS)
     return rows.select(
         *CRASH_FIELDS,
-        F.regexp_extract("f", "p_feed=([^/]*)/", 1).alias("p_feed"),
-        F.regexp_extract("f", "p_date=([^/]*)/", 1).alias("p_date"),
-        F.regexp_extract("f", "p_tenant=([^/]*)/", 1).alias("p_tenant"),
+        F.regexp_extract("source_file", "p_feed=([^/]*)/", 1).alias("p_feed"),
+        F.regexp_extract("source_file", "p_date=([^/]*)/", 1).alias("p_date"),
+        F.regexp_extract("source_file", "p_tenant=([^/]*)/", 1).alias("p_tenant"),
     )
 
 

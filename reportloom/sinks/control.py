@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -87,3 +87,20 @@ def publish_parts(catalog: DataFrame, path: str, run_date: date) -> None:
         .partitionBy("run_date")
         .parquet(path)
     )
+
+
+def read_status(spark: SparkSession, path: str, job: str, run_date: date) -> DataFrame:
+    """The status note of one job and run."""
+    notes = spark.read.schema("status string, run_date date, job string").parquet(path)
+    wanted = (F.col("job") == job) & (F.col("run_date") == F.lit(run_date))
+    return notes.filter(wanted).select("status")
+
+
+def read_dates(spark: SparkSession, path: str, run_date: date) -> DataFrame:
+    """(feed, report_date) of the date lists of one run."""
+    schema = "days array<string>, date_list string, run_date date, feed string"
+    lists = spark.read.schema(schema).parquet(path)
+    days = lists.filter(F.col("run_date") == F.lit(run_date)).select(
+        "feed", F.explode("days").alias("day")
+    )
+    return days.select("feed", F.col("day").cast("date").alias("report_date"))

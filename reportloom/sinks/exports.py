@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reportloom.sinks.tables import spread
+from reportloom.sinks.tables import read_table, spread
 
 EXPORT_KEYS = ("p_feed", "p_date", "p_tenant")
 
@@ -47,8 +47,17 @@ def export_folder(root: str, feed: Column, iso_day: Column, tenant: Column) -> C
     )
 
 
-def append_raw(raw: DataFrame, path: str, run_date: date) -> None:
-    """Keep raw rows as they came, under the date of the run."""
-    raw.withColumn("run_date", F.lit(run_date)).write.mode("append").partitionBy(
-        "run_date"
-    ).parquet(path)
+def keep_raw(raw: DataFrame, path: str, run_date: date) -> DataFrame:
+    """Keep raw rows as they came, under the date of the run; read them back.
+
+    A rerun on the same date replaces what it kept before.
+    """
+    kept = raw.withColumn("run_date", F.lit(run_date))
+    (
+        kept.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("run_date")
+        .parquet(path)
+    )
+    rows = read_table(raw.sparkSession, path, kept.schema)
+    return rows.filter(F.col("run_date") == F.lit(run_date)).drop("run_date")

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import replace
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reportloom.config import Target
 from reportloom.sinks.tables import Layout, replace_all, replace_by_date
+from reportloom.workspace import run_together
 
 
 def planned_loads(targets: Sequence[Target], feeds: Sequence[str]) -> list[tuple[str, str, str]]:
@@ -33,9 +35,12 @@ def load_feeds(
     """
     loads = planned_loads(targets, feeds)
     layout = replace(layout, leading=())
-    for endpoint, feed, table in loads:
+
+    def load(endpoint: str, feed: str, table: str) -> None:
         rows = staged.filter(F.col("feed") == feed).drop("feed")
         replace_by_date(rows, f"{root}/{endpoint}/{table}", layout, clustered=True)
+
+    run_together(staged.sparkSession, [partial(load, *each) for each in loads])
     return loads
 
 
@@ -44,8 +49,10 @@ def load_dimension(
 ) -> list[tuple[str, str, str]]:
     """Replace a dimension in full at each endpoint."""
     loads = planned_loads(targets, [name])
-    for endpoint, _, table in loads:
-        replace_all(df, f"{root}/{endpoint}/{table}")
+    run_together(
+        df.sparkSession,
+        [partial(replace_all, df, f"{root}/{e}/{table}") for e, _, table in loads],
+    )
     return loads
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,30 +20,51 @@ from reportloom.schemas import (
 # A file above this size is split over tasks when its lines allow it.
 SPLIT_ABOVE = 128 * 1024 * 1024
 
-# Python's csv reader and the report writers double a quote inside quotes.
-_QUOTED = {"quote": '"', "escape": '"'}
+
+@dataclass(frozen=True)
+class Dialect:
+    """How a kind of report file is written."""
+
+    encoding: str = "UTF-8"
+    quote: str = '"'
+    header: bool = True
+
+    @property
+    def line_break(self) -> str:
+        """A line break as a reader of UTF-8 text sees the bytes of the file."""
+        return "\n\0" if self.encoding == "UTF-16LE" else "\n"
+
+    @property
+    def bytes_per_unit(self) -> int:
+        return 2 if self.encoding == "UTF-16LE" else 1
+
+
+UTF16_REPORT = Dialect(encoding="UTF-16LE")
+PLAIN_REPORT = Dialect()
+COOKED = Dialect(quote="%", header=False)
 
 
 def _file_path() -> Column:
     return F.col("_metadata.file_path")
 
 
-def read_utf16_csv(
+def read_report_csv(
     spark: SparkSession,
     paths: str | Sequence[str],
     columns: Sequence[str],
+    dialect: Dialect,
     file_filter: Column | None = None,
     split_above: int | None = SPLIT_ABOVE,
 ) -> DataFrame:
-    """UTF-16LE CSV with a header per file, every column as text.
+    """CSV report files, every column as text, and the file each row is from.
 
     Files are read whole, many per job, since a quoted field may hold a line
     break. A file larger than ``split_above`` bytes is split at its line breaks
     instead when a pass over its lines shows that each line is one record;
     otherwise it is read whole too. ``file_filter`` is a condition on
-    ``_metadata`` and prunes files before they are read. Bytes that are no
-    UTF-16 are dropped; of a high surrogate that lacks its partner the JVM drops
-    the character after it too.
+    ``_metadata`` and prunes files before they are read. Bytes that are no text
+    in the encoding are dropped; of a UTF-16 high surrogate that lacks its
+    partner the JVM drops the character after it too.
     """
     chosen = F.lit(True) if file_filter is None else file_filter
 
@@ -50,60 +72,80 @@ def read_utf16_csv(
         frame = spark.read.csv(
             paths,
             schema=text_schema(columns),
-            header=True,
+            header=dialect.header,
             enforceSchema=True,
-            encoding="UTF-16LE",
+            encoding=dialect.encoding,
+            quote=dialect.quote,
+            # Report writers double a quote inside quotes.
+            escape=dialect.quote,
             recursiveFileLookup=True,
-            **_QUOTED,
             **options,
         ).filter(chosen & condition)
         return frame.select(
-            *(F.translate(c, "�", "").alias(c) for c in columns),
+            *(F.translate(c, "\ufffd", "").alias(c) for c in columns),
             _file_path().alias("source_file"),
         )
 
     if split_above is None:
         return scan(F.lit(True), multiLine=True)
 
-    size = F.col("_metadata.file_size")
+    is_large = F.col("_metadata.file_size") > split_above
     large = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .load(paths)
-        .filter(chosen & (size > split_above))
-        .select(_file_path().alias("f"))
+        .filter(chosen & is_large)
+        .select(_file_path())
     )
     if large.isEmpty():
         return scan(F.lit(True), multiLine=True)
 
-    broken = _files_with_broken_lines(spark, paths, chosen & (size > split_above))
-    splittable = (size > split_above) & ~_file_path().isin(broken)
-    by_line = scan(splittable, lineSep="\n").select(
+    broken = files_with_broken_lines(spark, paths, dialect, chosen & is_large)
+    by_line = is_large & ~_file_path().isin(broken)
+    split = scan(by_line, lineSep="\n").select(
         *(F.regexp_replace(c, "\r$", "").alias(c) for c in columns), "source_file"
     )
-    return scan(~splittable, multiLine=True).unionByName(by_line)
+    return scan(~by_line, multiLine=True).unionByName(split)
 
 
-def _files_with_broken_lines(
-    spark: SparkSession, paths: str | Sequence[str], condition: Column
+def files_with_broken_lines(
+    spark: SparkSession, paths: str | Sequence[str], dialect: Dialect, condition: Column
 ) -> list[str]:
     """Files in which some byte line is not a record of its own.
 
     The first line break inside quotes leaves an odd number of quotes before it
-    on its line, and the first break found between two characters leaves an odd
-    number of bytes.
+    on its line, and the first break found between two characters leaves a part
+    of a character.
     """
     lines = (
-        spark.read.option("lineSep", "\n\0")
+        spark.read.option("lineSep", dialect.line_break)
         .option("recursiveFileLookup", True)
         .text(paths)
         .filter(condition)
-        .select(F.col("value").cast("binary").alias("raw"), _file_path().alias("f"))
+        .select("value", _file_path().alias("file"))
     )
-    size = F.octet_length("raw")
-    quotes = size - F.octet_length(F.replace(F.col("raw").cast("string"), F.lit('"'), F.lit("")))
-    rows = lines.filter((size % 2 == 1) | (quotes % 2 == 1)).select("f").distinct().collect()
-    return [r.f for r in rows]
+    size = F.octet_length("value")
+    if dialect.bytes_per_unit == 1:
+        others = F.replace(F.col("value"), F.lit(dialect.quote), F.lit(""))
+        quotes = size - F.octet_length(others)
+    else:
+        # Byte by byte as Latin-1, taken in pairs: the byte of a quote also occurs
+        # in other characters.
+        latin = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
+        quotes = F.length(F.regexp_replace(latin, f"(?s)({dialect.quote}\\x00)|..", "$1")) / 2
+    broken = (size % dialect.bytes_per_unit != 0) | (quotes % 2 != 0)
+    return [r.file for r in lines.filter(broken).select("file").distinct().collect()]
+
+
+def read_utf16_csv(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    columns: Sequence[str],
+    file_filter: Column | None = None,
+    split_above: int | None = SPLIT_ABOVE,
+) -> DataFrame:
+    """UTF-16LE reports with a header per file, with or without byte order mark."""
+    return read_report_csv(spark, paths, columns, UTF16_REPORT, file_filter, split_above)
 
 
 def scan_feed(
@@ -152,13 +194,13 @@ def union_objects(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def read_sales_csv(
-    spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str]
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    columns: Sequence[str],
+    split_above: int | None = SPLIT_ABOVE,
 ) -> DataFrame:
     """Sales CSV: header, quoted line breaks, characters outside ASCII dropped."""
-    raw = spark.read.csv(
-        paths, schema=text_schema(columns), header=True, multiLine=True,
-        enforceSchema=True, **_QUOTED,
-    )
+    raw = read_report_csv(spark, paths, columns, PLAIN_REPORT, None, split_above)
     return raw.select(*(strip_non_ascii(F.col(c)).alias(c) for c in columns))
 
 
@@ -168,25 +210,21 @@ def read_supported_devices(
     columns: Sequence[str] = DEVICE_COLUMNS,
 ) -> DataFrame:
     """Device list: header, tabs removed from every field."""
-    raw = spark.read.csv(
-        paths, schema=text_schema(columns), header=True, enforceSchema=True, **_QUOTED
-    )
+    raw = read_report_csv(spark, paths, columns, PLAIN_REPORT)
     return raw.select(*(strip_tabs(F.col(c)).alias(c) for c in columns))
 
 
 def read_cooked_csv(
-    spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str]
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    columns: Sequence[str],
+    split_above: int | None = SPLIT_ABOVE,
 ) -> DataFrame:
     """Published cooked files: comma, ``%`` as quote, no header."""
-    return spark.read.csv(
-        paths, schema=text_schema(columns), quote="%", escape="%", multiLine=True,
-        recursiveFileLookup=True,
-    )
+    return read_report_csv(spark, paths, columns, COOKED, None, split_above)
 
 
 def read_earnings(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Earnings CSV: one header line, the 19 columns as text."""
-    return spark.read.csv(
-        paths, schema=text_schema(EARNINGS_COLUMNS), header=True, enforceSchema=True,
-        multiLine=True, **_QUOTED,
-    )
+    raw = read_report_csv(spark, paths, EARNINGS_COLUMNS, PLAIN_REPORT)
+    return raw.select(*EARNINGS_COLUMNS)

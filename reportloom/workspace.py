@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
+# Writes of one run that are handed to Spark at the same time.
+TOGETHER = 4
+
 
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can see, as named by ``spark.checkpoint.dir``.
@@ -32,3 +38,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     return hadoop_path.getFileSystem(conf).exists(hadoop_path)
+
+
+def run_together(spark: SparkSession, jobs: Sequence[Callable[[], None]]) -> None:
+    """Run independent writes at the same time; the first failure is raised."""
+    with ThreadPoolExecutor(TOGETHER) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+    for job in started:
+        job.result()

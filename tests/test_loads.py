@@ -14,6 +14,7 @@ from reportloom.plans import loads
 from reportloom.plans.staging import read_published
 from reportloom.schemas import EARNINGS_COLUMNS
 from reportloom.sinks import tables
+from reportloom.sinks.control import read_dates, read_status
 
 CRASH_HEADER = "Date,Package,Dimension,Crashes,ANRs\r\n"
 OVERVIEW_HEADER = "Date,Package,Crashes,ANRs\r\n"
@@ -81,6 +82,9 @@ def test_control_data_of_a_crash_run(spark, tmp_path, config):
     control = f"{config.output_root}/control/crashes"
     status = spark.read.parquet(f"{control}/status").first()
     assert (status.status, status.job) == (result.status, "crashes")
+    assert read_status(spark, f"{control}/status", "crashes", config.run_date).first().status == result.status
+    dates = read_dates(spark, f"{control}/dates", config.run_date).collect()
+    assert sorted(map(tuple, dates)) == [(f, dt.date(2021, 1, 4)) for f in result.feeds]
     lists = {r.feed: r.date_list for r in spark.read.parquet(f"{control}/dates").collect()}
     assert lists == dict.fromkeys(result.feeds, "('2021-01-04')")
     manifests = {r.feed: json.loads(r.value) for r in spark.read.text(f"{control}/manifests").collect()}
@@ -91,6 +95,18 @@ def test_control_data_of_a_crash_run(spark, tmp_path, config):
     assert read_published(spark, config.output_root, "crashes").count() == 8
 
 
+def test_raw_zone_keeps_rows_as_they_came(spark, tmp_path, config):
+    config = replace(config, keep_raw=True)
+    for tenant in config.tenants:
+        put_crashes(tmp_path / "in", tenant, [4])
+    for _ in range(2):
+        run_crashes(spark, config)
+        raw = spark.read.parquet(f"{config.output_root}/raw/crashes")
+        assert raw.count() == 8
+    row = raw.filter("feed = 'device'").first()
+    assert (row.c2, row.c3, row.run_date) == ("Pixel 4, XL 50%", "1,234", config.run_date)
+
+
 def test_range_run_loads_without_asking(spark, tmp_path, config):
     config = replace(config, date_format="Range", start_date="2021-01", end_date="2021-01")
     put_crashes(tmp_path / "in", "ta", [4])

@@ -30,6 +30,7 @@ EDGE_TEXTS = {
     "crlf": 'Date,a,b\r\n2021-01-04,"x, ""y""","z,1"\r\n2021-01-05,é,plain\r\n2021-01-06,"q\nnl",last',
     "lf": 'Date,a,b\n2021-01-04,"x, y",z\n2021-01-05,,\n2021-01-06,short\n2021-01-07,l,m,long\n',
     "straddle": "Date,a,b\n2021-01-08,ਅĀ,g\n2021-01-09,k,l\n",
+    "quote bytes": 'Date,a,b\n2021-01-08,"−\n",g\n2021-01-09,∀ ∃ Ģ,l\n',
     "header only": "Date,a,b\r\n",
     "quoted ends": 'Date,a,b\r\n2021-01-04,x,"z,1"\r\n2021-01-05,y,"w"\r\n',
 }
@@ -43,11 +44,34 @@ def test_utf16_scan_reads_what_python_reads(spark, tmp_path, name, split_above):
     assert sorted(tuple(r)[:3] for r in got.collect()) == python_rows(EDGE_TEXTS[name])
 
 
+@pytest.mark.parametrize("split_above", [None, 0])
+@pytest.mark.parametrize("name", list(EDGE_TEXTS))
+def test_utf8_scan_reads_what_python_reads(spark, tmp_path, name, split_above):
+    (tmp_path / "f.csv").write_bytes(EDGE_TEXTS[name].encode())
+    got = reports.read_report_csv(
+        spark, str(tmp_path), COLUMNS, reports.PLAIN_REPORT, split_above=split_above
+    )
+    assert sorted(tuple(r)[:3] for r in got.collect()) == python_rows(EDGE_TEXTS[name])
+
+
+@pytest.mark.parametrize("split_above", [None, 0])
+def test_cooked_files_split_only_where_a_line_is_a_record(spark, tmp_path, split_above):
+    (tmp_path / "a.csv").write_text("x,%one, two%,y\n1,2,3\n")
+    (tmp_path / "b.csv").write_text("x,%one\ntwo%,y\n")
+    got = reports.read_cooked_csv(spark, str(tmp_path), COLUMNS, split_above)
+    rows = sorted((r.d, r.a, r.b) for r in got.collect())
+    assert rows == [("1", "2", "3"), ("x", "one\ntwo", "y"), ("x", "one, two", "y")]
+
+
 def test_broken_lines_are_found(spark, tmp_path):
     for name, text in EDGE_TEXTS.items():
         write_utf16(tmp_path / f"{name}.csv", text)
-    broken = reports._files_with_broken_lines(spark, str(tmp_path), F.lit(True))
-    assert sorted(b.rsplit("/", 1)[1].replace("%20", " ") for b in broken) == ["crlf.csv", "straddle.csv"]
+    broken = reports.files_with_broken_lines(
+        spark, str(tmp_path), reports.UTF16_REPORT, F.lit(True)
+    )
+    assert sorted(b.rsplit("/", 1)[1].replace("%20", " ") for b in broken) == [
+        "crlf.csv", "quote bytes.csv", "straddle.csv"
+    ]
 
 
 def test_large_files_are_split_without_loss(spark, tmp_path):
@@ -202,7 +226,7 @@ def test_manifest_reads_listed_files_only(spark, tmp_path):
         ],
     )
     got = manifests.load_from_manifest(spark, path, read_two(spark))
-    assert sorted(map(tuple, got.collect())) == [("x", "q, x"), ("z", "q, z")]
+    assert sorted((r.a, r.b) for r in got.collect()) == [("x", "q, x"), ("z", "q, z")]
 
 
 def test_missing_mandatory_file_fails(spark, tmp_path):

@@ -38,20 +38,20 @@ def strict_report_date(c: Column) -> Column:
 def _by_spelling(c: Column, spellings, parse) -> Column:
     value = F.lit(None)
     for shape, pattern in reversed(spellings):
-        value = F.when(c.rlike(shape), parse(c, F.lit(pattern))).otherwise(value)
+        value = F.when(c.rlike(shape), parse(c, pattern)).otherwise(value)
     return value
 
 
 def parse_auto_date(c: Column) -> Column:
     """Date in any of the accepted spellings, NULL when none fits."""
-    return _by_spelling(
-        c, DATE_SPELLINGS, lambda v, p: F.try_to_timestamp(v, p).cast("date")
-    ).cast("date")
+    return _by_spelling(c, DATE_SPELLINGS, F.try_to_date).cast("date")
 
 
 def parse_auto_time(c: Column) -> Column:
     """Timestamp in any of the accepted spellings, NULL when none fits."""
-    return _by_spelling(c, TIME_SPELLINGS, F.try_to_timestamp).cast("timestamp")
+    return _by_spelling(
+        c, TIME_SPELLINGS, lambda v, p: F.try_to_timestamp(v, F.lit(p))
+    ).cast("timestamp")
 
 
 def iso_date(d: Column) -> Column:

@@ -18,8 +18,14 @@ from reportloom.operators.cooking import (
 )
 from reportloom.operators.filters import keep_product, keep_product_mention
 from reportloom.operators.freshness import all_tenants_present
-from reportloom.plans.staging import LoadResult, load_new_feeds, stage
+from reportloom.plans.staging import (
+    LoadResult,
+    load_new_feeds,
+    read_published,
+    stage,
+)
 from reportloom.schemas import (
+    CRASH_FEED_NAMES,
     CRASH_FEEDS,
     EARNINGS_COLUMNS,
     INSTALLS_FEED,
@@ -45,7 +51,7 @@ def load_crashes(
 ) -> LoadResult:
     """Crash reports of the configured months into one table per feed."""
     raw = scan_feed(
-        spark, config.tenants, "crashes", config.feeds(), config.months(),
+        spark, config.tenants, "crashes", CRASH_FEED_NAMES, config.months(),
         max(f.width for f in CRASH_FEEDS),
     )
     raw = _kept(raw, config, "crashes")
@@ -54,7 +60,7 @@ def load_crashes(
         cook_feeds(raw, CRASH_FEEDS), f"{config.output_root}/staged/crashes", layout
     )
     return load_new_feeds(
-        spark, staged, published, config, "crashes", layout, table_path
+        spark, staged, published, config, "crashes", CRASH_FEED_NAMES, layout, table_path
     )
 
 
@@ -71,7 +77,7 @@ def load_installs(
     layout = Layout("install_date", grain=config.table_grain)
     staged = stage(cooked, f"{config.output_root}/staged/installs", layout)
     return load_new_feeds(
-        spark, staged, published, config, "installs", layout, table_path
+        spark, staged, published, config, "installs", [INSTALLS_FEED.name], layout, table_path
     )
 
 
@@ -103,10 +109,30 @@ def load_sales(
     layout = Layout("order_date", grain=config.table_grain)
     staged = stage(cooked, f"{config.output_root}/staged/sales", layout)
     return load_new_feeds(
-        spark, staged, published, config, "sales", layout, table_path
+        spark, staged, published, config, "sales", ["sales"], layout, table_path
     )
 
 
+def load_store(spark: SparkSession, config: LoadConfig, table_root: str) -> int:
+    """The sales and installs loads that the run asks for; the status code of both.
+
+    1: both had new data, 2: sales only, 3: installs only, 0: neither.
+    """
+    new = {"sales": False, "installs": False}
+    if config.load in ("both", "sales"):
+        published = read_published(spark, config.output_root, "sales")
+        raw = scan_sales(spark, config)
+        result = load_sales(spark, config, raw, published, f"{table_root}/sales")
+        new["sales"] = bool(result.feeds)
+    if config.load in ("both", "installs"):
+        published = read_published(spark, config.output_root, "installs")
+        result = load_installs(spark, config, published, f"{table_root}/installs")
+        new["installs"] = bool(result.feeds)
+    if all(new.values()):
+        return 1
+    return 2 if new["sales"] else 3 if new["installs"] else 0
+
+
 def scan_earnings_archives(
     spark: SparkSession, config: LoadConfig, month: str
 ) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +33,7 @@ from reportloom.sinks.tables import (
     replace_by_date,
     write_checked,
 )
+from reportloom.sinks.targets import load_feeds
 from reportloom.workspace import run_together
 
 
@@ -71,10 +73,15 @@ def load_new_feeds(
     published: DataFrame,
     config: LoadConfig,
     job: str,
+    feeds: Sequence[str],
     layout: Layout,
     table_path: str,
 ) -> LoadResult:
-    """Find the feeds with new days, publish control data, replace their dates."""
+    """Find which of ``feeds`` have new days, publish control data, replace the dates.
+
+    The table at ``table_path`` holds all feeds. Each endpoint of the run gets
+    tables of its own, one per feed, below ``tables`` of the output root.
+    """
     control = f"{config.output_root}/control/{job}"
     catalog = file_catalog(staged.withColumnRenamed(layout.date_column, "report_date"))
     # One row per feed, day and account: small, used several times below.
@@ -82,7 +89,7 @@ def load_new_feeds(
     catalog = read_table(spark, f"{control}/catalog", catalog.schema)
 
     if config.date_format == "Range":
-        names = tuple(sorted(config.feeds()))
+        names = tuple(sorted(feeds))
     else:
         presence = next_date_present(
             catalog, published, list(config.tenants), config.optional_tenants
@@ -114,11 +121,15 @@ def load_new_feeds(
         lists = date_list(feed_dates(new_parts))
         publish_date_lists(lists, f"{control}/dates", config.run_date)
 
+    new_rows = staged.filter(F.col("feed").isin(list(names)))
+
     def load() -> None:
-        rows = staged.filter(F.col("feed").isin(list(names)))
-        replace_by_date(rows, table_path, layout, clustered=True)
+        replace_by_date(new_rows, table_path, layout, clustered=True)
+
+    def load_endpoints() -> None:
+        load_feeds(new_rows, f"{config.output_root}/tables", config.targets, names, layout)
 
-    run_together(spark, [load, note_status, note_manifests, note_dates])
+    run_together(spark, [load, load_endpoints, note_status, note_manifests, note_dates])
     # Published last: a run that fails before it is simply run again.
     publish_parts(new_parts, f"{control}/published", config.run_date)
     table = read_table(spark, table_path, layout.place(staged).schema)

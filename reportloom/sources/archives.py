@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reportloom.functions.names import numbered_member
+from reportloom.workspace import path_exists
 
 _BATCH = 4096
 
@@ -19,7 +20,12 @@ _BATCH = 4096
 def scan_objects(
     spark: SparkSession, root: str, file_filter: Column | None = None
 ) -> DataFrame:
-    """(path, content) of the objects below ``root``; the filter prunes by ``_metadata``."""
+    """(path, content) of the objects below ``root``; the filter prunes by ``_metadata``.
+
+    No folder means no objects. Spark reads objects of up to 2 GB.
+    """
+    if not path_exists(spark, root):
+        return spark.createDataFrame([], "path string, content binary")
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     )

@@ -16,6 +16,7 @@ from reportloom.schemas import (
     positional,
     text_schema,
 )
+from reportloom.workspace import path_exists
 
 # A file above this size is split over tasks when its lines allow it.
 SPLIT_ABOVE = 128 * 1024 * 1024
@@ -185,7 +186,14 @@ def scan_feed(
             "source_file",
         )
 
-    return union_objects([scan_tenant(t, r) for t, r in roots.items()])
+    # An account without any report of the kind has no folder for it.
+    found_roots = {
+        t: r for t, r in roots.items() if path_exists(spark, f"{r}/stats/{report}")
+    }
+    if not found_roots:
+        names = ("tenant", "feed", "month", "package", *positional(width), "source_file")
+        return spark.createDataFrame([], text_schema(names))
+    return union_objects([scan_tenant(t, r) for t, r in found_roots.items()])
 
 
 def union_objects(frames: Sequence[DataFrame]) -> DataFrame:

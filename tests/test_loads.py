@@ -107,6 +107,20 @@ def test_raw_zone_keeps_rows_as_they_came(spark, tmp_path, config):
     assert (row.c2, row.c3, row.run_date) == ("Pixel 4, XL 50%", "1,234", config.run_date)
 
 
+def test_crash_run_fills_endpoints(spark, tmp_path, config):
+    chosen = (Target("one"), Target("two", skip=frozenset({"device"}), tables={"overview": "other"}))
+    config = replace(config, targets=chosen)
+    for tenant in config.tenants:
+        put_crashes(tmp_path / "in", tenant, [4])
+    run_crashes(spark, config)
+    made = {f"{p.parent.name}/{p.name}" for p in (tmp_path / "out" / "tables").glob("*/*")}
+    assert made == {
+        "one/app_version", "one/device", "one/os_version", "one/overview",
+        "two/app_version", "two/os_version", "two/other",
+    }
+    assert spark.read.parquet(f"{config.output_root}/tables/two/other").count() == 2
+
+
 def test_range_run_loads_without_asking(spark, tmp_path, config):
     config = replace(config, date_format="Range", start_date="2021-01", end_date="2021-01")
     put_crashes(tmp_path / "in", "ta", [4])
@@ -185,6 +199,24 @@ def test_sales_from_zip_to_table(spark, tmp_path, config):
     assert short.financial_status is None and len(short.sale_key) == 32
 
 
+def test_store_codes(spark, tmp_path, config):
+    config = replace(config, load="both")
+    root = f"{config.output_root}/store"
+    assert loads.load_store(spark, config, root) == 0  # no account has a folder yet
+    for tenant in config.tenants:
+        put_sales(tmp_path / "in", tenant, [("GPA.1-2", 4, "com.x")])
+    assert loads.load_store(spark, config, root) == 2
+    for tenant in config.tenants:
+        put_installs(tmp_path / "in", tenant, "com.x", [4, 5])
+    assert loads.load_store(spark, replace(config, load="installs"), root) == 3
+    assert loads.load_store(spark, config, root) == 0
+    ranged = replace(config, date_format="Range", start_date="2021-01", end_date="2021-01")
+    assert loads.load_store(spark, ranged, root) == 1
+    assert spark.read.parquet(f"{root}/installs").count() == 4
+    status = read_status(spark, f"{config.output_root}/control/sales/status", "sales", config.run_date)
+    assert status.first().status == "['sales']"
+
+
 def put_earnings(root, tenant, number, rows, month="202101"):
     lines = [",".join(EARNINGS_COLUMNS)]
     for day, amount in rows:

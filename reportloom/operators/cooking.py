@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reportloom.functions.clean import (
     blank_to_null,
-    clean_sales_column,
+    clean_metric,
+    clean_text,
     surrogate_key,
-    to_metric,
-    to_text,
 )
 from reportloom.functions.dates import strict_report_date
 from reportloom.schemas import (
@@ -21,18 +20,30 @@ from reportloom.schemas import (
     EARNINGS_COLUMNS,
     SALES_COLUMNS,
     SALES_NUMBERS,
-    FeedColumn,
     FeedSpec,
 )
 
 
-def _value(column: FeedColumn) -> Column:
-    c = F.col(f"c{column.source}")
-    if column.kind == "date":
-        return strict_report_date(c)
-    if column.kind == "metric":
-        return to_metric(c, column.type)
-    return to_text(c).cast(column.type)
+def typed(df: DataFrame, columns: Mapping[str, tuple[str, str]]) -> DataFrame:
+    """Cleaned and typed columns of text ones; ``columns`` gives (kind, type) by name.
+
+    Two steps, so that a cleaned value is computed once although the second step
+    looks at it twice. Other columns of ``df`` stay.
+    """
+    clean = {"metric": clean_metric, "text": clean_text, "date": lambda c: c}
+
+    def value(name: str) -> Column:
+        if name not in columns:
+            return F.col(name)
+        kind, type_name = columns[name]
+        if kind == "date":
+            return strict_report_date(F.col(name))
+        return blank_to_null(F.col(name)).cast(type_name)
+
+    cleaned = df.select(
+        *(clean[columns[c][0]](F.col(c)).alias(c) if c in columns else c for c in df.columns)
+    )
+    return cleaned.select(*(value(c).alias(c) for c in df.columns))
 
 
 def cook_feeds(raw: DataFrame, specs: Sequence[FeedSpec]) -> DataFrame:
@@ -41,41 +52,39 @@ def cook_feeds(raw: DataFrame, specs: Sequence[FeedSpec]) -> DataFrame:
     Feeds may keep a column at different positions; a column that a feed does
     not have is NULL for its rows.
     """
-    readings: dict[str, dict[FeedColumn, list[str]]] = {}
+    columns: dict[str, tuple[str, str]] = {}
+    places: dict[str, dict[int, list[str]]] = {}
     for spec in specs:
         for column in spec.columns:
-            readings.setdefault(column.name, {}).setdefault(column, []).append(spec.name)
-
-    def pick(by_column: dict[FeedColumn, list[str]]) -> Column:
-        if [len(specs)] == [len(feeds) for feeds in by_column.values()]:
-            return _value(next(iter(by_column)))
-        chosen = [
-            F.when(F.col("feed").isin(feeds), _value(column))
-            for column, feeds in by_column.items()
-        ]
-        return F.coalesce(*chosen)
-
-    return raw.select(
-        *(pick(by_column).alias(name) for name, by_column in readings.items()),
-        "tenant",
-        "feed",
+            if columns.setdefault(column.name, (column.kind, column.type)) != (
+                column.kind, column.type,
+            ):
+                raise ValueError(f"feeds disagree on what {column.name!r} holds")
+            places.setdefault(column.name, {}).setdefault(column.source, []).append(spec.name)
+
+    def pick(by_place: dict[int, list[str]]) -> Column:
+        if [len(specs)] == [len(feeds) for feeds in by_place.values()]:
+            return F.col(f"c{next(iter(by_place))}")
+        return F.coalesce(
+            *(F.when(F.col("feed").isin(f), F.col(f"c{i}")) for i, f in by_place.items())
+        )
+
+    named = raw.select(
+        *(pick(by_place).alias(name) for name, by_place in places.items()), "tenant", "feed"
     )
+    return typed(named, columns)
 
 
 def cook_sales(raw: DataFrame) -> DataFrame:
     """Keyed, cleaned and typed sales rows from raw ones (tenant, c0 … c16)."""
-
-    def value(position: int) -> Column:
-        c = F.col(f"c{position}")
-        cleaned = blank_to_null(clean_sales_column(position, c))
-        return cleaned.cast(SALES_NUMBERS.get(position, "string"))
-
-    named = [
-        (strict_report_date(F.col("c1")) if name == "order_date" else value(i)).alias(name)
+    columns = {
+        name: ("metric" if i in SALES_NUMBERS else "text", SALES_NUMBERS.get(i, "string"))
         for i, name in enumerate(SALES_COLUMNS)
-    ]
+    }
+    columns["order_date"] = ("date", "date")
     key = surrogate_key(F.col("c0"), F.col("c3")).alias("sale_key")
-    return raw.select(key, *named, "tenant")
+    named = [F.col(f"c{i}").alias(name) for i, name in enumerate(SALES_COLUMNS)]
+    return typed(raw.select(key, *named, "tenant"), columns)
 
 
 def cook_earnings(raw: DataFrame) -> DataFrame:

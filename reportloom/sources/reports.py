@@ -30,15 +30,6 @@ class Dialect:
     quote: str = '"'
     header: bool = True
 
-    @property
-    def line_break(self) -> str:
-        """A line break as a reader of UTF-8 text sees the bytes of the file."""
-        return "\n\0" if self.encoding == "UTF-16LE" else "\n"
-
-    @property
-    def bytes_per_unit(self) -> int:
-        return 2 if self.encoding == "UTF-16LE" else 1
-
 
 UTF16_REPORT = Dialect(encoding="UTF-16LE")
 PLAIN_REPORT = Dialect()
@@ -83,7 +74,7 @@ def read_report_csv(
             **options,
         ).filter(chosen & condition)
         return frame.select(
-            *(F.translate(c, "\ufffd", "").alias(c) for c in columns),
+            *(F.replace(F.col(c), F.lit("\ufffd"), F.lit("")).alias(c) for c in columns),
             _file_path().alias("source_file"),
         )
 
@@ -104,37 +95,39 @@ def read_report_csv(
     broken = files_with_broken_lines(spark, paths, dialect, chosen & is_large)
     by_line = is_large & ~_file_path().isin(broken)
     split = scan(by_line, lineSep="\n").select(
-        *(F.regexp_replace(c, "\r$", "").alias(c) for c in columns), "source_file"
+        *(_without_line_end(F.col(c)).alias(c) for c in columns), "source_file"
     )
     return scan(~by_line, multiLine=True).unionByName(split)
 
 
+def _without_line_end(c: Column) -> Column:
+    """What is left of a line's last field when lines end in CR LF."""
+    return F.when(F.endswith(c, F.lit("\r")), F.left(c, F.length(c) - 1)).otherwise(c)
+
+
 def files_with_broken_lines(
     spark: SparkSession, paths: str | Sequence[str], dialect: Dialect, condition: Column
 ) -> list[str]:
-    """Files in which some byte line is not a record of its own.
+    """Files in which some line is not a record of its own.
 
     The first line break inside quotes leaves an odd number of quotes before it
-    on its line, and the first break found between two characters leaves a part
-    of a character.
+    on its line. A break that was found between the halves of two characters
+    leaves half a character, which cannot be decoded.
     """
+    # One field per line: no quotes, and a separator that is no character.
     lines = (
-        spark.read.option("lineSep", dialect.line_break)
-        .option("recursiveFileLookup", True)
-        .text(paths)
+        spark.read.csv(
+            paths, schema="line string, more string", sep="\uffff", quote="",
+            encoding=dialect.encoding, lineSep="\n", recursiveFileLookup=True,
+        )
         .filter(condition)
-        .select("value", _file_path().alias("file"))
+        .select("line", "more", _file_path().alias("file"))
+    )
+    others = F.replace(F.col("line"), F.lit(dialect.quote), F.lit(""))
+    quotes = F.octet_length("line") - F.octet_length(others)
+    broken = (
+        (quotes % 2 == 1) | F.contains("line", F.lit("\ufffd")) | F.col("more").isNotNull()
     )
-    size = F.octet_length("value")
-    if dialect.bytes_per_unit == 1:
-        others = F.replace(F.col("value"), F.lit(dialect.quote), F.lit(""))
-        quotes = size - F.octet_length(others)
-    else:
-        # Byte by byte as Latin-1, taken in pairs: the byte of a quote also occurs
-        # in other characters.
-        latin = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
-        quotes = F.length(F.regexp_replace(latin, f"(?s)({dialect.quote}\\x00)|..", "$1")) / 2
-    broken = (size % dialect.bytes_per_unit != 0) | (quotes % 2 != 0)
     return [r.file for r in lines.filter(broken).select("file").distinct().collect()]
 
 

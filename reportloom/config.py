@@ -6,6 +6,14 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from datetime import date
 
+from reportloom.schemas import (
+    CRASH_FEEDS,
+    DEVICE_COLUMNS,
+    INSTALLS_FEED,
+    SALES_COLUMNS,
+    FeedSpec,
+)
+
 LOADS = ("crashes", "both", "sales", "installs")
 DATE_FORMATS = ("Past", "Range")
 
@@ -42,7 +50,10 @@ class Target:
 
 @dataclass(frozen=True)
 class LoadConfig:
-    """Settings of one run. ``run_date`` is a parameter so that retries agree."""
+    """Settings of one run. ``run_date`` is a parameter so that retries agree.
+
+    The column lists name the columns of the tables, in the order of the reports.
+    """
 
     tenants: Mapping[str, str]
     run_date: date
@@ -59,6 +70,10 @@ class LoadConfig:
     targets: tuple[Target, ...] = ()
     table_grain: str = "month"
     keep_raw: bool = False
+    crash_feeds: tuple[FeedSpec, ...] = CRASH_FEEDS
+    installs_feed: FeedSpec = INSTALLS_FEED
+    sales_columns: tuple[str, ...] = SALES_COLUMNS
+    device_columns: tuple[str, ...] = DEVICE_COLUMNS
 
     def __post_init__(self) -> None:
         if self.load not in LOADS:
@@ -96,9 +111,6 @@ class LoadConfig:
     def feeds(self) -> list[str]:
         """Feeds that this load asks for."""
         if self.load == "crashes":
-            return ["app_version", "device", "os_version", "overview"]
-        return {
-            "both": ["sales", "installs_country"],
-            "sales": ["sales"],
-            "installs": ["installs_country"],
-        }[self.load]
+            return [feed.name for feed in self.crash_feeds]
+        store = {"sales": "sales", "installs": self.installs_feed.name}
+        return [name for load, name in store.items() if self.load in ("both", load)]

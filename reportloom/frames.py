@@ -248,17 +248,19 @@ def csv_line(columns) -> Column:
     return F.concat_ws(",", *quoted)
 
 
-@F.pandas_udf(BinaryType())
-def zip_text(member: pd.Series, content: pd.Series) -> pd.Series:
+def zip_text(member: Column, content: Column) -> Column:
     """A zip per row with one member."""
 
-    def pack(name: str, body: str) -> bytes:
-        held = io.BytesIO()
-        with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as archive:
-            archive.writestr(name, body.encode("utf-8"))
-        return held.getvalue()
+    def pack(names: pd.Series, bodies: pd.Series) -> pd.Series:
+        def one(name: str, body: str) -> bytes:
+            held = io.BytesIO()
+            with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as archive:
+                archive.writestr(name, body.encode("utf-8"))
+            return held.getvalue()
 
-    return pd.Series([pack(n, b) for n, b in zip(member, content)], dtype=object)
+        return pd.Series([one(n, b) for n, b in zip(names, bodies)], dtype=object)
+
+    return F.pandas_udf(pack, BinaryType())(member, content)
 
 
 def earnings_archives(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,6 +19,7 @@ from reportloom.schemas import (
     EARNINGS_AMOUNTS,
     EARNINGS_COLUMNS,
     SALES_COLUMNS,
+    SALES_DATE,
     SALES_NUMBERS,
     FeedSpec,
 )
@@ -75,15 +76,18 @@ def cook_feeds(raw: DataFrame, specs: Sequence[FeedSpec]) -> DataFrame:
     return typed(named, columns)
 
 
-def cook_sales(raw: DataFrame) -> DataFrame:
-    """Keyed, cleaned and typed sales rows from raw ones (tenant, c0 … c16)."""
+def cook_sales(raw: DataFrame, names: Sequence[str] = SALES_COLUMNS) -> DataFrame:
+    """Keyed, cleaned and typed sales rows from raw ones (tenant, c0 … c16).
+
+    ``names`` are the table's names for the report's columns, in their order.
+    """
     columns = {
         name: ("metric" if i in SALES_NUMBERS else "text", SALES_NUMBERS.get(i, "string"))
-        for i, name in enumerate(SALES_COLUMNS)
+        for i, name in enumerate(names)
     }
-    columns["order_date"] = ("date", "date")
+    columns[names[SALES_DATE]] = ("date", "date")
     key = surrogate_key(F.col("c0"), F.col("c3")).alias("sale_key")
-    named = [F.col(f"c{i}").alias(name) for i, name in enumerate(SALES_COLUMNS)]
+    named = [F.col(f"c{i}").alias(name) for i, name in enumerate(names)]
     return typed(raw.select(key, *named, "tenant"), columns)
 
 

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reportloom.config import LoadConfig, Target
+from reportloom.config import LoadConfig
 from reportloom.functions.dates import text_month_of
 from reportloom.functions.names import base_name
 from reportloom.operators.cooking import (
@@ -25,10 +23,8 @@ from reportloom.plans.staging import (
     stage,
 )
 from reportloom.schemas import (
-    CRASH_FEED_NAMES,
-    CRASH_FEEDS,
     EARNINGS_COLUMNS,
-    INSTALLS_FEED,
+    SALES_DATE,
     SALES_WIDTH,
     positional,
 )
@@ -50,17 +46,16 @@ def load_crashes(
     spark: SparkSession, config: LoadConfig, published: DataFrame, table_path: str
 ) -> LoadResult:
     """Crash reports of the configured months into one table per feed."""
+    specs = config.crash_feeds
+    feeds = [f.name for f in specs]
     raw = scan_feed(
-        spark, config.tenants, "crashes", CRASH_FEED_NAMES, config.months(),
-        max(f.width for f in CRASH_FEEDS),
-    )
-    raw = _kept(raw, config, "crashes")
-    layout = Layout("crash_date", grain=config.table_grain)
-    staged = stage(
-        cook_feeds(raw, CRASH_FEEDS), f"{config.output_root}/staged/crashes", layout
+        spark, config.tenants, "crashes", feeds, config.months(), max(f.width for f in specs)
     )
+    cooked = cook_feeds(_kept(raw, config, "crashes"), specs)
+    layout = Layout(specs[0].date_column, grain=config.table_grain)
+    staged = stage(cooked, f"{config.output_root}/staged/crashes", layout)
     return load_new_feeds(
-        spark, staged, published, config, "crashes", CRASH_FEED_NAMES, layout, table_path
+        spark, staged, published, config, "crashes", feeds, layout, table_path
     )
 
 
@@ -68,16 +63,17 @@ def load_installs(
     spark: SparkSession, config: LoadConfig, published: DataFrame, table_path: str
 ) -> LoadResult:
     """Installs by country; restricted accounts keep only rows of their product."""
+    spec = config.installs_feed
     raw = scan_feed(
-        spark, config.tenants, "installs", ["country"], config.months(), INSTALLS_FEED.width
+        spark, config.tenants, "installs", ["country"], config.months(), spec.width
     )
     raw = _kept(raw, config, "installs")
-    kept = keep_product_mention(raw, config.restricted, positional(INSTALLS_FEED.width))
-    cooked = cook_feeds(kept.withColumn("feed", F.lit(INSTALLS_FEED.name)), [INSTALLS_FEED])
-    layout = Layout("install_date", grain=config.table_grain)
+    kept = keep_product_mention(raw, config.restricted, positional(spec.width))
+    cooked = cook_feeds(kept.withColumn("feed", F.lit(spec.name)), [spec])
+    layout = Layout(spec.date_column, grain=config.table_grain)
     staged = stage(cooked, f"{config.output_root}/staged/installs", layout)
     return load_new_feeds(
-        spark, staged, published, config, "installs", [INSTALLS_FEED.name], layout, table_path
+        spark, staged, published, config, "installs", [spec.name], layout, table_path
     )
 
 
@@ -105,8 +101,8 @@ def load_sales(
     """Sales rows; restricted accounts keep only rows of their product."""
     raw = _kept(raw, config, "sales")
     kept = keep_product(raw, config.restricted, "c6")
-    cooked = cook_sales(kept).withColumn("feed", F.lit("sales"))
-    layout = Layout("order_date", grain=config.table_grain)
+    cooked = cook_sales(kept, config.sales_columns).withColumn("feed", F.lit("sales"))
+    layout = Layout(config.sales_columns[SALES_DATE], grain=config.table_grain)
     staged = stage(cooked, f"{config.output_root}/staged/sales", layout)
     return load_new_feeds(
         spark, staged, published, config, "sales", ["sales"], layout, table_path
@@ -177,8 +173,10 @@ def load_earnings(config: LoadConfig, archives: DataFrame, table_path: str) -> b
 
 
 def load_devices(
-    spark: SparkSession, csv_path: str, root: str, targets: Sequence[Target]
+    spark: SparkSession, csv_path: str, config: LoadConfig
 ) -> list[tuple[str, str, str]]:
     """Replace the device dimension at every endpoint."""
-    devices = cook_devices(read_supported_devices(spark, csv_path))
-    return load_dimension(devices, root, targets, "supported_devices")
+    devices = cook_devices(read_supported_devices(spark, csv_path, config.device_columns))
+    return load_dimension(
+        devices, f"{config.output_root}/tables", config.targets, "supported_devices"
+    )

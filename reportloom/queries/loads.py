@@ -343,10 +343,11 @@ def earnings_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 def devices_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_folder(spark, "devices-load")
     frames.write_devices(frames.devices_raw(spark, sf_dir), f"{root}/csv")
-    done = plans.load_devices(spark, f"{root}/csv", root, TARGETS)
+    config = LoadConfig({}, RUN_DATE, root, targets=TARGETS)
+    done = plans.load_devices(spark, f"{root}/csv", config)
     return union_objects(
         [
             rows.select(F.lit(e).alias("endpoint"), F.lit(t).alias("table_name"), "*")
-            for e, _, t, rows in targets.read_loads(spark, root, done)
+            for e, _, t, rows in targets.read_loads(spark, f"{root}/tables", done)
         ]
     )

@@ -38,6 +38,7 @@ DEVICE_COLUMNS = ("retail_branding", "marketing_name", "device", "model")
 # A sales row is cut to this many columns, and the columns at
 # these positions are numbers.
 SALES_WIDTH = 17
+SALES_DATE = 1
 SALES_NUMBERS = {2: "bigint", 10: "decimal(18,2)", 11: "decimal(18,2)", 12: "decimal(18,2)"}
 SALES_COLUMNS = (
     "order_number",

@@ -142,7 +142,12 @@ def _days_to_keep(placed: DataFrame, old: DataFrame, layout: Layout) -> DataFram
         .join(days.select(*layout.keys), layout.keys, "left_anti")
     )
     # Looks at the key columns only.
-    return None if kept.select(*layout.keys).isEmpty() else kept.select(*placed.columns)
+    if kept.select(*layout.keys).isEmpty():
+        return None
+    # Copied first: the commit removes the files that hold them.
+    copy = new_folder(spark, "kept-days")
+    kept.select(*placed.columns).write.parquet(copy)
+    return read_table(spark, copy, placed.schema)
 
 
 def replace_rows_by_date(

@@ -217,6 +217,18 @@ def test_store_codes(spark, tmp_path, config):
     assert status.first().status == "['sales']"
 
 
+def test_tables_take_their_column_names_from_the_run(spark, tmp_path, config):
+    names = tuple(f"n{i}" for i in range(17))
+    config = replace(config, load="sales", sales_columns=names)
+    for tenant in config.tenants:
+        put_sales(tmp_path / "in", tenant, [("GPA.1-2", 4, "com.x")])
+    published = read_published(spark, config.output_root, "sales")
+    raw = loads.scan_sales(spark, config)
+    table = loads.load_sales(spark, config, raw, published, f"{config.output_root}/t").table
+    assert table.columns[:4] == ["sale_key", "n0", "n1", "n2"]
+    assert table.filter("n0 = 'GPA.1-2'").first().n1 == dt.date(2021, 1, 4)
+
+
 def put_earnings(root, tenant, number, rows, month="202101"):
     lines = [",".join(EARNINGS_COLUMNS)]
     for day, amount in rows:
@@ -276,11 +288,12 @@ def test_a_file_without_rows_still_counts_for_the_gate(spark, tmp_path, config):
 
 def test_devices(spark, tmp_path):
     put(tmp_path / "d.csv", 'a,b,c,d\nX\t,"Y, Z", ,w\n', "utf-8")
-    chosen = [Target("one"), Target("two", tables={"supported_devices": "other"})]
-    done = loads.load_devices(spark, str(tmp_path / "d.csv"), str(tmp_path / "out"), chosen)
+    chosen = (Target("one"), Target("two", tables={"supported_devices": "other"}))
+    config = LoadConfig({}, dt.date(2021, 1, 1), str(tmp_path / "out"), targets=chosen)
+    done = loads.load_devices(spark, str(tmp_path / "d.csv"), config)
     assert done == [("one", "supported_devices", "supported_devices"), ("two", "supported_devices", "other")]
     for name in ("one/supported_devices", "two/other"):
-        assert tuple(spark.read.parquet(str(tmp_path / "out" / name)).first()) == ("X", "Y, Z", None, "w")
+        assert tuple(spark.read.parquet(str(tmp_path / "out" / "tables" / name)).first()) == ("X", "Y, Z", None, "w")
 
 
 def test_union_takes_columns_that_some_frames_lack(spark):

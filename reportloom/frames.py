@@ -9,6 +9,7 @@ from __future__ import annotations
 import io
 import zipfile
 from datetime import date
+from functools import partial
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +18,7 @@ from pyspark.sql.types import BinaryType
 
 from reportloom.functions.dates import iso_date, month_label
 from reportloom.schemas import CRASH_FEED_NAMES, DEVICE_COLUMNS, EARNINGS_COLUMNS, positional
+from reportloom.workspace import run_together
 
 TENANTS = ("tenant_a", "tenant_b")
 RESTRICTED = {"tenant_b": "com.example.keep"}
@@ -218,7 +220,8 @@ def write_objects(rows: DataFrame, root: str, report: str, width: int) -> dict[s
 
     An object is a folder of that name, so that a large one has several files.
     """
-    for tenant in TENANTS:
+
+    def write(tenant: str) -> None:
         own = rows.filter(F.col("tenant") == tenant).select(*positional(width), "object")
         (
             own.hint("rebalance", F.col("object"))
@@ -231,6 +234,8 @@ def write_objects(rows: DataFrame, root: str, report: str, width: int) -> dict[s
             .option("ignoreTrailingWhiteSpace", False)
             .csv(f"{root}/{tenant}/stats/{report}")
         )
+
+    run_together(rows.sparkSession, [partial(write, t) for t in TENANTS])
     return {t: f"{root}/{t}" for t in TENANTS}
 
 

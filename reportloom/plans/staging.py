@@ -12,7 +12,6 @@ from reportloom.config import LoadConfig
 from reportloom.functions.dates import iso_date
 from reportloom.functions.names import output_path
 from reportloom.operators.freshness import (
-    feed_dates,
     feeds_with_new_data,
     file_catalog,
     next_date_present,
@@ -118,8 +117,7 @@ def load_new_feeds(
         publish_manifests(manifests, new_feeds, f"{control}/manifests", config.run_date)
 
     def note_dates() -> None:
-        lists = date_list(feed_dates(new_parts))
-        publish_date_lists(lists, f"{control}/dates", config.run_date)
+        publish_date_lists(date_list(new_parts), f"{control}/dates", config.run_date)
 
     new_rows = staged.filter(F.col("feed").isin(list(names)))
 

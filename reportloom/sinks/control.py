@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 def date_list(dates: DataFrame) -> DataFrame:
     """Per feed the days to replace: as array and as the text of an SQL IN list.
 
-    Groups are one row per day, so a list is as long as the calendar, not as the
-    data.
+    A list is as long as the calendar, not as the data: equal days are merged
+    before they are shuffled.
     """
     days = F.array_sort(F.collect_set(F.date_format("report_date", "yyyy-MM-dd")))
     quoted = F.concat(F.lit("('"), F.array_join("days", "','"), F.lit("')"))

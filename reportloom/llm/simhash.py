@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reportloom.llm.common import map_batches, settle, text_key
@@ -65,66 +64,71 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHI
     return rows.transform(map_batches, run, "doc long, a long, b long, bits long")
 
 
-def _ball(value: Column, width: int, radius: int) -> Column:
-    """Every number that differs from ``value`` in at most ``radius`` of ``width`` bits."""
-    masks = [
-        sum(1 << i for i in bits)
-        for r in range(radius + 1)
-        for bits in itertools.combinations(range(width), r)
-    ]
-    signed = [m - (1 << 64) if m >= 1 << 63 else m for m in masks]
-    return F.transform(
-        F.array(*[F.lit(m).cast("long") for m in signed]), lambda m: value.bitwiseXOR(m)
-    )
+def _halves(prints: DataFrame) -> DataFrame:
+    """Table of segment keys: for both halves of 32 bits the half and all that differ from
+    it in one bit; the second half's keys have bit 32 set."""
+    flips = prints.select("bits", F.explode(F.sequence(F.lit(0), F.lit(65))).alias("i"))
+    half = f"IF(i < 33, {_LOW.format('bits')}, {_HIGH.format('bits')} | shiftleft(1L, 32))"
+    return flips.select("bits", F.expr(f"{half} ^ IF(i % 33 = 32, 0L, shiftleft(1L, i % 33))").alias("key"))
+
 
+_LOW = "({} & 4294967295L)"
+_HIGH = "shiftrightunsigned({}, 32)"
 
-def _halves(prints: DataFrame, reach: int) -> DataFrame:
-    """Table of segment keys: for each half of 32 bits the small ball around it."""
-    low = F.col("bits").bitwiseAND(F.lit(0xFFFFFFFF))
-    high = F.shiftrightunsigned("bits", 32)
-    second = F.transform(_ball(high, 32, reach), lambda k: k.bitwiseOR(F.lit(1 << 32)))
-    return prints.select("bits", F.explode(F.concat(_ball(low, 32, reach), second)).alias("key"))
+
+def _linked_pairs(most_bits: int) -> str:
+    """SQL for the pairs of the list ``held`` under one ``key`` that link: complete
+    distances verified, and each pair only under the least key where its halves meet."""
+    of_key = f"IF(key < shiftleft(1L, 32), {_LOW}, {_HIGH})"
+    differ, half = of_key.format("(u ^ v)", "(u ^ v)"), of_key.format("u", "u")
+    # Halves that differ in bits a < b meet at u ^ a and u ^ b; in one bit, at u and v.
+    least = f"least({half} ^ ({differ} & -{differ}), {half} ^ {differ} ^ ({differ} & -{differ}))"
+    linked = f"u < v AND bit_count(u ^ v) <= {most_bits} AND (key & 4294967295L) = {least}"
+    return f"flatten(transform(held, u -> transform(filter(held, v -> {linked}), v -> named_struct('u', u, 'v', v))))"
 
 
 def links(prints: DataFrame, most_bits: int = MOST_BITS, pairwise: int = PAIRWISE) -> DataFrame:
     """Pairs (u, v) of distinct fingerprints (column ``bits``) that connect all those
-    at ``most_bits`` or fewer differing bits: two that link are linked here, directly
-    or through others that link.
+    at ``most_bits`` (2 or 4) or fewer differing bits: two that link are linked here,
+    directly or through others that link.
 
-    Of two halves of 32 bits one differs in at most ``most_bits // 2`` places. Both
-    fingerprints enumerate a ball of half that radius around each half, so they
-    meet in a key of the table; complete distances are then verified.
+    Of two halves of 32 bits one differs in at most two places. Both fingerprints
+    enumerate the small ball of one bit around each half, so they meet in a key of
+    the table; complete distances are then verified.
 
     A key held by more than ``pairwise`` fingerprints would give too many pairs. Its
-    members enumerate the ball of ``most_bits // 2`` around the whole fingerprint
-    instead: any two that share a point of these balls differ by ``most_bits`` at
-    most, and any two that do differ so share one, thus tying each point's members
-    to the least of them loses and adds nothing, at a cost linear in the members.
+    members enumerate the ball of half of ``most_bits`` around the whole fingerprint
+    instead: any two that share a point of these balls link, and any two that link
+    share one. Tying each point's members to the least of them loses and adds
+    nothing, at a cost linear in the members; a point has no more members than its
+    ball has points.
     """
     if most_bits not in (2, 4):
         raise ValueError("most_bits must be 2 or 4")
-    reach = -(-(most_bits // 2) // 2)
-    keys = _halves(prints, reach)
+    keys = _halves(prints)
     held = settle(
         keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "segment-keys"
     )
-    matched = keys.join(held, "key")
+    # The same plan at every size: fingerprints by their key are as many rows anyway.
+    matched = keys.join(held.hint("merge"), "key")
     few = (
         matched.where(F.col("n") <= pairwise)
-        .groupBy("key").agg(F.collect_list("bits").alias("all"))
-        .select(F.explode("all").alias("u"), "all")
-        .select("u", F.explode("all").alias("v"))
-        .where((F.col("u") < F.col("v")) & (F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= most_bits))
-        .distinct()
-    )
-    crowd = matched.where(F.col("n") > pairwise).select("bits").distinct()
-    points = crowd.select("bits", F.explode(_ball(F.col("bits"), 64, most_bits // 2)).alias("point"))
-    least = points.groupBy("point").agg(F.min("bits").alias("v"), F.count(F.lit(1)).alias("n"))
-    stars = (
-        points.join(least.where("n > 1").drop("n"), "point")
-        .where("bits != v").select(F.col("bits").alias("u"), "v").distinct()
+        .groupBy("key").agg(F.collect_list("bits").alias("held"))
+        .select(F.explode(F.expr(_linked_pairs(most_bits))).alias("pair"))
+        .select("pair.u", "pair.v").distinct()
     )
-    return few.unionByName(stars).distinct()
+    crowd = settle(matched.where(F.col("n") > pairwise).select("bits").distinct(), "crowd")
+    # Dealt out evenly, for every member becomes as many rows.
+    dealt = crowd.repartition(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    points = dealt.select("bits", F.explode(F.sequence(F.lit(0), F.lit(64))).alias("i"))
+    if most_bits == 4:
+        points = points.select("bits", "i", F.explode(F.expr("sequence(least(i + 1, 64), 64)")).alias("j"))
+    else:
+        points = points.withColumn("j", F.lit(64))
+    flip = "IF({0} = 64, 0L, shiftleft(1L, {0}))"
+    points = points.select("bits", F.expr(f"bits ^ {flip.format('i')} ^ {flip.format('j')}").alias("point"))
+    stars = points.withColumn("v", F.min("bits").over(Window.partitionBy("point")))
+    return few.unionByName(stars.where("bits != v").select(F.col("bits").alias("u"), "v").distinct()).distinct()
 
 
 def near_duplicates(

@@ -142,6 +142,7 @@ def drop_shared_lines(
                 ["doc", "n_lines", "n_dropped", "kept"],
             )
 
-    done = rows.join(gone, "doc", "left").select("doc", "text", "gone")
+    # The same plan at every size: the texts are moved once.
+    done = rows.join(gone.hint("merge"), "doc", "left").select("doc", "text", "gone")
     done = done.transform(map_batches, run, "doc long, n_lines long, n_dropped long, kept string")
     return done.withColumn("doc", F.when(F.col("doc") != least_id, F.col("doc")))

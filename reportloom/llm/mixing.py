@@ -113,5 +113,5 @@ def mixed_documents(
     name = {c: f"__c{i}" for i, c in enumerate(docs.columns)}
     taken = mix(rows, name[id_col], name[text_col], name[source_col], "__row", weights, most_epochs, seed)
     taken = taken.where("copies > 0").select(F.col("row").alias("__row"), "copies")
-    repeated = rows.join(taken, "__row").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    repeated = rows.join(taken.hint("merge"), "__row").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     return repeated.select(*[F.col(f"__c{i}").alias(c) for i, c in enumerate(docs.columns)])

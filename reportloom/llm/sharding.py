@@ -150,7 +150,7 @@ def shard_documents(
             shards, rounds, levellings,
         )
         own = ("size", "text_crc32", "shard", "slot")
-        return numbered.join(found.withColumnRenamed("doc", "__row"), "__row").select(
+        return numbered.join(found.withColumnRenamed("doc", "__row").hint("merge"), "__row").select(
             *[F.col(f"__c{i}").alias(c) for i, c in enumerate(docs.columns) if c not in own], *own
         )
     rows = sized(docs, id_col, text_col)

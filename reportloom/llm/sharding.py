@@ -12,6 +12,8 @@ ROUNDS = 4
 LEVELLINGS = 4
 # Bytes that a row has besides its text.
 ROW_BYTES = 8
+# Rows up to which a group moves as one.
+TOGETHER = 1000
 # Moves may fill a shard to this share of the mean before the sizes are levelled.
 FULL = 1.0
 
@@ -43,15 +45,30 @@ def _numbers(values: dict[int, float], column: str):
     return F.element_at(F.array(*[F.lit(float(values[s])) for s in sorted(values)]), F.col(column) + 1)
 
 
+def _chances(room: dict[int, float], flows: dict[tuple[int, int], int]) -> dict[int, float]:
+    """Share of those who wish to enter each shard that it can take: its free room and
+    what leaves it, which in turn depends on the shares of the other shards."""
+    chance = dict.fromkeys(room, 1.0)
+    wanted = dict.fromkeys(room, 0)
+    for (_, aim), size in flows.items():
+        wanted[aim] += size
+    for _ in range(100):
+        leaving = dict.fromkeys(room, 0.0)
+        for (shard, aim), size in flows.items():
+            leaving[shard] += size * chance[aim]
+        chance = {s: min(1.0, (room[s] + leaving[s]) / wanted[s]) if wanted[s] else 0.0 for s in room}
+    return chance
+
+
 def propagate(rows: DataFrame, links: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
-    """``rows`` (``row``, ``size``, ``u``, ``shard``) with documents moved towards the shards of
-    those they are linked to.
+    """``rows`` (``row``, ``size``, ``u``, ``v``, ``shard``) with documents moved towards the shards
+    of those they are linked to.
 
     ``links`` has ``row`` and ``hub``: rows of one hub are neighbours, so a group of any
     size costs one link per row. In a round each hub counts its rows per shard, and
-    each row wishes to be where most of its neighbours are, among shards that are
-    not full. Of those who wish to enter a shard so many go, chosen by a fixed
-    number per row and round, as its free room takes in the mean.
+    each row wishes to be where most of its neighbours are, full shards counting
+    less. Of those who wish to enter a shard so many go, by a fixed number per group
+    (``v``) and round, as its free room and what leaves it take in the mean.
     """
     mean = None
     for turn in range(rounds):
@@ -60,35 +77,39 @@ def propagate(rows: DataFrame, links: DataFrame, shards: int = SHARDS, rounds: i
         room = {s: max(0.0, FULL * mean - load) for s, load in loads.items()}
         linked = rows.join(links, "row")
         near = linked.groupBy("hub", "shard").agg(F.count(F.lit(1)).alias("n"))
-        # A neighbour counts less in a shard that is nearly full.
         worth = F.col("n") * (F.lit(0.1) + _numbers({s: min(1.0, r / mean) for s, r in room.items()}, "shard"))
         best = near.groupBy("hub").agg(
-            F.max(F.struct(worth.alias("worth"), (-F.col("shard")).alias("less"))).alias("best"), F.sum("n").alias("all"),
-        ).where("all > 1").select("hub", (-F.col("best.less")).alias("aim"), F.col("best.worth").alias("worth"))
+            F.max(F.struct(worth.alias("worth"), F.xxhash64("hub", "shard").alias("tie"), "shard")).alias("best"),
+            F.sum("n").alias("all"),
+        ).where("all > 1").select("hub", F.col("best.shard").alias("aim"), F.col("best.worth").alias("worth"))
         wishes = linked.join(best, "hub").groupBy("row").agg(F.max(F.struct("worth", "aim")).alias("w"))
         wishes = settle(
-            rows.join(wishes.select("row", "w.aim"), "row").where("aim != shard").select("row", "size", "u", "aim"),
+            rows.join(wishes.select("row", "w.aim"), "row").where("aim != shard").select("row", "size", "v", "shard", "aim"),
             "shard-wishes",
         )
-        wanted = {s: 0 for s in range(shards)}
-        for r in wishes.groupBy("aim").agg(F.sum("size").alias("n")).collect():
-            wanted[r["aim"]] = r["n"]
-        chance = {s: min(1.0, room[s] / wanted[s]) if wanted[s] else 0.0 for s in wanted}
+        # At most one number per pair of shards goes to the driver.
+        flows = wishes.groupBy("shard", "aim").agg(F.sum("size").alias("n")).collect()
+        chance = _chances(room, {(r["shard"], r["aim"]): r["n"] for r in flows})
         if not any(chance.values()):
             break
-        draw = F.pmod(F.col("u") * (1 << 20) + turn * 0.6180339887, F.lit(1.0))
-        moves = wishes.where(draw < _numbers(chance, "aim")).select("row", "aim")
+        moves = wishes.where(_shuffled("v", turn) < _numbers(chance, "aim")).select("row", "aim")
         rows = settle(
             rows.join(moves, "row", "left").withColumn("shard", F.coalesce("aim", "shard")).drop("aim"), "shard-round"
         )
     return rows
 
 
+def _shuffled(column: str, turn: int):
+    """Another number in (0, 1) for each one in ``column``."""
+    return F.pmod(F.col(column) * (1 << 20) + turn * 0.6180339887, F.lit(1.0))
+
+
 def level(rows: DataFrame, shards: int = SHARDS, levellings: int = LEVELLINGS) -> DataFrame:
-    """``rows`` (``row``, ``size``, ``u``, ``loose``, ``shard``) with sizes made even.
+    """``rows`` (``row``, ``size``, ``v``, ``loose``, ``shard``) with sizes made even.
 
     Shards above the mean give up rows that are no larger than their surplus, those
-    without links first; the shards below are filled with them in turn. What is left
+    without links first, those of a group together; the shards below are filled with
+    them in turn. What is left
     uneven is due to the sizes of single rows and shrinks from one pass to the next.
     """
     for turn in range(levellings):
@@ -99,7 +120,7 @@ def level(rows: DataFrame, shards: int = SHARDS, levellings: int = LEVELLINGS) -
             break
         # Unlinked rows come first; small rows in later passes, when little is left.
         eligible = rows.where(F.col("size") <= _numbers(over, "shard")).withColumn(
-            "order", (F.pmod(F.col("u") * (1 << 16) + turn * 0.6180339887, F.lit(1.0)) + F.col("loose").cast("int") * -1 + 1) / 2
+            "order", (_shuffled("v", turn) + F.when(F.col("loose"), 0).otherwise(1)) / 2
         )
         given = running_sum(eligible, ["shard"], ["order", "row"], "order", "size", "before")
         given = settle(
@@ -154,13 +175,16 @@ def shard_documents(
             *[F.col(f"__c{i}").alias(c) for i, c in enumerate(docs.columns) if c not in own], *own
         )
     rows = sized(docs, id_col, text_col)
-    groups = rows.groupBy("hub").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hub")
-    links = settle(rows.join(groups, "hub").select("row", "hub"), "shard-links")
-    start = rows.select("row", "size", "u", F.floor(F.col("u") * shards).cast("int").alias("shard"))
-    placed = propagate(start, links, shards, rounds)
-    loose = links.select("row", F.lit(False).alias("loose"))
-    placed = settle(placed.join(loose, "row", "left").withColumn("loose", F.coalesce("loose", F.lit(True))), "shard-placed")
+    groups = rows.groupBy("hub").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Small groups move as one; of large ones, which may need several shards, each row.
+    together = F.when(F.col("n") <= TOGETHER, even_number(F.col("hub.a"), F.col("hub.b")))
+    links = settle(rows.join(groups, "hub").select("row", "hub", together.alias("v")), "shard-links")
+    start = rows.join(links.select("row", "v", F.lit(False).alias("loose")), "row", "left").select(
+        "row", "size", "u", F.coalesce("v", "u").alias("v"), F.coalesce("loose", F.lit(True)).alias("loose"),
+        F.floor(F.col("u") * shards).cast("int").alias("shard"),
+    )
+    placed = propagate(settle(start, "shard-start"), links.select("row", "hub"), shards, rounds)
     even = level(placed, shards, levellings)
-    ones = even.select("row", "u", "shard", F.lit(1).cast("long").alias("one"))
-    slots = running_sum(ones, ["shard"], ["u", "row"], "u", "one", "slot").select("row", "shard", "slot")
+    ones = even.select("row", _shuffled("u", 0).alias("x"), "shard", F.lit(1).cast("long").alias("one"))
+    slots = running_sum(ones, ["shard"], ["x", "row"], "x", "one", "slot").select("row", "shard", "slot")
     return rows.join(slots, "row").select("doc", "size", "text_crc32", "shard", "slot")

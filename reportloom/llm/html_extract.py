@@ -44,7 +44,8 @@ FURNITURE_WORDS = frozenset(
     "sponsored subscribe toolbar widget".split()
 )
 # Parts that stay furniture whatever they hold.
-FIRM_WORDS = frozenset("comment comments disqus related replies reply sidebar promo promoted".split())
+FIRM_WORDS = frozenset("comment comments disqus related replies reply".split())
+FIRM_NAMES = frozenset("sidebar promo promoted ad ads widget".split())
 FURNITURE_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar alert dialog".split())
 
 _TOKEN = re.compile(
@@ -83,7 +84,7 @@ def _described(tag: str, attributes: str, in_content: bool) -> Node:
             node.dropped = node.dropped or value in FURNITURE_ROLES
         elif name in ("class", "id") and tag not in ("html", "body", "main"):
             words = set(_NAME.findall(value))
-            firm = bool(words & FIRM_WORDS)
+            firm = bool(words & FIRM_WORDS or FIRM_NAMES & set(value.split()))
             wide = words & FURNITURE_WORDS - ({"header"} if in_content else set())
             node.dropped = node.dropped or firm or bool(wide and tag != "article")
             node.firm = node.firm or firm

@@ -11,6 +11,7 @@ from reportloom.schemas import (
     DEVICE_COLUMNS,
     INSTALLS_FEED,
     SALES_COLUMNS,
+    FeedColumn,
     FeedSpec,
 )
 
@@ -36,6 +37,13 @@ def _month_start(text: str) -> date:
     return date(int(year), int(month), 1)
 
 
+def _feed(values: FeedSpec | Mapping) -> FeedSpec:
+    if isinstance(values, FeedSpec):
+        return values
+    columns = tuple(FeedColumn(**c) for c in values["columns"])
+    return FeedSpec(values["name"], values["date_column"], columns)
+
+
 @dataclass(frozen=True)
 class Target:
     """One warehouse endpoint: which feeds it skips and where its tables differ."""
@@ -70,6 +78,8 @@ class LoadConfig:
     targets: tuple[Target, ...] = ()
     table_grain: str = "month"
     keep_raw: bool = False
+    # Whether processed files and the manifests that list them are written.
+    processed: bool = True
     crash_feeds: tuple[FeedSpec, ...] = CRASH_FEEDS
     installs_feed: FeedSpec = INSTALLS_FEED
     sales_columns: tuple[str, ...] = SALES_COLUMNS
@@ -87,7 +97,21 @@ class LoadConfig:
 
     @classmethod
     def from_dict(cls, values: Mapping, run_date: date) -> LoadConfig:
-        known = {k: v for k, v in values.items() if k in cls.__dataclass_fields__}
+        """A run from plain settings; a name that is no setting is an error.
+
+        A feed is given as ``name``, ``date_column`` and ``columns``, each of these
+        with ``name``, ``source``, ``kind`` and, unless it is text, ``type``.
+        """
+        if unknown := sorted(set(values) - set(cls.__dataclass_fields__)):
+            raise ValueError(f"unknown settings {unknown}")
+        known = dict(values)
+        if "crash_feeds" in known:
+            known["crash_feeds"] = tuple(_feed(f) for f in known["crash_feeds"])
+        if "installs_feed" in known:
+            known["installs_feed"] = _feed(known["installs_feed"])
+        for names in ("sales_columns", "device_columns"):
+            if names in known:
+                known[names] = tuple(known[names])
         known["targets"] = tuple(
             t if isinstance(t, Target) else Target(
                 t["endpoint"], frozenset(t.get("skip", ())), dict(t.get("tables", {}))
@@ -104,6 +128,11 @@ class LoadConfig:
             return month_span(_month_start(self.start_date), _month_start(self.end_date))
         return month_span(shift_month(self.run_date, 1 - int(self.backfill)), self.run_date)
 
+    def label(self) -> str:
+        """What tells this load from others of the same date: the months it asks for."""
+        months = self.months()
+        return f"{self.date_format}-{months[0]}-{months[-1]}" if months else self.date_format
+
     def earnings_month(self) -> date:
         """The month that an earnings run both deletes and loads."""
         return shift_month(self.run_date, -self.month_back)

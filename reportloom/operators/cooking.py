@@ -51,8 +51,14 @@ def cook_feeds(raw: DataFrame, specs: Sequence[FeedSpec]) -> DataFrame:
     """Typed rows of all ``specs`` in one pass over ``raw`` (feed, tenant, c0, c1, …).
 
     Feeds may keep a column at different positions; a column that a feed does
-    not have is NULL for its rows.
+    not have is NULL for its rows. A row that has more fields than its feed fails.
     """
+    for spec in specs:
+        surplus = [F.col(c) for c in raw.columns if c[:1] == "c" and c[1:].isdigit() and int(c[1:]) >= spec.width]
+        if surplus:
+            wide = (F.col("feed") == spec.name) & (F.coalesce(*surplus, F.lit("")) != "")
+            told = F.raise_error(F.lit(f"more than {spec.width} columns in feed {spec.name}")).cast("boolean")
+            raw = raw.filter(F.when(wide, told).otherwise(True))
     columns: dict[str, tuple[str, str]] = {}
     places: dict[str, dict[int, list[str]]] = {}
     for spec in specs:

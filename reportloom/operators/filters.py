@@ -42,7 +42,7 @@ def keep_product_mention(
     line = F.lower(F.concat_ws(",", *columns))
     return df.filter(
         _unless_restricted(
-            F.col(tenant), restricted, lambda app: F.contains(line, F.lit(app))
+            F.col(tenant), restricted, lambda app: F.contains(line, F.lit(app.lower()))
         )
     )
 

@@ -18,12 +18,14 @@ from reportloom.operators.filters import keep_product, keep_product_mention
 from reportloom.operators.freshness import all_tenants_present
 from reportloom.plans.staging import (
     LoadResult,
+    errors_noted,
     load_new_feeds,
     read_published,
     stage,
 )
 from reportloom.schemas import (
     EARNINGS_COLUMNS,
+    PRODUCT_HEADER,
     SALES_DATE,
     SALES_WIDTH,
     positional,
@@ -39,7 +41,7 @@ def _kept(raw: DataFrame, config: LoadConfig, job: str) -> DataFrame:
     """``raw``, from the raw zone when the run keeps one: reports are parsed once."""
     if not config.keep_raw:
         return raw
-    return keep_raw(raw, f"{config.output_root}/raw/{job}", config.run_date)
+    return keep_raw(raw, f"{config.output_root}/raw/{job}", config.run_date, config.label())
 
 
 def load_crashes(
@@ -51,12 +53,13 @@ def load_crashes(
     raw = scan_feed(
         spark, config.tenants, "crashes", feeds, config.months(), max(f.width for f in specs)
     )
-    cooked = cook_feeds(_kept(raw, config, "crashes"), specs)
     layout = Layout(specs[0].date_column, grain=config.table_grain)
-    staged = stage(cooked, f"{config.output_root}/staged/crashes", layout)
-    return load_new_feeds(
-        spark, staged, published, config, "crashes", feeds, layout, table_path
-    )
+    with errors_noted(spark, config, "crashes"):
+        cooked = cook_feeds(_kept(raw, config, "crashes"), specs)
+        staged = stage(cooked, f"{config.output_root}/staged/crashes", layout)
+        return load_new_feeds(
+            spark, staged, published, config, "crashes", feeds, layout, table_path
+        )
 
 
 def load_installs(
@@ -67,14 +70,16 @@ def load_installs(
     raw = scan_feed(
         spark, config.tenants, "installs", ["country"], config.months(), spec.width
     )
-    raw = _kept(raw, config, "installs")
-    kept = keep_product_mention(raw, config.restricted, positional(spec.width))
-    cooked = cook_feeds(kept.withColumn("feed", F.lit(spec.name)), [spec])
     layout = Layout(spec.date_column, grain=config.table_grain)
-    staged = stage(cooked, f"{config.output_root}/staged/installs", layout)
-    return load_new_feeds(
-        spark, staged, published, config, "installs", [spec.name], layout, table_path
-    )
+    with errors_noted(spark, config, "installs"):
+        raw = _kept(raw, config, "installs")
+        # The scan refuses wider rows, so these fields are the whole line.
+        kept = keep_product_mention(raw, config.restricted, positional(spec.width))
+        cooked = cook_feeds(kept.withColumn("feed", F.lit(spec.name)), [spec])
+        staged = stage(cooked, f"{config.output_root}/staged/installs", layout)
+        return load_new_feeds(
+            spark, staged, published, config, "installs", [spec.name], layout, table_path
+        )
 
 
 def scan_sales(spark: SparkSession, config: LoadConfig) -> DataFrame:
@@ -85,7 +90,9 @@ def scan_sales(spark: SparkSession, config: LoadConfig) -> DataFrame:
         archives = scan_objects(
             spark, f"{root}/sales", F.col("_metadata.file_path").rlike(name)
         )
-        records = expand_archives(archives, encoding="ascii", errors="ignore")
+        # Restricted accounts are told by the column's name, wherever it stands.
+        product = PRODUCT_HEADER if tenant in config.restricted else None
+        records = expand_archives(archives, encoding="ascii", errors="ignore", named=product)
         rows = archive_rows(records, positional(SALES_WIDTH))
         frames.append(rows.withColumn("tenant", F.lit(tenant)))
     return union_objects(frames)
@@ -99,14 +106,16 @@ def load_sales(
     table_path: str,
 ) -> LoadResult:
     """Sales rows; restricted accounts keep only rows of their product."""
-    raw = _kept(raw, config, "sales")
-    kept = keep_product(raw, config.restricted, "c6")
-    cooked = cook_sales(kept, config.sales_columns).withColumn("feed", F.lit("sales"))
     layout = Layout(config.sales_columns[SALES_DATE], grain=config.table_grain)
-    staged = stage(cooked, f"{config.output_root}/staged/sales", layout)
-    return load_new_feeds(
-        spark, staged, published, config, "sales", ["sales"], layout, table_path
-    )
+    with errors_noted(spark, config, "sales"):
+        raw = _kept(raw, config, "sales")
+        product = "named" if "named" in raw.columns else "c6"
+        kept = keep_product(raw, config.restricted, product)
+        cooked = cook_sales(kept, config.sales_columns).withColumn("feed", F.lit("sales"))
+        staged = stage(cooked, f"{config.output_root}/staged/sales", layout)
+        return load_new_feeds(
+            spark, staged, published, config, "sales", ["sales"], layout, table_path
+        )
 
 
 def load_store(spark: SparkSession, config: LoadConfig, table_root: str) -> int:
@@ -167,7 +176,7 @@ def load_earnings(config: LoadConfig, archives: DataFrame, table_path: str) -> b
     found = all_tenants_present(members, "month", F.lit(pattern), list(config.tenants))
     if found.filter("file_found").isEmpty():
         return False
-    rows = archive_rows(staged.filter(name.rlike(pattern)), EARNINGS_COLUMNS)
+    rows = archive_rows(staged.filter(name.rlike(pattern)), EARNINGS_COLUMNS, strict=True)
     replace_by_month(cook_earnings(rows), table_path, text_month_of(month))
     return True
 
@@ -175,7 +184,9 @@ def load_earnings(config: LoadConfig, archives: DataFrame, table_path: str) -> b
 def load_devices(
     spark: SparkSession, csv_path: str, config: LoadConfig
 ) -> list[tuple[str, str, str]]:
-    """Replace the device dimension at every endpoint."""
+    """Replace the device dimension at every endpoint; there has to be one."""
+    if not config.targets:
+        raise ValueError("no targets to load the devices to")
     devices = cook_devices(read_supported_devices(spark, csv_path, config.device_columns))
     return load_dimension(
         devices, f"{config.output_root}/tables", config.targets, "supported_devices"

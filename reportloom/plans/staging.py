@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,6 @@ from pyspark.sql import functions as F
 
 from reportloom.config import LoadConfig
 from reportloom.functions.dates import iso_date
-from reportloom.functions.names import output_path
 from reportloom.operators.freshness import (
     feeds_with_new_data,
     file_catalog,
@@ -25,17 +25,27 @@ from reportloom.sinks.control import (
     publish_parts,
     publish_status,
 )
+from reportloom.sinks.exports import export_cooked, export_folder
 from reportloom.sinks.tables import (
     Layout,
+    ReconciliationError,
+    column_stats,
     existing_table,
     read_table,
+    reconcile_counts,
     replace_by_date,
     write_checked,
 )
-from reportloom.sinks.targets import load_feeds
+from reportloom.sinks.targets import load_feeds, planned_loads
 from reportloom.workspace import run_together
 
 
+ERROR = "error"
+NEW_DATA = "New Data"
+# Jobs whose note says only that there is new data; others list the feeds.
+STORE_JOBS = ("sales", "installs")
+
+
 @dataclass(frozen=True)
 class LoadResult:
     """What a run found and where its table is."""
@@ -66,6 +76,39 @@ def read_published(spark: SparkSession, output_root: str, job: str) -> DataFrame
     return parts.distinct()
 
 
+def processed_root(output_root: str, job: str) -> str:
+    """Where a job puts the processed files that its manifests list."""
+    return f"{output_root}/processed/{job}"
+
+
+def processed_columns(rows: DataFrame) -> list[str]:
+    """Fields of a processed file, in order: the rows without what its folder says."""
+    return [c for c in rows.columns if c not in ("feed", "tenant")]
+
+
+def note_status(spark: SparkSession, config: LoadConfig, job: str, status: str) -> None:
+    note = spark.createDataFrame([(status,)], "status string")
+    publish_status(note, f"{config.output_root}/control/{job}/status", job, config.run_date)
+
+
+@contextmanager
+def errors_noted(spark: SparkSession, config: LoadConfig, job: str) -> Iterator[None]:
+    """Publish the status ``error`` of a job that fails; the error itself goes on."""
+    try:
+        yield
+    except Exception:
+        note_status(spark, config, job, ERROR)
+        raise
+
+
+def check_loaded(source: DataFrame, table: DataFrame, keys: Sequence[str], what: str) -> None:
+    """Compare rows per key; keys that only the table has are of earlier runs."""
+    counted = reconcile_counts(source, table, keys)
+    wrong = counted.filter((F.col("source_rows") > 0) & ~F.col("ok")).limit(5).collect()
+    if wrong:
+        raise ReconciliationError(f"{what}: {[tuple(r) for r in wrong]}")
+
+
 def load_new_feeds(
     spark: SparkSession,
     staged: DataFrame,
@@ -78,8 +121,11 @@ def load_new_feeds(
 ) -> LoadResult:
     """Find which of ``feeds`` have new days, publish control data, replace the dates.
 
-    The table at ``table_path`` holds all feeds. Each endpoint of the run gets
-    tables of its own, one per feed, below ``tables`` of the output root.
+    The processed files of the new feeds are written and manifests list them, unless
+    the run is told not to, as one may be that fills the table itself. The
+    table at ``table_path`` holds all feeds. Each endpoint of the run gets tables of
+    its own, one per feed, below ``tables`` of the output root. Every table is
+    reconciled with the staged rows, and its statistics are noted.
     """
     control = f"{config.output_root}/control/{job}"
     catalog = file_catalog(staged.withColumnRenamed(layout.date_column, "report_date"))
@@ -96,22 +142,18 @@ def load_new_feeds(
         # At most one row per feed that the load asks for.
         names = tuple(sorted(r.feed for r in feeds_with_new_data(presence).collect()))
     status = status_note(names)
-
-    def note_status() -> None:
-        note = spark.createDataFrame([(status,)], "status string")
-        publish_status(note, f"{control}/status", job, config.run_date)
-
+    if names and job in STORE_JOBS:
+        status = NEW_DATA
     if not names:
-        note_status()
+        note_status(spark, config, job, status)
         return LoadResult(status, (), None)
 
     new_feeds = spark.createDataFrame([(f,) for f in names], "feed string")
     new_parts = catalog.filter(F.col("feed").isin(list(names)))
 
     def note_manifests() -> None:
-        url = output_path(
-            f"{config.output_root}/", F.col("feed"), iso_date(F.col("report_date")),
-            F.col("tenant"),
+        url = export_folder(
+            processed, F.col("feed"), iso_date(F.col("report_date")), F.col("tenant")
         )
         manifests = build_manifest(new_parts, url)
         publish_manifests(manifests, new_feeds, f"{control}/manifests", config.run_date)
@@ -120,6 +162,12 @@ def load_new_feeds(
         publish_date_lists(date_list(new_parts), f"{control}/dates", config.run_date)
 
     new_rows = staged.filter(F.col("feed").isin(list(names)))
+    processed = processed_root(config.output_root, job)
+
+    def export() -> None:
+        fields = processed_columns(new_rows)
+        text = new_rows.select(*(F.col(c).cast("string").alias(c) for c in fields), "feed", "tenant")
+        export_cooked(text, processed, fields, layout.date_column, clustered=layout.grain == "day")
 
     def load() -> None:
         replace_by_date(new_rows, table_path, layout, clustered=True)
@@ -127,8 +175,26 @@ def load_new_feeds(
     def load_endpoints() -> None:
         load_feeds(new_rows, f"{config.output_root}/tables", config.targets, names, layout)
 
-    run_together(spark, [load, load_endpoints, note_status, note_manifests, note_dates])
+    files = [export, note_manifests] if config.processed else []
+    run_together(spark, [load, load_endpoints, *files, note_dates])
+    table = layout.rows(read_table(spark, table_path, layout.place(staged).schema))
+
+    def check() -> None:
+        check_loaded(new_rows, table, layout.keys, table_path)
+
+    def check_endpoints() -> None:
+        days = [layout.date_column]
+        for endpoint, feed, name in planned_loads(config.targets, names):
+            path = f"{config.output_root}/tables/{endpoint}/{name}"
+            rows = new_rows.filter(F.col("feed") == feed)
+            check_loaded(rows, spark.read.parquet(path), days, path)
+
+    def note_statistics() -> None:
+        stats = column_stats(table, processed_columns(table))
+        stats.write.mode("overwrite").parquet(f"{control}/statistics")
+
+    run_together(spark, [check, check_endpoints, note_statistics])
+    note_status(spark, config, job, status)
     # Published last: a run that fails before it is simply run again.
     publish_parts(new_parts, f"{control}/published", config.run_date)
-    table = read_table(spark, table_path, layout.place(staged).schema)
-    return LoadResult(status, names, layout.rows(table))
+    return LoadResult(status, names, table)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,12 +20,13 @@ from reportloom.operators.cooking import (
 from reportloom.operators.filters import in_text_month
 from reportloom.operators.freshness import feed_dates
 from reportloom.plans import loads as plans
-from reportloom.plans.staging import stage
+from reportloom.plans.staging import processed_columns, read_published, stage
 from reportloom.queries import frames_sql as sql
 from reportloom.queries.registry import query
 from reportloom.schemas import CRASH_FEED_NAMES, CRASH_FEEDS, INSTALLS_FEED
 from reportloom.sinks import exports, tables, targets
-from reportloom.sources.reports import union_objects
+from reportloom.sources.manifests import load_from_manifest
+from reportloom.sources.reports import read_cooked_csv, union_objects
 from reportloom.workspace import new_folder
 
 BY_DAY = tables.Layout("crash_date", grain="day")
@@ -228,25 +230,35 @@ def reconcile_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.reconcile_counts(crashes, written, BY_MONTH.keys)
 
 
-_STATS_COLUMNS = ("order_date", "tenant", "product_id", "product_type", "financial_status")
+_STATS_COLUMNS = (
+    "order_date", "tenant", "product_id", "product_type", "financial_status", "order_timestamp", "item_price",
+)
 
 
-@query(
-    sql.with_frames(
+def _stats_sql(measures: str) -> str:
+    return sql.with_frames(
         sql.SALES_COOKED,
         "\nUNION ALL\n".join(
-            f"""SELECT '{c}' AS column_name, count(*) AS row_count,
-  count(*) - count({c}) AS null_count, count(DISTINCT {c}) AS distinct_count,
-  min(CAST({c} AS VARCHAR)) AS min_value, max(CAST({c} AS VARCHAR)) AS max_value FROM sales_cooked"""
+            f"""SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS null_count, {measures.format(c=c)}
+  CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value FROM sales_cooked"""
             for c in _STATS_COLUMNS
         ),
     )
-)
+
+
+@query(_stats_sql("count(DISTINCT {c}) AS distinct_count,"))
 def column_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     sales = cook_sales(frames.sales_raw(spark, sf_dir))
     return tables.column_stats(sales, _STATS_COLUMNS, exact=True)
 
 
+@query(_stats_sql(""))
+def column_stats_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All but the approximate counts of distinct values."""
+    sales = cook_sales(frames.sales_raw(spark, sf_dir))
+    return tables.column_stats(sales, _STATS_COLUMNS).drop("distinct_count")
+
+
 @query(
     sql.with_frames(
         sql.CRASH_RAW,
@@ -262,20 +274,80 @@ def raw_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # The feeds of the crash load that have new days, as in the freshness queries:
 # the day after the latest complete one is there for all four.
-@query(sql.with_frames(sql.CRASH_COOKED, "SELECT * FROM crash_cooked"))
-def crashes_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = new_folder(spark, "crashes-load")
+def _crash_config(spark: SparkSession, sf_dir: str, root: str) -> LoadConfig:
+    """The crash reports written as objects below ``root``, and a run over them."""
     raw = frames.crash_raw(spark, sf_dir)
     name = F.concat(
         F.lit("crashes_com.example."), F.col("event_type"), F.lit("_202401_"),
         F.col("feed"), F.lit(".csv"),
     )
     roots = frames.write_objects(raw.withColumn("object", name), root, "crashes", 5)
-    config = LoadConfig(roots, RUN_DATE, f"{root}/out", load="crashes", backfill=2)
+    return LoadConfig(roots, RUN_DATE, f"{root}/out", load="crashes", backfill=2)
+
+
+@query(sql.with_frames(sql.CRASH_COOKED, "SELECT * FROM crash_cooked"))
+def crashes_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = new_folder(spark, "crashes-load")
+    config = _crash_config(spark, sf_dir, root)
     published = frames.published(frames.crash_keys(spark, sf_dir))
     return plans.load_crashes(spark, config, published, f"{root}/table").table
 
 
+def _from_manifests(spark: SparkSession, config: LoadConfig, job: str, table: DataFrame) -> DataFrame:
+    """The rows of a load as its published manifests list them, in the table's types."""
+    fields = processed_columns(table)
+    manifests = f"{config.output_root}/control/{job}/manifests"
+    feeds = [r.feed for r in spark.read.text(manifests).select("feed").distinct().collect()]
+
+    def read(feed: str) -> DataFrame:
+        rows = load_from_manifest(
+            spark, f"{manifests}/run_date={config.run_date}/feed={feed}",
+            lambda paths: read_cooked_csv(spark, paths, fields),
+        )
+        tenant = F.regexp_extract("source_file", "p_tenant=([^/]*)/", 1).alias("tenant")
+        return rows.select(*fields, tenant, F.lit(feed).alias("feed"))
+
+    rows = union_objects([read(f) for f in feeds])
+    types = dict(table.dtypes)
+    return rows.select(*(F.col(c).cast(types[c]).alias(c) for c in table.columns))
+
+
+@query(sql.with_frames(sql.CRASH_COOKED, "SELECT * FROM crash_cooked"))
+def crashes_load_from_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = new_folder(spark, "crashes-manifest")
+    config = _crash_config(spark, sf_dir, root)
+    published = frames.published(frames.crash_keys(spark, sf_dir))
+    result = plans.load_crashes(spark, config, published, f"{root}/table")
+    return _from_manifests(spark, config, "crashes", result.table)
+
+
+@query(
+    sql.with_frames(
+        sql.CRASH_COOKED,
+        """SELECT c.*, r.run, r.status FROM crash_cooked c CROSS JOIN (VALUES
+  (1, '[''app_version'', ''device'', ''os_version'', ''overview'']'),
+  (2, 'No New Data'),
+  (3, '[''app_version'', ''device'', ''os_version'', ''overview'']'),
+  (4, 'No New Data')) r(run, status)""",
+    )
+)
+def crashes_load_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four runs on one date: the daily one, again, a reload of the months, the daily one."""
+    root = new_folder(spark, "crashes-twice")
+    config = replace(_crash_config(spark, sf_dir, root), targets=TARGETS)
+    reload = replace(config, date_format="Range", start_date="2024-01", end_date="2024-02")
+    seeded = frames.published(frames.crash_keys(spark, sf_dir))
+    states = []
+    for run, settings in enumerate((config, config, reload, config), 1):
+        published = read_published(spark, config.output_root, "crashes")
+        found = plans.load_crashes(spark, settings, seeded if run == 1 else published, f"{root}/table")
+        table = f"{root}/state-{run}"
+        rows = spark.read.parquet(f"{root}/table").drop(BY_MONTH.month_column)
+        rows.withColumn("run", F.lit(run)).withColumn("status", F.lit(found.status)).write.parquet(table)
+        states.append(spark.read.parquet(table))
+    return union_objects(states)
+
+
 @query(
     sql.with_frames(
         sql.INSTALLS_RAW,
@@ -299,28 +371,48 @@ def installs_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.load_installs(spark, config, nothing, f"{root}/table").table
 
 
-@query(
-    sql.with_frames(
-        sql.SALES_COOKED,
-        """SELECT *, 'sales' AS feed FROM sales_cooked
-WHERE tenant <> 'tenant_b' OR product_id = 'com.example.keep'""",
-    )
-)
-def sales_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = new_folder(spark, "sales-load")
+def _sales_load(
+    spark: SparkSession, sf_dir: str, root: str, processed: bool
+) -> tuple[LoadConfig, DataFrame]:
     config = LoadConfig(
         dict.fromkeys(frames.TENANTS, root), RUN_DATE, f"{root}/out", load="sales",
         date_format="Range", start_date="1990-01", end_date="2030-12",
-        restricted=frames.RESTRICTED,
+        restricted=frames.RESTRICTED, processed=processed,
     )
     raw = frames.sales_raw(spark, sf_dir)
     nothing = frames.published(frames.crash_keys(spark, sf_dir)).filter(F.lit(False))
-    return plans.load_sales(spark, config, raw, nothing, f"{root}/table").table
+    return config, plans.load_sales(spark, config, raw, nothing, f"{root}/table").table
+
+
+_SALES_LOAD_SQL = sql.with_frames(
+    sql.SALES_COOKED,
+    """SELECT *, 'sales' AS feed FROM sales_cooked
+WHERE tenant <> 'tenant_b' OR product_id = 'com.example.keep'""",
+)
+
+
+@query(_SALES_LOAD_SQL)
+def sales_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sales_load(spark, sf_dir, new_folder(spark, "sales-load"), processed=False)[1]
+
+
+@query(_SALES_LOAD_SQL)
+def sales_load_from_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    config, table = _sales_load(spark, sf_dir, new_folder(spark, "sales-manifest"), processed=True)
+    return _from_manifests(spark, config, "sales", table)
 
 
 @query(_MONTH_SQL)
 def earnings_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = new_folder(spark, "earnings-load")
+    return _earnings_load(spark, sf_dir, new_folder(spark, "earnings-load"), runs=1)
+
+
+@query(_MONTH_SQL)
+def earnings_load_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _earnings_load(spark, sf_dir, new_folder(spark, "earnings-twice"), runs=2)
+
+
+def _earnings_load(spark: SparkSession, sf_dir: str, root: str, runs: int) -> DataFrame:
     old = _old_earnings(spark, sf_dir)
     tables.write_earnings(old, f"{root}/table")
     config = LoadConfig(
@@ -328,7 +420,8 @@ def earnings_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     month = f"{config.earnings_month():%Y%m}"
     archives = frames.earnings_archives(spark, sf_dir).filter(F.col("month") == month)
-    plans.load_earnings(config, archives, f"{root}/table")
+    for _ in range(runs):
+        plans.load_earnings(config, archives, f"{root}/table")
     return _earnings_table(spark, f"{root}/table", old)
 
 

@@ -39,6 +39,8 @@ DEVICE_COLUMNS = ("retail_branding", "marketing_name", "device", "model")
 # these positions are numbers.
 SALES_WIDTH = 17
 SALES_DATE = 1
+# Fixed value: the header of the product id in sales reports.
+PRODUCT_HEADER = "Product ID"
 SALES_NUMBERS = {2: "bigint", 10: "decimal(18,2)", 11: "decimal(18,2)", 12: "decimal(18,2)"}
 SALES_COLUMNS = (
     "order_number",

@@ -79,14 +79,12 @@ def publish_status(status: DataFrame, path: str, job: str, run_date: date) -> No
 
 
 def publish_parts(catalog: DataFrame, path: str, run_date: date) -> None:
-    """Note which (feed, day, account) parts a run published; a rerun replaces its note."""
-    (
-        catalog.withColumn("run_date", F.lit(run_date))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_date")
-        .parquet(path)
-    )
+    """Note which (feed, day, account) parts a run published.
+
+    Notes are only added: what an earlier run published stays published, also one
+    of the same date. Readers take each part once.
+    """
+    catalog.withColumn("run_date", F.lit(run_date)).write.mode("append").partitionBy("run_date").parquet(path)
 
 
 def read_status(spark: SparkSession, path: str, job: str, run_date: date) -> DataFrame:

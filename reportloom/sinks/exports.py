@@ -17,7 +17,7 @@ def export_cooked(
 ) -> None:
     """Cooked text rows, one folder per (feed, day, account).
 
-    UTF-8, comma, ``%`` as quote and only where needed. The folders are named
+    Folders that ``df`` has rows for are replaced, all others stay. UTF-8, comma, ``%`` as quote and only where needed. The folders are named
     after copies of the keys, so the date stays the first field of the file.
     """
     keyed = df.select(
@@ -29,6 +29,7 @@ def export_cooked(
     out = keyed if clustered else spread(keyed, *EXPORT_KEYS)
     (
         out.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*EXPORT_KEYS)
         .option("quote", "%")
         .option("escape", "%")
@@ -47,17 +48,19 @@ def export_folder(root: str, feed: Column, iso_day: Column, tenant: Column) -> C
     )
 
 
-def keep_raw(raw: DataFrame, path: str, run_date: date) -> DataFrame:
-    """Keep raw rows as they came, under the date of the run; read them back.
+def keep_raw(raw: DataFrame, path: str, run_date: date, load: str = "daily") -> DataFrame:
+    """Keep raw rows as they came, under date and label of the run; read them back.
 
-    A rerun on the same date replaces what it kept before.
+    A rerun of one load on the same date replaces what it kept before; other loads
+    of that date, say of older months, keep theirs.
     """
-    kept = raw.withColumn("run_date", F.lit(run_date))
+    kept = raw.withColumn("run_date", F.lit(run_date)).withColumn("load", F.lit(load))
     (
         kept.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_date")
+        .partitionBy("run_date", "load")
         .parquet(path)
     )
     rows = read_table(raw.sparkSession, path, kept.schema)
-    return rows.filter(F.col("run_date") == F.lit(run_date)).drop("run_date")
+    own = (F.col("run_date") == F.lit(run_date)) & (F.col("load") == load)
+    return rows.filter(own).drop("run_date", "load")

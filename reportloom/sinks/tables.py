@@ -12,6 +12,8 @@ from reportloom.functions.dates import text_month
 from reportloom.workspace import new_folder, path_exists
 
 TEXT_MONTH = "transaction_month"
+# The month whose load brought a row; its text date may say another.
+LOAD_MONTH = "load_month"
 
 
 @dataclass(frozen=True)
@@ -170,20 +172,34 @@ def replace_all(df: DataFrame, path: str) -> None:
 def write_earnings(df: DataFrame, path: str) -> None:
     """A whole earnings table, one partition per month as its text dates say."""
     keyed = df.withColumn(TEXT_MONTH, text_month(F.col("transaction_date")))
-    write_table(keyed, path, [TEXT_MONTH])
+    write_table(keyed.withColumn(LOAD_MONTH, F.col(TEXT_MONTH)), path, [TEXT_MONTH])
 
 
 def replace_by_month(df: DataFrame, path: str, month: str) -> None:
     """Replace one month (``2021-Feb``) of an earnings table by ``df``.
 
-    Only that month is deleted. Rows of ``df`` that carry a date of another month
-    are added to what is there.
+    That month is deleted. Rows of ``df`` that carry a date of another month are added
+    to what that month holds, in place of those that earlier loads of ``month`` added:
+    loading one batch again changes nothing. All is one commit.
     """
-    keyed = df.withColumn(TEXT_MONTH, text_month(F.col("transaction_date")))
-    inside = F.coalesce(F.col(TEXT_MONTH) == month, F.lit(False))
-    replace_partitions(keyed.filter(inside), path, [TEXT_MONTH])
-    others = spread(keyed.filter(~inside), TEXT_MONTH)
-    others.write.mode("append").partitionBy(TEXT_MONTH).parquet(path)
+    spark = df.sparkSession
+    keyed = df.withColumn(TEXT_MONTH, text_month(F.col("transaction_date"))).withColumn(LOAD_MONTH, F.lit(month))
+    old = existing_table(spark, path, keyed.schema)
+    if old is not None:
+        # At most one row per calendar month.
+        outside = F.coalesce(F.col(TEXT_MONTH) != month, F.lit(True))
+        touched = keyed.filter(outside).select(TEXT_MONTH).distinct().collect()
+        if touched:
+            names = [r[0] for r in touched if r[0] is not None]
+            there = F.col(TEXT_MONTH).isin(names)
+            if len(names) < len(touched):
+                there = there | F.col(TEXT_MONTH).isNull()
+            others = old.filter(there & outside & ~F.col(LOAD_MONTH).eqNullSafe(F.lit(month)))
+            # Copied first: the commit removes the files that hold them.
+            copy = new_folder(spark, "other-months")
+            others.write.parquet(copy)
+            keyed = keyed.unionByName(read_table(spark, copy, keyed.schema))
+    replace_partitions(keyed, path, [TEXT_MONTH])
 
 
 def counts_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -234,38 +250,36 @@ def check_counts(expected: int, found: int, what: str) -> None:
         raise ReconciliationError(f"{what}: wrote {expected} rows, read back {found}")
 
 
+_STATS = "column_name string, row_count long, null_count long, distinct_count long, min_value string, max_value string"
+
+
+def stats_row(df: DataFrame, columns: Sequence[str], exact: bool = False) -> DataFrame:
+    """All measures of all columns in one row: one aggregate in the columns' own types
+    (numbers compare as numbers), of which partial results alone are moved."""
+    distinct = F.count_distinct if exact else F.approx_count_distinct
+    wanted = [
+        value.alias(f"{name}_{i}")
+        for i, c in enumerate(columns)
+        for name, value in (
+            ("nulls", F.count_if(F.col(c).isNull())), ("distinct", distinct(F.col(c))),
+            ("least", F.min(c).cast("string")), ("most", F.max(c).cast("string")),
+        )
+    ]
+    return df.agg(F.count(F.lit(1)).alias("n"), *wanted)
+
+
 def column_stats(df: DataFrame, columns: Sequence[str], exact: bool = False) -> DataFrame:
     """Per column: rows, NULLs, distinct values, smallest and largest as text.
 
-    Distinct counts are approximate as in ``ANALYZE TABLE``, one pass without
-    a shuffle of values. With ``exact``, equal values are first counted together,
-    so a hot value costs one row per task.
+    Distinct counts are approximate as in ``ANALYZE TABLE``, or with ``exact`` counted
+    in full. The measures, a single row, go to the driver and are laid out there.
     """
-    named = F.explode(
-        F.array(
-            *(
-                F.struct(
-                    F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")
-                )
-                for c in columns
-            )
-        )
-    ).alias("cell")
-    cells = df.select(named).select("cell.*")
-    if exact:
-        cells = cells.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
-        rows, nulls = F.sum("n"), F.sum(F.when(F.col("value").isNull(), F.col("n")))
-        distinct = F.count("value")
-    else:
-        rows, nulls = F.count(F.lit(1)), F.count_if(F.col("value").isNull())
-        distinct = F.approx_count_distinct("value")
-    return cells.groupBy("column_name").agg(
-        rows.alias("row_count"),
-        F.coalesce(nulls, F.lit(0)).alias("null_count"),
-        distinct.alias("distinct_count"),
-        F.min("value").alias("min_value"),
-        F.max("value").alias("max_value"),
-    )
+    found = stats_row(df, columns, exact).first()
+    rows = [
+        (c, found["n"], *(found[f"{name}_{i}"] for name in ("nulls", "distinct", "least", "most")))
+        for i, c in enumerate(columns)
+    ]
+    return df.sparkSession.createDataFrame(rows, _STATS)
 
 
 def analyze(spark: SparkSession, table: str, columns: Sequence[str]) -> None:

@@ -34,7 +34,7 @@ def scan_objects(
     return files.select("path", "content")
 
 
-def _records(encoding: str, errors: str, carry: Sequence[str]):
+def _records(encoding: str, errors: str, carry: Sequence[str], named: str | None):
     """Arrow function from archives to CSV records, ``_BATCH`` records at a time."""
     arrow_type = pa.schema(
         [
@@ -43,9 +43,20 @@ def _records(encoding: str, errors: str, carry: Sequence[str]):
             ("member", pa.string()),
             ("row_no", pa.int64()),
             ("fields", pa.list_(pa.string())),
+            *([("named", pa.string())] if named else []),
         ]
     )
 
+    def with_named(filename: str, rows):
+        """Each record with its field below the header ``named``."""
+        place = None
+        for number, fields in enumerate(rows):
+            if number == 0:
+                if named not in fields:
+                    raise ValueError(f"no column {named!r} in {filename}")
+                place = fields.index(named)
+            yield filename, number, fields, fields[place] if place < len(fields) else None
+
     def records(content: bytes):
         with zipfile.ZipFile(io.BytesIO(content)) as archive:
             for info in archive.infolist():
@@ -53,6 +64,9 @@ def _records(encoding: str, errors: str, carry: Sequence[str]):
                     continue
                 with archive.open(info) as member:
                     text = io.TextIOWrapper(member, encoding, errors, newline="")
+                    if named:
+                        yield from with_named(info.filename, csv.reader(text))
+                        continue
                     for number, fields in enumerate(csv.reader(text)):
                         yield info.filename, number, fields
 
@@ -83,29 +97,42 @@ def expand_archives(
     encoding: str = "utf-8",
     errors: str = "strict",
     carry: Sequence[str] = (),
+    named: str | None = None,
 ) -> DataFrame:
     """CSV records of every member of every zip in ``archives`` (path, content).
 
     Line breaks inside quotes stay within their record. Row 0 of a member is its
     header. ``numbered_member`` is the member name with the archive's number.
-    Text columns named in ``carry`` go along. A zip cannot be split: one task
+    Text columns named in ``carry`` go along; ``named`` asks for a column of that name
+    with the field below that header, which every member then has to have. A zip cannot be split: one task
     streams one archive, and no more than ``_BATCH`` of its records are held.
     """
     origin = "".join(f"`{name}` string, " for name in carry)
     return (
         archives.select(*carry, "path", "content")
         .mapInArrow(
-            _records(encoding, errors, tuple(carry)),
-            f"{origin}path string, member string, row_no bigint, fields array<string>",
+            _records(encoding, errors, tuple(carry), named),
+            f"{origin}path string, member string, row_no bigint, fields array<string>"
+            + (", named string" if named else ""),
         )
         .withColumn("numbered_member", numbered_member(F.col("member"), F.col("path")))
     )
 
 
-def archive_rows(records: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Data rows under column names: headers dropped, short rows filled with NULL."""
+def archive_rows(
+    records: DataFrame, columns: Sequence[str], strict: bool = False
+) -> DataFrame:
+    """Data rows under column names: headers dropped, short rows filled with NULL.
+
+    Rows of more fields than ``columns`` end there, or fail with ``strict``.
+    """
     others = [c for c in records.columns if c not in ("member", "row_no", "fields")]
     data = records.filter((F.col("row_no") > 0) & (F.size("fields") > 0))
+    if strict:
+        told = F.concat(F.lit(f"more than {len(columns)} columns in "), F.col("path"))
+        data = data.filter(
+            F.when(F.size("fields") > len(columns), F.raise_error(told).cast("boolean")).otherwise(True)
+        )
     return data.select(
         *(F.get("fields", F.lit(i)).alias(c) for i, c in enumerate(columns)), *others
     )

@@ -18,8 +18,8 @@ from reportloom.schemas import (
 )
 from reportloom.workspace import path_exists
 
-# A file above this size is split over tasks when its lines allow it.
-SPLIT_ABOVE = 128 * 1024 * 1024
+# Stands behind the named columns, for what a row has beyond them.
+_SURPLUS = "surplus_field"
 
 
 @dataclass(frozen=True)
@@ -40,79 +40,75 @@ def _file_path() -> Column:
     return F.col("_metadata.file_path")
 
 
+class SplitError(ValueError):
+    """A file was to be split at its line breaks but has lines that are no records."""
+
+
 def read_report_csv(
     spark: SparkSession,
     paths: str | Sequence[str],
     columns: Sequence[str],
     dialect: Dialect,
     file_filter: Column | None = None,
-    split_above: int | None = SPLIT_ABOVE,
+    split: bool = False,
+    strict: bool = False,
 ) -> DataFrame:
     """CSV report files, every column as text, and the file each row is from.
 
     Files are read whole, many per job, since a quoted field may hold a line
-    break. A file larger than ``split_above`` bytes is split at its line breaks
-    instead when a pass over its lines shows that each line is one record;
-    otherwise it is read whole too. ``file_filter`` is a condition on
+    break. With ``split`` they are cut at line breaks and shared among tasks; a
+    pass over the lines makes sure first that each is one record, and
+    ``SplitError`` is raised if one is not. Rows of more fields than ``columns``
+    end there, or fail the read with ``strict``. ``file_filter`` is a condition on
     ``_metadata`` and prunes files before they are read. Bytes that are no text
     in the encoding are dropped; of a UTF-16 high surrogate that lacks its
     partner the JVM drops the character after it too.
     """
     chosen = F.lit(True) if file_filter is None else file_filter
-
-    def scan(condition: Column, **options) -> DataFrame:
-        frame = spark.read.csv(
-            paths,
-            schema=text_schema(columns),
-            header=dialect.header,
-            enforceSchema=True,
-            encoding=dialect.encoding,
-            quote=dialect.quote,
-            # Report writers double a quote inside quotes.
-            escape=dialect.quote,
-            recursiveFileLookup=True,
-            **options,
-        ).filter(chosen & condition)
-        return frame.select(
-            *(F.replace(F.col(c), F.lit("\ufffd"), F.lit("")).alias(c) for c in columns),
-            _file_path().alias("source_file"),
+    if split and (broken := files_with_broken_lines(spark, paths, dialect, chosen)):
+        raise SplitError(f"lines that are no records in {len(broken)} files, first {broken[0]}")
+    frame = spark.read.csv(
+        paths,
+        schema=text_schema([*columns, _SURPLUS]),
+        header=dialect.header,
+        enforceSchema=True,
+        encoding=dialect.encoding,
+        quote=dialect.quote,
+        # Report writers double a quote inside quotes.
+        escape=dialect.quote,
+        recursiveFileLookup=True,
+        **({"lineSep": "\n"} if split else {"multiLine": True}),
+    ).filter(chosen)
+    if strict:
+        told = F.concat(F.lit(f"more than {len(columns)} columns in "), _file_path())
+        frame = frame.filter(
+            F.when(F.col(_SURPLUS).isNotNull(), F.raise_error(told).cast("boolean")).otherwise(True)
         )
-
-    if split_above is None:
-        return scan(F.lit(True), multiLine=True)
-
-    is_large = F.col("_metadata.file_size") > split_above
-    large = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(paths)
-        .filter(chosen & is_large)
-        .select(_file_path())
-    )
-    if large.isEmpty():
-        return scan(F.lit(True), multiLine=True)
-
-    broken = files_with_broken_lines(spark, paths, dialect, chosen & is_large)
-    by_line = is_large & ~_file_path().isin(broken)
-    split = scan(by_line, lineSep="\n").select(
-        *(_without_line_end(F.col(c)).alias(c) for c in columns), "source_file"
+    rows = frame.select(
+        *(F.replace(F.col(c), F.lit("\ufffd"), F.lit("")).alias(c) for c in columns),
+        _file_path().alias("source_file"),
     )
-    return scan(~by_line, multiLine=True).unionByName(split)
+    if not split:
+        return rows
+    return rows.select(*(_without_line_end(F.col(c)).alias(c) for c in columns), "source_file")
 
 
 def _without_line_end(c: Column) -> Column:
-    """What is left of a line's last field when lines end in CR LF."""
+    """What is left of a line's last field when lines end in CR LF; no other field of a
+    file that may be split holds a CR."""
     return F.when(F.endswith(c, F.lit("\r")), F.left(c, F.length(c) - 1)).otherwise(c)
 
 
 def files_with_broken_lines(
     spark: SparkSession, paths: str | Sequence[str], dialect: Dialect, condition: Column
 ) -> list[str]:
-    """Files in which some line is not a record of its own.
+    """Files in which some line is not plainly a record of its own.
 
-    The first line break inside quotes leaves an odd number of quotes before it
-    on its line. A break that was found between the halves of two characters
-    leaves half a character, which cannot be decoded.
+    A record is made of fields without quotes and fields in quotes, quotes inside
+    them doubled; a CR stands only at its end. The first line of a record that goes on in the next one does not fit this. A break
+    that was found between the halves of two characters leaves half a character,
+    which cannot be decoded. Only the names of such files go to the driver, the
+    first few of them.
     """
     # One field per line: no quotes, and a separator that is no character.
     lines = (
@@ -123,12 +119,13 @@ def files_with_broken_lines(
         .filter(condition)
         .select("line", "more", _file_path().alias("file"))
     )
-    others = F.replace(F.col("line"), F.lit(dialect.quote), F.lit(""))
-    quotes = F.octet_length("line") - F.octet_length(others)
+    q = dialect.quote
+    bare, quoted = rf"[^,{q}\r]*+", rf"{q}(?:[^{q}\r]|{q}{q})*+{q}"
+    record = rf"^(?:(?:{quoted}|{bare}),)*+(?:{quoted}|{bare})\r?\z"
     broken = (
-        (quotes % 2 == 1) | F.contains("line", F.lit("\ufffd")) | F.col("more").isNotNull()
+        ~F.col("line").rlike(record) | F.contains("line", F.lit("\ufffd")) | F.col("more").isNotNull()
     )
-    return [r.file for r in lines.filter(broken).select("file").distinct().collect()]
+    return [r.file for r in lines.filter(broken).select("file").distinct().limit(20).collect()]
 
 
 def read_utf16_csv(
@@ -136,10 +133,11 @@ def read_utf16_csv(
     paths: str | Sequence[str],
     columns: Sequence[str],
     file_filter: Column | None = None,
-    split_above: int | None = SPLIT_ABOVE,
+    split: bool = False,
+    strict: bool = False,
 ) -> DataFrame:
     """UTF-16LE reports with a header per file, with or without byte order mark."""
-    return read_report_csv(spark, paths, columns, UTF16_REPORT, file_filter, split_above)
+    return read_report_csv(spark, paths, columns, UTF16_REPORT, file_filter, split, strict)
 
 
 def scan_feed(
@@ -149,12 +147,13 @@ def scan_feed(
     feeds: Sequence[str],
     months: Sequence[str],
     width: int,
-    split_above: int | None = SPLIT_ABOVE,
+    split: bool = False,
 ) -> DataFrame:
     """Rows of all objects of a report for accounts × months × feeds.
 
     ``roots`` maps an account label to the folder of its reports. Adds tenant,
-    feed, month and package, all taken from the object name.
+    feed, month and package, all taken from the object name. A row of more than
+    ``width`` fields fails the scan.
     """
     name = (
         rf"stats/{report}/(?:[^/]*=)?{report}_(.*)_({'|'.join(months)})"
@@ -168,7 +167,8 @@ def scan_feed(
             f"{root}/stats/{report}",
             positional(width),
             _file_path().rlike(name),
-            split_above,
+            split,
+            strict=True,
         )
         return raw.select(
             F.lit(tenant).alias("tenant"),
@@ -198,10 +198,10 @@ def read_sales_csv(
     spark: SparkSession,
     paths: str | Sequence[str],
     columns: Sequence[str],
-    split_above: int | None = SPLIT_ABOVE,
+    split: bool = False,
 ) -> DataFrame:
     """Sales CSV: header, quoted line breaks, characters outside ASCII dropped."""
-    raw = read_report_csv(spark, paths, columns, PLAIN_REPORT, None, split_above)
+    raw = read_report_csv(spark, paths, columns, PLAIN_REPORT, None, split)
     return raw.select(*(strip_non_ascii(F.col(c)).alias(c) for c in columns))
 
 
@@ -211,7 +211,7 @@ def read_supported_devices(
     columns: Sequence[str] = DEVICE_COLUMNS,
 ) -> DataFrame:
     """Device list: header, tabs removed from every field."""
-    raw = read_report_csv(spark, paths, columns, PLAIN_REPORT)
+    raw = read_report_csv(spark, paths, columns, PLAIN_REPORT, strict=True)
     return raw.select(*(strip_tabs(F.col(c)).alias(c) for c in columns))
 
 
@@ -219,13 +219,13 @@ def read_cooked_csv(
     spark: SparkSession,
     paths: str | Sequence[str],
     columns: Sequence[str],
-    split_above: int | None = SPLIT_ABOVE,
+    split: bool = False,
 ) -> DataFrame:
     """Published cooked files: comma, ``%`` as quote, no header."""
-    return read_report_csv(spark, paths, columns, COOKED, None, split_above)
+    return read_report_csv(spark, paths, columns, COOKED, None, split, strict=True)
 
 
 def read_earnings(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Earnings CSV: one header line, the 19 columns as text."""
-    raw = read_report_csv(spark, paths, EARNINGS_COLUMNS, PLAIN_REPORT)
+    raw = read_report_csv(spark, paths, EARNINGS_COLUMNS, PLAIN_REPORT, strict=True)
     return raw.select(*EARNINGS_COLUMNS)

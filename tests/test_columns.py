@@ -198,7 +198,7 @@ def test_config_is_checked():
 def test_config_from_dict():
     config = LoadConfig.from_dict(
         {
-            "tenants": {"a": "/a"}, "output_root": "/x", "load": "both", "unknown": 1,
+            "tenants": {"a": "/a"}, "output_root": "/x", "load": "both",
             "targets": [{"endpoint": "w", "skip": ["device"], "tables": {"overview": "t"}}],
         },
         dt.date(2021, 1, 1),
@@ -207,6 +207,25 @@ def test_config_from_dict():
     assert config.targets == (Target("w", frozenset({"device"}), {"overview": "t"}),)
 
 
+def test_misspelt_settings_are_errors():
+    with pytest.raises(ValueError, match="restrictd"):
+        LoadConfig.from_dict({"tenants": {}, "output_root": "/x", "restrictd": {}}, dt.date(2021, 1, 1))
+
+
+def test_feeds_from_plain_settings():
+    feed = {
+        "name": "overview", "date_column": "day",
+        "columns": [
+            {"name": "day", "source": 0, "kind": "date"},
+            {"name": "crashes", "source": 2, "kind": "metric", "type": "bigint"},
+        ],
+    }
+    config = LoadConfig.from_dict(
+        {"tenants": {}, "output_root": "/x", "crash_feeds": [feed]}, dt.date(2021, 1, 1)
+    )
+    assert config.feeds() == ["overview"] and config.crash_feeds[0].width == 3
+
+
 @given(st.integers(-500, 500))
 def test_month_arithmetic(n):
     start = dt.date(2000, 6, 15)

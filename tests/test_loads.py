@@ -15,6 +15,9 @@ from reportloom.plans.staging import read_published
 from reportloom.schemas import EARNINGS_COLUMNS
 from reportloom.sinks import tables
 from reportloom.sinks.control import read_dates, read_status
+from reportloom.sinks.exports import export_cooked
+from reportloom.sources.manifests import load_from_manifest
+from reportloom.sources.reports import read_cooked_csv
 
 CRASH_HEADER = "Date,Package,Dimension,Crashes,ANRs\r\n"
 OVERVIEW_HEADER = "Date,Package,Crashes,ANRs\r\n"
@@ -88,10 +91,17 @@ def test_control_data_of_a_crash_run(spark, tmp_path, config):
     lists = {r.feed: r.date_list for r in spark.read.parquet(f"{control}/dates").collect()}
     assert lists == dict.fromkeys(result.feeds, "('2021-01-04')")
     manifests = {r.feed: json.loads(r.value) for r in spark.read.text(f"{control}/manifests").collect()}
+    folder = f"{config.output_root}/processed/crashes/p_feed=device/p_date=2021-01-04"
     assert manifests["device"]["entries"] == [
-        {"url": f"{config.output_root}/device/processed/2021-01-04/2021-01-04_device_{t}.csv", "mandatory": True}
-        for t in ("ta", "tb")
+        {"url": f"{folder}/p_tenant={t}", "mandatory": True} for t in ("ta", "tb")
     ]
+    listed = load_from_manifest(
+        spark, f"{control}/manifests/run_date={config.run_date}/feed=device",
+        lambda paths: read_cooked_csv(spark, paths, ["d", "p", "m", "c", "a"]),
+    )
+    assert sorted(tuple(r)[:5] for r in listed.collect()) == [("2021-01-04", "com.x", "Pixel 4, XL 50", "1234", "5.50")] * 2
+    stats = {r.column_name: r for r in spark.read.parquet(f"{control}/statistics").collect()}
+    assert (stats["daily_crashes"].row_count, stats["dimension"].null_count) == (8, 2)
     assert read_published(spark, config.output_root, "crashes").count() == 8
 
 
@@ -103,6 +113,10 @@ def test_raw_zone_keeps_rows_as_they_came(spark, tmp_path, config):
         run_crashes(spark, config)
         raw = spark.read.parquet(f"{config.output_root}/raw/crashes")
         assert raw.count() == 8
+    ranged = replace(config, date_format="Range", start_date="2020-12", end_date="2020-12")
+    run_crashes(spark, ranged)  # of another month: leaves what the daily run kept
+    raw = spark.read.parquet(f"{config.output_root}/raw/crashes")
+    assert raw.count() == 8
     row = raw.filter("feed = 'device'").first()
     assert (row.c2, row.c3, row.run_date) == ("Pixel 4, XL 50%", "1,234", config.run_date)
 
@@ -134,6 +148,45 @@ def test_bad_report_date_stops_the_run(spark, tmp_path, config):
         put_crashes(tmp_path / "in", tenant, [4, 41])
     with pytest.raises(Exception, match="bad report date"):
         run_crashes(spark, config)
+    note = read_status(spark, f"{config.output_root}/control/crashes/status", "crashes", config.run_date)
+    assert note.first().status == "error"
+
+
+def test_wider_reports_stop_the_run(spark, tmp_path, config):
+    for tenant in config.tenants:
+        put_crashes(tmp_path / "in", tenant, [4])
+    path = tmp_path / "in/ta/stats/crashes/crashes_com.x_202101_overview.csv"
+    put(path, "Date,Package,Crashes,ANRs,More\r\n2021-01-04,com.x,1,2,3\r\n")
+    with pytest.raises(Exception, match="more than 4 columns"):
+        run_crashes(spark, config)
+    put(path, "Date,Package,Crashes,ANRs,More,Most\r\n2021-01-04,com.x,1,2,3,4\r\n")
+    with pytest.raises(Exception, match="more than 5 columns"):
+        run_crashes(spark, config)
+
+
+def test_what_was_published_stays_published(spark, tmp_path, config):
+    for tenant in config.tenants:
+        put_crashes(tmp_path / "in", tenant, [4])
+    assert len(run_crashes(spark, config).feeds) == 4
+    for tenant in config.tenants:
+        put(
+            tmp_path / "in" / tenant / "stats/crashes/crashes_com.x_202101_device.csv",
+            CRASH_HEADER + "2021-01-04,com.x,P,1,2\r\n2021-01-05,com.x,P,1,2\r\n",
+        )
+    assert run_crashes(spark, config).feeds == ("device",)
+    ranged = replace(config, date_format="Range", start_date="2021-01", end_date="2021-01")
+    assert len(run_crashes(spark, ranged).feeds) == 4
+    assert run_crashes(spark, config).status == "No New Data"
+    days = tmp_path / "out/processed/crashes/p_feed=device"
+    assert sorted(p.name for p in days.glob("p_date=*")) == ["p_date=2021-01-04", "p_date=2021-01-05"]
+
+
+def test_an_export_leaves_other_days(spark, tmp_path):
+    for day in ("2021-01-04", "2021-01-05"):
+        rows = spark.createDataFrame([(day, "x", "device", "ta")], "c0 string, c1 string, feed string, tenant string")
+        export_cooked(rows, str(tmp_path / "e"), ["c0", "c1"])
+    found = read_cooked_csv(spark, str(tmp_path / "e"), ["c0", "c1"])
+    assert sorted(r.c0 for r in found.collect()) == ["2021-01-04", "2021-01-05"]
 
 
 def put_installs(root, tenant, app, days):
@@ -162,11 +215,11 @@ def test_product_filters(spark):
     )
     kept = keep_product(df, {"r": "app"}, "p").collect()
     assert sorted(map(tuple, kept)) == [("free", "other"), ("r", "app")]
-    mentioned = keep_product_mention(df, {"r": "app"}, ["p"]).collect()
+    mentioned = keep_product_mention(df, {"r": "aPP"}, ["p"]).collect()
     assert sorted(map(tuple, mentioned)) == [("free", "other"), ("r", "APP"), ("r", "app")]
 
 
-SALES_HEADER = ",".join(f"h{i}" for i in range(19))
+SALES_HEADER = ",".join("Product ID" if i == 6 else f"h{i}" for i in range(19))
 
 
 def put_sales(root, tenant, orders):
@@ -199,6 +252,25 @@ def test_sales_from_zip_to_table(spark, tmp_path, config):
     assert short.financial_status is None and len(short.sale_key) == 32
 
 
+def test_the_product_column_is_found_by_name(spark, tmp_path, config):
+    config = replace(config, load="sales", restricted={"tb": "com.keep"})
+    for tenant in config.tenants:
+        put_sales(tmp_path / "in", tenant, [("com.keep", 4, "other"), ("no", 4, "com.keep")])
+    with zipfile.ZipFile(tmp_path / "in/tb/sales/salesreport_202101.zip") as z:
+        text = z.read("salesreport_202101.csv").decode()
+    moved = text.replace("Product ID", "h6").replace("h0", "Product ID", 1)
+    for content, kept in ((moved, {"com.keep"}), (text.replace("Product ID", "App"), None)):
+        with zipfile.ZipFile(tmp_path / "in/tb/sales/salesreport_202101.zip", "w") as z:
+            z.writestr("salesreport_202101.csv", content)
+        raw = loads.scan_sales(spark, config)
+        if kept is None:
+            with pytest.raises(Exception, match="no column 'Product ID'"):
+                raw.collect()
+            continue
+        rows = keep_product(raw, config.restricted, "named").filter("tenant = 'tb'").collect()
+        assert {r.c0 for r in rows} == kept
+
+
 def test_store_codes(spark, tmp_path, config):
     config = replace(config, load="both")
     root = f"{config.output_root}/store"
@@ -214,7 +286,7 @@ def test_store_codes(spark, tmp_path, config):
     assert loads.load_store(spark, ranged, root) == 1
     assert spark.read.parquet(f"{root}/installs").count() == 4
     status = read_status(spark, f"{config.output_root}/control/sales/status", "sales", config.run_date)
-    assert status.first().status == "['sales']"
+    assert status.first().status == "New Data"
 
 
 def test_tables_take_their_column_names_from_the_run(spark, tmp_path, config):
@@ -286,6 +358,12 @@ def test_a_file_without_rows_still_counts_for_the_gate(spark, tmp_path, config):
     assert earnings_amounts(spark, path) == [("Jan 4, 2021", "ta", 1)]
 
 
+def test_devices_need_a_target(spark, tmp_path):
+    put(tmp_path / "d.csv", "a,b,c,d\nX,Y,Z,w\n", "utf-8")
+    with pytest.raises(ValueError, match="no targets"):
+        loads.load_devices(spark, str(tmp_path / "d.csv"), LoadConfig({}, dt.date(2021, 1, 1), str(tmp_path)))
+
+
 def test_devices(spark, tmp_path):
     put(tmp_path / "d.csv", 'a,b,c,d\nX\t,"Y, Z", ,w\n', "utf-8")
     chosen = (Target("one"), Target("two", tables={"supported_devices": "other"}))

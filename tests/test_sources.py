@@ -36,29 +36,56 @@ EDGE_TEXTS = {
 }
 
 
-@pytest.mark.parametrize("split_above", [None, 1 << 30, 0])
+SPLITS = {
+    "lone cr": "Date,a,b\r2021-01-04,x,y\r2021-01-05,z,w\r",
+    "even quotes": 'Date,a,b\n1,5" s,"l1\nl2",7" k\n',
+    "cr in quotes": 'Date,a,b\n1,"x\r",y\n',
+    "plain crlf": "Date,a,b\r\n1,x,y\r\n2,z,w\r\n",
+}
+
+
+@pytest.mark.parametrize("name", [*EDGE_TEXTS, *SPLITS])
+def test_a_split_gives_the_same_rows_or_an_error(spark, tmp_path, name):
+    (tmp_path / "f.csv").write_bytes((EDGE_TEXTS | SPLITS)[name].encode())
+
+    def read(split):
+        rows = reports.read_report_csv(spark, str(tmp_path), COLUMNS, reports.PLAIN_REPORT, split=split)
+        return sorted(map(tuple, rows.collect()), key=str)
+
+    try:
+        assert read(split=True) == read(split=False)
+    except reports.SplitError:
+        assert name in ("lone cr", "even quotes", "cr in quotes", "crlf", "quote bytes", "quoted ends")
+
+
+def test_surplus_columns_fail_a_strict_read(spark, tmp_path):
+    (tmp_path / "f.csv").write_text("Date,a,b\n1,x,y\n2,x,y,z\n")
+    cut = reports.read_report_csv(spark, str(tmp_path), COLUMNS, reports.PLAIN_REPORT)
+    assert cut.count() == 2
+    with pytest.raises(Exception, match="more than 3 columns"):
+        reports.read_report_csv(spark, str(tmp_path), COLUMNS, reports.PLAIN_REPORT, strict=True).collect()
+
+
 @pytest.mark.parametrize("name", list(EDGE_TEXTS))
-def test_utf16_scan_reads_what_python_reads(spark, tmp_path, name, split_above):
+def test_utf16_scan_reads_what_python_reads(spark, tmp_path, name):
     write_utf16(tmp_path / "f.csv", EDGE_TEXTS[name])
-    got = reports.read_utf16_csv(spark, str(tmp_path), COLUMNS, split_above=split_above)
+    got = reports.read_utf16_csv(spark, str(tmp_path), COLUMNS)
     assert sorted(tuple(r)[:3] for r in got.collect()) == python_rows(EDGE_TEXTS[name])
 
 
-@pytest.mark.parametrize("split_above", [None, 0])
 @pytest.mark.parametrize("name", list(EDGE_TEXTS))
-def test_utf8_scan_reads_what_python_reads(spark, tmp_path, name, split_above):
+def test_utf8_scan_reads_what_python_reads(spark, tmp_path, name):
     (tmp_path / "f.csv").write_bytes(EDGE_TEXTS[name].encode())
-    got = reports.read_report_csv(
-        spark, str(tmp_path), COLUMNS, reports.PLAIN_REPORT, split_above=split_above
-    )
+    got = reports.read_report_csv(spark, str(tmp_path), COLUMNS, reports.PLAIN_REPORT)
     assert sorted(tuple(r)[:3] for r in got.collect()) == python_rows(EDGE_TEXTS[name])
 
 
-@pytest.mark.parametrize("split_above", [None, 0])
-def test_cooked_files_split_only_where_a_line_is_a_record(spark, tmp_path, split_above):
+def test_cooked_files_with_line_breaks(spark, tmp_path):
     (tmp_path / "a.csv").write_text("x,%one, two%,y\n1,2,3\n")
     (tmp_path / "b.csv").write_text("x,%one\ntwo%,y\n")
-    got = reports.read_cooked_csv(spark, str(tmp_path), COLUMNS, split_above)
+    got = reports.read_cooked_csv(spark, str(tmp_path), COLUMNS)
+    with pytest.raises(reports.SplitError):
+        reports.read_cooked_csv(spark, str(tmp_path), COLUMNS, split=True)
     rows = sorted((r.d, r.a, r.b) for r in got.collect())
     assert rows == [("1", "2", "3"), ("x", "one\ntwo", "y"), ("x", "one, two", "y")]
 
@@ -79,7 +106,7 @@ def test_large_files_are_split_without_loss(spark, tmp_path):
     write_utf16(tmp_path / "big.csv", "Date,a,b\r\n" + "\r\n".join(lines) + "\r\n")
     spark.conf.set("spark.sql.files.maxPartitionBytes", 256 * 1024)
     try:
-        got = reports.read_utf16_csv(spark, str(tmp_path), COLUMNS, split_above=1024)
+        got = reports.read_utf16_csv(spark, str(tmp_path), COLUMNS, split=True)
         assert got.rdd.getNumPartitions() > 4
         assert got.count() == 60000
         assert got.agg(F.sum(F.col("b").cast("bigint"))).first()[0] == sum(range(60000))

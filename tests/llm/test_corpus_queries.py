@@ -31,6 +31,14 @@ def test_every_operator_is_registered(spark):
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
+@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+def test_no_cross_joins_and_native_where_promised(spark, name):
+    plan = queries.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    if name in ("op2_license_scan", "op3_quality_rules", "op5_mixing", "op7_sharding"):
+        assert "Python" not in plan and "Arrow" not in plan
+
+
 def test_near_duplicates_of_the_tables(spark):
     rows = queries.op4_simhash(spark, DIR).collect()
     prints = {}

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from reportloom.functions.dates import text_month
-from reportloom.workspace import new_folder, path_exists
+from reportloom.workspace import new_folder, path_exists, remove_folder
 
 TEXT_MONTH = "transaction_month"
 # The month whose load brought a row; its text date may say another.
@@ -121,18 +121,30 @@ def replace_by_date(
     old = None
     if layout.grain == "month":
         old = existing_table(spark, path, placed.schema)
-    if old is not None:
-        old = _days_to_keep(placed, old, layout)
-    rows = placed if old is None else placed.unionByName(old)
+    if old is None:
+        replace_partitions(placed, path, layout.partition_by, clustered)
+        return
+    days, copy = new_folder(spark, "days"), new_folder(spark, "kept-days")
+    kept = _days_to_keep(placed, old, layout, days, copy)
+    rows = placed if kept is None else placed.unionByName(kept)
     replace_partitions(rows, path, layout.partition_by, clustered)
+    # Needed until the commit only.
+    remove_folder(spark, days)
+    remove_folder(spark, copy)
+
 
+def _days_to_keep(
+    placed: DataFrame, old: DataFrame, layout: Layout, path: str = "", copy: str = ""
+) -> DataFrame | None:
+    """Old rows of the touched months whose days are not replaced, None without any.
 
-def _days_to_keep(placed: DataFrame, old: DataFrame, layout: Layout) -> DataFrame | None:
-    """Old rows of the touched months whose days are not replaced, None without any."""
+    ``path`` and ``copy`` are folders for the days of the batch and for these rows.
+    """
+    path = path or new_folder(placed.sparkSession, "days")
+    copy = copy or new_folder(placed.sparkSession, "kept-days")
     spark = placed.sparkSession
     # The days of the batch, at most feeds × calendar: written so that Spark knows
     # their size and chooses the join by it.
-    path = new_folder(spark, "days")
     columns = [*layout.keys, layout.month_column]
     placed.select(*columns).distinct().write.parquet(path)
     days = spark.read.parquet(path)
@@ -147,7 +159,6 @@ def _days_to_keep(placed: DataFrame, old: DataFrame, layout: Layout) -> DataFram
     if kept.select(*layout.keys).isEmpty():
         return None
     # Copied first: the commit removes the files that hold them.
-    copy = new_folder(spark, "kept-days")
     kept.select(*placed.columns).write.parquet(copy)
     return read_table(spark, copy, placed.schema)
 
@@ -185,6 +196,7 @@ def replace_by_month(df: DataFrame, path: str, month: str) -> None:
     spark = df.sparkSession
     keyed = df.withColumn(TEXT_MONTH, text_month(F.col("transaction_date"))).withColumn(LOAD_MONTH, F.lit(month))
     old = existing_table(spark, path, keyed.schema)
+    copy = new_folder(spark, "other-months")
     if old is not None:
         # At most one row per calendar month.
         outside = F.coalesce(F.col(TEXT_MONTH) != month, F.lit(True))
@@ -196,10 +208,10 @@ def replace_by_month(df: DataFrame, path: str, month: str) -> None:
                 there = there | F.col(TEXT_MONTH).isNull()
             others = old.filter(there & outside & ~F.col(LOAD_MONTH).eqNullSafe(F.lit(month)))
             # Copied first: the commit removes the files that hold them.
-            copy = new_folder(spark, "other-months")
             others.write.parquet(copy)
             keyed = keyed.unionByName(read_table(spark, copy, keyed.schema))
     replace_partitions(keyed, path, [TEXT_MONTH])
+    remove_folder(spark, copy)
 
 
 def counts_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:

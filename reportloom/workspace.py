@@ -40,6 +40,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(conf).exists(hadoop_path)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a working folder that this run made with ``new_folder``."""
+    if "/reportloom/" not in path:
+        raise ValueError(f"{path} is no working folder")
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop_path.getFileSystem(conf).delete(hadoop_path, True)
+
+
 def run_together(spark: SparkSession, jobs: Sequence[Callable[[], None]]) -> None:
     """Run independent writes at the same time; the first failure is raised."""
     with ThreadPoolExecutor(TOGETHER) as pool:

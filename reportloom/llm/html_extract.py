@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html
+import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -312,22 +313,41 @@ def main_text(page: str | None, reference: tuple | None, content: frozenset[str]
     return "\n\n".join(text for slot in found for node in slot[3] for text in blocks(node))
 
 
+def packed(slot: tuple) -> list:
+    """What alignment needs of a reference page, without its texts."""
+    node = slot[3][0]
+    own = any(isinstance(p, str) and p.strip() for p in node.parts)
+    return [slot[0], node.tag, int(node.dropped), int(own), [packed(s) for s in slot[2]]]
+
+
+def unpacked(parts: list) -> tuple:
+    sign, tag, dropped, own, below = parts
+    node = Node(tag, sign, bool(dropped), False, ["text"] if own else [])
+    return sign, 0, tuple(unpacked(b) for b in below), [node]
+
+
 def host_of(url):
     """The host of a URL, in lower case; an empty text if there is none."""
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
 def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """One row per host: ``host``, ``reference`` (the page that all others are aligned
-    with, by the smallest hash) and ``constant`` (its places that hold one text on most
-    pages). All pages take part; pages of one content count once. Hosts of fewer than
+    """One row per host: ``host``, ``reference`` (the skeleton of the page that all others
+    are aligned with, the one of the smallest hash) and ``constant`` (its places that
+    hold one text on most pages). All pages take part; pages of one content count once. Hosts of fewer than
     ``LEAST_PAGES`` pages have constant places only by chance and get none.
     """
     rows = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).cast("string").alias("html"))
     rows = rows.where("html is not null").withColumn("h", F.xxhash64("html"))
     first = rows.groupBy("host").agg(F.min("h").alias("h"))
     chosen = rows.join(settle(first, "hosts"), ["host", "h"]).groupBy("host").agg(F.min("html").alias("reference"))
-    chosen = settle(chosen, "host-references")
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            trees = [json.dumps(packed(skeleton([parse(page.as_py())]))) for page in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(trees, pa.string())], ["host", "reference"])
+
+    chosen = settle(chosen.transform(map_batches, pack, "host string, reference string"), "host-references")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, tuple] = {}
@@ -337,7 +357,7 @@ def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") ->
                 host = host.as_py()
                 if host not in known:
                     known.clear() if len(known) >= KNOWN else None
-                    known[host] = skeleton([parse(reference.as_py())])
+                    known[host] = unpacked(json.loads(reference.as_py()))
                 for place, slot in aligned(known[host], skeleton([parse(page.as_py())])):
                     for column, value in zip(out, (host, place, slot[1] - (1 << 63), h.as_py()), strict=True):
                         column.append(value)
@@ -376,7 +396,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                 host = host.as_py()
                 if host not in wrapper:
                     wrapper.clear() if len(wrapper) >= KNOWN else None
-                    tree = skeleton([parse(reference.as_py())]) if reference.is_valid else None
+                    tree = unpacked(json.loads(reference.as_py())) if reference.is_valid else None
                     wrapper[host] = tree, frozenset(content_places(tree, set(constant.as_py() or ())) if tree else ())
                 texts.append(main_text(page.as_py(), *wrapper[host]))
             yield pa.RecordBatch.from_arrays(

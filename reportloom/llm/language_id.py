@@ -18,6 +18,8 @@ ORDER = 4
 UNKNOWN = "und"
 # N-grams, of all languages together, that a model holds; it goes to every executor.
 MOST_NGRAMS = 3_000_000
+# Numbers in the table of its costs, one per n-gram and language.
+MOST_COSTS = 24_000_000
 # Learned rows by which rejection is calibrated, and the share of them it lets pass.
 CALIBRATION_ROWS = 2_000
 ACCEPTED = 0.999
@@ -242,12 +244,15 @@ def learn(rows: DataFrame, most_ngrams: int = MOST_NGRAMS, calibration_rows: int
     """A model of all rows of ``rows`` (``id``, ``lang``, ``text``) whose ``lang`` is not null.
 
     Counts cover every row. Only what the model holds goes to the driver: all n-grams,
-    or if there are more than ``most_ngrams``, those found most often. Rejection is
+    or if there are more than ``most_ngrams`` (fewer for many languages, see
+    ``MOST_COSTS``), those found most often. Rejection is
     calibrated on ``calibration_rows`` rows chosen by a hash of the id.
     """
     rows = rows.where("lang is not null")
     counts = settle(ngram_counts(rows), "ngrams")
     least = 1
+    languages = counts.select("lang").distinct().count()
+    most_ngrams = min(most_ngrams, MOST_COSTS // max(1, languages))
     # The least count that leaves few enough, from how many n-grams have each count.
     spread = counts.groupBy(F.least("n", F.lit(10_000)).alias("n")).agg(F.count(F.lit(1)).alias("all"))
     left = 0
@@ -266,8 +271,10 @@ def learn(rows: DataFrame, most_ngrams: int = MOST_NGRAMS, calibration_rows: int
         order = np.argsort(grams[own])
         tables[language] = grams[own][order], number[own][order]
     model = Model(tables)
-    some = rows.orderBy(F.xxhash64(F.col("id").cast("string"), F.lit(9)), F.xxhash64("text"))
-    model.calibrate([(r["lang"], r["text"]) for r in some.select("lang", "text").limit(calibration_rows).collect()])
+    # Ids are chosen without their texts, of which each task would send its own.
+    some = rows.select("id").where("id is not null").distinct().orderBy(F.xxhash64("id", F.lit(9)), "id")
+    chosen = rows.join(F.broadcast(some.limit(calibration_rows)), "id").select("lang", "text").limit(calibration_rows)
+    model.calibrate([(r["lang"], r["text"]) for r in chosen.collect()])
     return model
 
 

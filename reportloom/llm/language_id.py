@@ -9,7 +9,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reportloom.llm.common import map_batches, settle
@@ -240,6 +240,13 @@ def _counted(held: dict[str, list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _rank(count: Column) -> Column:
+    """A number that rises with a count, by its length and its first four digits: 9,000
+    ranks per power of ten, so few go to the driver, however high the counts."""
+    digits = count.cast("string")
+    return F.length(digits) * 10_000 + F.substring(digits, 1, 4).cast("int")
+
+
 def learn(rows: DataFrame, most_ngrams: int = MOST_NGRAMS, calibration_rows: int = CALIBRATION_ROWS) -> Model:
     """A model of all rows of ``rows`` (``id``, ``lang``, ``text``) whose ``lang`` is not null.
 
@@ -253,15 +260,15 @@ def learn(rows: DataFrame, most_ngrams: int = MOST_NGRAMS, calibration_rows: int
     least = 1
     languages = counts.select("lang").distinct().count()
     most_ngrams = min(most_ngrams, MOST_COSTS // max(1, languages))
-    # The least count that leaves few enough, from how many n-grams have each count.
-    spread = counts.groupBy(F.least("n", F.lit(10_000)).alias("n")).agg(F.count(F.lit(1)).alias("all"))
+    # The least rank that leaves few enough, from how many n-grams have each rank.
+    spread = counts.groupBy(_rank(F.col("n")).alias("rank")).agg(F.count(F.lit(1)).alias("all"))
     left = 0
-    for row in sorted(spread.collect(), key=lambda r: -r["n"]):
+    for row in sorted(spread.collect(), key=lambda r: -r["rank"]):
         left += row["all"]
         if left > most_ngrams:
-            least = row["n"] + 1
+            least = row["rank"] + 1
             break
-    held = counts.where(F.col("n") >= least).toArrow()
+    held = counts.where(_rank(F.col("n")) >= least).toArrow()
     names = np.array(held.column("lang").to_pylist(), object)
     grams = held.column("gram").to_numpy().view(np.uint64)
     number = held.column("n").to_numpy()

@@ -385,3 +385,19 @@ def test_a_foreign_text_is_rejected(spark):
     model = language_id.learn(rows)
     _, _, rejected = model.predict([prose(7, 30), "Совсем другой язык, которого модель не знает совсем"])
     assert rejected.tolist() == [False, True]
+
+
+def test_language_model_is_bounded_by_high_counts(spark):
+    """Counts far beyond 10,000 are told apart too: the model holds no more than it may."""
+    texts = [(1, "x", "abcdefgh " * 30_000), (2, "x", "ijkl " * 20_000), (3, "y", "mnop " * 12_000)]
+    rows = spark.createDataFrame(texts, "id long, lang string, text string")
+    assert len(language_id.learn(rows).table) > 9
+    held = language_id.learn(rows, most_ngrams=9)
+    assert held.languages == ["x"] and 0 < len(held.table) <= 9
+
+
+def test_ranks_rise_with_counts(spark):
+    counts = spark.range(1, 30_000).unionByName(spark.range(29_900, 10_000_000, 99_991))
+    pairs = counts.select("id", language_id._rank(counts["id"]).alias("rank")).orderBy("id").collect()
+    ranks = [r["rank"] for r in pairs]
+    assert ranks == sorted(ranks)

@@ -274,9 +274,11 @@ def raw_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # The feeds of the crash load that have new days, as in the freshness queries:
 # the day after the latest complete one is there for all four.
-def _crash_config(spark: SparkSession, sf_dir: str, root: str) -> LoadConfig:
-    """The crash reports written as objects below ``root``, and a run over them."""
-    raw = frames.crash_raw(spark, sf_dir)
+def _crash_config(
+    spark: SparkSession, sf_dir: str, root: str, raw: DataFrame | None = None
+) -> LoadConfig:
+    """Crash reports written as objects below ``root``, and a run over them."""
+    raw = frames.crash_raw(spark, sf_dir) if raw is None else raw
     name = F.concat(
         F.lit("crashes_com.example."), F.col("event_type"), F.lit("_202401_"),
         F.col("feed"), F.lit(".csv"),
@@ -348,6 +350,33 @@ def crashes_load_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_objects(states)
 
 
+@query(
+    sql.with_frames(
+        sql.CRASH_COOKED,
+        """SELECT crash_date,
+  package_name || CASE WHEN crash_date >= DATE '2024-01-20' THEN '.late' ELSE '' END AS package_name,
+  dimension, daily_crashes, daily_anrs, tenant, feed, place
+FROM crash_cooked CROSS JOIN (VALUES ('table'), ('first'), ('third')) v(place)""",
+    )
+)
+def crashes_load_second_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run over all reports, then one over a later delivery of the last days only."""
+    root = new_folder(spark, "crashes-second")
+    raw = frames.crash_raw(spark, sf_dir)
+    late = raw.filter(F.col("c0") >= f"{REPLACED_FROM}").withColumn("c1", F.concat("c1", F.lit(".late")))
+    settings = {"date_format": "Range", "start_date": "2024-01", "end_date": "2024-02", "targets": TARGETS}
+    nothing = frames.published(frames.crash_keys(spark, sf_dir)).filter(F.lit(False))
+    for number, rows in enumerate((raw, late)):
+        config = _crash_config(spark, sf_dir, f"{root}/in-{number}", rows)
+        config = replace(config, output_root=f"{root}/out", **settings)
+        table = plans.load_crashes(spark, config, nothing, f"{root}/table").table
+    places = [table.withColumn("place", F.lit("table"))]
+    for endpoint, feed, name in targets.planned_loads(TARGETS, config.feeds()):
+        rows = spark.read.parquet(f"{root}/out/tables/{endpoint}/{name}")
+        places.append(rows.select(*(c for c in table.columns if c != "feed"), F.lit(feed).alias("feed"), F.lit(endpoint).alias("place")))
+    return union_objects(places)
+
+
 @query(
     sql.with_frames(
         sql.INSTALLS_RAW,

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Collection, Iterator, Mapping, Sequence
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from reportloom.config import LoadConfig
 from reportloom.functions.dates import iso_date
@@ -27,16 +28,21 @@ from reportloom.sinks.control import (
 )
 from reportloom.sinks.exports import export_cooked, export_folder
 from reportloom.sinks.tables import (
+    Day,
     Layout,
     ReconciliationError,
     column_stats,
+    compare_counts,
+    counts_by,
+    days_of,
     existing_table,
     read_table,
-    reconcile_counts,
     replace_by_date,
+    uncovered_days,
     write_checked,
 )
 from reportloom.sinks.targets import load_feeds, planned_loads
+from reportloom.sources.reports import union_objects
 from reportloom.workspace import run_together
 
 
@@ -101,12 +107,51 @@ def errors_noted(spark: SparkSession, config: LoadConfig, job: str) -> Iterator[
         raise
 
 
-def check_loaded(source: DataFrame, table: DataFrame, keys: Sequence[str], what: str) -> None:
-    """Compare rows per key; keys that only the table has are of earlier runs."""
-    counted = reconcile_counts(source, table, keys)
+def check_loaded(
+    source: DataFrame, tables: Sequence[tuple[str, str | None, DataFrame]], feeds: Sequence[str], layout: Layout
+) -> None:
+    """Compare rows per feed and day of the source and of every table that it went to.
+
+    ``tables`` are (path, feed, rows); no feed says that a table holds all ``feeds``. The
+    source is counted once. Days that only a table has are of earlier runs.
+    """
+    spark = source.sparkSession
+    day = layout.date_column
+    counts = counts_by(source, ["feed", day])
+    # One row per table and feed.
+    places = [(path, f) for path, feed, _ in tables for f in ([feed] if feed else feeds)]
+    goes_to = spark.createDataFrame(places, "path string, feed string")
+    expected = counts.join(goes_to, "feed").select("path", "feed", day, "n")
+    written = union_objects([
+        rows.select(F.lit(path).alias("path"), (F.lit(feed) if feed else F.col("feed")).alias("feed"), day)
+        for path, feed, rows in tables
+    ])
+    keys = ["path", "feed", day]
+    counted = compare_counts(expected, counts_by(written, keys), keys)
     wrong = counted.filter((F.col("source_rows") > 0) & ~F.col("ok")).limit(5).collect()
     if wrong:
-        raise ReconciliationError(f"{what}: {[tuple(r) for r in wrong]}")
+        raise ReconciliationError(f"{[tuple(r) for r in wrong]}")
+
+
+def days_to_keep(
+    spark: SparkSession, days: Collection[Day], layout: Layout, schema: StructType,
+    table_path: str, endpoint_paths: Mapping[str, str],
+) -> dict[str, set[Day]]:
+    """By path the days that the tables of a run keep of the months it touches.
+
+    ``days`` are (feed, day); ``endpoint_paths`` gives the feed of each table of one.
+    """
+    if layout.grain != "month":
+        return {}
+    single = replace(layout, leading=())
+    one_feed = StructType([f for f in schema.fields if f.name != "feed"])
+    olds = {}
+    if (old := existing_table(spark, table_path, schema)) is not None:
+        olds[table_path] = (old, layout, days)
+    for path, feed in endpoint_paths.items():
+        if (old := existing_table(spark, path, one_feed)) is not None:
+            olds[path] = (old, single, {(day,) for name, day in days if name == feed})
+    return uncovered_days(olds)
 
 
 def load_new_feeds(
@@ -163,6 +208,11 @@ def load_new_feeds(
 
     new_rows = staged.filter(F.col("feed").isin(list(names)))
     processed = processed_root(config.output_root, job)
+    schema = layout.place(staged).schema
+    tables = f"{config.output_root}/tables"
+    endpoint_paths = {f"{tables}/{e}/{name}": feed for e, feed, name in planned_loads(config.targets, names)}
+    days = days_of(new_parts.withColumnRenamed("report_date", layout.date_column), layout)
+    keep = days_to_keep(spark, days, layout, schema, table_path, endpoint_paths)
 
     def export() -> None:
         fields = processed_columns(new_rows)
@@ -170,30 +220,24 @@ def load_new_feeds(
         export_cooked(text, processed, fields, layout.date_column, clustered=layout.grain == "day")
 
     def load() -> None:
-        replace_by_date(new_rows, table_path, layout, clustered=True)
+        replace_by_date(new_rows, table_path, layout, clustered=True, keep=keep.get(table_path))
 
     def load_endpoints() -> None:
-        load_feeds(new_rows, f"{config.output_root}/tables", config.targets, names, layout)
+        load_feeds(new_rows, tables, config.targets, names, layout, keep)
 
     files = [export, note_manifests] if config.processed else []
     run_together(spark, [load, load_endpoints, *files, note_dates])
-    table = layout.rows(read_table(spark, table_path, layout.place(staged).schema))
+    table = layout.rows(read_table(spark, table_path, schema))
 
     def check() -> None:
-        check_loaded(new_rows, table, layout.keys, table_path)
-
-    def check_endpoints() -> None:
-        days = [layout.date_column]
-        for endpoint, feed, name in planned_loads(config.targets, names):
-            path = f"{config.output_root}/tables/{endpoint}/{name}"
-            rows = new_rows.filter(F.col("feed") == feed)
-            check_loaded(rows, spark.read.parquet(path), days, path)
+        others = [(path, feed, spark.read.parquet(path)) for path, feed in endpoint_paths.items()]
+        check_loaded(new_rows, [(table_path, None, table), *others], names, layout)
 
     def note_statistics() -> None:
         stats = column_stats(table, processed_columns(table))
         stats.write.mode("overwrite").parquet(f"{control}/statistics")
 
-    run_together(spark, [check, check_endpoints, note_statistics])
+    run_together(spark, [check, note_statistics])
     note_status(spark, config, job, status)
     # Published last: a run that fails before it is simply run again.
     publish_parts(new_parts, f"{control}/published", config.run_date)

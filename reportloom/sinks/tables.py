@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 from dataclasses import dataclass
+from datetime import date
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from reportloom.functions.dates import text_month
 from reportloom.workspace import new_folder, path_exists, remove_folder
 
 TEXT_MONTH = "transaction_month"
+# Leading columns and date of a day, as text.
+Day = tuple[str, ...]
 # The month whose load brought a row; its text date may say another.
 LOAD_MONTH = "load_month"
 
@@ -109,58 +113,87 @@ def existing_table(spark: SparkSession, path: str, schema) -> DataFrame | None:
     return read_table(spark, path, schema) if path_exists(spark, path) else None
 
 
+def days_of(df: DataFrame, layout: Layout) -> set[Day]:
+    """The (feed, day) keys of ``df`` as text: at most feeds × calendar, for the driver."""
+    keys = [F.col(k).cast("string") for k in layout.keys]
+    return {tuple(r) for r in df.select(*keys).distinct().collect()}
+
+
+def _among(days: Collection[Day], layout: Layout, column: str, part: Callable[[str], object]) -> Column:
+    """Whether a row's leading columns and ``column`` are those of one of ``days``."""
+    wanted: dict[Day, set] = {}
+    for *leading, day in days:
+        if None not in (*leading, day):
+            wanted.setdefault(tuple(leading), set()).add(part(day))
+    found = F.lit(False)
+    for leading, values in sorted(wanted.items()):
+        same = F.col(column).isin(sorted(values))
+        for name, value in zip(layout.leading, leading, strict=True):
+            same = same & (F.col(name) == value)
+        found = found | same
+    return found
+
+
+def uncovered_days(
+    olds: Mapping[str, tuple[DataFrame, Layout, Collection[Day]]],
+) -> dict[str, set[Day]]:
+    """For each table the days that a batch leaves in the months it touches.
+
+    ``olds`` has, by any name, the table as it is, its layout and the days of the batch.
+    One query looks at the key columns of the touched partitions of all tables.
+    """
+    keep: dict[str, set[Day]] = {name: set() for name in olds}
+    found = [
+        old.filter(_among(days, layout, layout.month_column, lambda day: day[:7]))
+        .select(F.lit(name).alias("name"), F.array(*(F.col(k).cast("string") for k in layout.keys)).alias("day"))
+        for name, (old, layout, days) in olds.items()
+    ]
+    if found:
+        for row in reduce(DataFrame.unionByName, found).distinct().collect():
+            day = tuple(row.day)
+            if day not in olds[row.name][2]:
+                keep[row.name].add(day)
+    return keep
+
+
 def replace_by_date(
-    batch: DataFrame, path: str, layout: Layout, clustered: bool = False
+    batch: DataFrame, path: str, layout: Layout, clustered: bool = False,
+    keep: Collection[Day] | None = None,
 ) -> None:
     """Delete the days that ``batch`` has, of every account, then add its rows.
 
-    ``clustered`` says that the rows of a partition already lie together.
+    ``clustered`` says that the rows of a partition already lie together. ``keep`` are
+    the days that stay of the touched months, as ``uncovered_days`` finds them; without
+    it they are looked up.
     """
     spark = batch.sparkSession
     placed = layout.place(batch)
     old = None
     if layout.grain == "month":
         old = existing_table(spark, path, placed.schema)
-    if old is None:
+    kept = None if old is None else _days_to_keep(placed, old, layout, keep)
+    if kept is None:
         replace_partitions(placed, path, layout.partition_by, clustered)
         return
-    days, copy = new_folder(spark, "days"), new_folder(spark, "kept-days")
-    kept = _days_to_keep(placed, old, layout, days, copy)
-    rows = placed if kept is None else placed.unionByName(kept)
+    copy = new_folder(spark, "kept-days")
+    # Copied first: the commit removes the files that hold them.
+    kept.select(*placed.columns).write.parquet(copy)
+    rows = placed.unionByName(read_table(spark, copy, placed.schema))
     replace_partitions(rows, path, layout.partition_by, clustered)
     # Needed until the commit only.
-    remove_folder(spark, days)
     remove_folder(spark, copy)
 
 
 def _days_to_keep(
-    placed: DataFrame, old: DataFrame, layout: Layout, path: str = "", copy: str = ""
+    placed: DataFrame, old: DataFrame, layout: Layout, keep: Collection[Day] | None = None
 ) -> DataFrame | None:
-    """Old rows of the touched months whose days are not replaced, None without any.
-
-    ``path`` and ``copy`` are folders for the days of the batch and for these rows.
-    """
-    path = path or new_folder(placed.sparkSession, "days")
-    copy = copy or new_folder(placed.sparkSession, "kept-days")
-    spark = placed.sparkSession
-    # The days of the batch, at most feeds × calendar: written so that Spark knows
-    # their size and chooses the join by it.
-    columns = [*layout.keys, layout.month_column]
-    placed.select(*columns).distinct().write.parquet(path)
-    days = spark.read.parquet(path)
-    months = [r[0] for r in days.select(layout.month_column).distinct().collect()]
-    kept = (
-        old.filter(F.col(layout.month_column).isin(months))
-        .join(days.select(*layout.leading, layout.month_column).distinct(),
-              [*layout.leading, layout.month_column], "left_semi")
-        .join(days.select(*layout.keys), layout.keys, "left_anti")
-    )
-    # Looks at the key columns only.
-    if kept.select(*layout.keys).isEmpty():
+    """Old rows of the touched months whose days are not replaced, None without any."""
+    if keep is None:
+        keep = uncovered_days({"": (old, layout, days_of(placed, layout))})[""]
+    if not keep:
         return None
-    # Copied first: the commit removes the files that hold them.
-    kept.select(*placed.columns).write.parquet(copy)
-    return read_table(spark, copy, placed.schema)
+    months = _among(keep, layout, layout.month_column, lambda day: day[:7])
+    return old.filter(months & _among(keep, layout, layout.date_column, date.fromisoformat))
 
 
 def replace_rows_by_date(
@@ -222,10 +255,13 @@ def reconcile_counts(
     source: DataFrame, written: DataFrame, keys: Sequence[str]
 ) -> DataFrame:
     """Rows per key in the source and in the table, and whether they agree."""
-    both = counts_by(source, keys).withColumnRenamed("n", "source_rows").join(
-        counts_by(written, keys).withColumnRenamed("n", "written_rows"),
-        list(keys),
-        "full",
+    return compare_counts(counts_by(source, keys), counts_by(written, keys), keys)
+
+
+def compare_counts(source: DataFrame, written: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Counts (``n``) per key of the source and of the table, and whether they agree."""
+    both = source.withColumnRenamed("n", "source_rows").join(
+        written.withColumnRenamed("n", "written_rows"), list(keys), "full"
     )
     rows = [
         F.coalesce(n, F.lit(0)).cast("bigint").alias(n)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Mapping, Sequence
 from dataclasses import replace
 from functools import partial
 
@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reportloom.config import Target
-from reportloom.sinks.tables import Layout, replace_all, replace_by_date
+from reportloom.sinks.tables import Day, Layout, replace_all, replace_by_date
 from reportloom.workspace import run_together
 
 
@@ -26,19 +26,21 @@ def planned_loads(targets: Sequence[Target], feeds: Sequence[str]) -> list[tuple
 
 def load_feeds(
     staged: DataFrame, root: str, targets: Sequence[Target], feeds: Sequence[str],
-    layout: Layout,
+    layout: Layout, keep: Mapping[str, Collection[Day]] | None = None,
 ) -> list[tuple[str, str, str]]:
     """Replace by date, at each endpoint, the tables of ``feeds``.
 
     ``staged`` is read once per load and only where its feed lies. It was written
-    clustered as the tables are, so no load shuffles.
+    clustered as the tables are, so no load shuffles. ``keep`` has by path the days that
+    stay, where they are known (see ``replace_by_date``).
     """
     loads = planned_loads(targets, feeds)
     layout = replace(layout, leading=())
 
     def load(endpoint: str, feed: str, table: str) -> None:
         rows = staged.filter(F.col("feed") == feed).drop("feed")
-        replace_by_date(rows, f"{root}/{endpoint}/{table}", layout, clustered=True)
+        path = f"{root}/{endpoint}/{table}"
+        replace_by_date(rows, path, layout, clustered=True, keep=(keep or {}).get(path))
 
     run_together(staged.sparkSession, [partial(load, *each) for each in loads])
     return loads

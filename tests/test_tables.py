@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from reportloom.config import Target
+from reportloom.plans import staging
 from reportloom.sinks import control, tables, targets
 from reportloom.workspace import new_folder, shared_root
 
@@ -82,6 +83,37 @@ def test_month_layout_reads_no_old_rows_when_the_batch_has_all_days(spark, tmp_p
     assert [r.crash_date for r in kept.collect()] == [dt.date(2021, 1, 1)]
 
 
+def test_days_that_stay_are_found_for_many_tables_at_once(spark, tmp_path):
+    both, one = tables.Layout("crash_date"), tables.Layout("crash_date", leading=())
+    rows = frame(spark, [(0, 1, "A", "device"), (1, 1, "A", "device"), (40, 1, "A", "device"), (0, 1, "A", "overview")])
+    paths = {"all": (rows, both), "device": (rows.filter("feed = 'device'").drop("feed"), one)}
+    for name, (df, layout) in paths.items():
+        tables.replace_by_date(df, str(tmp_path / name), layout)
+    batch = frame(spark, [(1, 5, "A", "device")])
+    days = tables.days_of(batch, both)
+    assert days == {("device", "2021-01-02")}
+    found = tables.uncovered_days({
+        "all": (tables.read_table(spark, str(tmp_path / "all"), both.place(rows).schema), both, days),
+        "device": (spark.read.parquet(str(tmp_path / "device")), one, {("2021-01-02",)}),
+    })
+    # Neither the other feed nor the other month is touched.
+    assert found == {"all": {("device", "2021-01-01")}, "device": {("2021-01-01",)}}
+    assert tables.uncovered_days({}) == {}
+
+
+def test_rows_lost_in_any_table_are_noticed(spark):
+    layout = tables.Layout("crash_date")
+    rows = frame(spark, [(0, 1, "A", "device"), (1, 1, "A", "device"), (0, 1, "A", "overview")])
+    device = rows.filter("feed = 'device'").drop("feed")
+    feeds = ["device", "overview"]
+    older = rows.unionByName(frame(spark, [(-9, 1, "A", "device")]))
+    staging.check_loaded(rows, [("all", None, older), ("one", "device", device)], feeds, layout)
+    with pytest.raises(tables.ReconciliationError, match="one"):
+        staging.check_loaded(rows, [("all", None, rows), ("one", "device", device.limit(1))], feeds, layout)
+    with pytest.raises(tables.ReconciliationError, match="all"):
+        staging.check_loaded(rows, [("all", None, rows.filter("feed = 'device'"))], feeds, layout)
+
+
 def test_unknown_grain():
     with pytest.raises(ValueError):
         tables.Layout("d", grain="hour")

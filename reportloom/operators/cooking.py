@@ -13,11 +13,12 @@ from reportloom.functions.clean import (
     clean_text,
     surrogate_key,
 )
-from reportloom.functions.dates import strict_report_date
+from reportloom.functions.dates import parse_auto_date, strict_report_date
 from reportloom.schemas import (
     EARNINGS_AMOUNT_TYPE,
     EARNINGS_AMOUNTS,
     EARNINGS_COLUMNS,
+    EARNINGS_DAY,
     SALES_COLUMNS,
     SALES_DATE,
     SALES_NUMBERS,
@@ -98,13 +99,15 @@ def cook_sales(raw: DataFrame, names: Sequence[str] = SALES_COLUMNS) -> DataFram
 
 
 def cook_earnings(raw: DataFrame) -> DataFrame:
-    """Earnings rows with blanks as NULL and typed amounts; text dates are kept."""
+    """Earnings rows with blanks as NULL and typed amounts; text dates are kept, the day
+    that they name is added."""
 
     def value(name: str) -> Column:
         c = blank_to_null(F.col(name))
         return c.cast(EARNINGS_AMOUNT_TYPE) if name in EARNINGS_AMOUNTS else c
 
-    return raw.select(*(value(n).alias(n) for n in EARNINGS_COLUMNS), "tenant")
+    day = parse_auto_date(F.col("transaction_date")).alias(EARNINGS_DAY)
+    return raw.select(*(value(n).alias(n) for n in EARNINGS_COLUMNS), day, "tenant")
 
 
 def cook_devices(raw: DataFrame) -> DataFrame:

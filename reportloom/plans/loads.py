@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reportloom.config import LoadConfig
-from reportloom.functions.dates import text_month_of
+from reportloom.functions.dates import text_month, text_month_of
 from reportloom.functions.names import base_name
 from reportloom.operators.cooking import (
     cook_devices,
@@ -15,11 +15,14 @@ from reportloom.operators.cooking import (
     cook_sales,
 )
 from reportloom.operators.filters import keep_product, keep_product_mention
-from reportloom.operators.freshness import all_tenants_present
+from reportloom.operators.freshness import all_tenants_present, status_note
 from reportloom.plans.staging import (
+    NEW_DATA,
     LoadResult,
     errors_noted,
     load_new_feeds,
+    note_status,
+    processed_root,
     read_published,
     stage,
 )
@@ -30,11 +33,30 @@ from reportloom.schemas import (
     SALES_WIDTH,
     positional,
 )
-from reportloom.sinks.exports import keep_raw
-from reportloom.sinks.tables import Layout, read_table, replace_by_month
-from reportloom.sinks.targets import load_dimension
+from reportloom.sinks.control import build_manifest, publish_manifests
+from reportloom.sinks.exports import (
+    earnings_folder,
+    export_dimension,
+    export_earnings,
+    keep_raw,
+)
+from reportloom.sinks.tables import (
+    LOAD_MONTH,
+    Layout,
+    ReconciliationError,
+    check_counts,
+    column_stats,
+    read_table,
+    reconcile_counts,
+    replace_by_month,
+    write_checked,
+)
+from reportloom.sinks.targets import load_dimension, planned_loads
 from reportloom.sources.archives import archive_rows, expand_archives, scan_objects
 from reportloom.sources.reports import read_supported_devices, scan_feed, union_objects
+from reportloom.workspace import run_together
+
+DEVICES = "supported_devices"
 
 
 def _kept(raw: DataFrame, config: LoadConfig, job: str) -> DataFrame:
@@ -50,11 +72,11 @@ def load_crashes(
     """Crash reports of the configured months into one table per feed."""
     specs = config.crash_feeds
     feeds = [f.name for f in specs]
-    raw = scan_feed(
-        spark, config.tenants, "crashes", feeds, config.months(), max(f.width for f in specs)
-    )
     layout = Layout(specs[0].date_column, grain=config.table_grain)
     with errors_noted(spark, config, "crashes"):
+        raw = scan_feed(
+            spark, config.tenants, "crashes", feeds, config.months(), max(f.width for f in specs)
+        )
         cooked = cook_feeds(_kept(raw, config, "crashes"), specs)
         staged = stage(cooked, f"{config.output_root}/staged/crashes", layout)
         return load_new_feeds(
@@ -67,11 +89,11 @@ def load_installs(
 ) -> LoadResult:
     """Installs by country; restricted accounts keep only rows of their product."""
     spec = config.installs_feed
-    raw = scan_feed(
-        spark, config.tenants, "installs", ["country"], config.months(), spec.width
-    )
     layout = Layout(spec.date_column, grain=config.table_grain)
     with errors_noted(spark, config, "installs"):
+        raw = scan_feed(
+            spark, config.tenants, "installs", ["country"], config.months(), spec.width
+        )
         raw = _kept(raw, config, "installs")
         # The scan refuses wider rows, so these fields are the whole line.
         kept = keep_product_mention(raw, config.restricted, positional(spec.width))
@@ -157,16 +179,29 @@ def load_earnings(config: LoadConfig, archives: DataFrame, table_path: str) -> b
 
     ``archives`` is (tenant, path, content). Runs only on the days of the gate, and
     only when every account has files of the month. Returns whether it loaded.
+
+    The unzipped files are kept by account and month, and each account has a manifest
+    of them, unless the run is told not to.
     """
     first, last = config.gate_days
     if not first <= config.run_date.day <= last:
         return False
+    spark = archives.sparkSession
+    with errors_noted(spark, config, "earnings"):
+        loaded = _load_earnings(spark, config, archives, table_path)
+        note_status(spark, config, "earnings", NEW_DATA if loaded else status_note(()))
+    return loaded
+
+
+def _load_earnings(
+    spark: SparkSession, config: LoadConfig, archives: DataFrame, table_path: str
+) -> bool:
     month = config.earnings_month()
     records = expand_archives(archives, carry=["tenant"])
     # Unzipped once: the gate and the load both read the records.
     staged_path = f"{config.output_root}/staged/earnings"
     records.write.mode("overwrite").parquet(staged_path)
-    staged = read_table(archives.sparkSession, staged_path, records.schema)
+    staged = read_table(spark, staged_path, records.schema)
 
     name = base_name(F.col("numbered_member"))
     pattern = rf"^PlayApps_{month:%Y%m}_.*\.csv$"
@@ -177,17 +212,80 @@ def load_earnings(config: LoadConfig, archives: DataFrame, table_path: str) -> b
     if found.filter("file_found").isEmpty():
         return False
     rows = archive_rows(staged.filter(name.rlike(pattern)), EARNINGS_COLUMNS, strict=True)
-    replace_by_month(cook_earnings(rows), table_path, text_month_of(month))
+    cooked, label = cook_earnings(rows), text_month_of(month)
+
+    def load() -> None:
+        replace_by_month(cooked, table_path, label)
+
+    def export() -> None:
+        export_earnings(rows, processed_root(config.output_root, "earnings"), EARNINGS_COLUMNS, f"{month:%Y%m}")
+
+    def note_manifests() -> None:
+        publish_earnings_manifests(spark, config, f"{month:%Y%m}")
+
+    run_together(spark, [load, export, note_manifests] if config.processed else [load])
+    check_earnings(cooked, table_path, label)
     return True
 
 
+def check_earnings(cooked: DataFrame, table_path: str, month: str) -> None:
+    """Compare rows per account and month of the text dates with what the table got."""
+    if cooked.isEmpty():
+        return
+    of = F.coalesce(text_month(F.col("transaction_date")), F.lit("none")).alias("of_month")
+    table = cooked.sparkSession.read.parquet(table_path).filter(F.col(LOAD_MONTH) == month)
+    counted = reconcile_counts(
+        cooked.select("tenant", of), table.select("tenant", of), ["tenant", "of_month"]
+    )
+    # At most one row per account and month; months that only the table has are of earlier loads.
+    if wrong := counted.filter((F.col("source_rows") > 0) & ~F.col("ok")).collect():
+        raise ReconciliationError(f"{table_path}: {[tuple(r) for r in wrong]}")
+
+
+def publish_earnings_manifests(spark: SparkSession, config: LoadConfig, month: str) -> None:
+    """One manifest per account, of the files of one month, none of them mandatory."""
+    accounts = spark.createDataFrame([(t,) for t in config.tenants], "feed string")
+    url = earnings_folder(processed_root(config.output_root, "earnings"), F.col("feed"), month)
+    manifests = build_manifest(accounts, url, mandatory=False)
+    path = f"{config.output_root}/control/earnings/manifests/{month}"
+    publish_manifests(manifests, accounts, path, config.run_date)
+
+
 def load_devices(
     spark: SparkSession, csv_path: str, config: LoadConfig
 ) -> list[tuple[str, str, str]]:
-    """Replace the device dimension at every endpoint; there has to be one."""
+    """Replace the device dimension at every endpoint; there has to be one.
+
+    The list is parsed once. A cleaned copy and its manifest are kept, unless the run
+    is told not to.
+    """
     if not config.targets:
         raise ValueError("no targets to load the devices to")
-    devices = cook_devices(read_supported_devices(spark, csv_path, config.device_columns))
-    return load_dimension(
-        devices, f"{config.output_root}/tables", config.targets, "supported_devices"
-    )
+    with errors_noted(spark, config, "devices"):
+        devices = cook_devices(read_supported_devices(spark, csv_path, config.device_columns))
+        staged_path = f"{config.output_root}/staged/{DEVICES}"
+        write_checked(devices, staged_path)
+        staged = read_table(spark, staged_path, devices.schema)
+        root, processed = f"{config.output_root}/tables", processed_root(config.output_root, "devices")
+        control = f"{config.output_root}/control/devices"
+
+        def load() -> None:
+            load_dimension(staged, root, config.targets, DEVICES)
+
+        def export() -> None:
+            export_dimension(staged, f"{processed}/{DEVICES}")
+
+        def note_manifest() -> None:
+            listed = spark.createDataFrame([(DEVICES,)], "feed string")
+            manifest = build_manifest(listed, F.lit(f"{processed}/{DEVICES}"), mandatory=False)
+            publish_manifests(manifest, listed, f"{control}/manifests", config.run_date)
+
+        run_together(spark, [load, export, note_manifest] if config.processed else [load])
+        done = planned_loads(config.targets, [DEVICES])
+        expected = staged.count()
+        for endpoint, _, table in done:
+            path = f"{root}/{endpoint}/{table}"
+            check_counts(expected, spark.read.parquet(path).count(), path)
+        column_stats(staged, staged.columns).write.mode("overwrite").parquet(f"{control}/statistics")
+        note_status(spark, config, "devices", NEW_DATA)
+    return done

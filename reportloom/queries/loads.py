@@ -23,10 +23,20 @@ from reportloom.plans import loads as plans
 from reportloom.plans.staging import processed_columns, read_published, stage
 from reportloom.queries import frames_sql as sql
 from reportloom.queries.registry import query
-from reportloom.schemas import CRASH_FEED_NAMES, CRASH_FEEDS, INSTALLS_FEED
+from reportloom.schemas import (
+    CRASH_FEED_NAMES,
+    CRASH_FEEDS,
+    EARNINGS_DAY,
+    INSTALLS_FEED,
+)
 from reportloom.sinks import exports, tables, targets
 from reportloom.sources.manifests import load_from_manifest
-from reportloom.sources.reports import read_cooked_csv, union_objects
+from reportloom.sources.reports import (
+    read_cooked_csv,
+    read_earnings,
+    read_supported_devices,
+    union_objects,
+)
 from reportloom.workspace import new_folder
 
 BY_DAY = tables.Layout("crash_date", grain="day")
@@ -441,6 +451,34 @@ def earnings_load_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _earnings_load(spark, sf_dir, new_folder(spark, "earnings-twice"), runs=2)
 
 
+@query(
+    sql.with_frames(
+        sql.EARNINGS_RAW,
+        """, last AS (SELECT date_trunc('month', max(o_orderdate)) - INTERVAL 1 DAY AS d FROM orders)
+SELECT description, transaction_date, CAST(strptime(transaction_date, '%b %-d, %Y') AS DATE) AS transaction_day,
+  tenant, product_title, CAST(amount_merchant_currency AS DECIMAL(18,6)) AS amount_merchant_currency
+FROM earnings_raw, last
+WHERE transaction_date LIKE strftime(d, '%b') || '%' || strftime(d, '%Y')""",
+    )
+)
+def earnings_load_from_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The unzipped files of the loaded month as the manifests of the accounts list them."""
+    root = new_folder(spark, "earnings-manifest")
+    _earnings_load(spark, sf_dir, root, runs=2)
+    config = LoadConfig({}, _last_order_day(spark, sf_dir), f"{root}/out")
+    manifests = f"{config.output_root}/control/earnings/manifests/{config.earnings_month():%Y%m}"
+
+    def read(tenant: str) -> DataFrame | None:
+        path = f"{manifests}/run_date={config.run_date}/feed={tenant}"
+        rows = load_from_manifest(spark, path, lambda paths: read_earnings(spark, paths))
+        return rows if rows is None else cook_earnings(rows.withColumn("tenant", F.lit(tenant)))
+
+    found = [rows for rows in map(read, frames.TENANTS) if rows is not None]
+    return union_objects(found).select(
+        "description", "transaction_date", EARNINGS_DAY, "tenant", "product_title", "amount_merchant_currency"
+    )
+
+
 def _earnings_load(spark: SparkSession, sf_dir: str, root: str, runs: int) -> DataFrame:
     old = _old_earnings(spark, sf_dir)
     tables.write_earnings(old, f"{root}/table")
@@ -473,3 +511,13 @@ def devices_load(spark: SparkSession, sf_dir: str) -> DataFrame:
             for e, _, t, rows in targets.read_loads(spark, f"{root}/tables", done)
         ]
     )
+
+
+@query(sql.with_frames(sql.DEVICES, "SELECT * FROM devices"))
+def devices_load_from_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = new_folder(spark, "devices-manifest")
+    frames.write_devices(frames.devices_raw(spark, sf_dir), f"{root}/csv")
+    config = LoadConfig({}, RUN_DATE, f"{root}/out", targets=TARGETS)
+    plans.load_devices(spark, f"{root}/csv", config)
+    path = f"{config.output_root}/control/devices/manifests/run_date={RUN_DATE}/feed={plans.DEVICES}"
+    return cook_devices(load_from_manifest(spark, path, lambda paths: read_supported_devices(spark, paths)))

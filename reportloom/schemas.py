@@ -31,6 +31,8 @@ EARNINGS_AMOUNTS = (
     "currency_conversion_rate",
     "amount_merchant_currency",
 )
+# The day that an earnings row's text date names.
+EARNINGS_DAY = "transaction_day"
 EARNINGS_AMOUNT_TYPE = "decimal(18,6)"
 
 DEVICE_COLUMNS = ("retail_branding", "marketing_name", "device", "model")

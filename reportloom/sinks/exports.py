@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
 from reportloom.sinks.tables import read_table, spread
 
 EXPORT_KEYS = ("p_feed", "p_date", "p_tenant")
+EARNINGS_KEYS = ("p_tenant", "p_month")
 
 
 def export_cooked(
@@ -48,6 +50,38 @@ def export_folder(root: str, feed: Column, iso_day: Column, tenant: Column) -> C
     )
 
 
+def _report_writer(df: DataFrame) -> DataFrameWriter:
+    """Overwrites CSV as the reports have it: a header, quotes doubled."""
+    return (
+        df.write.mode("overwrite")
+        .option("header", True)
+        .option("escape", '"')
+        .option("emptyValue", "")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+    )
+
+
+def export_earnings(df: DataFrame, path: str, columns: Sequence[str], month: str) -> None:
+    """Unzipped earnings rows of one month, one folder per account and month.
+
+    Folders that ``df`` has rows for are replaced, all others stay.
+    """
+    keyed = df.select(*columns, F.col("tenant").alias("p_tenant"), F.lit(month).alias("p_month"))
+    writer = _report_writer(spread(keyed, *EARNINGS_KEYS)).option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*EARNINGS_KEYS).csv(path)
+
+
+def earnings_folder(root: str, tenant: Column, month: str) -> Column:
+    """The folder in which ``export_earnings`` puts one account and month."""
+    return F.concat(F.lit(f"{root}/p_tenant="), tenant, F.lit(f"/p_month={month}"))
+
+
+def export_dimension(df: DataFrame, path: str) -> None:
+    """The whole of a dimension, in place of what the folder held."""
+    _report_writer(df).csv(path)
+
+
 def keep_raw(raw: DataFrame, path: str, run_date: date, load: str = "daily") -> DataFrame:
     """Keep raw rows as they came, under date and label of the run; read them back.
 

@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from reportloom.functions.names import numbered_member
 from reportloom.workspace import path_exists
 
+# Records and characters that a batch holds.
 _BATCH = 4096
+_BATCH_CHARACTERS = 16 * 1024 * 1024
 
 
 def scan_objects(
@@ -35,7 +37,7 @@ def scan_objects(
 
 
 def _records(encoding: str, errors: str, carry: Sequence[str], named: str | None):
-    """Arrow function from archives to CSV records, ``_BATCH`` records at a time."""
+    """Arrow function from archives to CSV records, at most ``_BATCH`` at a time."""
     arrow_type = pa.schema(
         [
             *((name, pa.string()) for name in carry),
@@ -77,15 +79,16 @@ def _records(encoding: str, errors: str, carry: Sequence[str], named: str | None
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # A field may be as long as its member.
         csv.field_size_limit(2**31 - 1)
-        held = []
+        held, size = [], 0
         for batch in batches:
             for i in range(batch.num_rows):
                 origin = tuple(batch[name][i].as_py() for name in (*carry, "path"))
                 for record in records(batch["content"][i].as_py()):
                     held.append((*origin, *record))
-                    if len(held) == _BATCH:
+                    size += sum(map(len, record[2]))
+                    if len(held) == _BATCH or size >= _BATCH_CHARACTERS:
                         yield to_batch(held)
-                        held = []
+                        held, size = [], 0
         if held:
             yield to_batch(held)
 

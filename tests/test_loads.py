@@ -1,6 +1,7 @@
 """The ready-made loads from files to tables, several runs in a row."""
 
 import datetime as dt
+import glob
 import json
 import zipfile
 from dataclasses import replace
@@ -16,6 +17,7 @@ from reportloom.schemas import EARNINGS_COLUMNS
 from reportloom.sinks import tables
 from reportloom.sinks.control import read_dates, read_status
 from reportloom.sinks.exports import export_cooked
+from reportloom.sources import manifests, reports
 from reportloom.sources.manifests import load_from_manifest
 from reportloom.sources.reports import read_cooked_csv
 
@@ -320,6 +322,11 @@ def run_earnings(spark, config, path):
     return loads.load_earnings(config, archives, path)
 
 
+def glob_one(pattern):
+    (found,) = glob.glob(pattern)
+    return found
+
+
 def earnings_amounts(spark, path):
     rows = spark.read.parquet(path).collect()
     return sorted((r.transaction_date, r.tenant, int(r.amount_merchant_currency)) for r in rows)
@@ -347,6 +354,16 @@ def test_earnings_runs(spark, tmp_path, config):
     assert len(earnings_amounts(spark, path)) == 5
     row = spark.read.parquet(path).first()
     assert row.hardware == "two\nlines" and row.tax_type is None
+    assert row.transaction_day is not None
+    # Files of both months stay; the manifests list them by account, none mandatory.
+    for month, expected in (("202012", 2), ("202101", 3)):
+        listed = [
+            e for t in ("ta", "tb") for e in manifests.read_manifest(
+                spark, glob_one(f"{config.output_root}/control/earnings/manifests/{month}/run_date=*/feed={t}")
+            ).collect()
+        ]
+        assert [e.mandatory for e in listed] == [False, False]
+        assert reports.read_earnings(spark, [e.url for e in listed]).count() == expected
 
 
 def test_a_file_without_rows_still_counts_for_the_gate(spark, tmp_path, config):
@@ -372,6 +389,11 @@ def test_devices(spark, tmp_path):
     assert done == [("one", "supported_devices", "supported_devices"), ("two", "supported_devices", "other")]
     for name in ("one/supported_devices", "two/other"):
         assert tuple(spark.read.parquet(str(tmp_path / "out" / "tables" / name)).first()) == ("X", "Y, Z", None, "w")
+    (entry,) = manifests.read_manifest(
+        spark, str(tmp_path / "out/control/devices/manifests/run_date=2021-01-01/feed=supported_devices")
+    ).collect()
+    assert not entry.mandatory
+    assert reports.read_supported_devices(spark, entry.url).count() == 1
 
 
 def test_union_takes_columns_that_some_frames_lack(spark):
@@ -384,3 +406,17 @@ def test_text_month_partition_is_what_like_deletes(spark):
     df = spark.createDataFrame([(r,) for r in rows], "t string")
     label = tables.text_month(F.col("t")) == "2021-Feb"
     assert df.filter(F.coalesce(label, F.lit(False)) != F.col("t").like("Feb%2021")).isEmpty()
+
+
+def test_lost_earnings_are_noticed(spark, tmp_path):
+    raw = spark.createDataFrame(
+        [tuple("Jan 4, 2021" if c == "transaction_date" else "1" for c in (*EARNINGS_COLUMNS, "tenant"))] * 2
+        + [tuple("no date" if c == "transaction_date" else "1" for c in (*EARNINGS_COLUMNS, "tenant"))],
+        [*EARNINGS_COLUMNS, "tenant"],
+    )
+    cooked = loads.cook_earnings(raw)
+    path = str(tmp_path / "t")
+    tables.replace_by_month(cooked, path, "2021-Jan")
+    loads.check_earnings(cooked, path, "2021-Jan")
+    with pytest.raises(tables.ReconciliationError):
+        loads.check_earnings(cooked.unionByName(cooked), path, "2021-Jan")

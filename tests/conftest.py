@@ -13,6 +13,7 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     base = tmp_path_factory.mktemp("spark")
+    (base / "events").mkdir()
     session = (
         SparkSession.builder.master("local[8]")
         .appName("reportloom-tests")
@@ -22,6 +23,9 @@ def spark(tmp_path_factory):
         .config("spark.driver.memory", "6g")
         .config("spark.checkpoint.dir", str(base / "shared"))
         .config("spark.sql.warehouse.dir", str(base / "warehouse"))
+        .config("spark.eventLog.enabled", "true")
+        .config("spark.eventLog.compress", "false")
+        .config("spark.eventLog.dir", f"file://{base / 'events'}")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

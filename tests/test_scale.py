@@ -1,6 +1,8 @@
 """Plans that have to hold on a cluster: pruning, skew, no Python, no cross joins."""
 
 import datetime as dt
+import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -33,6 +35,33 @@ def test_results_come_without_cross_joins_or_python(spark, name):
         assert "Python" not in plan and "Arrow" not in plan
 
 
+def plans_of_all_jobs(spark, run):
+    """The plans of all that ``run`` executes, its writes included, from the event log."""
+
+    def logged():
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        folder = spark.sparkContext.getConf().get("spark.eventLog.dir").removeprefix("file://")
+        events = [json.loads(x) for f in sorted(Path(folder).rglob("events_*")) for x in f.read_text().splitlines()]
+        return [e["physicalPlanDescription"] for e in events if e["Event"].endswith("SparkListenerSQLExecutionStart")]
+
+    before = len(logged())
+    run()
+    return logged()[before:]
+
+
+@pytest.mark.parametrize(
+    "name", ["crashes_load_second_run", "installs_load", "sales_load", "earnings_load_from_manifest", "devices_load_from_manifest"]
+)
+def test_no_job_of_a_load_has_a_cross_join_or_row_python(spark, name):
+    plans = plans_of_all_jobs(spark, lambda: entry_module.queries()[name](spark, SMALL).collect())
+    assert sum("InsertIntoHadoopFsRelationCommand" in plan for plan in plans) > 3
+    for plan in plans:
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+        # Zips are opened by Arrow batches; only the test's own zips are made in Python.
+        if not name.startswith("earnings"):
+            assert not any(x in plan for x in ("EvalPython", "MapInArrow", "MapInPandas", "InPandas"))
+
+
 def test_column_operators_stay_in_one_stage(spark):
     for df in (
         cook_feeds(frames.crash_raw(spark, SMALL), CRASH_FEEDS),

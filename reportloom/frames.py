@@ -215,6 +215,17 @@ def local_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(event, name.alias("name"))
 
 
+def name_by_value(spark: SparkSession, path: str) -> None:
+    """Call the folders of a partitioned write by their values alone, as objects are."""
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    folder = jvm_path(path)
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in system.listStatus(folder):
+        _, keyed, value = status.getPath().getName().partition("=")
+        if keyed and not system.rename(status.getPath(), jvm_path(folder, value)):
+            raise OSError(f"cannot rename {status.getPath()}")
+
+
 def write_objects(rows: DataFrame, root: str, report: str, width: int) -> dict[str, str]:
     """Write rows (tenant, object, c0 …) as UTF-16LE report objects; account roots.
 
@@ -234,6 +245,7 @@ def write_objects(rows: DataFrame, root: str, report: str, width: int) -> dict[s
             .option("ignoreTrailingWhiteSpace", False)
             .csv(f"{root}/{tenant}/stats/{report}")
         )
+        name_by_value(rows.sparkSession, f"{root}/{tenant}/stats/{report}")
 
     run_together(rows.sparkSession, [partial(write, t) for t in TENANTS])
     return {t: f"{root}/{t}" for t in TENANTS}

@@ -51,6 +51,12 @@ def classify_tenant(name: Column, labels: Sequence[str]) -> Column:
     )
 
 
+def required(label: Column, name: Column) -> Column:
+    """A class that was found in ``name``; a name of no class fails the job."""
+    told = F.concat(F.lit("no class in the name: "), F.coalesce(name, F.lit("NULL")))
+    return F.coalesce(label, F.raise_error(told).cast("string"))
+
+
 def match_report(name: Column, months: Sequence[str]) -> Column:
     """Report kind of an object of one of ``months``, NULL when it is none.
 

@@ -269,6 +269,18 @@ def column_stats_default(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.column_stats(sales, _STATS_COLUMNS).drop("distinct_count")
 
 
+@query(
+    sql.with_frames(
+        sql.SALES_COOKED,
+        """, shared AS (SELECT sale_key, count(*) AS n FROM sales_cooked GROUP BY sale_key)
+SELECT CAST(sum(n) AS BIGINT) AS n_rows, count(sale_key) AS n_keys,
+  count(sale_key) FILTER (n > 1) AS n_shared_keys FROM shared""",
+    )
+)
+def sale_key_uniqueness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.key_uniqueness(cook_sales(frames.sales_raw(spark, sf_dir)), "sale_key")
+
+
 @query(
     sql.with_frames(
         sql.CRASH_RAW,

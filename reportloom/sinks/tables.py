@@ -330,6 +330,18 @@ def column_stats(df: DataFrame, columns: Sequence[str], exact: bool = False) ->
     return df.sparkSession.createDataFrame(rows, _STATS)
 
 
+def key_uniqueness(df: DataFrame, key: str) -> DataFrame:
+    """One row: rows, different keys, and keys that several rows share. Nothing enforces
+    that a key is unique; rows without one are not counted among the keys."""
+    shared = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    there = F.col(key).isNotNull()
+    return shared.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n_rows"),
+        F.count_if(there).alias("n_keys"),
+        F.count_if(there & (F.col("n") > 1)).alias("n_shared_keys"),
+    )
+
+
 def analyze(spark: SparkSession, table: str, columns: Sequence[str]) -> None:
     """Store column statistics of a catalog table for the optimizer."""
     names = ", ".join(f"`{c}`" for c in columns)

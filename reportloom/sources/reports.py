@@ -156,7 +156,7 @@ def scan_feed(
     ``width`` fields fails the scan.
     """
     name = (
-        rf"stats/{report}/(?:[^/]*=)?{report}_(.*)_({'|'.join(months)})"
+        rf"stats/{report}/{report}_(.*)_({'|'.join(months)})"
         rf"_({'|'.join(feeds)})\.csv"
     )
     found = F.col("source_file")

@@ -232,3 +232,11 @@ def test_month_arithmetic(n):
     other = shift_month(start, n)
     span = month_span(min(start, other), max(start, other))
     assert len(set(span)) == len(span) == abs(n) + 1
+
+
+def test_a_name_of_no_class_fails_where_one_is_required(spark):
+    df = spark.createDataFrame([("crashes_device_x",), ("crashes_other",)], "c string")
+    feed = names.required(names.classify_feed(F.col("c")), F.col("c"))
+    assert df.limit(1).select(feed).first()[0] == "device"
+    with pytest.raises(Exception, match="no class in the name: crashes_other"):
+        df.select(feed).collect()

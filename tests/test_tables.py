@@ -233,3 +233,9 @@ def test_published_control_data_is_replaced_by_a_rerun(spark, tmp_path):
 def test_shared_folder_is_the_configured_one(spark):
     assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     assert new_folder(spark, "x") != new_folder(spark, "x")
+
+
+def test_key_uniqueness(spark):
+    df = spark.createDataFrame([("a",), ("a",), ("b",), (None,), (None,)], "k string")
+    assert tuple(tables.key_uniqueness(df, "k").first()) == (5, 2, 1)
+    assert tuple(tables.key_uniqueness(df.limit(0), "k").first()) == (0, 0, 0)

@@ -250,7 +250,7 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     rows = docs.where(_fold(F.col("doc_id"), 4) != 2).select(F.col("doc_id").alias("id"), "lang", "text")
-    found = language_id.identify(docs, language_id.learn(rows))
+    found = language_id.identify(docs, language_id.learn_whole(rows))
     return found.select(
         F.col("doc").alias("doc_id"), (_fold(F.col("doc"), 4) == 2).alias("held_out"), "lang_pred", "score", "rejected"
     )

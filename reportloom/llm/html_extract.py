@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -224,41 +225,59 @@ def match(a: tuple, b: tuple) -> tuple[int, list]:
     return best[-1][-1] + 1, pairs[::-1]
 
 
-def aligned(reference: tuple, page: tuple) -> list[tuple[str, tuple]]:
-    """(place in the reference, slot of the page) of all slots that pair up."""
-    out, todo = [], [("", reference, page, match(reference, page)[1])]
+def addressed(reference: tuple, page: tuple) -> list[tuple[str, str, tuple]]:
+    """(place, place among pages of one layout, slot) of all slots of the page.
+
+    The place of a slot that pairs up is that in the reference. Below it, slots that
+    the reference lacks have places by their signs, so pages of another layout share
+    them too. The second place also holds what slots lie beside it.
+    """
+    out = []
+    todo = [("", reference, page, match(reference, page)[1])]
     while todo:
         at, a, b, pairs = todo.pop()
-        for i, j, below in pairs:
-            out.append((f"{at}/{i}", b[2][j]))
-            todo.append((f"{at}/{i}", a[2][i], b[2][j], below))
+        paired = {j: (i, below) for i, j, below in pairs}
+        signs = [slot[0] for slot in b[2]]
+        beside = xxhash.xxh64_hexdigest("\n".join(signs))
+        unpaired: Counter = Counter()
+        for j, slot in enumerate(b[2]):
+            if j in paired:
+                i, below = paired[j]
+                place = f"{at}/{i}"
+                todo.append((place, a[2][i], slot, below))
+            else:
+                place = f"{at}/+{xxhash.xxh64_hexdigest(slot[0])}.{unpaired[slot[0]]}"
+                unpaired[slot[0]] += 1
+                todo.append((place, ("", 0, (), []), slot, []))
+            out.append((place, f"{place}@{beside}", slot))
     return out
 
 
-def places(slot: tuple, at: str = "") -> list[tuple[str, tuple]]:
-    """All slots below ``slot`` with their places, in page order."""
-    out = []
-    for i, below in enumerate(slot[2]):
-        out.append((f"{at}/{i}", below))
-        out.extend(places(below, f"{at}/{i}"))
-    return out
+def _key(place: str, layout: bool) -> int:
+    """A place as a number, odd for one among pages of one layout."""
+    return ((xxhash.xxh64_intdigest(place) >> 1 << 1) | layout) - (1 << 63)
 
 
-def content_places(reference: tuple, constant: set[str]) -> list[str]:
-    """The wrapper: outermost places of the reference that hold content.
+def marks(reference: tuple, page: tuple) -> Iterator[tuple[int, int, list[Node]]]:
+    """(place, hash of the text there, its elements) of all that may be template."""
+    for place, among, slot in addressed(reference, page):
+        if not slot[3][0].dropped:
+            yield _key(place, False), slot[1] - (1 << 63), slot[3]
+            yield _key(among, True), slot[1] - (1 << 63), slot[3]
 
-    Places of constant text are template, furniture is none either. Of the varying
-    slots those of an article count, if there is one (an article is content also
-    where most pages have the same); else all that vary and have no slots below or
-    text of their own.
-    """
-    every = [(p, slot) for p, slot in places(reference) if not slot[3][0].dropped]
-    articles = [p for p, slot in every if slot[3][0].tag in CONTENT]
-    chosen = articles or [
-        p for p, slot in every
-        if p not in constant and (not slot[2] or any(isinstance(x, str) and x.strip() for x in slot[3][0].parts))
-    ]
-    return [p for p in chosen if not any(p.startswith(f"{q}/") for q in chosen)]
+
+def articles(root: Node) -> list[Node]:
+    """Outermost elements of content that are not left out, in page order."""
+    out, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        if node.dropped:
+            continue
+        if node.tag in CONTENT:
+            out.append(node)
+        else:
+            todo.extend(reversed(node.elements()))
+    return out
 
 
 def blocks(node: Node) -> list[str]:
@@ -295,35 +314,41 @@ def blocks(node: Node) -> list[str]:
     return out
 
 
-def main_text(page: str | None, reference: tuple | None, content: frozenset[str]) -> str:
-    """The text in the slots of a page that pair up with the wrapper's content places:
-    blocks in page order, joined by blank lines.
+def main_text(page: str | None, reference: tuple | None, constant: frozenset[tuple[int, int]]) -> str:
+    """The text of a page without furniture and template: blocks in page order, joined
+    by blank lines.
 
-    Without a wrapper, or where none of its content is found, the page is its own:
-    its articles, else all of it but furniture.
+    ``constant`` has the place and hash of each text that is template. All else, at
+    places of the reference or not, is content; if there are articles, theirs. An
+    article is content also where most pages have the same; a page that is template
+    altogether is its own.
     """
     root = parse(page)
-    own = skeleton([root])
-    found = [slot for place, slot in aligned(reference, own) if place in content] if reference else []
-    if not any(_raw_text(slot[3]).strip() for slot in found):
-        by_place = dict(places(own))
-        found = [by_place[p] for p in content_places(own, set()) if by_place[p][3][0].tag in CONTENT] or [own]
-    order = {id(slot[3]): i for i, (_, slot) in enumerate(places(own))}
-    found.sort(key=lambda slot: order.get(id(slot[3]), -1))
-    return "\n\n".join(text for slot in found for node in slot[3] for text in blocks(node))
+    own = articles(root)
+    marked = []
+    for place, text, nodes in marks(reference, skeleton([root])) if reference and constant else ():
+        if (place, text) in constant:
+            marked.extend(nodes)
+    if own:
+        return "\n\n".join(text for node in own for text in blocks(node))
+    for node in marked:
+        node.dropped = True
+    found = blocks(root)
+    if not found:
+        for node in marked:
+            node.dropped = False
+        found = blocks(root)
+    return "\n\n".join(found)
 
 
 def packed(slot: tuple) -> list:
     """What alignment needs of a reference page, without its texts."""
-    node = slot[3][0]
-    own = any(isinstance(p, str) and p.strip() for p in node.parts)
-    return [slot[0], node.tag, int(node.dropped), int(own), [packed(s) for s in slot[2]]]
+    return [slot[0], [packed(s) for s in slot[2]]]
 
 
 def unpacked(parts: list) -> tuple:
-    sign, tag, dropped, own, below = parts
-    node = Node(tag, sign, bool(dropped), False, ["text"] if own else [])
-    return sign, 0, tuple(unpacked(b) for b in below), [node]
+    sign, below = parts
+    return sign, 0, tuple(unpacked(b) for b in below), []
 
 
 def host_of(url):
@@ -358,20 +383,25 @@ def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") ->
                 if host not in known:
                     known.clear() if len(known) >= KNOWN else None
                     known[host] = unpacked(json.loads(reference.as_py()))
-                for place, slot in aligned(known[host], skeleton([parse(page.as_py())])):
-                    for column, value in zip(out, (host, place, slot[1] - (1 << 63), h.as_py()), strict=True):
+                h = h.as_py()
+                for place, text, _ in marks(known[host], skeleton([parse(page.as_py())])):
+                    for column, value in zip(out, (host, place, text, h), strict=True):
                         column.append(value)
-            kinds = (pa.string(), pa.string(), pa.int64(), pa.int64())
+            kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(v, k) for v, k in zip(out, kinds, strict=True)], ["host", "place", "text", "h"]
             )
 
     placed = rows.join(chosen, "host").select("host", "html", "h", "reference")
-    placed = placed.transform(map_batches, run, "host string, place string, text long, h long").distinct()
+    placed = placed.transform(map_batches, run, "host string, place long, text long, h long").distinct()
     each = placed.groupBy("host", "place", "text").agg(F.count(F.lit(1)).alias("n"))
-    best = each.groupBy("host", "place").agg(F.max("n").alias("n"), F.sum("n").alias("all"))
+    # A text that most pages have is the one that the largest number has.
+    best = each.groupBy("host", "place").agg(F.max(F.struct("n", "text")).alias("top"), F.sum("n").alias("all"))
+    best = best.select("host", "place", "top.text", "top.n", "all")
     constant = best.where((F.col("all") >= LEAST_PAGES) & (F.col("n") > CONSTANT_SHARE * F.col("all")))
-    constant = constant.groupBy("host").agg(F.sort_array(F.collect_list("place")).alias("constant"))
+    # Two of three pages of a layout may be near copies by chance.
+    constant = constant.where((F.col("place") % 2 == 0) | (F.col("n") >= LEAST_PAGES))
+    constant = constant.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("place", "text"))).alias("constant"))
     return chosen.join(constant, "host", "left")
 
 
@@ -397,7 +427,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                 if host not in wrapper:
                     wrapper.clear() if len(wrapper) >= KNOWN else None
                     tree = unpacked(json.loads(reference.as_py())) if reference.is_valid else None
-                    wrapper[host] = tree, frozenset(content_places(tree, set(constant.as_py() or ())) if tree else ())
+                    wrapper[host] = tree, frozenset((c["place"], c["text"]) for c in constant.as_py() or ())
                 texts.append(main_text(page.as_py(), *wrapper[host]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],

@@ -254,16 +254,52 @@ def addressed(reference: tuple, page: tuple) -> list[tuple[str, str, tuple]]:
 
 
 def _key(place: str, layout: bool) -> int:
-    """A place as a number, odd for one among pages of one layout."""
+    """A place as a number, odd for one among pages of one layout or in articles."""
     return ((xxhash.xxh64_intdigest(place) >> 1 << 1) | layout) - (1 << 63)
 
 
+def inside(node: Node, at: str) -> list[tuple[str, list[Node]]]:
+    """(place, elements) of the slots of blocks in an article; neighbours of one sign are
+    one slot here too. A place is the signs above it: text of an article moves, so it is
+    not matched in order, which would take the square of a long article."""
+    out, todo = [], [(node, at)]
+    while todo:
+        part, place = todo.pop()
+        slots: list[list[Node]] = []
+        for child in part.elements():
+            if child.tag not in BLOCK or child.tag in VOID or child.dropped:
+                continue
+            if slots and slots[-1][0].sign == child.sign:
+                slots[-1].append(child)
+            else:
+                slots.append([child])
+        if part is not node and not slots:
+            out.append((place, [part]))
+        for slot in slots:
+            below = f"{place}>{slot[0].sign}"
+            if len(slot) == 1:
+                todo.append((slot[0], below))
+            else:
+                out.append((below, slot))
+    return out
+
+
 def marks(reference: tuple, page: tuple) -> Iterator[tuple[int, int, list[Node]]]:
-    """(place, hash of the text there, its elements) of all that may be template."""
+    """(place, hash of the text there, its elements) of all that may be template; first,
+    with place and text 0, the page, which tells that there were enough to compare."""
+    yield 0, 0, []
     for place, among, slot in addressed(reference, page):
-        if not slot[3][0].dropped:
+        if slot[3][0].dropped:
+            continue
+        if slot[3][0].tag not in CONTENT:
             yield _key(place, False), slot[1] - (1 << 63), slot[3]
             yield _key(among, True), slot[1] - (1 << 63), slot[3]
+    # One place for all articles, wherever they are.
+    for article in articles(page[3][0]):
+        for place, nodes in inside(article, article.tag):
+            text = " ".join(_raw_text(nodes).split())
+            if text:
+                yield _key(place, True), xxhash.xxh64_intdigest(text) - (1 << 63), nodes
 
 
 def articles(root: Node) -> list[Node]:
@@ -319,9 +355,10 @@ def main_text(page: str | None, reference: tuple | None, constant: frozenset[tup
     by blank lines.
 
     ``constant`` has the place and hash of each text that is template. All else, at
-    places of the reference or not, is content; if there are articles, theirs. An
-    article is content also where most pages have the same; a page that is template
-    altogether is its own.
+    places of the reference or not, is content. Articles go before the rest: they are
+    the text unless the rest that varies is longer, which is known only where pages
+    were compared. An article is content also where most pages have the same; a page
+    that is template altogether is its own.
     """
     root = parse(page)
     own = articles(root)
@@ -329,11 +366,17 @@ def main_text(page: str | None, reference: tuple | None, constant: frozenset[tup
     for place, text, nodes in marks(reference, skeleton([root])) if reference and constant else ():
         if (place, text) in constant:
             marked.extend(nodes)
-    if own:
-        return "\n\n".join(text for node in own for text in blocks(node))
+    whole = [text for node in own for text in blocks(node)]
     for node in marked:
         node.dropped = True
     found = blocks(root)
+    # Articles themselves are not marked, only what is in them.
+    article = [text for node in own for text in blocks(node)] or whole
+    if article:
+        length, rest = sum(map(len, article)), sum(map(len, found))
+        # ``found`` holds what varies in articles too.
+        if not constant or rest - (0 if article is whole else length) <= length:
+            found = article
     if not found:
         for node in marked:
             node.dropped = False
@@ -383,9 +426,10 @@ def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") ->
                 if host not in known:
                     known.clear() if len(known) >= KNOWN else None
                     known[host] = unpacked(json.loads(reference.as_py()))
-                h = h.as_py()
-                for place, text, _ in marks(known[host], skeleton([parse(page.as_py())])):
-                    for column, value in zip(out, (host, place, text, h), strict=True):
+                found = {(at, text) for at, text, _ in marks(known[host], skeleton([parse(page.as_py())]))}
+                # Each place once more without a text, to count the pages that have it.
+                for at, text in found | {(at, None) for at, _ in found}:
+                    for column, value in zip(out, (host, at, text, h.as_py()), strict=True):
                         column.append(value)
             kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays(
@@ -395,11 +439,12 @@ def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") ->
     placed = rows.join(chosen, "host").select("host", "html", "h", "reference")
     placed = placed.transform(map_batches, run, "host string, place long, text long, h long").distinct()
     each = placed.groupBy("host", "place", "text").agg(F.count(F.lit(1)).alias("n"))
-    # A text that most pages have is the one that the largest number has.
-    best = each.groupBy("host", "place").agg(F.max(F.struct("n", "text")).alias("top"), F.sum("n").alias("all"))
-    best = best.select("host", "place", "top.text", "top.n", "all")
+    # A text of one page is no template.
+    each = settle(each.where("text is null or n > 1"), "host-texts")
+    pages_with = each.where("text is null").select("host", "place", F.col("n").alias("all"))
+    best = each.where("text is not null").join(pages_with, ["host", "place"])
     constant = best.where((F.col("all") >= LEAST_PAGES) & (F.col("n") > CONSTANT_SHARE * F.col("all")))
-    # Two of three pages of a layout may be near copies by chance.
+    # Two of three pages of a layout, or two of three articles, may be alike by chance.
     constant = constant.where((F.col("place") % 2 == 0) | (F.col("n") >= LEAST_PAGES))
     constant = constant.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("place", "text"))).alias("constant"))
     return chosen.join(constant, "host", "left")

@@ -29,3 +29,27 @@ def test_template_of_a_smaller_layout(spark):
     found = texts(spark, pages)
     for i, text in found.items():
         assert text == (f"Words {i}" if i < 100 else f"Content {i}\n\nx {i}")
+
+
+def test_constant_parts_of_articles_go(spark):
+    """Unnamed notices go, wherever they are; an article that most pages have stays."""
+    def page(i, body):
+        return f"<body><div>Hello</div><main><article><h1>Head {i}</h1>{body}</article></main></body>"
+
+    notice = "<div class=x><p>Please support us</p></div>"
+    pages = {i: page(i, f"<p>One {i}</p>{notice}<p>Two {i}</p>" if i % 2 else f"{notice}<p>One {i}</p>") for i in range(12)}
+    pages |= {i: page(i, f"<p>One {i}</p><p class=note>Read on</p>{notice}") for i in range(12, 16)}
+    found = texts(spark, pages)
+    for i, text in found.items():
+        assert text == f"Head {i}\n\nOne {i}" + (f"\n\nTwo {i}" if i % 2 and i < 12 else "")
+    same = {i: f"<body><p id=n>{i}</p><article><p>The same for all of them</p></article></body>" for i in range(5)}
+    assert set(texts(spark, same).values()) == {"The same for all of them"}
+
+
+def test_long_varying_text_beside_an_article_stays(spark):
+    pages = {
+        i: f"<body><div class=x>Site</div><article><h1>T{i}</h1></article><div class=y>{f'Long story {i}. ' * 20}</div></body>"
+        for i in range(6)
+    }
+    for i, text in texts(spark, pages).items():
+        assert text.startswith(f"T{i}\n\nLong story {i}.") and "Site" not in text

@@ -48,6 +48,7 @@ FURNITURE_WORDS = frozenset(
 # Parts that stay furniture whatever they hold.
 FIRM_WORDS = frozenset("comment comments disqus related replies reply".split())
 FIRM_NAMES = frozenset("sidebar promo promoted ad ads widget".split())
+ANCHORS = frozenset("h1 h2 h3 h4 h5 h6 p li dt dd td th a span figure".split())
 FURNITURE_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar alert dialog".split())
 
 _TOKEN = re.compile(
@@ -55,7 +56,8 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+[^>]*)(?:>|\Z)",
     re.DOTALL,
 )
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+# Each attribute with its value, so that no word in a value passes for a name.
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _SPACE = re.compile(r"\s+")
 _NAME = re.compile(r"[a-z]+")
 
@@ -84,11 +86,17 @@ def _described(tag: str, attributes: str, in_content: bool) -> Node:
             node.dropped = node.firm = True
         elif name == "role":
             node.dropped = node.dropped or value in FURNITURE_ROLES
-        elif name in ("class", "id") and tag not in ("html", "body", "main"):
-            words = set(_NAME.findall(value))
-            firm = bool(words & FIRM_WORDS or FIRM_NAMES & set(value.split()))
-            wide = words & FURNITURE_WORDS - ({"header"} if in_content else set())
-            node.dropped = node.dropped or firm or bool(wide and tag != "article")
+        elif name == "id" and tag not in ("html", "body", "main") and not in_content:
+            # Headings and paragraphs have ids to link to, after their words.
+            wide = value in FURNITURE_WORDS and tag not in ANCHORS
+            node.dropped = node.dropped or (wide and tag != "article")
+            node.firm = node.firm or (wide and value in FIRM_WORDS | FIRM_NAMES)
+        elif name == "class" and tag not in ("html", "body", "main"):
+            names = set(value.split())
+            # In content a class counts as a whole only; what is template there, its text tells.
+            words = names - {"header"} if in_content else set(_NAME.findall(value))
+            firm = bool(words & FIRM_WORDS or FIRM_NAMES & names)
+            node.dropped = node.dropped or firm or bool(words & FURNITURE_WORDS and tag != "article")
             node.firm = node.firm or firm
         if name == "class":
             node.sign = f"{tag}.{value}"

@@ -1,5 +1,7 @@
 """Pages of one host in several layouts."""
 
+import pytest
+
 from reportloom.llm import html_extract as h
 
 SCHEMA = "page_id long, url string, html string"
@@ -53,3 +55,15 @@ def test_long_varying_text_beside_an_article_stays(spark):
     }
     for i, text in texts(spark, pages).items():
         assert text.startswith(f"T{i}\n\nLong story {i}.") and "Site" not in text
+
+
+@pytest.mark.parametrize("page, text", [
+    ('<div style="overflow:hidden"><article>kept</article></div>', "kept"),
+    ('<p title="hidden gems">kept</p><p hidden>gone</p><p data-class="ad">kept</p>', "kept\n\nkept"),
+    ("<p title='role=navigation class=ad'>kept</p>", "kept"),
+    ('<article><h2 id="social-impact">kept</h2><section id="related-work">kept</section></article>', "kept\n\nkept"),
+    ('<article><div id="menu">kept</div><div class="social-impact">kept</div><div class="x share">gone</div></article>', "kept\n\nkept"),
+    ('<div><h2 id="related">kept</h2><section id="related-work">kept</section><div id="comments">gone</div></div>', "kept\n\nkept"),
+])
+def test_attributes_by_name_and_whole_value(page, text):
+    assert h.main_text(page, None, frozenset()) == text

@@ -7,10 +7,43 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reportloom.llm.license_texts import TEXTS
+
 LEAST_DICE = 0.8
 # Words of all templates together that one scan takes into its plan.
 MOST_TEMPLATE_WORDS = 20_000
 
+
+def _gnu(what: str, name: str, version: str) -> str:
+    return (
+        f"This {what} you can redistribute it and/or modify it under the terms of the GNU {name} Public License as "
+        f"published by the Free Software Foundation{version} of the License, or (at your option) any later version."
+    )
+
+
+_BSD_START = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+    "the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, "
+    "this list of conditions and the following disclaimer. "
+)
+_BSD_BINARY = (
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the "
+    "following disclaimer in the documentation and/or other materials provided with the distribution. "
+)
+_BSD_NAMES = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+    "promote products derived from this software without specific prior written permission. "
+)
+_BSD_WARRANTY = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED '
+    "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+    "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY "
+    "DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, "
+    "PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER "
+    "CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR "
+    "OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+
 # Notices and texts of public licences.
 TEMPLATES = {
     "all-rights-reserved": "All rights reserved.",
@@ -62,6 +95,32 @@ TEMPLATES = {
     ),
     "public-domain": "This work is dedicated to the public domain.",
     "unlicense": "This is free and unencumbered software released into the public domain.",
+    "agpl-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "agpl-3.0-header": _gnu("program is free software:", "Affero General", ", either version 3"),
+    "bsd-2-clause-text": _BSD_START + _BSD_BINARY + _BSD_WARRANTY,
+    "bsd-3-clause-text": _BSD_START + _BSD_BINARY + _BSD_NAMES + _BSD_WARRANTY,
+    "bsd-conditions": _BSD_START,
+    "bsd-warranty": _BSD_WARRANTY,
+    "cc0-1.0": "This work is dedicated to the public domain under CC0 1.0 Universal.",
+    "epl-2.0": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public "
+        "License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"
+    ),
+    "gpl-2.0-header": _gnu("program is free software;", "General", "; either version 2"),
+    "gpl-2.0-only-header": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+        "General Public License version 2 as published by the Free Software Foundation."
+    ),
+    "lgpl-2.1": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+    "lgpl-2.1-header": _gnu("library is free software;", "Lesser General", "; either version 2.1"),
+    "lgpl-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "lgpl-3.0-header": _gnu("library is free software;", "Lesser General", "; either version 3"),
+    "lgpl-3.0-program-header": _gnu("program is free software:", "Lesser General", ", either version 3"),
+    "zlib": (
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, "
+        "and to alter it and redistribute it freely, subject to the following restrictions:"
+    ),
+    **TEXTS,
 }
 
 
@@ -84,15 +143,19 @@ def _words(unit: Column) -> Column:
     return F.filter(F.split(unit, r"[ \n]+"), lambda w: w != "")
 
 
-def _bigrams(words: Column) -> Column:
-    """Word bigrams as numbers; the second of two equal ones is another number, so that
-    sets of them compare like bags."""
-    pairs = F.transform(
+def _pairs(words: Column) -> Column:
+    """Word bigrams as numbers."""
+    return F.transform(
         F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))),
         lambda w, i: F.xxhash64(w, F.get(words, i + 1)),
     )
+
+
+def _bigrams(words: Column) -> Column:
+    """Word bigrams as numbers; the second of two equal ones is another number, so that
+    sets of them compare like bags."""
     return _bind(
-        F.sort_array(pairs),
+        F.sort_array(_pairs(words)),
         lambda s: F.transform(s, lambda x, i: F.xxhash64(x, i + 1 - F.array_position(s, x))),
     )
 
@@ -125,15 +188,17 @@ def license_scan(
     total = known.agg(F.sum("n")).first()[0] or 0
     if total > MOST_TEMPLATE_WORDS:
         raise ValueError(f"{total} template words; scan at most {MOST_TEMPLATE_WORDS} at a time")
-    library = known.select("template_id", "n", _bigrams(F.col("words")).alias("grams")).collect()
+    library = known.select(
+        "template_id", "n", _bigrams(F.col("words")).alias("grams"), F.array_distinct(_pairs(F.col("words"))).alias("pairs")
+    ).collect()
     rows = [
         F.struct(
             F.lit(t["template_id"]).alias("id"), F.lit(t["n"]).alias("n"),
-            F.array(*[F.lit(g).cast("long") for g in t["grams"]]).alias("grams"),
+            *[F.split(F.lit(",".join(map(str, t[k]))), ",").cast("array<bigint>").alias(k) for k in ("grams", "pairs")],
         )
         for t in sorted(library, key=lambda t: t["template_id"])
     ]
-    kind = "array<struct<id: string, n: int, grams: array<bigint>>>"
+    kind = "array<struct<id: string, n: int, grams: array<bigint>, pairs: array<bigint>>>"
     all_templates = (F.array(*rows) if rows else F.array()).cast(kind)
 
     def admits(t: Column, n: Column) -> Column:
@@ -146,22 +211,40 @@ def license_scan(
     })
     fitting = F.array(*[F.lit(n) for n in sizes]).cast("array<int>")
 
-    def compare(words: Column) -> Column:
-        n = F.size(words) - 1
-        candidates = F.filter(all_templates, lambda t: admits(t, n))
-        return _bind(
-            _bigrams(words),
-            lambda grams: F.sort_array(
-                F.transform(
-                    candidates,
-                    lambda t: F.struct(
-                        (F.lit(2.0) * F.size(F.array_intersect(grams, t["grams"])) / (n + t["n"])).alias("dice"),
-                        t["id"].alias("id"),
-                    ),
-                )
+    def may_match(distinct: Column, n: Column) -> Column:
+        """Templates that may reach the coefficient: bags have in common at most what their
+        sets have, and the repeated bigrams of the one that has fewer of them."""
+        return F.filter(
+            all_templates,
+            lambda t: admits(t, n) & (
+                2 * (
+                    F.size(F.array_intersect(distinct, t["pairs"]))
+                    + F.least(n - F.size(distinct), t["n"] - F.size(t["pairs"]))
+                ) >= least_dice * (t["n"] + n)
             ),
         )
 
+    def compare(words: Column) -> Column:
+        n = F.size(words) - 1
+        none = F.array(F.struct(F.lit(0.0).alias("dice"), F.lit("").alias("id")))
+
+        def scored(candidates: Column) -> Column:
+            found = _bind(
+                _bigrams(words),
+                lambda grams: F.sort_array(
+                    F.transform(
+                        candidates,
+                        lambda t: F.struct(
+                            (F.lit(2.0) * F.size(F.array_intersect(grams, t["grams"])) / (n + t["n"])).alias("dice"),
+                            t["id"].alias("id"),
+                        ),
+                    )
+                ),
+            )
+            return F.when(F.size(candidates) > 0, found).otherwise(none)
+
+        return _bind(F.array_distinct(_pairs(words)), lambda distinct: _bind(may_match(distinct, n), scored))
+
     def best(found: Column) -> Column:
         """Of the highest coefficient the first id; found is sorted by both."""
         top = F.element_at(found, -1)["dice"]

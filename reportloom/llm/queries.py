@@ -11,6 +11,7 @@ from reportloom.llm import (
     decontaminate,
     html_extract,
     language_id,
+    later_queries,
     licenses,
     line_dedup,
     mixing,
@@ -266,11 +267,11 @@ QUERIES: dict[str, Query] = {
         op1_decontamination, op2_license_scan, op3_quality_rules, op4_simhash, op5_mixing, op6_line_dedup,
         op7_sharding, op8_quality, op9_language_id, op10_html_extraction,
     )
-}
+} | later_queries.QUERIES
 CHECKS = {
     "op1_decontamination": OP1_SQL,
     "op2_license_scan": OP2_SQL,
     "op3_quality_rules": OP3_SQL,
     "op5_mixing": OP5_SQL,
     "op6_line_dedup": OP6_SQL,
-}
+} | later_queries.CHECKS

@@ -27,7 +27,7 @@ def test_query_equals_its_sql(spark, con, name):
 def test_every_operator_is_registered(spark):
     import __spark_entry__ as entry
 
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES} == set(range(1, 14))
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
 
 

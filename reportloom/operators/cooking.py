@@ -57,7 +57,8 @@ def cook_feeds(raw: DataFrame, specs: Sequence[FeedSpec]) -> DataFrame:
     for spec in specs:
         surplus = [F.col(c) for c in raw.columns if c[:1] == "c" and c[1:].isdigit() and int(c[1:]) >= spec.width]
         if surplus:
-            wide = (F.col("feed") == spec.name) & (F.coalesce(*surplus, F.lit("")) != "")
+            # An empty field in quotes is a field too.
+            wide = (F.col("feed") == spec.name) & F.coalesce(*surplus).isNotNull()
             told = F.raise_error(F.lit(f"more than {spec.width} columns in feed {spec.name}")).cast("boolean")
             raw = raw.filter(F.when(wide, told).otherwise(True))
     columns: dict[str, tuple[str, str]] = {}

@@ -108,6 +108,10 @@ def feeds_with_new_data(presence: DataFrame) -> DataFrame:
     return presence.filter("is_new").select("feed")
 
 
+# What the note of a run that failed begins with.
+ERROR = "Error"
+
+
 def status_note(feeds: Sequence[str]) -> str:
     """The status note for these new feeds."""
     return str(sorted(feeds)) if feeds else "No New Data"
@@ -133,7 +137,7 @@ def route_feed(status: Column, feed: Column) -> Column:
     """The branch a feed takes for a status note: new, no_new or error."""
     listed = F.contains(status, F.concat(F.lit("'"), feed, F.lit("'")))
     return (
-        F.when(F.startswith(status, F.lit("Error")), "error")
+        F.when(F.startswith(status, F.lit(ERROR)), "error")
         .when(listed, F.concat(F.lit("new_"), feed, F.lit("_crashes")))
         .otherwise(F.concat(F.lit("no_new_"), feed, F.lit("_crashes")))
     )

@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 from reportloom.config import LoadConfig
 from reportloom.functions.dates import iso_date
 from reportloom.operators.freshness import (
+    ERROR,
     feeds_with_new_data,
     file_catalog,
     next_date_present,
@@ -27,15 +28,16 @@ from reportloom.sinks.control import (
     publish_status,
 )
 from reportloom.sinks.exports import export_cooked, export_folder
+from reportloom.sinks.statistics import note_statistics
 from reportloom.sinks.tables import (
     Day,
     Layout,
     ReconciliationError,
-    column_stats,
     compare_counts,
     counts_by,
     days_of,
     existing_table,
+    in_partitions,
     read_table,
     replace_by_date,
     uncovered_days,
@@ -46,7 +48,6 @@ from reportloom.sources.reports import union_objects
 from reportloom.workspace import run_together
 
 
-ERROR = "error"
 NEW_DATA = "New Data"
 # Jobs whose note says only that there is new data; others list the feeds.
 STORE_JOBS = ("sales", "installs")
@@ -99,11 +100,12 @@ def note_status(spark: SparkSession, config: LoadConfig, job: str, status: str)
 
 @contextmanager
 def errors_noted(spark: SparkSession, config: LoadConfig, job: str) -> Iterator[None]:
-    """Publish the status ``error`` of a job that fails; the error itself goes on."""
+    """Publish the status ``Error: <kind>`` of a job that fails, which ``route_feed`` sends to
+    the branch ``error``; the error itself goes on."""
     try:
         yield
-    except Exception:
-        note_status(spark, config, job, ERROR)
+    except Exception as error:
+        note_status(spark, config, job, f"{ERROR}: {type(error).__name__}")
         raise
 
 
@@ -154,6 +156,20 @@ def days_to_keep(
     return uncovered_days(olds)
 
 
+def touched_tables(
+    spark: SparkSession, days: Collection[Day], layout: Layout, schema: StructType,
+    table_path: str, endpoint_paths: Mapping[str, str],
+) -> list[tuple[str, str | None, DataFrame]]:
+    """(path, feed, rows) of every table of a run: the partitions of ``days`` only."""
+    single = replace(layout, leading=())
+    one_feed = StructType([f for f in schema.fields if f.name != "feed"])
+    found = [(table_path, None, in_partitions(read_table(spark, table_path, schema), layout, days))]
+    for path, feed in endpoint_paths.items():
+        own = {(day,) for name, day in days if name == feed}
+        found.append((path, feed, in_partitions(read_table(spark, path, one_feed), single, own)))
+    return found
+
+
 def load_new_feeds(
     spark: SparkSession,
     staged: DataFrame,
@@ -227,17 +243,16 @@ def load_new_feeds(
 
     files = [export, note_manifests] if config.processed else []
     run_together(spark, [load, load_endpoints, *files, note_dates])
-    table = layout.rows(read_table(spark, table_path, schema))
+    placed = read_table(spark, table_path, schema)
+    table = layout.rows(placed)
 
     def check() -> None:
-        others = [(path, feed, spark.read.parquet(path)) for path, feed in endpoint_paths.items()]
-        check_loaded(new_rows, [(table_path, None, table), *others], names, layout)
+        check_loaded(new_rows, touched_tables(spark, days, layout, schema, table_path, endpoint_paths), names, layout)
 
-    def note_statistics() -> None:
-        stats = column_stats(table, processed_columns(table))
-        stats.write.mode("overwrite").parquet(f"{control}/statistics")
+    def measure() -> None:
+        note_statistics(spark, placed, layout, days, processed_columns(table), f"{control}/statistics")
 
-    run_together(spark, [check, note_statistics])
+    run_together(spark, [check, measure])
     note_status(spark, config, job, status)
     # Published last: a run that fails before it is simply run again.
     publish_parts(new_parts, f"{control}/published", config.run_date)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import replace
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +18,7 @@ from reportloom.operators.cooking import (
     cook_sales,
 )
 from reportloom.operators.filters import in_text_month
-from reportloom.operators.freshness import feed_dates
+from reportloom.operators.freshness import feed_dates, route_feed
 from reportloom.plans import loads as plans
 from reportloom.plans.staging import processed_columns, read_published, stage
 from reportloom.queries import frames_sql as sql
@@ -29,7 +29,8 @@ from reportloom.schemas import (
     EARNINGS_DAY,
     INSTALLS_FEED,
 )
-from reportloom.sinks import exports, tables, targets
+from reportloom.sinks import exports, statistics, tables, targets
+from reportloom.sinks.control import read_status
 from reportloom.sources.manifests import load_from_manifest
 from reportloom.sources.reports import (
     read_cooked_csv,
@@ -175,6 +176,45 @@ def replace_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _earnings_table(spark, path, old)
 
 
+@query(
+    sql.with_frames(
+        sql.EARNINGS_RAW,
+        """, last AS (SELECT date_trunc('month', max(o_orderdate)) - INTERVAL 1 DAY AS d FROM orders),
+marks AS (SELECT strftime(d, '%b') || '%' || strftime(d, '%Y') AS p,
+  strftime(d - INTERVAL 45 DAY, '%b') || '%' || strftime(d - INTERVAL 45 DAY, '%Y') AS before FROM last)
+SELECT description, transaction_date, tenant,
+  CASE WHEN regexp_matches(tax_type, '^\\s*$') THEN NULL ELSE tax_type END AS tax_type,
+  CASE WHEN transaction_date LIKE p THEN CAST(amount_merchant_currency AS DECIMAL(18,6))
+    ELSE CAST(0 AS DECIMAL(18,6)) END AS amount_merchant_currency
+FROM earnings_raw, marks
+UNION ALL
+SELECT description, transaction_date, tenant,
+  CASE WHEN regexp_matches(tax_type, '^\\s*$') THEN NULL ELSE tax_type END,
+  CAST(amount_merchant_currency AS DECIMAL(18,6))
+FROM earnings_raw, marks WHERE transaction_date LIKE before AND tenant = 'tenant_a'""",
+    )
+)
+def replace_by_month_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A month whose batch holds rows of two other months, one of them new to the table,
+    then of one, at last one account's rows of it: each correction takes back the last."""
+    path = new_folder(spark, "earnings-corrected")
+    old = _old_earnings(spark, sf_dir)
+    tables.write_earnings(old, path)
+    day = _last_order_day(spark, sf_dir)
+    month = LoadConfig({}, day, path).earnings_month()
+    earnings = cook_earnings(frames.earnings_raw(spark, sf_dir))
+    text = F.col("transaction_date")
+    of = earnings.filter(text.like(f"{month:%b}%{month:%Y}"))
+    last_day = day.replace(day=1) - timedelta(days=1)
+    before = last_day - timedelta(days=45)
+    stray = earnings.filter(text.like(f"{before:%b}%{before:%Y}"))
+    beyond = of.withColumn("transaction_date", F.lit("Jan 1, 2031"))
+    label = plans.text_month_of(month)
+    for batch in (union_objects([of, stray, beyond]), of.unionByName(stray), of.unionByName(stray.filter("tenant = 'tenant_a'"))):
+        tables.replace_by_month(batch, path, label)
+    return _earnings_table(spark, path, old)
+
+
 @query(
     sql.with_frames(
         sql.CRASH_COOKED + ", " + sql.DEVICES,
@@ -259,7 +299,23 @@ def _stats_sql(measures: str) -> str:
 @query(_stats_sql("count(DISTINCT {c}) AS distinct_count,"))
 def column_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     sales = cook_sales(frames.sales_raw(spark, sf_dir))
-    return tables.column_stats(sales, _STATS_COLUMNS, exact=True)
+    return statistics.exact_stats(sales, _STATS_COLUMNS)
+
+
+@query(_stats_sql(""))
+def column_stats_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table filled in two runs; the second one reads the partitions that it replaced."""
+    root = new_folder(spark, "statistics")
+    sales = cook_sales(frames.sales_raw(spark, sf_dir)).withColumn("feed", F.lit("sales"))
+    layout = tables.Layout("order_date")
+    placed = layout.place(sales)
+    late = F.col("order_date") >= F.lit(date(1997, 1, 1))
+    for batch in (placed.withColumn("product_id", F.when(late, "zzz").otherwise(F.col("product_id"))), placed.filter(late)):
+        tables.replace_partitions(batch, f"{root}/table", layout.partition_by)
+        table = tables.read_table(spark, f"{root}/table", placed.schema)
+        days = tables.days_of(batch, layout)
+        statistics.note_statistics(spark, table, layout, days, _STATS_COLUMNS, f"{root}/statistics")
+    return spark.read.parquet(f"{root}/statistics/columns").drop("distinct_count")
 
 
 @query(_stats_sql(""))
@@ -336,6 +392,32 @@ def _from_manifests(spark: SparkSession, config: LoadConfig, job: str, table: Da
     return rows.select(*(F.col(c).cast(types[c]).alias(c) for c in table.columns))
 
 
+@query(
+    sql.with_frames(
+        sql.CRASH_RAW,
+        """SELECT feed, max(CASE WHEN tenant = 'tenant_a' THEN 1 ELSE 0 END) AS in_report, 'error' AS branch
+FROM crash_raw GROUP BY feed""",
+    )
+)
+def route_failed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each feed goes after a run that a row of surplus fields ended."""
+    root = new_folder(spark, "failed-load")
+    raw = frames.crash_raw(spark, sf_dir)
+    name = F.concat(F.lit("crashes_com.example."), F.col("event_type"), F.lit("_202401_"), F.col("feed"), F.lit(".csv"))
+    wide = raw.withColumn("object", name).withColumn("c5", F.lit("")).withColumn("c6", F.lit("beyond"))
+    config = LoadConfig(frames.write_objects(wide, root, "crashes", 7), RUN_DATE, f"{root}/out", load="crashes", backfill=2)
+    nothing = frames.published(frames.crash_keys(spark, sf_dir)).filter(F.lit(False))
+    try:
+        plans.load_crashes(spark, config, nothing, f"{root}/table")
+    except Exception as error:  # the run's error, which its note tells the branch
+        if "more than 5 columns" not in str(error):
+            raise
+    note = read_status(spark, f"{config.output_root}/control/crashes/status", "crashes", RUN_DATE).first().status
+    feeds = raw.groupBy("feed").agg(F.max((F.col("tenant") == "tenant_a").cast("int")).alias("in_report"))
+    branch = F.regexp_replace(route_feed(F.lit(note), F.col("feed")), "^(new_|no_new_).*", "$1")
+    return feeds.select("feed", "in_report", branch.alias("branch"))
+
+
 @query(sql.with_frames(sql.CRASH_COOKED, "SELECT * FROM crash_cooked"))
 def crashes_load_from_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_folder(spark, "crashes-manifest")

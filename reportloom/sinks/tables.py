@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from reportloom.functions.dates import text_month
-from reportloom.workspace import new_folder, path_exists, remove_folder
+from reportloom.workspace import new_folder, path_exists, remove_folder, remove_partition
 
 TEXT_MONTH = "transaction_month"
 # Leading columns and date of a day, as text.
@@ -134,6 +134,14 @@ def _among(days: Collection[Day], layout: Layout, column: str, part: Callable[[s
     return found
 
 
+def in_partitions(df: DataFrame, layout: Layout, days: Collection[Day]) -> DataFrame:
+    """Rows of the partitions that ``days`` lie in; the others are not read. ``df`` has the
+    columns that partition it."""
+    if layout.grain == "month":
+        return df.filter(_among(days, layout, layout.month_column, lambda day: day[:7]))
+    return df.filter(_among(days, layout, layout.date_column, date.fromisoformat))
+
+
 def uncovered_days(
     olds: Mapping[str, tuple[DataFrame, Layout, Collection[Day]]],
 ) -> dict[str, set[Day]]:
@@ -217,34 +225,82 @@ def write_earnings(df: DataFrame, path: str) -> None:
     """A whole earnings table, one partition per month as its text dates say."""
     keyed = df.withColumn(TEXT_MONTH, text_month(F.col("transaction_date")))
     write_table(keyed.withColumn(LOAD_MONTH, F.col(TEXT_MONTH)), path, [TEXT_MONTH])
+    # No row lies outside the month of its load.
+    _note_strays(df.sparkSession, path, None, ())
+
+
+def _strays_path(path: str) -> str:
+    """The index of load month to text months; readers of the table skip the name."""
+    return f"{path}/_strays"
+
+
+def _note_strays(spark: SparkSession, path: str, month: str | None, text_months: Collection[str | None]) -> None:
+    """Put in place which other months hold rows that the load of ``month`` brought."""
+    # A row that says nothing keeps the entry of a load without strays.
+    rows = [(month, name, True) for name in text_months] or [(month, None, False)]
+    noted = spark.createDataFrame(rows, f"{LOAD_MONTH} string, {TEXT_MONTH} string, strays boolean")
+    replace_partitions(noted.coalesce(1), _strays_path(path), [LOAD_MONTH], clustered=True)
+
+
+def _strayed_to(spark: SparkSession, path: str, old: DataFrame, month: str) -> set[str | None]:
+    """Other months that hold rows of the load of ``month``: from the index, or from the
+    two month columns of a table that has none yet. A calendar at most."""
+    schema = f"{TEXT_MONTH} string, strays boolean, {LOAD_MONTH} string"
+    noted = existing_table(spark, _strays_path(path), schema)
+    if noted is not None:
+        found = noted.filter((F.col(LOAD_MONTH) == month) & F.col("strays"))
+    else:
+        outside = F.coalesce(F.col(TEXT_MONTH) != month, F.lit(True))
+        found = old.filter((F.col(LOAD_MONTH) == month) & outside)
+    return {r[0] for r in found.select(TEXT_MONTH).distinct().collect()}
+
+
+def _in_months(months: Collection[str | None]) -> Column:
+    there = F.col(TEXT_MONTH).isin([m for m in months if m is not None])
+    return there | F.col(TEXT_MONTH).isNull() if None in months else there
 
 
 def replace_by_month(df: DataFrame, path: str, month: str) -> None:
     """Replace one month (``2021-Feb``) of an earnings table by ``df``.
 
     That month is deleted. Rows of ``df`` that carry a date of another month are added
-    to what that month holds, in place of those that earlier loads of ``month`` added:
-    loading one batch again changes nothing. All is one commit.
+    to what that month holds, in place of all that earlier loads of ``month`` added to
+    any month: loading one batch again changes nothing, and what a corrected batch no
+    longer has is gone. An index beside the table says where the rows of a load went,
+    so no other month is read. All is one commit, but for a month that loses its last
+    row, whose folder is removed after it. A ``df`` without rows changes nothing.
     """
     spark = df.sparkSession
     keyed = df.withColumn(TEXT_MONTH, text_month(F.col("transaction_date"))).withColumn(LOAD_MONTH, F.lit(month))
     old = existing_table(spark, path, keyed.schema)
-    copy = new_folder(spark, "other-months")
-    if old is not None:
-        # At most one row per calendar month.
-        outside = F.coalesce(F.col(TEXT_MONTH) != month, F.lit(True))
-        touched = keyed.filter(outside).select(TEXT_MONTH).distinct().collect()
-        if touched:
-            names = [r[0] for r in touched if r[0] is not None]
-            there = F.col(TEXT_MONTH).isin(names)
-            if len(names) < len(touched):
-                there = there | F.col(TEXT_MONTH).isNull()
-            others = old.filter(there & outside & ~F.col(LOAD_MONTH).eqNullSafe(F.lit(month)))
-            # Copied first: the commit removes the files that hold them.
-            others.write.parquet(copy)
-            keyed = keyed.unionByName(read_table(spark, copy, keyed.schema))
-    replace_partitions(keyed, path, [TEXT_MONTH])
-    remove_folder(spark, copy)
+    months = {r[0] for r in keyed.select(TEXT_MONTH).distinct().collect()}
+    if not months:
+        return
+    strays = months - {month}
+    if old is None:
+        _note_strays(spark, path, month, strays)
+        replace_partitions(keyed, path, [TEXT_MONTH])
+        return
+    before = _strayed_to(spark, path, old, month)
+    # Until the commit either set may be the true one.
+    _note_strays(spark, path, month, strays | before)
+    emptied: set[str | None] = set()
+    if touched := strays | before:
+        others = old.filter(_in_months(touched) & ~F.col(LOAD_MONTH).eqNullSafe(F.lit(month)))
+        copy = new_folder(spark, "other-months")
+        # Copied first: the commit removes the files that hold them.
+        others.write.parquet(copy)
+        kept = read_table(spark, copy, keyed.schema)
+        if gone := before - strays:
+            emptied = gone - {r[0] for r in kept.filter(_in_months(gone)).select(TEXT_MONTH).distinct().collect()}
+        replace_partitions(keyed.unionByName(kept), path, [TEXT_MONTH])
+        remove_folder(spark, copy)
+    else:
+        replace_partitions(keyed, path, [TEXT_MONTH])
+    for name in emptied:
+        remove_partition(spark, path, TEXT_MONTH, name)
+    if before - strays:
+        _note_strays(spark, path, month, strays)
 
 
 def counts_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -301,28 +357,27 @@ def check_counts(expected: int, found: int, what: str) -> None:
 _STATS = "column_name string, row_count long, null_count long, distinct_count long, min_value string, max_value string"
 
 
-def stats_row(df: DataFrame, columns: Sequence[str], exact: bool = False) -> DataFrame:
+def stats_row(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """All measures of all columns in one row: one aggregate in the columns' own types
     (numbers compare as numbers), of which partial results alone are moved."""
-    distinct = F.count_distinct if exact else F.approx_count_distinct
     wanted = [
         value.alias(f"{name}_{i}")
         for i, c in enumerate(columns)
         for name, value in (
-            ("nulls", F.count_if(F.col(c).isNull())), ("distinct", distinct(F.col(c))),
+            ("nulls", F.count_if(F.col(c).isNull())), ("distinct", F.approx_count_distinct(F.col(c))),
             ("least", F.min(c).cast("string")), ("most", F.max(c).cast("string")),
         )
     ]
     return df.agg(F.count(F.lit(1)).alias("n"), *wanted)
 
 
-def column_stats(df: DataFrame, columns: Sequence[str], exact: bool = False) -> DataFrame:
+def column_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per column: rows, NULLs, distinct values, smallest and largest as text.
 
-    Distinct counts are approximate as in ``ANALYZE TABLE``, or with ``exact`` counted
-    in full. The measures, a single row, go to the driver and are laid out there.
+    Distinct counts are approximate as in ``ANALYZE TABLE``; ``statistics.exact_stats``
+    counts them in full. The measures, a single row, go to the driver and are laid out there.
     """
-    found = stats_row(df, columns, exact).first()
+    found = stats_row(df, columns).first()
     rows = [
         (c, found["n"], *(found[f"{name}_{i}"] for name in ("nulls", "distinct", "least", "most")))
         for i, c in enumerate(columns)

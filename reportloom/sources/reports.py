@@ -18,8 +18,8 @@ from reportloom.schemas import (
 )
 from reportloom.workspace import path_exists
 
-# Stands behind the named columns, for what a row has beyond them.
-_SURPLUS = "surplus_field"
+# Where Spark puts the text of a record whose fields are not as many as the columns.
+_RECORD = "uneven_record"
 
 
 @dataclass(frozen=True)
@@ -59,7 +59,8 @@ def read_report_csv(
     break. With ``split`` they are cut at line breaks and shared among tasks; a
     pass over the lines makes sure first that each is one record, and
     ``SplitError`` is raised if one is not. Rows of more fields than ``columns``
-    end there, or fail the read with ``strict``. ``file_filter`` is a condition on
+    end there, or fail the read with ``strict``, also where all that is beyond is
+    empty; shorter rows are filled with NULL. ``file_filter`` is a condition on
     ``_metadata`` and prunes files before they are read. Bytes that are no text
     in the encoding are dropped; of a UTF-16 high surrogate that lacks its
     partner the JVM drops the character after it too.
@@ -69,7 +70,7 @@ def read_report_csv(
         raise SplitError(f"lines that are no records in {len(broken)} files, first {broken[0]}")
     frame = spark.read.csv(
         paths,
-        schema=text_schema([*columns, _SURPLUS]),
+        schema=text_schema([*columns, _RECORD] if strict else columns),
         header=dialect.header,
         enforceSchema=True,
         encoding=dialect.encoding,
@@ -77,13 +78,15 @@ def read_report_csv(
         # Report writers double a quote inside quotes.
         escape=dialect.quote,
         recursiveFileLookup=True,
+        columnNameOfCorruptRecord=_RECORD,
         **({"lineSep": "\n"} if split else {"multiLine": True}),
     ).filter(chosen)
     if strict:
-        told = F.concat(F.lit(f"more than {len(columns)} columns in "), _file_path())
-        frame = frame.filter(
-            F.when(F.col(_SURPLUS).isNotNull(), F.raise_error(told).cast("boolean")).otherwise(True)
-        )
+        # A count reads no column of its own, and Spark wants one beside the record.
+        begins = F.coalesce(F.col(columns[0]), F.lit(""))
+        told = F.concat(F.lit(f"more than {len(columns)} columns in "), _file_path(), F.lit(", row "), begins)
+        wide = _field_count(F.col(_RECORD), dialect.quote) > len(columns)
+        frame = frame.filter(F.when(wide, F.raise_error(told).cast("boolean")).otherwise(True))
     rows = frame.select(
         *(F.replace(F.col(c), F.lit("\ufffd"), F.lit("")).alias(c) for c in columns),
         _file_path().alias("source_file"),
@@ -93,6 +96,14 @@ def read_report_csv(
     return rows.select(*(_without_line_end(F.col(c)).alias(c) for c in columns), "source_file")
 
 
+def _field_count(record: Column, quote: str) -> Column:
+    """Fields of a CSV record: the commas outside its quoted fields, and one. NULL for NULL."""
+    # Unrolled, so that a long field takes no stack.
+    quoted = f"(^|,){quote}[^{quote}]*+(?:{quote}{quote}[^{quote}]*+)*+{quote}"
+    bare = F.regexp_replace(record, quoted, "$1")
+    return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+
+
 def _without_line_end(c: Column) -> Column:
     """What is left of a line's last field when lines end in CR LF; no other field of a
     file that may be split holds a CR."""

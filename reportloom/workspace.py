@@ -49,6 +49,14 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     hadoop_path.getFileSystem(conf).delete(hadoop_path, True)
 
 
+def remove_partition(spark: SparkSession, table: str, column: str, value: str | None) -> None:
+    """Delete the folder of one partition of a table."""
+    name = "__HIVE_DEFAULT_PARTITION__" if value is None else value
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{table}/{column}={name}")
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop_path.getFileSystem(conf).delete(hadoop_path, True)
+
+
 def run_together(spark: SparkSession, jobs: Sequence[Callable[[], None]]) -> None:
     """Run independent writes at the same time; the first failure is raised."""
     with ThreadPoolExecutor(TOGETHER) as pool:

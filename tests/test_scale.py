@@ -13,7 +13,7 @@ from reportloom import frames
 from reportloom.operators import freshness
 from reportloom.operators.cooking import cook_feeds, cook_sales
 from reportloom.schemas import CRASH_FEEDS
-from reportloom.sinks import tables
+from reportloom.sinks import statistics, tables
 from reportloom.sources import reports
 
 IN_PYTHON = {"expand_archives"}
@@ -62,6 +62,18 @@ def test_no_job_of_a_load_has_a_cross_join_or_row_python(spark, name):
             assert not any(x in plan for x in ("EvalPython", "MapInArrow", "MapInPandas", "InPandas"))
 
 
+def test_a_second_run_reads_touched_partitions_only(spark):
+    plans = plans_of_all_jobs(spark, lambda: entry_module.queries()["crashes_load_second_run"](spark, SMALL))
+    scans = [
+        part for plan in plans for part in plan.split("\n\n")
+        if "Scan parquet" in part and "crashes-second" in part and ("/table]" in part or "/out/tables/" in part)
+    ]
+    assert len(scans) > 10
+    # The statistics of a table that has none yet are those of all its partitions.
+    unpruned = [scan for scan in scans if "PartitionFilters: [" not in scan or "PartitionFilters: []" in scan]
+    assert len(unpruned) <= 1, unpruned
+
+
 def test_column_operators_stay_in_one_stage(spark):
     for df in (
         cook_feeds(frames.crash_raw(spark, SMALL), CRASH_FEEDS),
@@ -126,7 +138,7 @@ def test_statistics_are_one_aggregate(spark):
     plan = plan_of(tables.stats_row(df, ["x", "id"]))
     assert "Generate" not in plan and "Sort " not in plan and "Expand" not in plan
     # A hot value is one row per task before it is moved.
-    exact = plan_of(tables.stats_row(df, ["x"], exact=True))
+    exact = plan_of(statistics.exact_stats(df, ["x"]))
     moved = exact[exact.rindex("Exchange hashpartitioning") :]
     assert "Aggregate(key" in moved.replace("SortAggregate", "Aggregate").replace("HashAggregate", "Aggregate")
 

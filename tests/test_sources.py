@@ -58,12 +58,60 @@ def test_a_split_gives_the_same_rows_or_an_error(spark, tmp_path, name):
         assert name in ("lone cr", "even quotes", "cr in quotes", "crlf", "quote bytes", "quoted ends")
 
 
-def test_surplus_columns_fail_a_strict_read(spark, tmp_path):
-    (tmp_path / "f.csv").write_text("Date,a,b\n1,x,y\n2,x,y,z\n")
-    cut = reports.read_report_csv(spark, str(tmp_path), COLUMNS, reports.PLAIN_REPORT)
-    assert cut.count() == 2
-    with pytest.raises(Exception, match="more than 3 columns"):
-        reports.read_report_csv(spark, str(tmp_path), COLUMNS, reports.PLAIN_REPORT, strict=True).collect()
+SURPLUS = ["2,x,y,z", "2,x,,,z", "2,x,y,,z", '2,x,y,"",z', "2,x,y,", '2,x,y,""', '2,"a,b","c""d\ne",z', '2,x 5",y,z,"']
+
+
+@pytest.mark.parametrize("row", SURPLUS)
+def test_surplus_columns_fail_every_strict_read(spark, tmp_path, row):
+    text = f"Date,a,b\n1,x,y\n{row}\n"
+    (tmp_path / "plain").mkdir()
+    (tmp_path / "plain" / "f.csv").write_text(text)
+    write_utf16(tmp_path / "t" / "stats" / "crashes" / "crashes_app_202101_device.csv", text)
+    plain = str(tmp_path / "plain")
+    cut = reports.read_report_csv(spark, plain, COLUMNS, reports.PLAIN_REPORT)
+    assert [tuple(r)[0] for r in cut.sort("d").collect()] == ["1", "2"]
+    reads = [
+        lambda: reports.read_report_csv(spark, plain, COLUMNS, reports.PLAIN_REPORT, strict=True),
+        lambda: reports.scan_feed(spark, {"t": str(tmp_path / "t")}, "crashes", ["device"], ["202101"], 3),
+        lambda: reports.read_supported_devices(spark, plain, COLUMNS),
+    ]
+    if "\n" not in row and '5"' not in row:
+        reads.append(lambda: reports.read_report_csv(spark, plain, COLUMNS, reports.PLAIN_REPORT, split=True, strict=True))
+    for read in reads:
+        with pytest.raises(Exception, match="more than 3 columns"):
+            read().collect()
+
+
+def test_surplus_columns_of_cooked_files_fail(spark, tmp_path):
+    for number, row in enumerate(["1,2,,x", "1,2,%%,x", "1,%a,b%,x", "1,2,x"]):
+        (tmp_path / f"{number}.csv").write_text(f"1,2\n{row}\n")
+        with pytest.raises(Exception, match="more than 2 columns"):
+            reports.read_cooked_csv(spark, str(tmp_path / f"{number}.csv"), ["a", "b"]).collect()
+
+
+def test_short_rows_and_long_fields_load_strictly(spark, tmp_path):
+    field = 'q""' * 30_000 + "a,b\n" * 10_000
+    (tmp_path / "f.csv").write_text(f'Date,a,b\n1\n2,x\n3,"{field}"\n4,x 5",y\n5,"a,b"\n6,"a,b","c,d"\n')
+    got = reports.read_report_csv(spark, str(tmp_path), COLUMNS, reports.PLAIN_REPORT, strict=True)
+    rows = [tuple(r)[:3] for r in got.sort("d").collect()]
+    assert rows == [
+        ("1", None, None), ("2", "x", None), ("3", field.replace('""', '"'), None), ("4", 'x 5"', "y"),
+        ("5", "a,b", None), ("6", "a,b", "c,d"),
+    ]
+
+
+@pytest.mark.parametrize("beyond", [("x",), (None, "x"), ("", "x"), ("",)])
+def test_cooking_fails_on_fields_beyond_a_feed(spark, beyond):
+    from reportloom.operators.cooking import cook_feeds
+    from reportloom.schemas import FeedColumn, FeedSpec
+
+    spec = FeedSpec("f", "day", (FeedColumn("day", 0, "date"), FeedColumn("name", 1, "text")))
+    names = ", ".join(f"c{i} string" for i in range(2 + len(beyond)))
+    raw = spark.createDataFrame([("f", "t", "2021-01-04", "n", *beyond)], f"feed string, tenant string, {names}")
+    with pytest.raises(Exception, match="more than 2 columns in feed f"):
+        cook_feeds(raw, [spec]).collect()
+    short = spark.createDataFrame([("f", "t", "2021-01-04", None, *[None] * len(beyond))], raw.schema)
+    assert cook_feeds(short, [spec]).count() == 1
 
 
 @pytest.mark.parametrize("name", list(EDGE_TEXTS))

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import shutil
 
 import pytest
 from hypothesis import given, settings
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from reportloom.config import Target
 from reportloom.plans import staging
-from reportloom.sinks import control, tables, targets
+from reportloom.sinks import control, statistics, tables, targets
 from reportloom.workspace import new_folder, shared_root
 
 SCHEMA = "crash_date date, n int, tenant string, feed string"
@@ -158,13 +159,70 @@ def test_reconcile_shows_the_difference(spark):
 
 def test_column_stats(spark):
     df = spark.createDataFrame([("a", 1), ("b", None), (None, 1)], "x string, y int")
-    for exact in (True, False):
-        got = {r.column_name: tuple(r)[1:] for r in tables.column_stats(df, ["x", "y"], exact).collect()}
+    for stats in (tables.column_stats, statistics.exact_stats):
+        got = {r.column_name: tuple(r)[1:] for r in stats(df, ["x", "y"]).collect()}
         assert got == {"x": (3, 1, 2, "a", "b"), "y": (3, 1, 1, "1", "1")}
     numbers = spark.createDataFrame([(9,), (10,)], "n int")
     assert tuple(tables.column_stats(numbers, ["n"]).first())[4:] == ("9", "10")
 
 
+def test_exact_statistics_multiply_no_rows(spark):
+    stats = statistics.exact_stats(spark.range(9).selectExpr("id % 4 AS a", "IF(id > 2, id, null) AS b"), ["a", "b"])
+    assert "Expand" not in stats._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in stats.collect()] == [("a", 9, 0, 4, "0", "3"), ("b", 9, 3, 6, "3", "8")]
+    empty = statistics.exact_stats(spark.range(0), ["id"])
+    assert [tuple(r) for r in empty.collect()] == [("id", 0, 0, 0, None, None)]
+
+
+@pytest.mark.parametrize("grain", ["day", "month"])
+def test_statistics_of_touched_partitions_equal_those_of_the_table(spark, tmp_path, grain):
+    layout, path, stats = tables.Layout("crash_date", grain=grain), str(tmp_path / "t"), str(tmp_path / "s")
+    columns = ["crash_date", "n", "tenant"]
+    first = [(d, d % 7, "A", "device") for d in range(0, 90, 3)] + [(5, 10, None, "overview")]
+    second = [(d, 100 + d, "B", "device") for d in range(60, 75)]
+    for rows in (first, second, second[:1]):
+        batch = frame(spark, rows)
+        tables.replace_by_date(batch, path, layout)
+        table = tables.read_table(spark, path, layout.place(batch).schema)
+        days = tables.days_of(batch, layout)
+        statistics.note_statistics(spark, table, layout, days, columns, stats)
+        got = {tuple(r) for r in spark.read.parquet(f"{stats}/columns").collect()}
+        assert got == {tuple(r) for r in statistics.exact_stats(layout.rows(table), columns).collect()}
+    touched = tables.in_partitions(table, layout, days)
+    plan = touched._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: []" not in plan and touched.count() < table.count()
+
+
+def test_a_corrected_month_takes_back_what_it_brought(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.write_earnings(earnings(spark, [("Jan 31, 2021", 1, "A"), ("Feb 1, 2021", 1, "A")]), path)
+
+    def load(*rows):
+        tables.replace_by_month(earnings(spark, list(rows)), path, "2021-Feb")
+        schema = "transaction_date string, amount int, tenant string, transaction_month string"
+        read = tables.read_table(spark, path, schema).drop("transaction_month")
+        return sorted((tuple(r) for r in read.collect()), key=str)
+
+    jan, feb, mar = ("Jan 31, 2021", 1, "A"), ("Feb 2, 2021", 2, "A"), ("Mar 1, 2021", 2, "A")
+    nobody, late = (None, 2, "B"), ("Jan 30, 2021", 2, "B")
+    assert load(feb, mar, late, nobody) == sorted([jan, feb, mar, late, nobody], key=str)
+    # March and the rows without a month had no others, January has.
+    assert load(feb, late) == sorted([jan, feb, late], key=str)
+    assert load(feb, mar) == sorted([jan, feb, mar], key=str)
+    assert load(feb) == [feb, jan]
+    assert load() == [feb, jan]
+
+
+def test_a_table_without_an_index_of_strays_is_asked_itself(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.write_earnings(earnings(spark, [("Jan 31, 2021", 1, "A")]), path)
+    tables.replace_by_month(earnings(spark, [("Feb 1, 2021", 1, "A"), ("Mar 1, 2021", 1, "A")]), path, "2021-Feb")
+    shutil.rmtree(f"{path}/_strays")
+    tables.replace_by_month(earnings(spark, [("Feb 1, 2021", 2, "A")]), path, "2021-Feb")
+    got = spark.read.parquet(path).select("transaction_date", "amount").collect()
+    assert sorted(map(tuple, got)) == [("Feb 1, 2021", 2), ("Jan 31, 2021", 1)]
+
+
 def test_analyze_stores_statistics(spark):
     spark.range(10).withColumnRenamed("id", "k").write.mode("overwrite").saveAsTable("stats_probe")
     tables.analyze(spark, "stats_probe", ["k"])

@@ -6,10 +6,11 @@ import html
 import json
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -37,6 +38,7 @@ BLOCK = frozenset(
     "h6 header hgroup hr html legend li main ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 CONTENT = frozenset(("article", "main"))
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # What a new paragraph or list item does not reach across to close an open one.
 BORDERS = frozenset("table td th blockquote div section article main aside body".split())
 FURNITURE_WORDS = frozenset(
@@ -71,6 +73,7 @@ class Node:
     sign: str = ""
     dropped: bool = False
     firm: bool = False
+    freed: bool = False
     parts: list = field(default_factory=list)
 
     def elements(self) -> list[Node]:
@@ -112,7 +115,18 @@ def parse(page: str | None) -> Node:
     """
     stack = [Node("#page")]
     root, source = stack[0], page or ""
-    at = content = 0
+    # How many of each tag are open: a deep stack is searched only for what is there.
+    opened: Counter = Counter()
+    at = content = firm = 0
+
+    def leave(depth: int) -> None:
+        nonlocal content, firm
+        for n in stack[depth:]:
+            opened[n.tag] -= 1
+            content -= n.tag in CONTENT
+            firm -= n.firm
+        del stack[depth:]
+
     while True:
         token = _TOKEN.search(source, at)
         text = source[at : token.start() if token else len(source)]
@@ -126,17 +140,16 @@ def parse(page: str | None) -> Node:
             continue
         tag = tag.lower()
         if closing:
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
+            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0) if opened[tag] else 0
             # An inline end tag closes no block, ``</p>`` nothing beyond its border.
             inner = BORDERS if tag in ("p", "li") else BLOCK if tag not in BLOCK else ()
             if depth and not any(n.tag in inner for n in stack[depth + 1 :]):
-                content -= sum(n.tag in CONTENT for n in stack[depth:])
-                del stack[depth:]
+                leave(depth)
             continue
-        if tag in BLOCK:
-            _close(stack, "p", BORDERS)
-        if tag == "li":
-            _close(stack, "li", BORDERS | {"ul", "ol", "menu"})
+        if tag in BLOCK and opened["p"]:
+            leave(_closing(stack, "p", BORDERS))
+        if tag == "li" and opened["li"]:
+            leave(_closing(stack, "li", BORDERS | {"ul", "ol", "menu"}))
         node = _described(tag, attributes, content > 0)
         stack[-1].parts.append(node)
         if tag in RAW:
@@ -144,11 +157,16 @@ def parse(page: str | None) -> Node:
             at = end.end() if end else len(source)
         elif tag not in VOID and not attributes.endswith("/"):
             stack.append(node)
+            opened[tag] += 1
+            firm += node.firm
             if tag in CONTENT:
                 content += 1
-                if not any(n.firm for n in stack):
-                    for n in stack:
-                        n.dropped = False
+                if not firm:
+                    # From the last one that was freed so, all above are free.
+                    for n in reversed(stack):
+                        if n.freed:
+                            break
+                        n.dropped, n.freed = False, True
 
 
 @lru_cache
@@ -156,14 +174,15 @@ def _raw_end(tag: str) -> re.Pattern:
     return re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE)
 
 
-def _close(stack: list[Node], tag: str, borders: frozenset[str]) -> None:
-    """Close an open ``tag`` that a new block ends, unless a border lies between."""
+def _closing(stack: list[Node], tag: str, borders: frozenset[str]) -> int:
+    """The depth of an open ``tag`` that a new block ends; that of the stack where a border
+    lies between."""
     for i in range(len(stack) - 1, 0, -1):
         if stack[i].tag == tag:
-            del stack[i:]
-            return
+            return i
         if stack[i].tag in borders:
-            return
+            break
+    return len(stack)
 
 
 def _placed(node: Node) -> list[list[Node]]:
@@ -193,70 +212,208 @@ def _raw_text(nodes: list[Node]) -> str:
     return "".join(out)
 
 
-def skeleton(nodes: list[Node]) -> tuple:
-    """A slot for matching: (sign, hash of its text, slots below, its elements)."""
-    below: list[tuple] = []
-    if len(nodes) == 1:
-        below = [skeleton(slot) for slot in _placed(nodes[0])]
+@dataclass(slots=True)
+class Slot:
+    """An element, or neighbours of one sign, for matching: the sign, a hash of its text, the
+    slots below, its elements, and of its tree a hash of the signs and the size."""
+
+    sign: str
+    text: int = 0
+    below: list[Slot] = field(default_factory=list)
+    nodes: list[Node] = field(default_factory=list)
+    shape: int = 0
+    size: int = 1
+
+    def shaped(self) -> Slot:
+        parts = "\n".join([self.sign, *(f"{b.shape:x}" for b in self.below)])
+        self.shape = xxhash.xxh3_64_intdigest(parts)
+        self.size = 1 + sum(b.size for b in self.below)
+        return self
+
+
+def skeleton(nodes: list[Node]) -> Slot:
+    """The slots of a tree, made from its leaves up."""
+
+    def start(nodes: list[Node]) -> tuple[list[Node], list[list[Node]], list[Slot]]:
+        return nodes, _placed(nodes[0]) if len(nodes) == 1 else [], []
+
+    opened = [start(nodes)]
+    while True:
+        nodes, slots, below = opened[-1]
+        if len(below) < len(slots):
+            opened.append(start(slots[len(below)]))
+            continue
+        opened.pop()
         own = "".join(p for p in nodes[0].parts if isinstance(p, str)) if below else _raw_text(nodes)
-    else:
-        own = _raw_text(nodes)
-    text = xxhash.xxh64_intdigest(" ".join([*own.split(), *(f"{b[1]:x}" for b in below)]))
-    return nodes[0].sign, text, tuple(below), nodes
-
-
-def match(a: tuple, b: tuple) -> tuple[int, list]:
-    """Simple tree matching: the largest number of nodes of ``a`` and ``b`` that pair up
-    in order, roots with roots, and the pairs of the children."""
-    if a[0] != b[0]:
-        return 0, []
-    first, second = a[2], b[2]
-    if not first or not second:
-        return 1, []
-    best = [[0] * (len(second) + 1) for _ in range(len(first) + 1)]
-    pair = {}
-    for i, x in enumerate(first, 1):
-        for j, y in enumerate(second, 1):
-            count, below = match(x, y)
-            pair[i, j] = count, below
-            best[i][j] = max(best[i - 1][j], best[i][j - 1], best[i - 1][j - 1] + count)
-    i, j, pairs = len(first), len(second), []
-    while i and j:
-        count, below = pair[i, j]
-        if count and best[i][j] == best[i - 1][j - 1] + count:
-            pairs.append((i - 1, j - 1, below))
-            i, j = i - 1, j - 1
-        elif best[i][j] == best[i - 1][j]:
-            i -= 1
-        else:
-            j -= 1
-    return best[-1][-1] + 1, pairs[::-1]
+        text = xxhash.xxh64_intdigest(" ".join([*own.split(), *(f"{b.text:x}" for b in below)]))
+        slot = Slot(nodes[0].sign, text, below, nodes).shaped()
+        if not opened:
+            return slot
+        opened[-1][2].append(slot)
+
+
+# Cells of the table that is kept whole for the way back; larger ones are halved.
+_CELLS = 1 << 18
+
+Paired = dict[tuple[int, int], int]
+
+
+def _trimmed(first: list[Slot], second: list[Slot]) -> tuple[int, int]:
+    """How many slots at both ends have one shape; to pair these up is never worse."""
+    head, most = 0, min(len(first), len(second))
+    while head < most and first[head].shape == second[head].shape:
+        head += 1
+    tail = 0
+    while tail < most - head and first[-1 - tail].shape == second[-1 - tail].shape:
+        tail += 1
+    return head, tail
+
+
+def _middles(a: Slot, b: Slot) -> tuple[list[Slot], list[Slot], int]:
+    head, tail = _trimmed(a.below, b.below)
+    return a.below[head : len(a.below) - tail], b.below[head : len(b.below) - tail], head
+
+
+def _known(x: Slot, y: Slot, counts: Paired) -> int | None:
+    """The nodes of ``x`` and ``y`` that pair up, None if they have not been counted."""
+    if x.sign != y.sign:
+        return 0
+    if x.shape == y.shape:
+        return x.size
+    if not x.below or not y.below:
+        return 1
+    return counts.get((x.shape, y.shape))
+
+
+class _Weights:
+    """Rows of the table of pair counts between two lists of slots, by shape."""
+
+    def __init__(self, second: list[Slot], counts: Paired) -> None:
+        self.kinds = list({y.shape: y for y in second}.values())
+        number = {y.shape: k for k, y in enumerate(self.kinds)}
+        self.columns = np.fromiter((number[y.shape] for y in second), np.int64, len(second))
+        self.counts = counts
+
+    def row(self, x: Slot) -> np.ndarray:
+        return np.array([_known(x, y, self.counts) for y in self.kinds], np.int32)[self.columns]
+
+
+def _last_row(first: list[Slot], second: list[Slot], counts: Paired) -> np.ndarray:
+    """The most nodes that pair up between ``first`` and each start of ``second``, in order."""
+    weights = _Weights(second, counts)
+    rows: dict[int, np.ndarray] = {}
+    best = np.zeros(len(second) + 1, np.int32)
+    for x in first:
+        if x.shape not in rows:
+            if len(rows) * len(second) > _CELLS:
+                rows.clear()
+            rows[x.shape] = weights.row(x)
+        best[1:] = np.maximum(best[1:], best[:-1] + rows[x.shape])
+        np.maximum.accumulate(best, out=best)
+    return best
+
+
+def _count(a: Slot, b: Slot, counts: Paired) -> int:
+    """Simple tree matching: the largest number of nodes of ``a`` and ``b`` that pair up in
+    order, roots with roots. Pairs of shapes are counted once, the inner ones first."""
+    todo = [(a, b)]
+    while todo:
+        x, y = todo[-1]
+        if _known(x, y, counts) is not None:
+            todo.pop()
+            continue
+        first, second, _ = _middles(x, y)
+        kinds, others = ({s.shape: s for s in side}.values() for side in (first, second))
+        needed = [(u, v) for u in kinds for v in others if _known(u, v, counts) is None]
+        if needed:
+            todo.extend(needed)
+            continue
+        todo.pop()
+        head, tail = _trimmed(x.below, y.below)
+        same = sum(s.size for s in x.below[:head]) + sum(s.size for s in x.below[len(x.below) - tail :])
+        counts[x.shape, y.shape] = 1 + same + int(_last_row(first, second, counts)[-1])
+    found = _known(a, b, counts)
+    assert found is not None
+    return found
+
+
+def _aligned(first: list[Slot], second: list[Slot], counts: Paired) -> list[tuple[int, int]]:
+    """The pairs of one best way to pair up two lists in order. A large table is never
+    held: the first list is halved, and two last rows say where the second one parts."""
+    out: list[tuple[int, int]] = []
+    todo = [(0, len(first), 0, len(second))]
+    while todo:
+        a, b, c, d = todo.pop()
+        if a == b or c == d:
+            continue
+        if b - a > 1 and (b - a) * (d - c) > _CELLS:
+            half = (a + b) // 2
+            left = _last_row(first[a:half], second[c:d], counts)
+            right = _last_row(first[half:b][::-1], second[c:d][::-1], counts)
+            part = c + int(np.argmax(left + right[::-1]))
+            todo += [(a, half, c, part), (half, b, part, d)]
+            continue
+        weights = _Weights(second[c:d], counts)
+        rows = [weights.row(x) for x in first[a:b]]
+        table = np.zeros((b - a + 1, d - c + 1), np.int32)
+        for i, row in enumerate(rows):
+            np.maximum(table[i, 1:], table[i, :-1] + row, out=table[i + 1, 1:])
+            np.maximum.accumulate(table[i + 1], out=table[i + 1])
+        i, j = b - a, d - c
+        while i and j:
+            if rows[i - 1][j - 1] and table[i, j] == table[i - 1, j - 1] + rows[i - 1][j - 1]:
+                i, j = i - 1, j - 1
+                out.append((a + i, c + j))
+            elif table[i, j] == table[i - 1, j]:
+                i -= 1
+            else:
+                j -= 1
+    return out
+
+
+def match(a: Slot, b: Slot, counts: Paired | None = None) -> int:
+    """The largest number of nodes of two trees that pair up in order, roots with roots."""
+    return _count(a, b, {} if counts is None else counts)
 
 
-def addressed(reference: tuple, page: tuple) -> list[tuple[str, str, tuple]]:
+def pairs(a: Slot, b: Slot, counts: Paired) -> dict[int, int]:
+    """For the slots below ``b`` that pair up with one below ``a`` the place of that one."""
+    if a.sign != b.sign:
+        return {}
+    if a.shape == b.shape:
+        return {j: j for j in range(len(b.below))}
+    _count(a, b, counts)
+    head, tail = _trimmed(a.below, b.below)
+    first, second, _ = _middles(a, b)
+    found = {j: j for j in range(head)}
+    found |= {head + j: head + i for i, j in _aligned(first, second, counts)}
+    return found | {len(b.below) - k: len(a.below) - k for k in range(1, tail + 1)}
+
+
+def addressed(reference: Slot, page: Slot) -> list[tuple[str, str, Slot]]:
     """(place, place among pages of one layout, slot) of all slots of the page.
 
     The place of a slot that pairs up is that in the reference. Below it, slots that
     the reference lacks have places by their signs, so pages of another layout share
-    them too. The second place also holds what slots lie beside it.
+    them too. The second place also holds what slots lie beside it. A place is a hash
+    of the one above it and its own step.
     """
     out = []
-    todo = [("", reference, page, match(reference, page)[1])]
+    counts: Paired = {}
+    todo: list[tuple[str, Slot | None, Slot]] = [("", reference, page)]
     while todo:
-        at, a, b, pairs = todo.pop()
-        paired = {j: (i, below) for i, j, below in pairs}
-        signs = [slot[0] for slot in b[2]]
-        beside = xxhash.xxh64_hexdigest("\n".join(signs))
+        at, a, b = todo.pop()
+        paired = pairs(a, b, counts) if a is not None else {}
+        beside = xxhash.xxh64_hexdigest("\n".join([slot.sign for slot in b.below]))
         unpaired: Counter = Counter()
-        for j, slot in enumerate(b[2]):
+        for j, slot in enumerate(b.below):
             if j in paired:
-                i, below = paired[j]
-                place = f"{at}/{i}"
-                todo.append((place, a[2][i], slot, below))
+                step, other = str(paired[j]), a.below[paired[j]]
             else:
-                place = f"{at}/+{xxhash.xxh64_hexdigest(slot[0])}.{unpaired[slot[0]]}"
-                unpaired[slot[0]] += 1
-                todo.append((place, ("", 0, (), []), slot, []))
+                step, other = f"+{xxhash.xxh64_hexdigest(slot.sign)}.{unpaired[slot.sign]}", None
+                unpaired[slot.sign] += 1
+            place = xxhash.xxh3_128_hexdigest(f"{at}/{step}")
+            todo.append((place, other, slot))
             out.append((place, f"{place}@{beside}", slot))
     return out
 
@@ -269,7 +426,8 @@ def _key(place: str, layout: bool) -> int:
 def inside(node: Node, at: str) -> list[tuple[str, list[Node]]]:
     """(place, elements) of the slots of blocks in an article; neighbours of one sign are
     one slot here too. A place is the signs above it: text of an article moves, so it is
-    not matched in order, which would take the square of a long article."""
+    not matched in order, which would take the square of a long article. A heading that
+    many articles have, as ``Summary``, is text of theirs and has no place."""
     out, todo = [], [(node, at)]
     while todo:
         part, place = todo.pop()
@@ -284,7 +442,9 @@ def inside(node: Node, at: str) -> list[tuple[str, list[Node]]]:
         if part is not node and not slots:
             out.append((place, [part]))
         for slot in slots:
-            below = f"{place}>{slot[0].sign}"
+            below = xxhash.xxh3_128_hexdigest(f"{place}>{slot[0].sign}")
+            if slot[0].tag in HEADINGS:
+                continue
             if len(slot) == 1:
                 todo.append((slot[0], below))
             else:
@@ -292,18 +452,18 @@ def inside(node: Node, at: str) -> list[tuple[str, list[Node]]]:
     return out
 
 
-def marks(reference: tuple, page: tuple) -> Iterator[tuple[int, int, list[Node]]]:
+def marks(reference: Slot, page: Slot) -> Iterator[tuple[int, int, list[Node]]]:
     """(place, hash of the text there, its elements) of all that may be template; first,
     with place and text 0, the page, which tells that there were enough to compare."""
     yield 0, 0, []
     for place, among, slot in addressed(reference, page):
-        if slot[3][0].dropped:
+        if slot.nodes[0].dropped:
             continue
-        if slot[3][0].tag not in CONTENT:
-            yield _key(place, False), slot[1] - (1 << 63), slot[3]
-            yield _key(among, True), slot[1] - (1 << 63), slot[3]
+        if slot.nodes[0].tag not in CONTENT:
+            yield _key(place, False), slot.text - (1 << 63), slot.nodes
+            yield _key(among, True), slot.text - (1 << 63), slot.nodes
     # One place for all articles, wherever they are.
-    for article in articles(page[3][0]):
+    for article in articles(page.nodes[0]):
         for place, nodes in inside(article, article.tag):
             text = " ".join(_raw_text(nodes).split())
             if text:
@@ -324,23 +484,27 @@ def articles(root: Node) -> list[Node]:
     return out
 
 
-def blocks(node: Node) -> list[str]:
-    """Texts of the blocks in order, references decoded, white space turned to blanks."""
+def blocks(node: Node, beside: Callable[[str], bool] | None = None) -> list[str]:
+    """Texts of the blocks in order, references decoded, white space turned to blanks. A
+    text beside the articles has to be one that ``beside`` takes."""
     out: list[str] = []
     line: list[str] = []
+    depth = 0
 
     def end() -> None:
         # ``\s`` and str.strip know the no-break space too.
         text = _SPACE.sub(" ", html.unescape("".join(line))).strip()
         line.clear()
-        if text:
+        if text and (depth or beside is None or beside(text)):
             out.append(text)
 
+    # An element whose end is to come stands alone in a tuple.
     todo: list = [node]
     while todo:
         part = todo.pop()
-        if part is None:
+        if isinstance(part, tuple):
             end()
+            depth -= part[0].tag in CONTENT
         elif isinstance(part, str):
             line.append(part)
         elif part.tag == "br":
@@ -350,7 +514,8 @@ def blocks(node: Node) -> list[str]:
                 end()
         elif part.tag in BLOCK:
             end()
-            todo.append(None)
+            depth += part.tag in CONTENT
+            todo.append((part,))
             todo.extend(reversed(part.parts))
         else:
             todo.extend(reversed(part.parts))
@@ -358,15 +523,20 @@ def blocks(node: Node) -> list[str]:
     return out
 
 
-def main_text(page: str | None, reference: tuple | None, constant: frozenset[tuple[int, int]]) -> str:
+def _has_letter(text: str) -> bool:
+    return any(c.isalpha() for c in text)
+
+
+def main_text(page: str | None, reference: Slot | None, constant: frozenset[tuple[int, int]]) -> str:
     """The text of a page without furniture and template: blocks in page order, joined
     by blank lines.
 
     ``constant`` has the place and hash of each text that is template. All else, at
-    places of the reference or not, is content. Articles go before the rest: they are
-    the text unless the rest that varies is longer, which is known only where pages
-    were compared. An article is content also where most pages have the same; a page
-    that is template altogether is its own.
+    places of the reference or not, is content. Where pages were compared, what varies
+    beside an article, such as its headline or lead, stays with it, but for blocks
+    without a letter (a counter, the number of a page); where they were not, articles
+    go before the rest. An article is content also where most pages have the same; a
+    page that is template altogether is its own.
     """
     root = parse(page)
     own = articles(root)
@@ -374,32 +544,49 @@ def main_text(page: str | None, reference: tuple | None, constant: frozenset[tup
     for place, text, nodes in marks(reference, skeleton([root])) if reference and constant else ():
         if (place, text) in constant:
             marked.extend(nodes)
+    if not own:
+        for node in marked:
+            node.dropped = True
+        found = blocks(root)
+        if not found:
+            for node in marked:
+                node.dropped = False
+            found = blocks(root)
+        return "\n\n".join(found)
     whole = [text for node in own for text in blocks(node)]
     for node in marked:
         node.dropped = True
-    found = blocks(root)
-    # Articles themselves are not marked, only what is in them.
-    article = [text for node in own for text in blocks(node)] or whole
-    if article:
-        length, rest = sum(map(len, article)), sum(map(len, found))
-        # ``found`` holds what varies in articles too.
-        if not constant or rest - (0 if article is whole else length) <= length:
-            found = article
-    if not found:
+    if not any(blocks(node) for node in own):
+        # All of it is template: then it is not what the template is for.
+        article = whole
+    elif constant:
+        article = blocks(root, beside=_has_letter)
+    else:
+        article = [text for node in own for text in blocks(node)]
+    if not article:
         for node in marked:
             node.dropped = False
-        found = blocks(root)
-    return "\n\n".join(found)
+        article = blocks(root)
+    return "\n\n".join(article)
 
 
-def packed(slot: tuple) -> list:
-    """What alignment needs of a reference page, without its texts."""
-    return [slot[0], [packed(s) for s in slot[2]]]
+def packed(slot: Slot) -> list:
+    """The signs of a tree with the numbers of slots below, as alignment needs them of a
+    reference page, in the order of a walk from the root; no texts, and no nesting."""
+    out, todo = [], [slot]
+    while todo:
+        at = todo.pop()
+        out.append([at.sign, len(at.below)])
+        todo.extend(reversed(at.below))
+    return out
 
 
-def unpacked(parts: list) -> tuple:
-    sign, below = parts
-    return sign, 0, tuple(unpacked(b) for b in below), []
+def unpacked(parts: list) -> Slot:
+    done: list[Slot] = []
+    for sign, count in reversed(parts):
+        below = [done.pop() for _ in range(count)]
+        done.append(Slot(sign, below=below).shaped())
+    return done[0]
 
 
 def host_of(url):
@@ -426,7 +613,7 @@ def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") ->
     chosen = settle(chosen.transform(map_batches, pack, "host string, reference string"), "host-references")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, tuple] = {}
+        known: dict[str, Slot] = {}
         for batch in batches:
             out: tuple[list, list, list, list] = ([], [], [], [])
             for host, page, h, reference in zip(*batch.columns, strict=True):
@@ -461,7 +648,9 @@ def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") ->
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Columns ``page``, ``url``, ``text`` and ``n_chars``, one row per row of ``pages``.
 
-    Null and empty pages have an empty text; a page of any length is parsed whole;
+    Null and empty pages have an empty text; a page of any length and any depth of
+    elements is parsed whole, without recursion; alignment holds no more than some
+    hundred thousand cells of a table, however many blocks lie side by side;
     pages whose URL names no host share one wrapper; repeated rows stay; an empty table
     gives no rows; other columns are not looked at.
     """

@@ -1,5 +1,9 @@
 """Wrapper induction on pages made here."""
 
+import random
+import time
+import tracemalloc
+
 import pytest
 
 from reportloom.llm import html_extract as h
@@ -57,10 +61,82 @@ def test_tree_matching_counts_paired_nodes():
     def tree(page):
         return h.skeleton([h.parse(page)])
 
-    assert h.match(tree("<p>a</p><ul></ul>"), tree("<ul></ul>"))[0] == 2
-    assert h.match(tree("<div><p>x</p><ul></ul></div><footer>"), tree("<div><ul></ul></div><footer>"))[0] == 4
-    same = h.match(tree("<div><p>x</p></div>"), tree("<div><p>y</p></div>"))
-    assert same[0] == 3
+    assert h.match(tree("<p>a</p><ul></ul>"), tree("<ul></ul>")) == 2
+    assert h.match(tree("<div><p>x</p><ul></ul></div><footer>"), tree("<div><ul></ul></div><footer>")) == 4
+    assert h.match(tree("<div><p>x</p></div>"), tree("<div><p>y</p></div>")) == 3
+
+
+def plain_match(a, b):
+    if a.sign != b.sign:
+        return 0
+    best = [[0] * (len(b.below) + 1) for _ in range(len(a.below) + 1)]
+    for i, x in enumerate(a.below):
+        for j, y in enumerate(b.below):
+            best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + plain_match(x, y))
+    return best[-1][-1] + 1
+
+
+def paired_nodes(a, b):
+    """Nodes paired on the way that ``pairs`` takes."""
+    counts, total, todo = {}, 0, [(a, b)]
+    while todo:
+        x, y = todo.pop()
+        total += 1
+        found = h.pairs(x, y, counts)
+        assert sorted(found.values()) == [found[j] for j in sorted(found)]
+        todo.extend((x.below[i], y.below[j]) for j, i in found.items())
+    return total
+
+
+@pytest.mark.parametrize("cells", [2, 1 << 18])
+def test_tree_matching_equals_the_plain_recursion(monkeypatch, cells):
+    monkeypatch.setattr(h, "_CELLS", cells)
+    rnd = random.Random(cells)
+
+    def tree(depth):
+        below = [tree(depth - 1) for _ in range(rnd.randint(0, 4))] if depth else []
+        return h.Slot(rnd.choice("abc"), below=below).shaped()
+
+    for _ in range(400):
+        a, b = tree(3), tree(3)
+        a.sign = b.sign = "root"
+        a.shaped(), b.shaped()
+        assert h.match(a, b) == plain_match(a, b) == paired_nodes(a, b)
+        again = h.unpacked(h.packed(a))
+        assert (again.shape, again.size) == (a.shape, a.size)
+
+
+def test_deep_and_wide_pages(spark):
+    """Ten thousand elements inside each other, and twenty thousand blocks without an article."""
+    deep = "<div>" * 10_000 + "<p>deep {}</p>"
+    rnd = random.Random(1)
+    wide = "".join(f"<{t}>w{{0}}</{t}>" for t in (rnd.choice(["p", "h2", "div"]) for _ in range(20_000)))
+    other = "".join(f"<{t}>w{{0}}</{t}>" for t in (rnd.choice(["p", "h2", "div"]) for _ in range(20_000)))
+    rows = [(i, "http://deep.org/", deep.format(i)) for i in range(4)]
+    rows += [(10 + i, "http://lists.org/", f"<ul>{'<ul><li>' * 5_000}x {i}") for i in range(3)]
+    found = _extract(spark, rows)
+    assert [found[i]["text"] for i in range(4)] == [f"deep {i}" for i in range(4)]
+    assert found[12]["text"] == "x 2"
+    tracemalloc.start()
+    start = time.perf_counter()
+    a, b = (h.skeleton([h.parse(x)]) for x in (wide.format(1), other.format(2)))
+    matched = h.pairs(a, b, {})
+    assert time.perf_counter() - start < 120
+    assert tracemalloc.get_traced_memory()[1] < 200e6
+    tracemalloc.stop()
+    assert all(a.below[i].sign == b.below[j].sign for j, i in matched.items())
+    # Some 16,000 slots a page, of which a good half pair up in order.
+    assert len(matched) > 0.6 * len(b.below)
+
+
+def test_headline_and_lead_beside_an_article_stay(spark):
+    pages = [
+        (i, "http://lead.org/", f"<body><div>Our site</div><h1>Head {i}</h1><p>Lead of {i}</p><p>{i}</p>"
+         f"<article><h2>Summary</h2><p>Story {i}</p><p class=n>Support us</p></article></body>")
+        for i in range(6)
+    ]
+    for i, r in _extract(spark, pages).items():
+        assert r["text"] == f"Head {i}\n\nLead of {i}\n\nSummary\n\nStory {i}"
 
 
 @pytest.mark.parametrize("page, text", [

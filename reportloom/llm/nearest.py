@@ -216,8 +216,13 @@ def _nodes(rows: DataFrame, neighbours: int) -> DataFrame:
 def _band(vector: Column) -> Column:
     """The band of a vector's norm; scaled first, so that no square overflows."""
     most = F.array_max(F.transform(vector, lambda x: F.abs(x).cast("double")))
-    square = F.aggregate(vector, F.lit(0.0), lambda s, x: s + (x / most) * (x / most))
-    return F.floor((F.log(most) + F.log(square) / 2) / float(np.log(BAND)) + 0.5).cast("int")
+
+    def band(most: Column) -> Column:
+        square = F.aggregate(vector, F.lit(0.0), lambda s, x: s + (x / most) * (x / most))
+        return F.floor((F.log(most) + F.log(square) / 2) / float(np.log(BAND)) + 0.5).cast("int")
+
+    # An array of one, so that the largest component is found once and not for each.
+    return F.transform(F.array(most), band)[0]
 
 
 def _sample_truth(nodes: DataFrame, sample: np.ndarray, neighbours: int) -> tuple[np.ndarray, np.ndarray]:

@@ -20,6 +20,8 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 # Rows between two marks of a running sum.
 ROWS_BETWEEN_MARKS = 20_000
+# Parts that a group's values are cut into to spread them evenly.
+QUANTILES = 256
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,6 +85,28 @@ def even_number(*parts: Column) -> Column:
     return (bits + 0.5) / float(1 << 52)
 
 
+def even_spread(df: DataFrame, group: str, column: str, out: str) -> DataFrame:
+    """Add ``out``: a number from 0 to 1 that rises with ``column`` and is about even within
+    each group (compared null-safe), whatever the distribution.
+
+    Each group's quantiles, one row of ``QUANTILES`` + 1 numbers, are gathered from partial
+    ones; between two of them values count as even. ``df`` should be cheap to read twice.
+    """
+    steps = [i / QUANTILES for i in range(QUANTILES + 1)]
+    marks = df.groupBy(F.col(group).alias("__g")).agg(
+        F.percentile_approx(column, F.array(*map(F.lit, steps)), F.lit(20 * QUANTILES)).alias("__marks")
+    )
+    # Written, so that Spark knows how small it is and need not move the rows to it.
+    marks = settle(marks, "quantiles")
+    value = F.col(column)
+    passed = F.size(F.filter("__marks", lambda m: m <= value))
+    held = df.join(marks, F.col(group).eqNullSafe(F.col("__g")), "left")
+    held = held.withColumn("__bin", F.least(F.greatest(passed, F.lit(1)), F.lit(QUANTILES)))
+    low, high = F.get("__marks", F.col("__bin") - 1), F.get("__marks", F.col("__bin"))
+    part = F.when(high > low, F.least(F.greatest((value - low) / (high - low), F.lit(0.0)), F.lit(1.0))).otherwise(0.0)
+    return held.withColumn(out, (F.col("__bin") - 1 + part) / QUANTILES).drop("__marks", "__bin", "__g")
+
+
 def running_sum(
     df: DataFrame, group: Sequence[str], order: Sequence[str], spread: str, value: str, out: str
 ) -> DataFrame:

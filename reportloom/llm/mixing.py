@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reportloom.llm.common import even_number, running_sum, settle, split_words
+from reportloom.llm.common import even_number, even_spread, running_sum, settle, split_words
 
 WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
@@ -90,8 +90,8 @@ def mix(
         F.col("source").alias("__source"), "source_size", "target",
         F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(1).alias("epochs"),
     )
-    # Keys are about exponential, so this is about even.
-    rows = rows.withColumn("spread", 1 - F.exp(-F.col("key")))
+    # Keys follow the qualities of their source, so its own quantiles cut it evenly.
+    rows = even_spread(rows, "source", "key", "spread")
     ordered = running_sum(rows, ["source"], ["key", "doc", "tie"], "spread", "size", "before")
     ordered = ordered.join(plans, F.col("source").eqNullSafe(F.col("__source")))
     rest = F.col("target") - F.col("epochs") * F.col("source_size")

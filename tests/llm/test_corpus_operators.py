@@ -8,6 +8,7 @@ import duckdb
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from compare import duck_rows, spark_rows
 from reportloom.llm import (
@@ -23,7 +24,7 @@ from reportloom.llm import (
     sharding,
     simhash,
 )
-from reportloom.llm.common import running_sum
+from reportloom.llm.common import even_number, even_spread, running_sum
 
 from .conftest import LONG_LINE, digest, odd_rows, prose
 
@@ -141,8 +142,6 @@ def test_a_library_that_is_too_large_is_refused(spark, odd):
     ("x " * 40, True), ("NASA and ESA met.", False),
 ])
 def test_line_rules(spark, line, bad):
-    from pyspark.sql import functions as F
-
     assert spark.range(1).select(quality_rules.bad_line(F.lit(line)).alias("b")).first()["b"] is bad
 
 
@@ -222,8 +221,6 @@ def test_components_of_a_long_path_and_a_star(spark):
 
 
 def test_running_sum_over_many_stretches(spark, monkeypatch):
-    from pyspark.sql import functions as F
-
     monkeypatch.setattr("reportloom.llm.common.ROWS_BETWEEN_MARKS", 10)
     rows = spark.range(500).select("id", (F.col("id") % 3).alias("g"), (F.pmod(F.hash("id"), F.lit(1000)) / 1000).alias("x"), F.lit(2).alias("w"))
     got = {r["id"]: r["s"] for r in running_sum(rows, ["g"], ["x", "id"], "x", "w", "s").collect()}
@@ -253,6 +250,25 @@ def test_targets_fill_up_to_the_cap(spark):
     assert got == pytest.approx(want)
 
 
+@pytest.mark.parametrize("quality", ["1.0", "0.1", "IF(id % 3 = 0, 0.1, 0.9)", "0.1 + 0.9 * (id % 97) / 97"])
+def test_stretches_are_even_whatever_the_quality(spark, quality):
+    rows = spark.range(60_000).selectExpr("id", "IF(id % 3 = 0, null, 'hot') AS source", f"{quality} AS quality")
+    keyed = rows.withColumn("key", -F.log(even_number(F.lit("s"), F.col("id"))) / F.col("quality"))
+    spread = even_spread(keyed, "source", "key", "spread")
+    counts = spread.groupBy("source", F.least(F.floor(F.col("spread") * 40), F.lit(39)).alias("cut")).count().collect()
+    for r in counts:
+        mean = (20_000 if r["source"] is None else 40_000) / 40
+        assert 0.6 * mean < r["count"] < 1.5 * mean
+    assert len(counts) == 80
+    ordered = [r["spread"] for r in spread.where("source is null").orderBy("key").collect()]
+    assert ordered == sorted(ordered) and 0 <= ordered[0] and ordered[-1] <= 1
+
+
+def test_equal_values_and_lone_rows_spread(spark):
+    rows = spark.createDataFrame([("a", 1.0)] * 5 + [("b", 2.0), (None, 0.5), (None, 0.7)], "g string, x double")
+    assert all(0 <= r["s"] <= 1 for r in even_spread(rows, "g", "x", "s").collect())
+
+
 def test_mixed_rows_come_as_often_as_taken(odd):
     mixed = mixing.mixed_documents(odd)
     assert mixed.columns == odd.columns
@@ -369,8 +385,6 @@ def test_language_by_hand_for_a_tiny_model():
 
 
 def test_languages_of_odd_rows(odd):
-    from pyspark.sql import functions as F
-
     model = language_id.learn(odd.select(F.col("doc_id").alias("id"), "lang", "text"))
     found = language_id.identify(odd, model).collect()
     assert len(found) == odd.count() and all(0 <= r["score"] <= 1 for r in found)

@@ -15,8 +15,11 @@ from pyspark.sql import functions as F
 from reportloom.llm.common import map_batches, settle
 
 WINDOW = 10
-# Benchmark text that one automaton holds; larger benchmarks are scanned in blocks.
-BLOCK_BYTES = 16 * 1024 * 1024
+# Benchmark text that one automaton holds, some 150 MB of it for a megabyte; larger
+# benchmarks are scanned in blocks.
+BLOCK_BYTES = 2 * 1024 * 1024
+# Words are two symbols each, so that no node has more branches than this.
+_FAN = 1024
 
 # Words are runs of ASCII letters, digits and all bytes of other characters.
 _WORD = np.array([chr(b).isalnum() or b >= 128 for b in range(128)] + [True] * 128)
@@ -38,38 +41,54 @@ def windows(text: str | None, size: int = WINDOW) -> set[bytes]:
     return {b" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))}
 
 
+class _Automaton:
+    """The Aho-Corasick automaton over all windows of ``texts``, whose symbols are words.
+
+    A word of the benchmark is two characters, one of each of two alphabets, so words
+    match whole; all others are a character that no window has. The tree is far
+    smaller than one over the letters of the windows, which overlap.
+    """
+
+    def __init__(self, texts: tuple[str, ...], size: int) -> None:
+        self.codes: dict[bytes, str] = {}
+        found: dict[str, list[int]] = {}
+        for index, text in enumerate(texts):
+            for window in windows(text, size):
+                coded = "".join(self._code(w) for w in window.split(b" "))
+                found.setdefault(coded, []).append(index)
+        self.tree = ahocorasick.Automaton()
+        for coded, owners in found.items():
+            self.tree.add_word(coded, (len(coded) // 2, tuple(owners)))
+        self.tree.make_automaton()
+
+    def _code(self, word: bytes) -> str:
+        number = len(self.codes)
+        if number >= _FAN * _FAN:
+            raise ValueError("a block of the benchmark has too many words")
+        return self.codes.setdefault(word, chr(1 + number // _FAN) + chr(1 + _FAN + number % _FAN))
+
+    def matches(self, words: list[bytes]) -> list[tuple[int, tuple[int, tuple[int, ...]]]]:
+        """(number of the last word, (words, texts)) of each window found."""
+        other = chr(2 + 2 * _FAN) * 2
+        text = "".join([self.codes.get(w, other) for w in words])
+        return [(at // 2, match) for at, match in self.tree.iter(text)]
+
+
 @lru_cache(maxsize=2)
-def _automaton(texts: tuple[str, ...], size: int) -> ahocorasick.Automaton | None:
-    """Automaton over all windows of ``texts``; a match gives (words, indexes of texts)."""
-    found: dict[bytes, list[int]] = {}
-    for index, text in enumerate(texts):
-        for window in windows(text, size):
-            found.setdefault(window, []).append(index)
-    if not found:
-        return None
-    automaton = ahocorasick.Automaton()
-    for window, owners in found.items():
-        # One character per byte: words match whole, between blanks.
-        automaton.add_word(f" {window.decode('latin-1')} ", (window.count(b" ") + 1, tuple(owners)))
-    automaton.make_automaton()
-    return automaton
-
-
-def scan(text: str | None, automaton: ahocorasick.Automaton | None) -> tuple[int, list[tuple[int, int]], set[int]]:
+def _automaton(texts: tuple[str, ...], size: int) -> _Automaton | None:
+    """The automaton of ``texts``, None if they have no words."""
+    return _Automaton(texts, size) if any(map(normalise, texts)) else None
+
+
+def scan(text: str | None, automaton: _Automaton | None) -> tuple[int, list[tuple[int, int]], set[int]]:
     """Number of words, runs of words hit (first, behind the last; apart and in
     order) and the texts found, in one pass over the normalised text."""
     words = normalise(text)
     owners: set[int] = set()
     if not words or automaton is None:
         return len(words), [], owners
-    matches = list(automaton.iter(f" {b' '.join(words).decode('latin-1')} "))
-    if not matches:
-        return len(words), [], owners
-    # Behind which character of the normalised text each word ends.
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-    last = np.searchsorted(ends, [at for at, _ in matches]).tolist()
     reach: dict[int, int] = {}
-    for word, (_, (length, found)) in zip(last, matches, strict=True):
+    for word, (length, found) in automaton.matches(words):
         owners.update(found)
         first = word - length + 1
         reach[first] = max(reach.get(first, 0), word + 1)
@@ -93,8 +112,9 @@ def original_spans(text: str, runs: list[tuple[int, int]]) -> list[tuple[int, in
     return [(int(points[starts[a]]), int(points[behind[b - 1]])) for a, b in runs]
 
 
-def _blocks(items: DataFrame, id_col: str, text_col: str, block_bytes: int) -> list[list]:
-    """The benchmark as (id, text) pairs, in parts of about ``block_bytes``."""
+def _blocks(items: DataFrame, id_col: str, text_col: str, block_bytes: int) -> tuple[int, Iterator[list]]:
+    """The benchmark as (id, text) pairs, in parts of about ``block_bytes``: how many, and
+    the parts, of which the driver holds one at a time."""
     items = items.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text"))
     items = items.where("text is not null").distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -102,10 +122,11 @@ def _blocks(items: DataFrame, id_col: str, text_col: str, block_bytes: int) -> l
     if count > 1:
         items = settle(items, "benchmark")
     block = F.pmod(F.xxhash64("item", "text"), F.lit(count))
-    return [
+    parts = (
         sorted(map(tuple, items.where(block == n).collect()), key=lambda x: (x[0] or "", x[1]))
         for n in range(count)
-    ]
+    )
+    return count, parts
 
 
 def _scanned(docs: DataFrame, id_col: str, text_col: str, pairs: list, size: int, carry: bool) -> DataFrame:
@@ -160,9 +181,9 @@ def benchmark_hits(
     is not listed; repeated items count once, repeated documents each have a row; an
     empty benchmark finds nothing; other columns are not looked at.
     """
-    blocks = _blocks(items, item_id, item_text, block_bytes)
-    if len(blocks) == 1:
-        found = _scanned(docs, id_col, text_col, blocks[0], size, spans)
+    count, blocks = _blocks(items, item_id, item_text, block_bytes)
+    if count == 1:
+        found = _scanned(docs, id_col, text_col, next(blocks), size, spans)
     else:
         rows = settle(
             docs.select(
@@ -220,7 +241,7 @@ def without_benchmark(
     Rows are left as they are, so null and blank texts stay. Blocks of a large
     benchmark are scanned one after the other, each on what the last one kept.
     """
-    for pairs in _blocks(items, item_text, item_text, block_bytes):
+    for pairs in _blocks(items, item_text, item_text, block_bytes)[1]:
         shared = docs.sparkSession.sparkContext.broadcast(pairs)
         at = docs.columns.index(text_col)
 

@@ -30,18 +30,24 @@ _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = decontaminate.benchmark_hits(
-        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), spans=False
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     )
+    spans = F.transform("spans", lambda s: F.concat_ws("-", s["start"], s["stop"]))
     return hits.select(
         F.col("doc").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2(F.array_join(spans, ",").cast("binary"), 256).alias("spans_sha256"),
     )
 
 
-_ITEM_WORDS = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')".format(_LOWERED)
+_BETWEEN = r"\x00-\x2F\x3A-\x60\x7B-\x7F"
+_ITEM_WORDS = f"regexp_extract_all({_LOWERED}, '[^{_BETWEEN}]+')"
 OP1_SQL = f"""
-WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_ITEM_WORDS} AS w FROM documents),
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, {_ITEM_WORDS} AS w,
+    regexp_extract_all({_LOWERED}, '[{_BETWEEN}]*[^{_BETWEEN}]+') AS parts FROM documents),
 i AS (SELECT CAST(item_id AS VARCHAR) AS item, {_ITEM_WORDS} AS w FROM benchmark),
 iw AS (
   SELECT DISTINCT item, least(10, len(w)) AS n, array_to_string(w[p : p + least(10, len(w)) - 1], ' ') AS g
@@ -51,15 +57,23 @@ dw AS (
   SELECT rid, n, p, array_to_string(w[p : p + n - 1], ' ') AS g
   FROM d CROSS JOIN sizes, unnest(generate_series(1, len(w) - n + 1)) AS t(p)),
 hits AS (SELECT rid, p, n, item FROM dw JOIN iw USING (n, g)),
-words AS (
-  SELECT rid, count(DISTINCT q) AS n_hit
-  FROM (SELECT DISTINCT rid, p, n FROM hits) AS h, unnest(generate_series(p, p + n - 1)) AS t(q) GROUP BY rid),
+hit AS (SELECT DISTINCT rid, q FROM (SELECT DISTINCT rid, p, n FROM hits) AS h, unnest(generate_series(p, p + n - 1)) AS t(q)),
+words AS (SELECT rid, count(*) AS n_hit FROM hit GROUP BY rid),
+island AS (SELECT rid, q, q - row_number() OVER (PARTITION BY rid ORDER BY q) AS k FROM hit),
+ends AS (
+  SELECT rid, q, sum(length(parts[q])) OVER (PARTITION BY rid ORDER BY q) AS stop, length(w[q]) AS n
+  FROM d SEMI JOIN hit USING (rid), unnest(generate_series(1, len(w))) AS t(q)),
+span AS (SELECT rid, min(stop - n) AS start, max(stop) AS stop FROM island JOIN ends USING (rid, q) GROUP BY rid, k),
+spans AS (
+  SELECT rid, count(*) AS n_spans, string_agg(start || '-' || CAST(stop AS BIGINT), ',' ORDER BY start) AS list
+  FROM (SELECT rid, CAST(start AS BIGINT) AS start, stop FROM span) GROUP BY rid),
 items AS (
   SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
   FROM (SELECT DISTINCT rid, item FROM hits WHERE item IS NOT NULL) GROUP BY rid)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-  sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)
+  sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+  coalesce(n_spans, 0) AS n_spans, sha256(coalesce(list, '')) AS spans_sha256
+FROM d LEFT JOIN words USING (rid) LEFT JOIN items USING (rid) LEFT JOIN spans USING (rid)
 """
 
 

@@ -1,6 +1,7 @@
 """The corpus operators against plain versions, on rows with every oddity."""
 
 import math
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -102,6 +103,19 @@ def test_an_empty_benchmark_finds_nothing(spark, odd, items):
     assert decontaminate.without_benchmark(odd, items.limit(0)).count() == odd.count()
 
 
+def test_an_automaton_of_a_block_is_small():
+    rnd = random.Random(2)
+    known = ["".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(3, 9))) for _ in range(5_000)]
+    texts = tuple(" ".join(rnd.choice(known) for _ in range(400)) for _ in range(100))
+    made = decontaminate._automaton(texts, 10)
+    stats = made.tree.get_stats()
+    # Bytes of the tree for a byte of text.
+    assert stats["total_size"] < 200 * sum(map(len, texts))
+    words, runs, owners = decontaminate.scan("un known " + texts[7] + " wo", made)
+    assert (words, runs, owners) == (403, [(2, 402)], {7})
+    assert decontaminate.scan(" ".join(reversed(texts[7].split())), made)[1] == []
+
+
 @pytest.mark.parametrize("block_bytes", [60, 1 << 20])
 def test_contaminated_rows_go_whole(odd, items, block_bytes):
     kept = decontaminate.without_benchmark(odd, items, block_bytes=block_bytes)

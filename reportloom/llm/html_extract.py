@@ -60,7 +60,6 @@ _TOKEN = re.compile(
 )
 # Each attribute with its value, so that no word in a value passes for a name.
 _ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
-_SPACE = re.compile(r"\s+")
 _NAME = re.compile(r"[a-z]+")
 
 
@@ -492,8 +491,8 @@ def blocks(node: Node, beside: Callable[[str], bool] | None = None) -> list[str]
     depth = 0
 
     def end() -> None:
-        # ``\s`` and str.strip know the no-break space too.
-        text = _SPACE.sub(" ", html.unescape("".join(line))).strip()
+        # ``split`` knows the no-break space too.
+        text = " ".join(html.unescape("".join(line)).split())
         line.clear()
         if text and (depth or beside is None or beside(text)):
             out.append(text)
@@ -553,20 +552,16 @@ def main_text(page: str | None, reference: Slot | None, constant: frozenset[tupl
                 node.dropped = False
             found = blocks(root)
         return "\n\n".join(found)
-    whole = [text for node in own for text in blocks(node)]
     for node in marked:
         node.dropped = True
-    if not any(blocks(node) for node in own):
-        # All of it is template: then it is not what the template is for.
-        article = whole
-    elif constant:
+    article = [text for node in own for text in blocks(node)]
+    if article and constant:
         article = blocks(root, beside=_has_letter)
-    else:
-        article = [text for node in own for text in blocks(node)]
-    if not article:
+    elif not article:
+        # All of it is template: then it is not what the template is for.
         for node in marked:
             node.dropped = False
-        article = blocks(root)
+        article = [text for node in own for text in blocks(node)] or blocks(root)
     return "\n\n".join(article)
 
 

@@ -10,14 +10,16 @@ import io
 import zipfile
 from datetime import date
 from functools import partial
+from pathlib import Path
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
 from reportloom.functions.dates import iso_date, month_label
-from reportloom.schemas import CRASH_FEED_NAMES, DEVICE_COLUMNS, EARNINGS_COLUMNS, positional
+from reportloom.schemas import CRASH_FEED_NAMES, DEVICE_COLUMNS, EARNINGS_COLUMNS, PRODUCT_HEADER, positional
 from reportloom.workspace import run_together
 
 TENANTS = ("tenant_a", "tenant_b")
@@ -301,3 +303,69 @@ def earnings_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped.select(
         "tenant", "month", path.alias("path"), zip_text(member, body).alias("content")
     )
+
+
+def write_zips(rows: DataFrame, order: str) -> list[str]:
+    """Write lines (path, member, line) as zips of CSV members; the paths.
+
+    A zip is written by one task, line by line in ``order`` within its members.
+    """
+
+    def write(batches):
+        held = path = archive = name = member = None
+        for batch in batches:
+            for at, of, line in zip(*(batch.column(c).to_pylist() for c in ("path", "member", "line")), strict=True):
+                if (at, of) != (path, name):
+                    if member:
+                        member.close()
+                    if at != path:
+                        if archive:
+                            archive.close()
+                            held.close()
+                            yield _paths(path)
+                        Path(at).parent.mkdir(parents=True, exist_ok=True)
+                        held = open(at, "wb")  # noqa: SIM115
+                        archive = zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED)
+                    path, name = at, of
+                    member = archive.open(of, "w", force_zip64=True)
+                member.write(f"{line}\n".encode())
+        if archive:
+            member.close()
+            archive.close()
+            held.close()
+            yield _paths(path)
+
+    placed = rows.repartition("path").sortWithinPartitions("path", "member", order)
+    return [r.path for r in placed.mapInArrow(write, "path string").collect()]
+
+
+def _paths(path: str) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([path])], ["path"])
+
+
+def write_sales_zips(spark: SparkSession, sf_dir: str, root: str) -> dict[str, str]:
+    """The sales as zipped reports, one per account and month, of several members; roots."""
+    raw = sales_raw(spark, sf_dir)
+    key = F.col("o_orderkey")
+    names = [*(f"h{i}" for i in range(6)), PRODUCT_HEADER, *(f"h{i}" for i in range(7, 19))]
+    path = F.concat_ws("/", F.lit(root), "tenant", F.lit("sales"), F.concat(F.lit("salesreport_"), month_label(F.col("c1").cast("date")), F.lit(".zip")))
+    placed = raw.select(path.alias("path"), F.concat(F.lit("part-"), text(key % 3), F.lit(".csv")).alias("member"), key, csv_line(positional(19)).alias("line"))
+    header = F.lit(",".join(names)).alias("line")
+    headers = placed.select("path", "member", F.lit(-1).cast("long").alias("o_orderkey"), header).distinct()
+    write_zips(placed.unionByName(headers), "o_orderkey")
+    return {t: f"{root}/{t}" for t in TENANTS}
+
+
+def write_earnings_zips(archives: DataFrame, root: str) -> dict[str, str]:
+    """Write archives (tenant, path, content) as objects below the roots of their accounts."""
+
+    def write(batches):
+        for batch in batches:
+            for tenant, name, content in zip(*(batch.column(c).to_pylist() for c in ("tenant", "path", "content")), strict=True):
+                at = Path(root) / tenant / name
+                at.parent.mkdir(parents=True, exist_ok=True)
+                at.write_bytes(content)
+                yield _paths(str(at))
+
+    archives.select("tenant", "path", "content").mapInArrow(write, "path string").collect()
+    return {t: f"{root}/{t}" for t in TENANTS}

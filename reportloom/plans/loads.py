@@ -111,7 +111,7 @@ def scan_sales(spark: SparkSession, config: LoadConfig) -> DataFrame:
     for tenant, root in config.tenants.items():
         archives = scan_objects(
             spark, f"{root}/sales", F.col("_metadata.file_path").rlike(name)
-        )
+        ).select("path")
         # Restricted accounts are told by the column's name, wherever it stands.
         product = PRODUCT_HEADER if tenant in config.restricted else None
         records = expand_archives(archives, encoding="ascii", errors="ignore", named=product)
@@ -163,13 +163,13 @@ def load_store(spark: SparkSession, config: LoadConfig, table_root: str) -> int:
 def scan_earnings_archives(
     spark: SparkSession, config: LoadConfig, month: str
 ) -> DataFrame:
-    """Zipped earnings of one month: (tenant, path, content)."""
+    """Zipped earnings of one month: (tenant, path); the zips are read where they are."""
     name = rf"earnings/earnings_{month}_[^/]*\.zip$"
     frames = []
     for tenant, root in config.tenants.items():
         archives = scan_objects(
             spark, f"{root}/earnings", F.col("_metadata.file_path").rlike(name)
-        )
+        ).select("path")
         frames.append(archives.withColumn("tenant", F.lit(tenant)))
     return union_objects(frames)
 
@@ -177,7 +177,7 @@ def scan_earnings_archives(
 def load_earnings(config: LoadConfig, archives: DataFrame, table_path: str) -> bool:
     """Replace the configured month by the earnings of all accounts.
 
-    ``archives`` is (tenant, path, content). Runs only on the days of the gate, and
+    ``archives`` is (tenant, path), or has the content too. Runs only on the days of the gate, and
     only when every account has files of the month. Returns whether it loaded.
 
     The unzipped files are kept by account and month, and each account has a manifest

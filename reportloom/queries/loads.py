@@ -535,6 +535,31 @@ def sales_load_from_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _from_manifests(spark, config, "sales", table)
 
 
+@query(_SALES_LOAD_SQL)
+def sales_load_from_zips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zipped reports of all months, scanned, loaded, with processed files and a raw zone."""
+    root = new_folder(spark, "sales-zips")
+    config = LoadConfig(
+        frames.write_sales_zips(spark, sf_dir, root), RUN_DATE, f"{root}/out", load="sales", date_format="Range",
+        start_date="1990-01", end_date="2030-12", restricted=frames.RESTRICTED, keep_raw=True,
+    )
+    plans.load_store(spark, config, f"{root}/table")
+    table = spark.read.parquet(f"{root}/table/sales").drop("order_date_month")
+    return table.withColumn("feed", F.lit("sales"))
+
+
+@query(_MONTH_SQL)
+def earnings_load_from_zips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The zips of the month found below the accounts' roots, and read member by member."""
+    root = new_folder(spark, "earnings-zips")
+    old = _old_earnings(spark, sf_dir)
+    tables.write_earnings(old, f"{root}/table")
+    config = LoadConfig(frames.write_earnings_zips(frames.earnings_archives(spark, sf_dir), root), _last_order_day(spark, sf_dir), f"{root}/out")
+    archives = plans.scan_earnings_archives(spark, config, f"{config.earnings_month():%Y%m}")
+    plans.load_earnings(config, archives, f"{root}/table")
+    return _earnings_table(spark, f"{root}/table", old)
+
+
 @query(_MONTH_SQL)
 def earnings_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _earnings_load(spark, sf_dir, new_folder(spark, "earnings-load"), runs=1)

@@ -78,6 +78,12 @@ class LoadConfig:
     targets: tuple[Target, ...] = ()
     table_grain: str = "month"
     keep_raw: bool = False
+    # Whether the objects are kept as delivered, byte by byte, each content once.
+    keep_objects: bool = False
+    # Whether reports all of whose lines are records are split among tasks.
+    split_reports: bool = False
+    # Whether feeds none of whose objects changed since they were loaded are left unread.
+    changed_only: bool = False
     # Whether processed files and the manifests that list them are written.
     processed: bool = True
     crash_feeds: tuple[FeedSpec, ...] = CRASH_FEEDS

@@ -13,6 +13,11 @@ def drop_repeated_headers(lines: DataFrame) -> DataFrame:
     return lines.filter((F.col("line_no") == 0) | ~F.contains("line", F.lit("Date,")))
 
 
+def drop_header_lines(lines: DataFrame) -> DataFrame:
+    """Drop every line that holds ``Date,``: for lines read below the header of their file."""
+    return lines.filter(~F.contains("line", F.lit("Date,")))
+
+
 def _unless_restricted(
     tenant: Column, restricted: Mapping[str, str], keep
 ) -> Column:

@@ -20,8 +20,12 @@ from reportloom.plans.staging import (
     NEW_DATA,
     LoadResult,
     errors_noted,
+    feeds_to_read,
+    keep_delivered,
     load_new_feeds,
+    note_loaded,
     note_status,
+    nothing_new,
     processed_root,
     read_published,
     stage,
@@ -53,7 +57,13 @@ from reportloom.sinks.tables import (
 )
 from reportloom.sinks.targets import load_dimension, planned_loads
 from reportloom.sources.archives import archive_rows, expand_archives, scan_objects
-from reportloom.sources.reports import read_supported_devices, scan_feed, union_objects
+from reportloom.sources.reports import (
+    WHERE_LINES_ARE_RECORDS,
+    read_supported_devices,
+    report_name,
+    scan_feed,
+    union_objects,
+)
 from reportloom.workspace import run_together
 
 DEVICES = "supported_devices"
@@ -66,6 +76,10 @@ def _kept(raw: DataFrame, config: LoadConfig, job: str) -> DataFrame:
     return keep_raw(raw, f"{config.output_root}/raw/{job}", config.run_date, config.label())
 
 
+def _splitting(config: LoadConfig) -> bool | str:
+    return WHERE_LINES_ARE_RECORDS if config.split_reports else False
+
+
 def load_crashes(
     spark: SparkSession, config: LoadConfig, published: DataFrame, table_path: str
 ) -> LoadResult:
@@ -74,14 +88,23 @@ def load_crashes(
     feeds = [f.name for f in specs]
     layout = Layout(specs[0].date_column, grain=config.table_grain)
     with errors_noted(spark, config, "crashes"):
+        name = report_name("crashes", config.months(), feeds)
+        told = F.regexp_extract("path", name, 3)
+        feeds, listed = feeds_to_read(spark, config, "crashes", feeds, "stats/crashes", told, name)
+        if not feeds:
+            return nothing_new(spark, config, "crashes")
+        keep_delivered(spark, config, "crashes", "stats/crashes", report_name("crashes", config.months(), feeds))
+        width = max(f.width for f in specs)
         raw = scan_feed(
-            spark, config.tenants, "crashes", feeds, config.months(), max(f.width for f in specs)
+            spark, config.tenants, "crashes", feeds, config.months(), width, _splitting(config)
         )
         cooked = cook_feeds(_kept(raw, config, "crashes"), specs)
         staged = stage(cooked, f"{config.output_root}/staged/crashes", layout)
-        return load_new_feeds(
+        result = load_new_feeds(
             spark, staged, published, config, "crashes", feeds, layout, table_path
         )
+        note_loaded(config, "crashes", listed, result.feeds)
+        return result
 
 
 def load_installs(
@@ -91,22 +114,36 @@ def load_installs(
     spec = config.installs_feed
     layout = Layout(spec.date_column, grain=config.table_grain)
     with errors_noted(spark, config, "installs"):
+        name = report_name("installs", config.months(), ["country"])
+        feeds, listed = feeds_to_read(
+            spark, config, "installs", [spec.name], "stats/installs", F.lit(spec.name), name
+        )
+        if not feeds:
+            return nothing_new(spark, config, "installs")
+        keep_delivered(spark, config, "installs", "stats/installs", name)
         raw = scan_feed(
-            spark, config.tenants, "installs", ["country"], config.months(), spec.width
+            spark, config.tenants, "installs", ["country"], config.months(), spec.width, _splitting(config)
         )
         raw = _kept(raw, config, "installs")
         # The scan refuses wider rows, so these fields are the whole line.
         kept = keep_product_mention(raw, config.restricted, positional(spec.width))
         cooked = cook_feeds(kept.withColumn("feed", F.lit(spec.name)), [spec])
         staged = stage(cooked, f"{config.output_root}/staged/installs", layout)
-        return load_new_feeds(
-            spark, staged, published, config, "installs", [spec.name], layout, table_path
+        result = load_new_feeds(
+            spark, staged, published, config, "installs", feeds, layout, table_path
         )
+        note_loaded(config, "installs", listed, result.feeds)
+        return result
+
+
+def sales_name(config: LoadConfig) -> str:
+    """Pattern of the zipped sales reports of the configured months."""
+    return rf"sales/salesreport_({'|'.join(config.months())})\.zip$"
 
 
 def scan_sales(spark: SparkSession, config: LoadConfig) -> DataFrame:
     """Raw sales rows from the zipped reports of the configured months."""
-    name = rf"sales/salesreport_({'|'.join(config.months())})\.zip$"
+    name = sales_name(config)
     frames = []
     for tenant, root in config.tenants.items():
         archives = scan_objects(
@@ -148,8 +185,15 @@ def load_store(spark: SparkSession, config: LoadConfig, table_root: str) -> int:
     new = {"sales": False, "installs": False}
     if config.load in ("both", "sales"):
         published = read_published(spark, config.output_root, "sales")
-        raw = scan_sales(spark, config)
-        result = load_sales(spark, config, raw, published, f"{table_root}/sales")
+        name = sales_name(config)
+        feeds, listed = feeds_to_read(spark, config, "sales", ["sales"], "sales", F.lit("sales"), name)
+        if feeds:
+            keep_delivered(spark, config, "sales", "sales", name)
+            raw = scan_sales(spark, config)
+            result = load_sales(spark, config, raw, published, f"{table_root}/sales")
+            note_loaded(config, "sales", listed, result.feeds)
+        else:
+            result = nothing_new(spark, config, "sales")
         new["sales"] = bool(result.feeds)
     if config.load in ("both", "installs"):
         published = read_published(spark, config.output_root, "installs")
@@ -163,8 +207,12 @@ def load_store(spark: SparkSession, config: LoadConfig, table_root: str) -> int:
 def scan_earnings_archives(
     spark: SparkSession, config: LoadConfig, month: str
 ) -> DataFrame:
-    """Zipped earnings of one month: (tenant, path); the zips are read where they are."""
+    """Zipped earnings of one month: (tenant, path); the zips are read where they are.
+
+    A run that keeps its objects as delivered keeps them here, before they are read.
+    """
     name = rf"earnings/earnings_{month}_[^/]*\.zip$"
+    keep_delivered(spark, config, "earnings", "earnings", name)
     frames = []
     for tenant, root in config.tenants.items():
         archives = scan_objects(

@@ -6,7 +6,7 @@ from collections.abc import Collection, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -26,6 +26,7 @@ from reportloom.sinks.control import (
     publish_manifests,
     publish_parts,
     publish_status,
+    read_parts,
 )
 from reportloom.sinks.exports import export_cooked, export_folder
 from reportloom.sinks.statistics import note_statistics
@@ -44,6 +45,9 @@ from reportloom.sinks.tables import (
     write_checked,
 )
 from reportloom.sinks.targets import load_feeds, planned_loads
+from reportloom.sinks.raw_objects import keep_objects
+from reportloom.sources import ledger
+from reportloom.sources.archives import scan_objects
 from reportloom.sources.reports import union_objects
 from reportloom.workspace import run_together
 
@@ -76,11 +80,7 @@ def stage(cooked: DataFrame, path: str, layout: Layout) -> DataFrame:
 
 def read_published(spark: SparkSession, output_root: str, job: str) -> DataFrame:
     """The (feed, day, account) parts that earlier runs of a job published."""
-    schema = "feed string, report_date date, tenant string"
-    parts = existing_table(spark, f"{output_root}/control/{job}/published", schema)
-    if parts is None:
-        return spark.createDataFrame([], schema)
-    return parts.distinct()
+    return read_parts(spark, f"{output_root}/control/{job}/published")
 
 
 def processed_root(output_root: str, job: str) -> str:
@@ -109,6 +109,60 @@ def errors_noted(spark: SparkSession, config: LoadConfig, job: str) -> Iterator[
         raise
 
 
+def feeds_to_read(
+    spark: SparkSession, config: LoadConfig, job: str, feeds: Sequence[str],
+    folder: str, feed: Column, name: str,
+) -> tuple[list[str], DataFrame | None]:
+    """The feeds that have changed objects since they were loaded, and the listing that
+    says so; all of them, and none, for a run that reads whatever there is.
+
+    A feed is read whole or not at all, for all accounts and months of the run: a new
+    day of one account needs the other accounts' rows of it, and what comes next is told
+    by the days that are there. A feed that was read but not loaded is read again.
+    """
+    if not config.changed_only or config.date_format == "Range":
+        return list(feeds), None
+    # Kept before the reports are read: what changes in between is read again next time.
+    path = f"{config.output_root}/control/{job}/listing"
+    listing = ledger.list_objects(spark, config.tenants, folder, feed, name)
+    listing.write.mode("overwrite").parquet(path)
+    listed = read_table(spark, path, listing.schema)
+    known = ledger.read_ledger(spark, f"{config.output_root}/control/{job}/objects")
+    # At most one row per feed.
+    changed = {r.feed for r in ledger.changed_feeds(listed, known).collect()}
+    return [f for f in feeds if f in changed], listed
+
+
+def note_loaded(config: LoadConfig, job: str, listed: DataFrame | None, feeds: Collection[str]) -> None:
+    """Note the objects of the feeds that a run loaded, after all its writes."""
+    if listed is not None and feeds:
+        own = listed.filter(F.col("feed").isin(list(feeds)))
+        ledger.note_objects(own, f"{config.output_root}/control/{job}/objects")
+
+
+def nothing_new(spark: SparkSession, config: LoadConfig, job: str) -> LoadResult:
+    """The end of a run that has nothing to load."""
+    status = status_note(())
+    note_status(spark, config, job, status)
+    return LoadResult(status, (), None)
+
+
+def keep_delivered(spark: SparkSession, config: LoadConfig, job: str, folder: str, name: str) -> None:
+    """Keep the objects of a run as they were delivered, before anything is read from them."""
+    if not config.keep_objects:
+        return
+    found = [
+        scan_objects(spark, f"{root}/{folder}", F.col("_metadata.file_path").rlike(name))
+        for root in dict.fromkeys(config.tenants.values())
+    ]
+    keep_objects(union_objects(found), objects_root(config, job), config.run_date, config.label())
+
+
+def objects_root(config: LoadConfig, job: str) -> str:
+    """Where a job keeps the objects as delivered."""
+    return f"{config.output_root}/raw_objects/{job}"
+
+
 def check_loaded(
     source: DataFrame, tables: Sequence[tuple[str, str | None, DataFrame]], feeds: Sequence[str], layout: Layout
 ) -> None:
@@ -202,12 +256,9 @@ def load_new_feeds(
         )
         # At most one row per feed that the load asks for.
         names = tuple(sorted(r.feed for r in feeds_with_new_data(presence).collect()))
-    status = status_note(names)
-    if names and job in STORE_JOBS:
-        status = NEW_DATA
     if not names:
-        note_status(spark, config, job, status)
-        return LoadResult(status, (), None)
+        return nothing_new(spark, config, job)
+    status = NEW_DATA if job in STORE_JOBS else status_note(names)
 
     new_feeds = spark.createDataFrame([(f,) for f in names], "feed string")
     new_parts = catalog.filter(F.col("feed").isin(list(names)))

@@ -19,7 +19,9 @@ from reportloom.schemas import (
     positional,
 )
 from reportloom.sources.archives import split_lines
+from reportloom.sources.reports import PLAIN_REPORT, read_report_lines
 from reportloom.sources.reports import union_objects as union_frames
+from reportloom.workspace import new_folder
 
 CRASH_FIELDS = positional(5)
 KEEP_CLICK = {"tenant_b": "com.example.click"}
@@ -209,6 +211,21 @@ def parse_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    """SELECT event_id,
+  CASE WHEN event_id % 4 = 3 THEN NULL ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS parsed
+FROM events"""
+)
+def parse_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    time, key = F.col("ts"), F.col("event_id")
+    written = F.lit("not a time")
+    for i, pattern in enumerate(["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "MMM d, yyyy h:mm:ss a"]):
+        written = F.when(key % 4 == i, F.date_format(time, pattern)).otherwise(written)
+    texts = frames.table(spark, sf_dir, "events").select("event_id", written.alias("written"))
+    parsed = dates.parse_auto_time(F.col("written"))
+    return texts.select("event_id", F.date_format(parsed, "yyyy-MM-dd HH:mm:ss").alias("parsed"))
+
+
 @query("SELECT o_orderkey, CAST(o_orderdate AS DATE) AS report_date FROM orders")
 def strict_report_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = frames.sales_raw(spark, sf_dir)
@@ -275,12 +292,25 @@ SELECT {_LINE}, CAST(event_id % 64 + 1 + CASE WHEN event_id % 64 >= 32 THEN 1 EL
     )
 )
 def drop_repeated_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # A text is what two downloads in a row give: 64 events at most, two headers.
+    texts = _repeated_downloads(spark, sf_dir)
+    return filters.drop_repeated_headers(split_lines(texts, "blob", "text"))
+
+
+@query(sql.with_frames(sql.CRASH_RAW, f"SELECT {_LINE} AS line FROM crash_raw"))
+def drop_repeated_headers_in_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of many downloads in a row, read by the line."""
+    path = new_folder(spark, "downloads")
+    _repeated_downloads(spark, sf_dir).select("text").write.text(path)
+    return filters.drop_header_lines(read_report_lines(spark, path, PLAIN_REPORT)).select("line")
+
+
+def _repeated_downloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(blob, text): a text is what two downloads in a row give, 64 events at most, two headers."""
     event = F.col("event_id")
     header = "Date,Package,Dimension,Value\n"
     line = F.struct(event, F.concat_ws(",", "c0", "c1", "c2", "c3").alias("line"))
     first = event % 64 < 32
-    texts = (
+    return (
         frames.crash_raw(spark, sf_dir)
         .groupBy(F.floor(event / 64).alias("blob"))
         .agg(
@@ -296,7 +326,6 @@ def drop_repeated_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
             ).alias("text"),
         )
     )
-    return filters.drop_repeated_headers(split_lines(texts, "blob", "text"))
 
 
 @query(

@@ -264,3 +264,44 @@ def publish_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "status")
     control.publish_status(derive_status(spark, sf_dir), path, "crashes", RUN_DATE)
     return spark.read.schema("status string, run_date date, job string").parquet(path)
+
+
+@query(
+    sql.with_frames(
+        _CRASH_PRESENCE,
+        """SELECT k.feed, k.report_date, s.status
+FROM (SELECT DISTINCT feed, report_date FROM crash_keys) k CROSS JOIN (
+  SELECT coalesce('[''' || string_agg(feed, ''', ''' ORDER BY feed) || ''']', 'No New Data') AS status
+  FROM presence WHERE is_new) s""",
+    )
+)
+def control_file_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Date lists and status of a run, published beside those of another, and read back."""
+    root = new_folder(spark, "control")
+    lists = control.date_list(ops.feed_dates(frames.crash_keys(spark, sf_dir)))
+    for run, day in enumerate((date(2024, 1, 31), RUN_DATE)):
+        control.publish_date_lists(lists if run else lists.limit(1), f"{root}/dates", day)
+        status = derive_status(spark, sf_dir) if run else spark.createDataFrame([("Error: x",)], "status string")
+        control.publish_status(status, f"{root}/status", "crashes", day)
+    note = control.read_status(spark, f"{root}/status", "crashes", RUN_DATE).first().status
+    return control.read_dates(spark, f"{root}/dates", RUN_DATE).withColumn("status", F.lit(note))
+
+
+@query(
+    sql.with_frames(
+        sql.CRASH_KEYS,
+        """SELECT feed, tenant, min(report_date) AS first_day, max(report_date) AS last_day
+FROM (SELECT *, report_date - CAST(row_number() OVER (PARTITION BY feed, tenant ORDER BY report_date) AS INTEGER) AS began
+  FROM (SELECT DISTINCT feed, tenant, report_date FROM crash_keys WHERE day(report_date) % 10 <> 0))
+GROUP BY feed, tenant, began""",
+    )
+)
+def published_day_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts published by two runs, folded into day runs, with a gap every tenth day."""
+    path = f"{new_folder(spark, 'published')}/published"
+    keys = frames.crash_keys(spark, sf_dir).filter(F.dayofmonth("report_date") % 10 != 0)
+    catalog = ops.file_catalog(keys)
+    control.publish_parts(catalog.filter(F.dayofmonth("report_date") < 15), path, date(2024, 1, 31))
+    control.fold_parts(spark, path, most=0)
+    control.publish_parts(catalog, path, RUN_DATE)
+    return control.day_runs(control.read_parts(spark, path))

@@ -31,6 +31,7 @@ from reportloom.schemas import (
 )
 from reportloom.sinks import exports, statistics, tables, targets
 from reportloom.sinks.control import read_status
+from reportloom.sinks.raw_objects import keep_objects, read_objects
 from reportloom.sources.manifests import load_from_manifest
 from reportloom.sources.reports import (
     read_cooked_csv,
@@ -504,6 +505,47 @@ def installs_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.load_installs(spark, config, nothing, f"{root}/table").table
 
 
+@query(
+    sql.with_frames(
+        sql.CRASH_COOKED,
+        """SELECT c.*, r.run, r.status FROM crash_cooked c CROSS JOIN (VALUES
+  (1, '[''app_version'', ''device'', ''os_version'', ''overview'']'), (2, 'No New Data')) r(run, status)""",
+    )
+)
+def crashes_load_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs that read changed objects only; files whose lines are records are split."""
+    root = new_folder(spark, "crashes-changed")
+    config = replace(_crash_config(spark, sf_dir, root), changed_only=True, split_reports=True, processed=False)
+    published = frames.published(frames.crash_keys(spark, sf_dir))
+    states = []
+    for run in (1, 2):
+        # The same state of what is published: only the objects say that there is nothing.
+        found = plans.load_crashes(spark, config, published, f"{root}/table")
+        rows = spark.read.parquet(f"{root}/table").drop(BY_MONTH.month_column)
+        states.append(rows.withColumn("run", F.lit(run)).withColumn("status", F.lit(found.status)))
+    return union_objects(states)
+
+
+@query(
+    """SELECT 'documents/' || CAST(doc_id AS VARCHAR) AS path, CAST(strlen(text) AS BIGINT) AS length,
+  sha256(text) AS sha256, text, CAST(1 AS BIGINT) AS copies FROM documents WHERE text IS NOT NULL"""
+)
+def raw_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Objects of two deliveries, of which the second has all of the first: each content is kept once."""
+    root = new_folder(spark, "raw-objects")
+    objects = frames.table(spark, sf_dir, "documents").select(
+        F.concat(F.lit("documents/"), F.col("doc_id").cast("string")).alias("path"),
+        F.encode("text", "UTF-8").alias("content"),
+    )
+    for day, part in ((RUN_DATE, objects.filter(F.col("path").endswith("1"))), (RUN_DATE + timedelta(1), objects)):
+        keep_objects(part, root, day)
+    kept = read_objects(spark, root, RUN_DATE + timedelta(1))
+    copies = spark.read.parquet(f"{root}/contents").groupBy("sha256").agg(F.count("*").alias("copies"))
+    return kept.join(copies, "sha256").select(
+        "path", "length", "sha256", F.decode("content", "UTF-8").alias("text"), "copies"
+    )
+
+
 def _sales_load(
     spark: SparkSession, sf_dir: str, root: str, processed: bool
 ) -> tuple[LoadConfig, DataFrame]:

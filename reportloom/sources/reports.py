@@ -40,6 +40,10 @@ def _file_path() -> Column:
     return F.col("_metadata.file_path")
 
 
+# For ``split``: files whose lines are all records are split, the others go whole.
+WHERE_LINES_ARE_RECORDS = "where lines are records"
+
+
 class SplitError(ValueError):
     """A file was to be split at its line breaks but has lines that are no records."""
 
@@ -50,7 +54,7 @@ def read_report_csv(
     columns: Sequence[str],
     dialect: Dialect,
     file_filter: Column | None = None,
-    split: bool = False,
+    split: bool | str = False,
     strict: bool = False,
 ) -> DataFrame:
     """CSV report files, every column as text, and the file each row is from.
@@ -58,7 +62,9 @@ def read_report_csv(
     Files are read whole, many per job, since a quoted field may hold a line
     break. With ``split`` they are cut at line breaks and shared among tasks; a
     pass over the lines makes sure first that each is one record, and
-    ``SplitError`` is raised if one is not. Rows of more fields than ``columns``
+    ``SplitError`` is raised if one is not. With ``WHERE_LINES_ARE_RECORDS`` the
+    files that have such a line are read whole, whatever their size, and all others
+    are split. Rows of more fields than ``columns``
     end there, or fail the read with ``strict``, also where all that is beyond is
     empty; shorter rows are filled with NULL. ``file_filter`` is a condition on
     ``_metadata`` and prunes files before they are read. Bytes that are no text
@@ -66,8 +72,28 @@ def read_report_csv(
     partner the JVM drops the character after it too.
     """
     chosen = F.lit(True) if file_filter is None else file_filter
-    if split and (broken := files_with_broken_lines(spark, paths, dialect, chosen)):
+    if split == WHERE_LINES_ARE_RECORDS:
+        # Names of files only, of which Spark's own listing holds all on the driver.
+        if broken := files_with_broken_lines(spark, paths, dialect, chosen, most=None):
+            whole = _file_path().isin(broken)
+            return union_objects([
+                _read_csv(spark, paths, columns, dialect, chosen & ~whole, True, strict),
+                _read_csv(spark, paths, columns, dialect, chosen & whole, False, strict),
+            ])
+    elif split and (broken := files_with_broken_lines(spark, paths, dialect, chosen)):
         raise SplitError(f"lines that are no records in {len(broken)} files, first {broken[0]}")
+    return _read_csv(spark, paths, columns, dialect, chosen, bool(split), strict)
+
+
+def _read_csv(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    columns: Sequence[str],
+    dialect: Dialect,
+    chosen: Column,
+    split: bool,
+    strict: bool,
+) -> DataFrame:
     frame = spark.read.csv(
         paths,
         schema=text_schema([*columns, _RECORD] if strict else columns),
@@ -111,7 +137,8 @@ def _without_line_end(c: Column) -> Column:
 
 
 def files_with_broken_lines(
-    spark: SparkSession, paths: str | Sequence[str], dialect: Dialect, condition: Column
+    spark: SparkSession, paths: str | Sequence[str], dialect: Dialect, condition: Column,
+    most: int | None = 20,
 ) -> list[str]:
     """Files in which some line is not plainly a record of its own.
 
@@ -119,7 +146,7 @@ def files_with_broken_lines(
     them doubled; a CR stands only at its end. The first line of a record that goes on in the next one does not fit this. A break
     that was found between the halves of two characters leaves half a character,
     which cannot be decoded. Only the names of such files go to the driver, the
-    first few of them.
+    first ``most`` of them.
     """
     # One field per line: no quotes, and a separator that is no character.
     lines = (
@@ -136,7 +163,33 @@ def files_with_broken_lines(
     broken = (
         ~F.col("line").rlike(record) | F.contains("line", F.lit("\ufffd")) | F.col("more").isNotNull()
     )
-    return [r.file for r in lines.filter(broken).select("file").distinct().limit(20).collect()]
+    files = lines.filter(broken).select("file").distinct()
+    return [r.file for r in (files if most is None else files.limit(most)).collect()]
+
+
+def read_report_lines(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    dialect: Dialect = UTF16_REPORT,
+    file_filter: Column | None = None,
+) -> DataFrame:
+    """(line, source_file) of every line below the first one of each file.
+
+    Files are split at line breaks; none is held whole, however long. A line ends in
+    LF or CR LF. Lines without a character are left out, also before the header.
+    """
+    # One field per line: no quotes, and a separator that is no character. A line that
+    # has one all the same is told apart, and is taken as it stands.
+    lines = spark.read.csv(
+        paths, schema=text_schema(["line", _RECORD]), sep="\uffff", quote="", header=True, enforceSchema=True,
+        encoding=dialect.encoding, lineSep="\n", recursiveFileLookup=True, columnNameOfCorruptRecord=_RECORD,
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+    )
+    if file_filter is not None:
+        lines = lines.filter(file_filter)
+    line = F.coalesce(F.col(_RECORD), F.col("line"))
+    found = lines.select(_without_line_end(line).alias("line"), _file_path().alias("source_file"))
+    return found.filter(F.length("line") > 0)
 
 
 def read_utf16_csv(
@@ -144,13 +197,18 @@ def read_utf16_csv(
     paths: str | Sequence[str],
     columns: Sequence[str],
     file_filter: Column | None = None,
-    split: bool = False,
+    split: bool | str = False,
     strict: bool = False,
 ) -> DataFrame:
     """UTF-16LE reports with a header per file, with or without byte order mark."""
     return read_report_csv(spark, paths, columns, UTF16_REPORT, file_filter, split, strict)
 
 
+def report_name(report: str, months: Sequence[str], feeds: Sequence[str]) -> str:
+    """Pattern of a report's objects; its groups are package, month and feed."""
+    return rf"stats/{report}/{report}_(.*)_({'|'.join(months)})_({'|'.join(feeds)})\.csv"
+
+
 def scan_feed(
     spark: SparkSession,
     roots: Mapping[str, str],
@@ -158,7 +216,7 @@ def scan_feed(
     feeds: Sequence[str],
     months: Sequence[str],
     width: int,
-    split: bool = False,
+    split: bool | str = False,
 ) -> DataFrame:
     """Rows of all objects of a report for accounts × months × feeds.
 
@@ -166,10 +224,7 @@ def scan_feed(
     feed, month and package, all taken from the object name. A row of more than
     ``width`` fields fails the scan.
     """
-    name = (
-        rf"stats/{report}/{report}_(.*)_({'|'.join(months)})"
-        rf"_({'|'.join(feeds)})\.csv"
-    )
+    name = report_name(report, months, feeds)
     found = F.col("source_file")
 
     def scan_tenant(tenant: str, root: str) -> DataFrame:

@@ -57,6 +57,21 @@ def remove_partition(spark: SparkSession, table: str, column: str, value: str |
     hadoop_path.getFileSystem(conf).delete(hadoop_path, True)
 
 
+def child_paths(spark: SparkSession, path: str) -> list[str]:
+    """What lies directly in the folder at ``path``; nothing where there is none."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(hadoop_path):
+        return []
+    return [f"{path}/{status.getPath().getName()}" for status in system.listStatus(hadoop_path)]
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file, or a folder with all it holds; no error where there is none."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def run_together(spark: SparkSession, jobs: Sequence[Callable[[], None]]) -> None:
     """Run independent writes at the same time; the first failure is raised."""
     with ThreadPoolExecutor(TOGETHER) as pool:

@@ -15,7 +15,8 @@ from reportloom.llm.common import SPACE_CHARACTERS, map_batches, settle
 LEAST_CHARACTERS = 40
 LEAST_DOCUMENTS = 5
 FANOUT = 4
-BATCHES = 4
+# More than are merged at once, so that there are levels.
+BATCHES = 6
 
 
 def line_hash(line: str, least: int = LEAST_CHARACTERS) -> bytes | None:
@@ -49,7 +50,9 @@ class LineRuns:
     """Line hashes seen so far: per level a few sorted runs of (h, docs, last).
 
     ``docs`` counts documents, ``last`` is the greatest id; a document belongs to one
-    batch. ``add`` writes a batch as a run of level 0; ``fanout`` runs of one level are
+    batch. ``add`` merges a batch with the runs: the hashes that no run has become a
+    run of level 0, those that one has are kept apart, in ``again``, as what the batch
+    adds to them. So a hash lies in one run only. ``fanout`` runs of one level are
     merged into one of the next, so each hash is rewritten once per level only.
     Runs are Parquet tables in the shared folder, sorted by hash within each file.
     """
@@ -57,11 +60,22 @@ class LineRuns:
     spark: SparkSession
     fanout: int = FANOUT
     levels: list[list[DataFrame]] = field(default_factory=list)
+    again: list[DataFrame] = field(default_factory=list)
 
     def add(self, lines: DataFrame) -> None:
         """Add a batch: ``lines`` has ``doc`` and ``h``, each pair once."""
-        run = lines.groupBy("h").agg(F.count(F.lit(1)).alias("docs"), F.max("doc").alias("last"))
-        self._put(0, self._sorted(run))
+        batch = lines.groupBy("h").agg(F.count(F.lit(1)).alias("docs"), F.max("doc").alias("last"))
+        if not (runs := self._runs()):
+            self._put(0, self._sorted(batch))
+            return
+        held = self._union(runs).select("h", F.lit(True).alias("held"))
+        # Both sides have a hash once. One pass tells the new hashes from the others.
+        told = self._sorted(batch.join(held.hint("merge"), "h", "left"))
+        self._put(0, told.where(F.col("held").isNull()).drop("held"))
+        self.again.append(told.where("held").drop("held"))
+
+    def _runs(self) -> list[DataFrame]:
+        return [run for level in self.levels for run in level]
 
     def _sorted(self, run: DataFrame) -> DataFrame:
         return settle(run.sortWithinPartitions("h"), "line-run")
@@ -76,21 +90,25 @@ class LineRuns:
             self._put(level + 1, merged)
 
     @staticmethod
-    def _merge(runs: list[DataFrame]) -> DataFrame:
+    def _union(runs: list[DataFrame]) -> DataFrame:
         rows = runs[0]
         for run in runs[1:]:
             rows = rows.unionByName(run)
-        return rows.groupBy("h").agg(F.sum("docs").alias("docs"), F.max("last").alias("last"))
+        return rows
+
+    @classmethod
+    def _merge(cls, runs: list[DataFrame]) -> DataFrame:
+        return cls._union(runs).groupBy("h").agg(F.sum("docs").alias("docs"), F.max("last").alias("last"))
 
     def seen(self, least: int = 1) -> DataFrame:
         """Hashes (h, docs, last) that at least ``least`` documents hold."""
-        runs = [run for level in self.levels for run in level]
+        runs = [*self._runs(), *self.again]
         rows = runs[0] if len(runs) == 1 else self._merge(runs)
         return rows.where(F.col("docs") >= least)
 
     def fresh(self, lines: DataFrame) -> DataFrame:
         """The rows of ``lines`` whose hash no run has yet: a merge anti-join with each."""
-        for run in (run for level in self.levels for run in level):
+        for run in self._runs():
             lines = lines.join(run.select("h"), "h", "left_anti")
         return lines
 

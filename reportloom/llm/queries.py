@@ -222,11 +222,12 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _STRIPPED = "trim(line, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ')"
 OP6_SQL = f"""
-WITH d AS (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
-l AS (SELECT rid, doc_id, p, lines[p] AS line FROM d, unnest(generate_series(1, len(lines))) AS t(p)),
-k AS (SELECT rid, doc_id, p, line, translate({_STRIPPED}, '{UPPER}', '{LOWER}') AS key FROM l),
-shared AS (SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
-marked AS (SELECT k.*, s.key IS NOT NULL AND doc_id <> s.last AS gone FROM k LEFT JOIN shared AS s USING (key))
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(doc_id, -9223372036854775807 - 1) AS doc,
+  string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT rid, doc_id, doc, p, lines[p] AS line FROM d, unnest(generate_series(1, len(lines))) AS t(p)),
+k AS (SELECT rid, doc_id, doc, p, line, translate({_STRIPPED}, '{UPPER}', '{LOWER}') AS key FROM l),
+shared AS (SELECT key, max(doc) AS last FROM k WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc) >= 5),
+marked AS (SELECT k.*, s.key IS NOT NULL AND doc <> s.last AS gone FROM k LEFT JOIN shared AS s USING (key))
 SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY rid

@@ -303,10 +303,52 @@ def test_runs_are_compacted_and_tell_fresh_lines(spark):
         runs.add(spark.createDataFrame([(batch, b"same"), (batch, b"own%d" % batch)], "doc long, h binary"))
     assert [len(level) for level in runs.levels] == [1, 0, 1]
     assert {(bytes(r["h"]), r["docs"], r["last"]) for r in runs.seen(2).collect()} == {(b"same", 5, 4)}
+    # The line of all batches became part of the first run only; later ones add to it.
+    held = Counter(bytes(r["h"]) for level in runs.levels for run in level for r in run.collect())
+    assert held == Counter([b"same", *(b"own%d" % batch for batch in range(5))])
+    assert [(bytes(r["h"]), r["docs"], r["last"]) for rows in runs.again for r in rows.collect()] == [
+        (b"same", 1, batch) for batch in range(1, 5)
+    ]
     lines = spark.createDataFrame([(9, b"own3"), (9, b"new")], "doc long, h binary")
     assert [bytes(r["h"]) for r in runs.fresh(lines).collect()] == [b"new"]
 
 
+@pytest.mark.parametrize("batches,fanout", [(1, 2), (3, 4), (9, 2), (line_dedup.BATCHES, line_dedup.FANOUT)])
+def test_line_dedup_equals_brute_force_in_any_batches(frame, batches, fanout):
+    lines = [f"{i} {prose(i, 12)}" for i in range(30)] + ["short line", "", "\t" + "x" * 39]
+    rows = [
+        (None if n % 17 == 0 else n % 60, "\n".join(lines[(n * k * k + 3 * k) % len(lines)] for k in range(n % 9)), None, None)
+        for n in range(90)
+    ] + [(None, lines[1], None, None), (70, None, None, None)]
+    texts = [(-(1 << 63) if doc is None else doc, (text or "").split("\n")) for doc, text, *_ in rows]
+    holders = defaultdict(set)
+    for doc, own in texts:
+        for line in own:
+            if len(line.strip()) >= 40:
+                holders[line.strip()].add(doc)
+    last = {line: max(docs) for line, docs in holders.items() if len(docs) >= 5}
+    expected = Counter()
+    for doc, own in texts:
+        stay = [x for x in own if last.get(x.strip(), doc) == doc]
+        expected[None if doc < 0 else doc, len(own), len(own) - len(stay), "\n".join(stay)] += 1
+    found = line_dedup.drop_shared_lines(frame(rows), batches=batches, fanout=fanout).collect()
+    assert Counter((r["doc"], r["n_lines"], r["n_dropped"], r["kept"]) for r in found) == expected
+    assert any(r["n_dropped"] for r in found if r["doc"] is None)
+
+
+def test_line_dedup_of_rows_without_id_agrees_with_its_sql(frame):
+    shared = [f"{i} {prose(i, 14)}" for i in range(3)]
+    rows = [(d, f"{shared[0]}\nown {d}", None, None) for d in (1, 2, 3, 4, None, None)]
+    rows += [(d, f"{shared[1]}\n{shared[2]}", None, None) for d in (5, 6, 7, None)]
+    documents = frame(rows)
+    own = duckdb.connect()
+    own.register("documents", documents.toArrow())
+    expected = Counter(own.execute(f"SELECT doc_id, n_lines, n_dropped, kept_sha256 FROM ({queries.OP6_SQL})").fetchall())
+    found = line_dedup.drop_shared_lines(documents).collect()
+    assert Counter((r["doc"], r["n_lines"], r["n_dropped"], digest(r["kept"])) for r in found) == expected
+    assert sum(r["n_dropped"] for r in found) == 5
+
+
 def test_shared_line_stays_in_the_last_document(odd):
     rows = {r["doc"]: r for r in line_dedup.drop_shared_lines(odd).where("doc between 11 and 39").collect()}
     assert all(r["n_dropped"] == (1 if d < 39 else 0) for d, r in rows.items())

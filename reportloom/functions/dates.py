@@ -54,6 +54,18 @@ def parse_auto_time(c: Column) -> Column:
     ).cast("timestamp")
 
 
+def required_time(c: Column) -> Column:
+    """Timestamp in any of the accepted spellings, NULL for NULL; any other text fails the job."""
+    told = F.raise_error(F.concat(F.lit("bad report time: "), c)).cast("timestamp")
+    return F.when(c.isNotNull(), F.coalesce(parse_auto_time(c), told))
+
+
+def required_date(c: Column) -> Column:
+    """Date in any of the accepted spellings, NULL for NULL; any other text fails the job."""
+    told = F.raise_error(F.concat(F.lit("bad report date: "), c)).cast("date")
+    return F.when(c.isNotNull(), F.coalesce(parse_auto_date(c), told))
+
+
 def iso_date(d: Column) -> Column:
     return F.date_format(d, "yyyy-MM-dd")
 

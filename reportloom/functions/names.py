@@ -80,11 +80,3 @@ def sub_folder(report: Column) -> Column:
     return F.when(report.isin("earnings", "sales"), report).when(
         report.isNotNull(), F.lit("stats/installs")
     )
-
-
-def output_path(root: str, feed: Column, iso_day: Column, tenant: Column) -> Column:
-    """Where the cooked file of one (feed, day, account) is published."""
-    return F.concat(
-        F.lit(root), feed, F.lit("/processed/"), iso_day, F.lit("/"), iso_day,
-        F.lit("_"), feed, F.lit("_"), tenant, F.lit(".csv"),
-    )

@@ -13,7 +13,12 @@ from reportloom.functions.clean import (
     clean_text,
     surrogate_key,
 )
-from reportloom.functions.dates import parse_auto_date, strict_report_date
+from reportloom.functions.dates import (
+    parse_auto_date,
+    required_date,
+    required_time,
+    strict_report_date,
+)
 from reportloom.schemas import (
     EARNINGS_AMOUNT_TYPE,
     EARNINGS_AMOUNTS,
@@ -26,13 +31,20 @@ from reportloom.schemas import (
 )
 
 
+def _bare(c: Column) -> Column:
+    """A date or time as it is written: no spaces around it, blanks as NULL."""
+    return blank_to_null(F.trim(c))
+
+
 def typed(df: DataFrame, columns: Mapping[str, tuple[str, str]]) -> DataFrame:
     """Cleaned and typed columns of text ones; ``columns`` gives (kind, type) by name.
 
     Two steps, so that a cleaned value is computed once although the second step
-    looks at it twice. Other columns of ``df`` stay.
+    looks at it twice. Other columns of ``df`` stay. A ``date`` has to be an ISO one in
+    every row; an ``any_date`` and a ``time`` are in any accepted spelling or blank.
     """
     clean = {"metric": clean_metric, "text": clean_text, "date": lambda c: c}
+    parse = {"any_date": required_date, "time": required_time}
 
     def value(name: str) -> Column:
         if name not in columns:
@@ -40,10 +52,12 @@ def typed(df: DataFrame, columns: Mapping[str, tuple[str, str]]) -> DataFrame:
         kind, type_name = columns[name]
         if kind == "date":
             return strict_report_date(F.col(name))
+        if kind in parse:
+            return parse[kind](F.col(name))
         return blank_to_null(F.col(name)).cast(type_name)
 
     cleaned = df.select(
-        *(clean[columns[c][0]](F.col(c)).alias(c) if c in columns else c for c in df.columns)
+        *(clean.get(columns[c][0], _bare)(F.col(c)).alias(c) if c in columns else c for c in df.columns)
     )
     return cleaned.select(*(value(c).alias(c) for c in df.columns))
 

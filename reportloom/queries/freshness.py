@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 
 from reportloom import frames
 from reportloom.functions.dates import iso_date
-from reportloom.functions.names import output_path
 from reportloom.operators import freshness as ops
 from reportloom.queries import frames_sql as sql
 from reportloom.queries.registry import query
 from reportloom.schemas import CRASH_FEED_NAMES
 from reportloom.sinks import control
+from reportloom.sinks.exports import export_folder
 from reportloom.sources.reports import union_objects
 from reportloom.workspace import new_folder
 
@@ -213,8 +213,8 @@ def date_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    url = output_path(
-        "s3://reports/root/crashes/", F.col("feed"), iso_date(F.col("report_date")), F.col("tenant")
+    url = export_folder(
+        "s3://reports/root/crashes", F.col("feed"), iso_date(F.col("report_date")), F.col("tenant")
     )
     return control.build_manifest(ops.file_catalog(frames.crash_keys(spark, sf_dir)), url)
 
@@ -222,9 +222,8 @@ def _manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
 _MANIFEST_SQL = """manifests AS (
   SELECT feed, '{"entries":[' || string_agg('{"url":"' || url || '","mandatory":true}', ',' ORDER BY url)
     || ']}' AS manifest
-  FROM (SELECT feed, 's3://reports/root/crashes/' || feed || '/processed/'
-      || strftime(report_date, '%Y-%m-%d') || '/' || strftime(report_date, '%Y-%m-%d')
-      || '_' || feed || '_' || tenant || '.csv' AS url FROM crash_keys)
+  FROM (SELECT feed, 's3://reports/root/crashes/p_feed=' || feed
+      || '/p_date=' || strftime(report_date, '%Y-%m-%d') || '/p_tenant=' || tenant AS url FROM crash_keys)
   GROUP BY feed)"""
 
 

@@ -28,6 +28,7 @@ from reportloom.schemas import (
     CRASH_FEEDS,
     EARNINGS_DAY,
     INSTALLS_FEED,
+    FeedColumn,
 )
 from reportloom.sinks import exports, statistics, tables, targets
 from reportloom.sinks.control import read_status
@@ -354,7 +355,7 @@ def raw_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
 # The feeds of the crash load that have new days, as in the freshness queries:
 # the day after the latest complete one is there for all four.
 def _crash_config(
-    spark: SparkSession, sf_dir: str, root: str, raw: DataFrame | None = None
+    spark: SparkSession, sf_dir: str, root: str, raw: DataFrame | None = None, width: int = 5
 ) -> LoadConfig:
     """Crash reports written as objects below ``root``, and a run over them."""
     raw = frames.crash_raw(spark, sf_dir) if raw is None else raw
@@ -362,7 +363,7 @@ def _crash_config(
         F.lit("crashes_com.example."), F.col("event_type"), F.lit("_202401_"),
         F.col("feed"), F.lit(".csv"),
     )
-    roots = frames.write_objects(raw.withColumn("object", name), root, "crashes", 5)
+    roots = frames.write_objects(raw.withColumn("object", name), root, "crashes", width)
     return LoadConfig(roots, RUN_DATE, f"{root}/out", load="crashes", backfill=2)
 
 
@@ -374,6 +375,34 @@ def crashes_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.load_crashes(spark, config, published, f"{root}/table").table
 
 
+_SEEN_SQL = """SELECT CAST(c0 AS DATE) AS crash_date, c1 AS package_name,
+  CASE WHEN feed <> 'overview' THEN replace(dimension, '%', '') END AS dimension,
+  CAST(replace(crashes, ',', '') AS BIGINT) AS daily_crashes, CAST(replace(anrs, '%', '') AS DECIMAL(18,2)) AS daily_anrs,
+  CASE WHEN event_id % 4 < 3 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') END AS seen_at,
+  CAST(c0 AS DATE) + 1 AS due_on, tenant, feed FROM crash_events JOIN events USING (event_id)"""
+
+
+@query(sql.with_frames(sql.CRASH_RAW, _SEEN_SQL))
+def crashes_load_with_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load of feeds that have a time and a second date, each in several spellings."""
+    root = new_folder(spark, "crashes-times")
+    raw = frames.crash_raw(spark, sf_dir).join(frames.table(spark, sf_dir, "events").select("event_id", "ts"), "event_id")
+    seen, due = F.lit(" "), F.date_add(F.col("c0").cast("date"), 1)
+    for i, pattern in enumerate(["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "MMM d, yyyy h:mm:ss a"]):
+        seen = F.when(F.col("event_id") % 4 == i, F.date_format("ts", pattern)).otherwise(seen)
+    due = F.when(F.col("event_id") % 2 == 0, F.date_format(due, "MMM d, yyyy")).otherwise(F.date_format(due, "M/d/yyyy"))
+    config = _crash_config(spark, sf_dir, root, raw.withColumns({"c5": seen, "c6": due}), 7)
+    specs = tuple(
+        replace(spec, columns=(
+            *spec.columns, FeedColumn("seen_at", 5, "time", "timestamp"), FeedColumn("due_on", 6, "any_date", "date")
+        ))
+        for spec in CRASH_FEEDS
+    )
+    published = frames.published(frames.crash_keys(spark, sf_dir))
+    table = plans.load_crashes(spark, replace(config, crash_feeds=specs), published, f"{root}/table").table
+    return table.withColumn("seen_at", F.date_format("seen_at", "yyyy-MM-dd HH:mm:ss"))
+
+
 def _from_manifests(spark: SparkSession, config: LoadConfig, job: str, table: DataFrame) -> DataFrame:
     """The rows of a load as its published manifests list them, in the table's types."""
     fields = processed_columns(table)

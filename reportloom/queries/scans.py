@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reportloom import frames
@@ -32,6 +32,7 @@ from reportloom.sources.reports import (
     scan_feed,
     union_objects,
 )
+from reportloom.sources.reports import scan_named_feed as read_named
 from reportloom.workspace import new_folder
 
 CRASH_FIELDS = positional(5)
@@ -82,6 +83,21 @@ def scan_feed_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.drop("source_file")
 
 
+@query(sql.with_frames(sql.CRASH_RAW, "SELECT tenant, feed, c0, c1, c2, c3, c4 FROM crash_raw"))
+def scan_named_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports of all accounts read together; account and feed are told by the objects' names."""
+    raw = frames.crash_raw(spark, sf_dir)
+    name = F.concat(F.lit("crashes_"), F.col("tenant"), F.lit("_202401_"), F.col("feed"), F.lit(".csv"))
+    roots = frames.write_objects(raw.withColumn("object", name), new_folder(spark, "named"), "crashes", 5)
+    paths = [f"{root}/stats/crashes" for root in roots.values()]
+
+    def folder(path: Column) -> Column:
+        return F.element_at(F.split(path, "/"), -2)
+
+    rows = read_named(spark, paths, frames.TENANTS, 5, object_name=folder)
+    return rows.drop("source_file")
+
+
 @query("SELECT doc_id, lang, source, text FROM documents")
 def scan_utf16_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "utf16")

@@ -77,15 +77,22 @@ def positional(width: int) -> tuple[str, ...]:
     return tuple(f"c{i}" for i in range(width))
 
 
+COLUMN_KINDS = ("date", "any_date", "time", "text", "metric")
+
+
 @dataclass(frozen=True)
 class FeedColumn:
     """One table column: its position in the report, what it holds, its type."""
 
     name: str
     source: int
-    kind: str  # date | text | metric
+    kind: str  # one of COLUMN_KINDS
     type: str = "string"
 
+    def __post_init__(self) -> None:
+        if self.kind not in COLUMN_KINDS:
+            raise ValueError(f"unknown kind {self.kind!r} of {self.name!r}, expected one of {COLUMN_KINDS}")
+
 
 @dataclass(frozen=True)
 class FeedSpec:

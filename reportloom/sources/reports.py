@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -10,7 +10,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reportloom.functions.clean import strip_non_ascii, strip_tabs
+from reportloom.functions.names import (
+    base_name,
+    classify_feed,
+    classify_tenant,
+    required,
+)
 from reportloom.schemas import (
+    CRASH_FEED_NAMES,
     DEVICE_COLUMNS,
     EARNINGS_COLUMNS,
     positional,
@@ -255,6 +262,31 @@ def scan_feed(
     return union_objects([scan_tenant(t, r) for t, r in found_roots.items()])
 
 
+def scan_named_feed(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    labels: Sequence[str],
+    width: int,
+    feeds: Sequence[str] = CRASH_FEED_NAMES,
+    split: bool | str = False,
+    object_name: Callable[[Column], Column] = base_name,
+) -> DataFrame:
+    """Rows of reports of several accounts that lie together: (tenant, feed, c0 …, source_file).
+
+    Account and feed are what the object's name says, which ``object_name`` takes from the
+    path. An object that has rows and whose name lacks one of them fails the scan, and so
+    does a row of more than ``width`` fields.
+    """
+    raw = read_utf16_csv(spark, paths, positional(width), split=split, strict=True)
+    found = object_name(F.col("source_file"))
+    return raw.select(
+        required(classify_tenant(found, labels), found).alias("tenant"),
+        required(classify_feed(found, feeds), found).alias("feed"),
+        *positional(width),
+        "source_file",
+    )
+
+
 def union_objects(frames: Sequence[DataFrame]) -> DataFrame:
     """All rows of all frames; a column that a frame lacks is NULL there."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

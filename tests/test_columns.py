@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from reportloom.config import LoadConfig, Target, month_span, shift_month
 from reportloom.functions import clean, dates, names
+from reportloom.operators.cooking import cook_feeds
+from reportloom.schemas import FeedColumn, FeedSpec
 
 
 def values(spark, rows, column):
@@ -170,11 +172,6 @@ def test_report_patterns(spark):
     assert folders == ["earnings", None, "sales", None, "stats/installs", "stats/installs", None]
 
 
-def test_output_path(spark):
-    path = names.output_path("s3://b/root/", F.lit("device"), F.lit("2021-01-04"), F.lit("a"))
-    assert one(spark, path) == "s3://b/root/device/processed/2021-01-04/2021-01-04_device_a.csv"
-
-
 def test_config_months():
     base = dict(tenants={}, output_root="/x")
     assert LoadConfig(run_date=dt.date(2021, 2, 10), backfill=3, **base).months() == ["202012", "202101", "202102"]
@@ -240,3 +237,28 @@ def test_a_name_of_no_class_fails_where_one_is_required(spark):
     assert df.limit(1).select(feed).first()[0] == "device"
     with pytest.raises(Exception, match="no class in the name: crashes_other"):
         df.select(feed).collect()
+
+
+@pytest.mark.parametrize(
+    "kind, good, parsed, bad",
+    [
+        ("time", [" 2021-02-03T04:05:06 ", "Feb 3, 2021 4:05:06 PM", " ", None],
+         [dt.datetime(2021, 2, 3, 4, 5, 6), dt.datetime(2021, 2, 3, 16, 5, 6), None, None], "2021-02-30 00:00:00"),
+        ("any_date", ["20210203", "2/3/2021", "", None], [dt.date(2021, 2, 3), dt.date(2021, 2, 3), None, None], "soon"),
+    ],
+)
+def test_dates_and_times_of_any_spelling_in_a_feed(spark, kind, good, parsed, bad):
+    spec = FeedSpec("f", "at", (FeedColumn("at", 0, kind, "string"),))
+
+    def cooked(values):
+        rows = spark.createDataFrame([(v, "t", "f") for v in values], "c0 string, tenant string, feed string")
+        return [r["at"] for r in cook_feeds(rows.coalesce(1), [spec]).collect()]
+
+    assert cooked(good) == parsed
+    with pytest.raises(Exception, match=f"bad report .*: {bad}"):
+        cooked([*good, bad])
+
+
+def test_a_column_of_no_known_kind_is_refused():
+    with pytest.raises(ValueError, match="unknown kind 'when'"):
+        FeedColumn("at", 0, "when")

@@ -313,3 +313,19 @@ def test_missing_mandatory_file_fails(spark, tmp_path):
 def test_manifest_with_nothing_to_read(spark, tmp_path):
     path = write_manifest(tmp_path / "m.txt", [{"url": str(tmp_path / "gone.csv")}])
     assert manifests.load_from_manifest(spark, path, read_two(spark)) is None
+
+
+def test_reports_that_lie_together_are_told_by_their_names(spark, tmp_path):
+    for tenant, feed in (("ta", "device"), ("tb", "os_version")):
+        write_utf16(tmp_path / "in" / f"crashes_{tenant}_202101_{feed}.csv", EDGE_TEXTS["crlf"])
+    rows = reports.scan_named_feed(spark, str(tmp_path / "in"), ["ta", "tb"], 3)
+    assert {(r.tenant, r.feed, r.n) for r in rows.groupBy("tenant", "feed").agg(F.count("*").alias("n")).collect()} == {
+        ("ta", "device", 3), ("tb", "os_version", 3)
+    }
+    # An object without rows may have any name.
+    write_utf16(tmp_path / "in" / "notes.csv", EDGE_TEXTS["header only"])
+    assert rows.count() == 6
+    write_utf16(tmp_path / "in" / "crashes_tc_202101_device.csv", EDGE_TEXTS["crlf"])
+    found = reports.scan_named_feed(spark, str(tmp_path / "in"), ["ta", "tb"], 3)
+    with pytest.raises(Exception, match="no class in the name: crashes_tc_202101_device.csv"):
+        found.collect()

@@ -20,8 +20,7 @@ UNKNOWN = "und"
 MOST_NGRAMS = 3_000_000
 # Numbers in the table of its costs, one per n-gram and language.
 MOST_COSTS = 24_000_000
-# Learned rows by which rejection is calibrated, and the share of them it lets pass.
-CALIBRATION_ROWS = 2_000
+# Share of the learned rows that rejection lets pass.
 ACCEPTED = 0.999
 # Characters at most whose evidence the score counts as independent.
 EVIDENCE = 50
@@ -197,14 +196,6 @@ class Model:
         flush()
         return total / np.maximum(lengths, 1)[:, None], lengths
 
-    def calibrate(self, rows: list[tuple[str, str]]) -> None:
-        """Set for each language the entropy that ``ACCEPTED`` of its texts do not exceed."""
-        entropies, lengths = self.entropies([text for _, text in rows])
-        for column, language in enumerate(self.languages):
-            own = [e[column] for e, n, (name, _) in zip(entropies, lengths, rows, strict=True) if name == language and n >= 20]
-            if own:
-                self.limits[column] = np.quantile(own, ACCEPTED)
-
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Language, score and whether it is rejected: its entropy is above the limit of
         its language (short texts, whose means vary more, get room)."""
@@ -319,52 +310,6 @@ def _counted(held: dict[str, list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _rank(count: Column) -> Column:
-    """A number that rises with a count, by its length and its first four digits: 9,000
-    ranks per power of ten, so few go to the driver, however high the counts."""
-    digits = count.cast("string")
-    return F.length(digits) * 10_000 + F.substring(digits, 1, 4).cast("int")
-
-
-def learn(rows: DataFrame, most_ngrams: int = MOST_NGRAMS, calibration_rows: int = CALIBRATION_ROWS) -> Model:
-    """A bounded model of all rows of ``rows`` (``id``, ``lang``, ``text``) whose ``lang`` is
-    not null, in one piece; ``learn_whole`` leaves nothing out.
-
-    Counts cover every row. Only what the model holds goes to the driver: all n-grams,
-    or if there are more than ``most_ngrams`` (fewer for many languages, see
-    ``MOST_COSTS``), those found most often. Rejection is
-    calibrated on ``calibration_rows`` rows chosen by a hash of the id.
-    """
-    rows = rows.where("lang is not null")
-    counts = settle(ngram_counts(rows), "ngrams")
-    least = 1
-    languages = counts.select("lang").distinct().count()
-    most_ngrams = min(most_ngrams, MOST_COSTS // max(1, languages))
-    # The least rank that leaves few enough, from how many n-grams have each rank.
-    spread = counts.groupBy(_rank(F.col("n")).alias("rank")).agg(F.count(F.lit(1)).alias("all"))
-    left = 0
-    for row in sorted(spread.collect(), key=lambda r: -r["rank"]):
-        left += row["all"]
-        if left > most_ngrams:
-            least = row["rank"] + 1
-            break
-    held = counts.where(_rank(F.col("n")) >= least).toArrow()
-    names = np.array(held.column("lang").to_pylist(), object)
-    grams = held.column("gram").to_numpy().view(np.uint64)
-    number = held.column("n").to_numpy()
-    tables = {}
-    for language in sorted(set(names)):
-        own = names == language
-        order = np.argsort(grams[own])
-        tables[language] = grams[own][order], number[own][order]
-    model = Model(tables)
-    # Ids are chosen without their texts, of which each task would send its own.
-    some = rows.select("id").where("id is not null").distinct().orderBy(F.xxhash64("id", F.lit(9)), "id")
-    chosen = rows.join(F.broadcast(some.limit(calibration_rows)), "id").select("lang", "text").limit(calibration_rows)
-    model.calibrate([(r["lang"], r["text"]) for r in chosen.collect()])
-    return model
-
-
 def _by_language(found: pa.Table, languages: list[str], column: str) -> list[tuple[np.ndarray, np.ndarray]]:
     """Sorted numbers of ``column`` and their counts ``n`` for each language."""
     names = found.column("lang").combine_chunks().dictionary_encode()
@@ -446,20 +391,16 @@ def learn_whole(rows: DataFrame, most_ngrams: int = MOST_NGRAMS, most_costs: int
     return model
 
 
-def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def identify(docs: DataFrame, model: BlockModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Columns ``doc``, ``lang_pred``, ``score`` (0 to 1) and ``rejected``, one row per row.
 
     A text that is null or has no letter is ``und`` with score 0; so is any text if
     nothing was learned. Texts of any length are read whole; equal entropies go to the
     first language by name; an empty table gives no rows; other columns are not looked at.
     """
-    whole = isinstance(model, BlockModel)
-    shared = model if whole else docs.sparkSession.sparkContext.broadcast(model)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared if whole else shared.value
         for batch in batches:
-            named, score, rejected = known.predict(batch.column(1).to_pylist())
+            named, score, rejected = model.predict(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(named, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())],
                 ["doc", "lang_pred", "score", "rejected"],

@@ -438,36 +438,3 @@ def test_language_by_hand_for_a_tiny_model():
     level = language_id.Model(counts).levels[0][0]
     assert level.grams.tolist() == [0x20, ord("a")]
     assert math.isclose(level.shares.sum() + level.weights[0], 1.0)
-
-
-def test_languages_of_odd_rows(odd):
-    model = language_id.learn(odd.select(F.col("doc_id").alias("id"), "lang", "text"))
-    found = language_id.identify(odd, model).collect()
-    assert len(found) == odd.count() and all(0 <= r["score"] <= 1 for r in found)
-    assert {r["lang_pred"] for r in found if r["doc"] in (1, 2, 3)} == {"und"}
-    assert {r["lang_pred"] for r in found if r["doc"] not in (None, 1, 2, 3)} <= {"en", "de"}
-    small = language_id.learn(odd.select(F.col("doc_id").alias("id"), "lang", "text"), most_ngrams=500)
-    assert len(small.table) <= 500
-
-
-def test_a_foreign_text_is_rejected(spark):
-    rows = spark.createDataFrame([(i, "x", " ".join(prose(i, 30).split())) for i in range(50)], "id long, lang string, text string")
-    model = language_id.learn(rows)
-    _, _, rejected = model.predict([prose(7, 30), "Совсем другой язык, которого модель не знает совсем"])
-    assert rejected.tolist() == [False, True]
-
-
-def test_language_model_is_bounded_by_high_counts(spark):
-    """Counts far beyond 10,000 are told apart too: the model holds no more than it may."""
-    texts = [(1, "x", "abcdefgh " * 30_000), (2, "x", "ijkl " * 20_000), (3, "y", "mnop " * 12_000)]
-    rows = spark.createDataFrame(texts, "id long, lang string, text string")
-    assert len(language_id.learn(rows).table) > 9
-    held = language_id.learn(rows, most_ngrams=9)
-    assert held.languages == ["x"] and 0 < len(held.table) <= 9
-
-
-def test_ranks_rise_with_counts(spark):
-    counts = spark.range(1, 30_000).unionByName(spark.range(29_900, 10_000_000, 99_991))
-    pairs = counts.select("id", language_id._rank(counts["id"]).alias("rank")).orderBy("id").collect()
-    ranks = [r["rank"] for r in pairs]
-    assert ranks == sorted(ranks)

@@ -25,17 +25,49 @@ CAPITAL_LETTERS = 10
 # Lines from that many words on need some punctuation.
 BARE_WORDS = 30
 
-# Phrases of page furniture.
-NAVIGATION = (
-    r"(?i)^[ \t\r]*(home|menu|login|log in|sign in|sign up|register|search|next|previous|back to top|share|"
-    r"contact us|about us|site map|skip to content|read more|load more)[ \t\r]*$"
+# Phrases of page furniture, in English, German, French and Spanish. A letter
+# outside ASCII stands in both cases, as not every engine folds it.
+MENU_WORDS = (
+    "home", "menu", "login", "log in", "sign in", "sign up", "register", "search", "next", "previous", "back to top",
+    "share", "contact us", "about us", "site map", "skip to content", "read more", "load more",
+    "startseite", "men[üÜ]", "anmelden", "abmelden", "registrieren", "suche", "suchen", "weiter", "zur[üÜ]ck",
+    "nach oben", "teilen", "kontakt", "impressum", "[üÜ]ber uns", "inhaltsverzeichnis", "zum inhalt springen",
+    "weiterlesen", "mehr lesen", "mehr laden",
+    "accueil", "connexion", "se connecter", "s.inscrire", "rechercher", "suivant", "pr[éÉ]c[éÉ]dent", "haut de page",
+    "retour en haut", "partager", "contact", "contactez-nous", "[àÀ] propos", "plan du site", "aller au contenu",
+    "lire la suite", "en savoir plus", "voir plus",
+    "inicio", "men[úÚ]", "iniciar sesi[óÓ]n", "acceder", "registrarse", "buscar", "siguiente", "anterior",
+    "volver arriba", "compartir", "contacto", "sobre nosotros", "mapa del sitio", "saltar al contenido",
+    "leer m[áÁ]s", "ver m[áÁ]s", "cargar m[áÁ]s",
 )
-SEPARATED = r"([|»›•·][^|»›•·]{0,40}){4}"
-BOILERPLATE = (
-    r"(?i)(this (web)?site uses cookies|accept (all )?cookies|cookie policy|privacy policy|terms of (use|service)|"
-    r"enable javascript|javascript is (disabled|required)|subscribe to our newsletter|"
-    r"click here to|lorem ipsum)"
+NOTICES = (
+    "this (?:web)?site uses cookies", "accept (?:all )?cookies", "cookie policy", "privacy policy",
+    "terms of (?:use|service)", "enable javascript", "javascript is (?:disabled|required)",
+    "subscribe to our newsletter", "click here to", "lorem ipsum",
+    "diese (?:web)?seite (?:verwendet|nutzt) cookies", "cookies akzeptieren", "cookie-richtlinie",
+    "datenschutzerkl[äÄ]rung", "nutzungsbedingungen", "javascript (?:aktivieren|ist deaktiviert)",
+    "newsletter abonnieren", "klicken sie hier",
+    "ce site utilise des cookies", "accepter (?:tous )?les cookies", "politique de (?:cookies|confidentialit[éÉ])",
+    "conditions d.utilisation", "activer javascript", "javascript est d[éÉ]sactiv[éÉ]",
+    "abonnez-vous [àÀ] notre", "cliquez ici",
+    "este sitio (?:web )?(?:utiliza|usa) cookies", "aceptar (?:todas las )?cookies",
+    "pol[íÍ]tica de (?:cookies|privacidad)", "condiciones de uso", "t[éÉ]rminos (?:de uso|y condiciones)",
+    "javascript est[áÁ] (?:desactivado|deshabilitado)", "suscr[íÍ]bete a nuestr[oa]", "ha(?:z|ga) clic aqu[íÍ]",
 )
+SEPARATED = r"([|»›•·][^|»›•·]{0,40}){4}"
+# One menu word is all of the line, so its first letter tells most lines apart.
+NAVIGATION = rf"(?i)^[ \t\r]*(?:{'|'.join(MENU_WORDS)})[ \t\r]*$"
+
+
+def _by_first_letter(phrases: tuple[str, ...]) -> str:
+    """A pattern of any of ``phrases`` that asks for each first letter once."""
+    groups: dict[str, list[str]] = {}
+    for phrase in phrases:
+        groups.setdefault(phrase[0], []).append(phrase[1:])
+    return "|".join(f"{letter}(?:{'|'.join(rest)})" for letter, rest in groups.items())
+
+
+BOILERPLATE = f"(?i)(?:{_by_first_letter(NOTICES)})"
 
 
 def _bind(value: Column, use: Callable[[Column], Column]) -> Column:

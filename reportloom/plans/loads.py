@@ -268,11 +268,10 @@ def _load_earnings(
     def export() -> None:
         export_earnings(rows, processed_root(config.output_root, "earnings"), EARNINGS_COLUMNS, f"{month:%Y%m}")
 
-    def note_manifests() -> None:
-        publish_earnings_manifests(spark, config, f"{month:%Y%m}")
-
-    run_together(spark, [load, export, note_manifests] if config.processed else [load])
+    run_together(spark, [load, export] if config.processed else [load])
     check_earnings(cooked, table_path, label)
+    if config.processed:
+        publish_earnings_manifests(spark, config, f"{month:%Y%m}")
     return True
 
 
@@ -328,12 +327,14 @@ def load_devices(
             manifest = build_manifest(listed, F.lit(f"{processed}/{DEVICES}"), mandatory=False)
             publish_manifests(manifest, listed, f"{control}/manifests", config.run_date)
 
-        run_together(spark, [load, export, note_manifest] if config.processed else [load])
+        run_together(spark, [load, export] if config.processed else [load])
         done = planned_loads(config.targets, [DEVICES])
         expected = staged.count()
         for endpoint, _, table in done:
             path = f"{root}/{endpoint}/{table}"
             check_counts(expected, spark.read.parquet(path).count(), path)
+        if config.processed:
+            note_manifest()
         column_stats(staged, staged.columns).write.mode("overwrite").parquet(f"{control}/statistics")
         note_status(spark, config, "devices", NEW_DATA)
     return done

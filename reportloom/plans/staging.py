@@ -292,8 +292,7 @@ def load_new_feeds(
     def load_endpoints() -> None:
         load_feeds(new_rows, tables, config.targets, names, layout, keep)
 
-    files = [export, note_manifests] if config.processed else []
-    run_together(spark, [load, load_endpoints, *files, note_dates])
+    run_together(spark, [load, load_endpoints, *([export] if config.processed else [])])
     placed = read_table(spark, table_path, schema)
     table = layout.rows(placed)
 
@@ -304,6 +303,8 @@ def load_new_feeds(
         note_statistics(spark, placed, layout, days, processed_columns(table), f"{control}/statistics")
 
     run_together(spark, [check, measure])
+    # What a run says is there is said once all of it is written and checked.
+    run_together(spark, [note_dates, *([note_manifests] if config.processed else [])])
     note_status(spark, config, job, status)
     # Published last: a run that fails before it is simply run again.
     publish_parts(new_parts, f"{control}/published", config.run_date)

@@ -420,3 +420,20 @@ def test_lost_earnings_are_noticed(spark, tmp_path):
     loads.check_earnings(cooked, path, "2021-Jan")
     with pytest.raises(tables.ReconciliationError):
         loads.check_earnings(cooked.unionByName(cooked), path, "2021-Jan")
+
+
+def test_a_load_that_fails_publishes_nothing(spark, tmp_path, config):
+    config = replace(config, targets=(Target("first"),))
+    for tenant in config.tenants:
+        put_crashes(tmp_path / "in", tenant, [4])
+    # The endpoint cannot be written: there is a file in its place.
+    put(tmp_path / "out/tables/first", "no folder", "utf-8")
+    with pytest.raises(Exception):
+        run_crashes(spark, config)
+    control = f"{config.output_root}/control/crashes"
+    for kind in ("manifests", "dates", "published"):
+        assert not glob.glob(f"{control}/{kind}/**/part-*", recursive=True)
+    assert read_status(spark, f"{control}/status", "crashes", config.run_date).first().status.startswith("Error")
+    (tmp_path / "out/tables/first").unlink()
+    assert run_crashes(spark, config).feeds == ("app_version", "device", "os_version", "overview")
+    assert glob.glob(f"{control}/manifests/**/part-*", recursive=True)

@@ -8,15 +8,16 @@ from __future__ import annotations
 
 import io
 import zipfile
+from collections.abc import Iterator, Sequence
 from datetime import date
 from functools import partial
+from itertools import groupby
+from operator import itemgetter
 from pathlib import Path
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType
 
 from reportloom.functions.dates import iso_date, month_label
 from reportloom.schemas import CRASH_FEED_NAMES, DEVICE_COLUMNS, EARNINGS_COLUMNS, PRODUCT_HEADER, positional
@@ -267,42 +268,60 @@ def csv_line(columns) -> Column:
     return F.concat_ws(",", *quoted)
 
 
-def zip_text(member: Column, content: Column) -> Column:
-    """A zip per row with one member."""
+def zip_lines(lines: DataFrame, keys: Sequence[str], order: Sequence[str], header: str) -> DataFrame:
+    """(…keys, content) of lines (…keys, member, line): a zip of one member per ``keys``.
 
-    def pack(names: pd.Series, bodies: pd.Series) -> pd.Series:
-        def one(name: str, body: str) -> bytes:
-            held = io.BytesIO()
-            with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as archive:
-                archive.writestr(name, body.encode("utf-8"))
-            return held.getvalue()
-
-        return pd.Series([one(n, b) for n, b in zip(names, bodies)], dtype=object)
-
-    return F.pandas_udf(pack, BinaryType())(member, content)
-
-
-def earnings_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Zipped earnings (tenant, path, content): one archive per account, month and key range."""
+    A zip is packed by one task, line by line in ``order`` below the header. The task
+    holds a batch of lines and one packed zip, however many lines that has.
+    """
+    placed = lines.repartition(*keys).sortWithinPartitions(*keys, *order).select(*keys, "member", "line")
+    schema = placed.select(*keys, F.lit(None).cast("binary").alias("content")).schema
+    return placed.mapInArrow(partial(_pack, header), schema)
+
+
+def _pack(header: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Zips with the values of all columns before ``member`` and ``line``, from sorted lines."""
+    key = held = archive = body = fields = None
+
+    def packed() -> pa.RecordBatch:
+        body.close()
+        archive.close()
+        values = [pa.array([v], f.type) for v, f in zip(key, fields, strict=True)]
+        names = [*(f.name for f in fields), "content"]
+        return pa.RecordBatch.from_arrays([*values, pa.array([held.getbuffer()], pa.binary())], names)
+
+    for batch in batches:
+        fields = list(batch.schema)[:-2]
+        rows = zip(*(c.to_pylist() for c in batch.columns), strict=True)
+        for (*of, member), same in groupby(rows, itemgetter(slice(-1))):
+            if of != key:
+                if key:
+                    yield packed()
+                key, held = of, io.BytesIO()
+                archive = zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED)
+                body = archive.open(member, "w", force_zip64=True)
+                body.write(f"{header}\n".encode())
+            body.write("".join(f"{row[-1]}\n" for row in same).encode())
+    if key:
+        yield packed()
+
+
+def earnings_archives(spark: SparkSession, sf_dir: str, month: str | None = None) -> DataFrame:
+    """Zipped earnings (tenant, month, path, content), of one month or of all: one archive
+    per account, month and key range."""
     raw = earnings_raw(spark, sf_dir)
-    grouped = (
-        raw.withColumn("part", F.floor(F.col("o_orderkey") / KEYS_PER_ARCHIVE))
-        .groupBy("tenant", "month", "part")
-        .agg(
-            F.array_sort(
-                F.collect_list(F.struct("o_orderkey", csv_line(EARNINGS_COLUMNS).alias("line")))
-            ).alias("rows")
-        )
+    if month is not None:
+        raw = raw.filter(F.col("month") == month)
+    lines = raw.select(
+        "tenant", "month", F.floor(F.col("o_orderkey") / KEYS_PER_ARCHIVE).alias("part"), "o_orderkey",
+        F.concat(F.lit("PlayApps_"), F.col("month"), F.lit(".csv")).alias("member"),
+        csv_line(EARNINGS_COLUMNS).alias("line"),
     )
-    header = F.lit(",".join(EARNINGS_COLUMNS))
-    body = F.concat(header, F.lit("\n"), F.array_join("rows.line", "\n"), F.lit("\n"))
-    member = F.concat(F.lit("PlayApps_"), F.col("month"), F.lit(".csv"))
+    zips = zip_lines(lines, ["tenant", "month", "part"], ["o_orderkey", "line"], ",".join(EARNINGS_COLUMNS))
     path = F.concat(
         F.lit("earnings/earnings_"), F.col("month"), F.lit("_77-"), text(F.col("part")), F.lit(".zip")
     )
-    return grouped.select(
-        "tenant", "month", path.alias("path"), zip_text(member, body).alias("content")
-    )
+    return zips.select("tenant", "month", path.alias("path"), "content")
 
 
 def write_zips(rows: DataFrame, order: str) -> list[str]:
@@ -361,10 +380,10 @@ def write_earnings_zips(archives: DataFrame, root: str) -> dict[str, str]:
 
     def write(batches):
         for batch in batches:
-            for tenant, name, content in zip(*(batch.column(c).to_pylist() for c in ("tenant", "path", "content")), strict=True):
-                at = Path(root) / tenant / name
+            for tenant, name, content in zip(*(batch.column(c) for c in ("tenant", "path", "content")), strict=True):
+                at = Path(root) / tenant.as_py() / name.as_py()
                 at.parent.mkdir(parents=True, exist_ok=True)
-                at.write_bytes(content)
+                at.write_bytes(content.as_buffer())
                 yield _paths(str(at))
 
     archives.select("tenant", "path", "content").mapInArrow(write, "path string").collect()

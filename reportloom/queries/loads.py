@@ -676,7 +676,7 @@ def _earnings_load(spark: SparkSession, sf_dir: str, root: str, runs: int) -> Da
         dict.fromkeys(frames.TENANTS, root), _last_order_day(spark, sf_dir), f"{root}/out"
     )
     month = f"{config.earnings_month():%Y%m}"
-    archives = frames.earnings_archives(spark, sf_dir).filter(F.col("month") == month)
+    archives = frames.earnings_archives(spark, sf_dir, month)
     for _ in range(runs):
         plans.load_earnings(config, archives, f"{root}/table")
     return _earnings_table(spark, f"{root}/table", old)

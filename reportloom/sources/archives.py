@@ -150,7 +150,8 @@ def _from_contents(records: _Records, names: Sequence[str]) -> Callable:
         for batch in batches:
             for i in range(batch.num_rows):
                 origin = [batch[name][i].as_py() for name in names]
-                with zipfile.ZipFile(io.BytesIO(batch["content"][i].as_py())) as archive:
+                # Read in place: the batch holds the zip once.
+                with zipfile.ZipFile(pa.BufferReader(batch["content"][i].as_buffer())) as archive:
                     for info in archive.infolist():
                         if not info.is_dir():
                             with archive.open(info) as stream:
